@@ -1,0 +1,181 @@
+"""Bucketed parquet tables that are replaced bucket by bucket and switched by one small manifest.
+
+``<root>/<table>/version=V/bucket=K/*.parquet`` holds the data, ``<root>/_manifests/N.json`` says
+which version of each bucket is current. A writer adds a new version directory for the buckets it
+touched and then publishes the next manifest, so readers see all of a commit or none of it.
+"""
+
+from __future__ import annotations
+
+import json
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+
+@dataclass(frozen=True)
+class TableSpec:
+    """Layout of one table; ``key`` decides the bucket, ``order`` the row order inside a bucket.
+
+    ``spread`` names columns whose values may be very frequent: rows are then distributed by ranges
+    of the whole order, so that a bucket with a hot key is written by several tasks. Otherwise a
+    bucket is written in ``splits`` files.
+    """
+
+    schema: T.StructType
+    key: str
+    order: tuple[str, ...]
+    spread: bool = False
+    splits: int = 1
+
+
+@dataclass
+class Manifest:
+    number: int = 0
+    buckets: int = 64
+    batch: int | None = None
+    tables: dict[str, dict[int, int]] = field(default_factory=dict)
+    notes: dict[str, object] = field(default_factory=dict)
+
+    def to_json(self) -> str:
+        return json.dumps(self.__dict__)
+
+    @staticmethod
+    def from_json(text: str) -> "Manifest":
+        raw = json.loads(text)
+        raw["tables"] = {t: {int(b): v for b, v in m.items()} for t, m in raw["tables"].items()}
+        return Manifest(**raw)
+
+
+class Snapshot:
+    def __init__(self, spark: SparkSession, root: str, tables: dict[str, TableSpec]):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.specs = tables
+
+    # -- files -------------------------------------------------------------------------------
+
+    def _path(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _fs(self):
+        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+        return self._path(self.root).getFileSystem(conf)
+
+    def _manifest_path(self, number: int) -> str:
+        return f"{self.root}/_manifests/{number:012d}.json"
+
+    def _names(self, path: str) -> list[str]:
+        fs, where = self._fs(), self._path(path)
+        if not fs.exists(where):
+            return []
+        return [s.getPath().getName() for s in fs.listStatus(where)]
+
+    def _manifest_numbers(self) -> list[int]:
+        return sorted(int(n[:-5]) for n in self._names(f"{self.root}/_manifests") if n.endswith(".json"))
+
+    def _read_manifest(self, number: int) -> Manifest:
+        stream = self._fs().open(self._path(self._manifest_path(number)))
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return Manifest.from_json(text)
+
+    def _publish(self, manifest: Manifest) -> None:
+        fs = self._fs()
+        final = self._path(self._manifest_path(manifest.number))
+        pending = self._path(self._manifest_path(manifest.number) + ".pending")
+        out = fs.create(pending, True)
+        out.write(manifest.to_json().encode("utf-8"))
+        out.close()
+        if fs.exists(final) or not fs.rename(pending, final):
+            raise RuntimeError(f"manifest {manifest.number} was published by another writer")
+
+    # -- state -------------------------------------------------------------------------------
+
+    def exists(self) -> bool:
+        return bool(self._manifest_numbers())
+
+    def create_if_absent(self, buckets: int = 64) -> "Snapshot":
+        """Start an empty snapshot; the bucket count is fixed from here on."""
+        if not self.exists():
+            self._publish(Manifest(1, buckets, None, {t: {} for t in self.specs}))
+        return self
+
+    def manifest(self) -> Manifest:
+        numbers = self._manifest_numbers()
+        if not numbers:
+            raise FileNotFoundError(f"no snapshot at {self.root}")
+        return self._read_manifest(numbers[-1])
+
+    def bucket_of(self, table: str, buckets: int, column: Column | None = None) -> Column:
+        key = F.col(self.specs[table].key) if column is None else column
+        return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+    def read(self, table: str, only: list[int] | None = None,
+             manifest: Manifest | None = None) -> DataFrame:
+        """Current rows, with ``bucket`` as a partition column; ``only`` limits the buckets listed."""
+        current = (manifest or self.manifest()).tables[table]
+        chosen = sorted(b for b in current if only is None or b in set(only))
+        schema = T.StructType(self.specs[table].schema.fields + [T.StructField("bucket", T.IntegerType())])
+        if not chosen:
+            return self.spark.createDataFrame([], schema)
+        base = f"{self.root}/{table}"
+        paths = [f"{base}/version={current[b]}/bucket={b}" for b in chosen]
+        layout = T.StructType(schema.fields + [T.StructField("version", T.IntegerType())])
+        return (
+            self.spark.read.schema(layout).option("basePath", base).parquet(*paths).drop("version")
+        )
+
+    # -- commit ------------------------------------------------------------------------------
+
+    def commit(self, replaced: dict[str, tuple[DataFrame, list[int]]], batch: int | None = None,
+               notes: dict[str, object] | None = None) -> Manifest:
+        """Write new contents of the named buckets of each table and switch to them together."""
+        old = self.manifest()
+        number = old.number + 1
+        tables = {t: dict(m) for t, m in old.tables.items()}
+        for table, (rows, touched) in replaced.items():
+            target = f"{self.root}/{table}/version={number}"
+            self._write(table, rows, old.buckets, target)
+            written = {int(n.split("=")[1]) for n in self._names(target) if n.startswith("bucket=")}
+            for b in touched:
+                tables[table].pop(b, None)
+            tables[table].update({b: number for b in written})
+        new = Manifest(number, old.buckets, old.batch if batch is None else batch, tables,
+                       old.notes if notes is None else notes)
+        self._publish(new)
+        return new
+
+    def _write(self, table: str, rows: DataFrame, buckets: int, target: str) -> None:
+        spec = self.specs[table]
+        names = spec.schema.fieldNames()
+        placed = rows if "bucket" in rows.columns else rows.withColumn(
+            "bucket", self.bucket_of(table, buckets))
+        placed = placed.select(*names, "bucket")
+        if spec.spread:
+            placed = placed.repartitionByRange("bucket", *spec.order)
+        (
+            placed.sortWithinPartitions("bucket", *spec.order)
+            .write.mode("overwrite").partitionBy("bucket").parquet(target)
+        )
+
+    def vacuum(self, keep: int = 2) -> int:
+        """Delete bucket versions that none of the last ``keep`` manifests uses; returns how many."""
+        numbers = self._manifest_numbers()
+        used = [self._read_manifest(n).tables for n in numbers[-keep:]]
+        fs, removed = self._fs(), 0
+        for table in self.specs:
+            live = {(v, b) for m in used for b, v in m.get(table, {}).items()}
+            for version in self._names(f"{self.root}/{table}"):
+                v = int(version.split("=")[1])
+                if v > numbers[-1]:
+                    continue  # being written now
+                for bucket in self._names(f"{self.root}/{table}/{version}"):
+                    if bucket.startswith("bucket=") and (v, int(bucket.split("=")[1])) not in live:
+                        fs.delete(self._path(f"{self.root}/{table}/{version}/{bucket}"), True)
+                        removed += 1
+        for n in numbers[:-keep]:
+            fs.delete(self._path(self._manifest_path(n)), False)
+        return removed
