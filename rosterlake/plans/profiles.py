@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..functions.wire import to_serving
 from ..operators.latest import latest_by_key
 from ..schema import SERVING
-from .snapshot import Snapshot, TableSpec
+from .snapshot import Manifest, Snapshot, TableSpec
 
 # Arrival order of a message: later timestamps win, then partition and offset.
 VERSION = ["_ts", "_partition", "_offset"]
@@ -16,53 +16,76 @@ _STORED = T.StructType(SERVING.fields + [
     T.StructField("_partition", T.IntegerType()),
     T.StructField("_offset", T.LongType()),
 ])
+_NAMES = _STORED.fieldNames()
 
 
 class ProfileTable:
-    """Profiles by id in ``buckets`` buckets; an upsert rewrites only the buckets it touches.
+    """Profiles by id: merged base files plus the change files of recent batches, both bucketed by id.
 
-    Choose ``buckets`` for the final size (about 1 GiB per bucket and split) when the table is made.
+    A batch only writes its own rows. A bucket is merged once it has ``compact_after`` change files,
+    so the cost of rewriting it is shared by that many batches. Choose ``buckets`` for the final size
+    when the table is made; a bucket is merged by ``splits`` tasks.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64, splits: int = 1):
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64, splits: int = 1,
+                 compact_after: int = 8):
         self.spark = spark
         self.splits = splits
-        spec = TableSpec(_STORED, "id", ("id",), splits=splits)
-        self.snapshot = Snapshot(spark, path, {"profiles": spec}).create_if_absent(buckets)
+        self.compact_after = compact_after
+        self.snapshot = Snapshot(spark, path, {
+            "profiles": TableSpec(_STORED, "id", ("id",)),
+            "changes": TableSpec(_STORED, "id", ("id",), spread=True),
+        }).create_if_absent(buckets)
 
-    def read(self) -> DataFrame:
-        return self.snapshot.read("profiles").select(*SERVING.fieldNames())
+    def _merged(self, manifest: Manifest, buckets: list[int]) -> DataFrame:
+        """Newest row per id of the given buckets; one shuffle, by (bucket, split)."""
+        split = F.pmod(F.xxhash64(F.col("id"), F.lit("split")), F.lit(self.splits))
+        both = (
+            self.snapshot.read("profiles", buckets, manifest)
+            .unionByName(self.snapshot.read("changes", buckets, manifest))
+            .withColumn("_split", split)
+            .repartition(F.col("bucket"), F.col("_split"))
+        )
+        return latest_by_key(both, ["bucket", "_split", "id"], VERSION).drop("_split")
 
     def with_buckets(self) -> DataFrame:
-        return self.snapshot.read("profiles").select(*SERVING.fieldNames(), "bucket")
+        """Current profiles with their bucket; only buckets with change files are merged on the way."""
+        manifest = self.snapshot.manifest()
+        changed = sorted(manifest.tables["changes"])
+        settled = [b for b in manifest.tables["profiles"] if b not in set(changed)]
+        wanted = [*SERVING.fieldNames(), "bucket"]
+        rows = self.snapshot.read("profiles", settled, manifest).select(*wanted)
+        if changed:
+            rows = rows.unionByName(self._merged(manifest, changed).select(*wanted))
+        return rows
 
-    def upsert(self, changes: DataFrame, batch: int | None = None) -> list[int]:
-        """Replace or add whole profiles; returns the buckets rewritten.
+    def read(self) -> DataFrame:
+        return self.with_buckets().drop("bucket")
 
-        ``changes`` has the profile columns plus ``_ts``, ``_partition`` and ``_offset``. The stored
-        row stays if it is newer, so the order in which batches arrive does not matter. A ``batch``
-        number that was committed before is skipped, which makes replays harmless.
+    def upsert(self, changes: DataFrame, batch: int | None = None) -> None:
+        """Replace or add whole profiles.
+
+        ``changes`` has the profile columns plus ``_ts``, ``_partition`` and ``_offset``. A stored row
+        stays if it is newer, so the order in which batches arrive does not matter. A ``batch`` number
+        that was committed before is skipped, which makes replays harmless.
         """
+        draft = self.snapshot.draft()
+        if batch is not None:
+            if draft.batch is not None and batch <= draft.batch:
+                return
+            draft.batch = batch
+        incoming = latest_by_key(to_serving(changes).select(*_NAMES), ["id"], VERSION)
+        self.snapshot.append(draft, "changes", incoming)
+        self.snapshot.publish(draft)
+        self.compact(self.compact_after)
+
+    def compact(self, min_changes: int = 1) -> list[int]:
+        """Merge the buckets with at least ``min_changes`` change files; returns them."""
         manifest = self.snapshot.manifest()
-        if batch is not None and manifest.batch is not None and batch <= manifest.batch:
-            return []
-        names = _STORED.fieldNames()
-        bucket = self.snapshot.bucket_of("profiles", manifest.buckets)
-        split = F.pmod(F.xxhash64(F.col("id"), F.lit("split")), F.lit(self.splits))
-        incoming = latest_by_key(to_serving(changes).select(*names), ["id"], VERSION).persist()
-        try:
-            touched = [r["b"] for r in incoming.select(bucket.alias("b")).distinct().collect()]
-            if not touched:
-                return []
-            stored = self.snapshot.read("profiles", touched, manifest).select(*names)
-            # One shuffle: rows move by (bucket, split), which also clusters them by id.
-            both = (
-                stored.unionByName(incoming)
-                .withColumn("bucket", bucket).withColumn("_split", split)
-                .repartition(F.col("bucket"), F.col("_split"))
-            )
-            merged = latest_by_key(both, ["bucket", "_split", "id"], VERSION)
-            self.snapshot.commit({"profiles": (merged, touched)}, batch)
-            return touched
-        finally:
-            incoming.unpersist()
+        due = [b for b, vs in manifest.tables["changes"].items() if len(vs) >= min_changes]
+        if due:
+            draft = self.snapshot.draft()
+            self.snapshot.replace(draft, "profiles", self._merged(manifest, due), due)
+            self.snapshot.replace(draft, "changes", None, due)
+            self.snapshot.publish(draft)
+        return due

@@ -1,8 +1,8 @@
-"""Bucketed parquet tables that are replaced bucket by bucket and switched by one small manifest.
+"""Bucketed parquet tables that change bucket by bucket and switch by one small manifest.
 
 ``<root>/<table>/version=V/bucket=K/*.parquet`` holds the data, ``<root>/_manifests/N.json`` says
-which version of each bucket is current. A writer adds a new version directory for the buckets it
-touched and then publishes the next manifest, so readers see all of a commit or none of it.
+which versions of each bucket are current. A writer adds a version directory with the buckets it
+replaces or appends to and then publishes the next manifest, so readers see all of a commit or none.
 """
 
 from __future__ import annotations
@@ -17,16 +17,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 class TableSpec:
     """Layout of one table; ``key`` decides the bucket, ``order`` the row order inside a bucket.
 
-    ``spread`` names columns whose values may be very frequent: rows are then distributed by ranges
-    of the whole order, so that a bucket with a hot key is written by several tasks. Otherwise a
-    bucket is written in ``splits`` files.
+    ``spread`` distributes rows by ranges of (bucket, order) before writing, so that a bucket with a
+    hot key is written by several tasks. Without it the rows are written as they are distributed.
     """
 
     schema: T.StructType
     key: str
     order: tuple[str, ...]
     spread: bool = False
-    splits: int = 1
 
 
 @dataclass
@@ -34,7 +32,7 @@ class Manifest:
     number: int = 0
     buckets: int = 64
     batch: int | None = None
-    tables: dict[str, dict[int, int]] = field(default_factory=dict)
+    tables: dict[str, dict[int, list[int]]] = field(default_factory=dict)
     notes: dict[str, object] = field(default_factory=dict)
 
     def to_json(self) -> str:
@@ -82,16 +80,6 @@ class Snapshot:
             stream.close()
         return Manifest.from_json(text)
 
-    def _publish(self, manifest: Manifest) -> None:
-        fs = self._fs()
-        final = self._path(self._manifest_path(manifest.number))
-        pending = self._path(self._manifest_path(manifest.number) + ".pending")
-        out = fs.create(pending, True)
-        out.write(manifest.to_json().encode("utf-8"))
-        out.close()
-        if fs.exists(final) or not fs.rename(pending, final):
-            raise RuntimeError(f"manifest {manifest.number} was published by another writer")
-
     # -- state -------------------------------------------------------------------------------
 
     def exists(self) -> bool:
@@ -100,7 +88,7 @@ class Snapshot:
     def create_if_absent(self, buckets: int = 64) -> "Snapshot":
         """Start an empty snapshot; the bucket count is fixed from here on."""
         if not self.exists():
-            self._publish(Manifest(1, buckets, None, {t: {} for t in self.specs}))
+            self.publish(Manifest(1, buckets, None, {t: {} for t in self.specs}))
         return self
 
     def manifest(self) -> Manifest:
@@ -122,44 +110,60 @@ class Snapshot:
         if not chosen:
             return self.spark.createDataFrame([], schema)
         base = f"{self.root}/{table}"
-        paths = [f"{base}/version={current[b]}/bucket={b}" for b in chosen]
+        paths = [f"{base}/version={v}/bucket={b}" for b in chosen for v in current[b]]
         layout = T.StructType(schema.fields + [T.StructField("version", T.IntegerType())])
         return (
             self.spark.read.schema(layout).option("basePath", base).parquet(*paths).drop("version")
         )
 
-    # -- commit ------------------------------------------------------------------------------
-
-    def commit(self, replaced: dict[str, tuple[DataFrame, list[int]]], batch: int | None = None,
-               notes: dict[str, object] | None = None) -> Manifest:
-        """Write new contents of the named buckets of each table and switch to them together."""
-        old = self.manifest()
-        number = old.number + 1
-        tables = {t: dict(m) for t, m in old.tables.items()}
-        for table, (rows, touched) in replaced.items():
-            target = f"{self.root}/{table}/version={number}"
-            self._write(table, rows, old.buckets, target)
-            written = {int(n.split("=")[1]) for n in self._names(target) if n.startswith("bucket=")}
-            for b in touched:
-                tables[table].pop(b, None)
-            tables[table].update({b: number for b in written})
-        new = Manifest(number, old.buckets, old.batch if batch is None else batch, tables,
-                       old.notes if notes is None else notes)
-        self._publish(new)
-        return new
-
-    def _write(self, table: str, rows: DataFrame, buckets: int, target: str) -> None:
+    # -- changes -----------------------------------------------------------------------------
+
+    def draft(self) -> Manifest:
+        """The next manifest, to be filled by :meth:`replace` and :meth:`append` and published once."""
+        now = self.manifest()
+        tables = {t: {b: list(vs) for b, vs in m.items()} for t, m in now.tables.items()}
+        return Manifest(now.number + 1, now.buckets, now.batch, tables, dict(now.notes))
+
+    def replace(self, draft: Manifest, table: str, rows: DataFrame | None, buckets: list[int]) -> None:
+        """Write the new full contents of ``buckets``; ``None`` empties them."""
+        current = draft.tables[table]
+        for b in buckets:
+            current.pop(b, None)
+        if rows is not None:
+            current.update({b: [draft.number] for b in self._write(table, rows, draft)})
+
+    def append(self, draft: Manifest, table: str, rows: DataFrame) -> None:
+        """Write rows that are added to what is there."""
+        current = draft.tables[table]
+        for b in self._write(table, rows, draft):
+            current[b] = current.get(b, []) + [draft.number]
+
+    def publish(self, manifest: Manifest) -> None:
+        """Make a draft current; fails if another writer was first."""
+        fs = self._fs()
+        final = self._path(self._manifest_path(manifest.number))
+        pending = self._path(self._manifest_path(manifest.number) + ".pending")
+        out = fs.create(pending, True)
+        out.write(manifest.to_json().encode("utf-8"))
+        out.close()
+        if fs.exists(final) or not fs.rename(pending, final):
+            raise RuntimeError(f"manifest {manifest.number} was published by another writer")
+
+    def _write(self, table: str, rows: DataFrame, draft: Manifest) -> list[int]:
+        """Write rows as a version of their buckets; returns the buckets that got any."""
         spec = self.specs[table]
-        names = spec.schema.fieldNames()
+        target = f"{self.root}/{table}/version={draft.number}"
         placed = rows if "bucket" in rows.columns else rows.withColumn(
-            "bucket", self.bucket_of(table, buckets))
-        placed = placed.select(*names, "bucket")
+            "bucket", self.bucket_of(table, draft.buckets))
+        placed = placed.select(*spec.schema.fieldNames(), "bucket")
         if spec.spread:
             placed = placed.repartitionByRange("bucket", *spec.order)
         (
             placed.sortWithinPartitions("bucket", *spec.order)
-            .write.mode("overwrite").partitionBy("bucket").parquet(target)
+            .write.mode("overwrite").option("partitionOverwriteMode", "static")
+            .partitionBy("bucket").parquet(target)
         )
+        return [int(n.split("=")[1]) for n in self._names(target) if n.startswith("bucket=")]
 
     def vacuum(self, keep: int = 2) -> int:
         """Delete bucket versions that none of the last ``keep`` manifests uses; returns how many."""
@@ -167,7 +171,7 @@ class Snapshot:
         used = [self._read_manifest(n).tables for n in numbers[-keep:]]
         fs, removed = self._fs(), 0
         for table in self.specs:
-            live = {(v, b) for m in used for b, v in m.get(table, {}).items()}
+            live = {(v, b) for m in used for b, vs in m.get(table, {}).items() for v in vs}
             for version in self._names(f"{self.root}/{table}"):
                 v = int(version.split("=")[1])
                 if v > numbers[-1]:

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..schema import DATABASE_COLUMNS, DATABASE_ROW_CAP
+from .rejects import split_rejects
 
 
 def jdbc_options(url: str, table: str, columns: list[str] | None = None,
@@ -51,12 +52,13 @@ def missing_required(columns: list[str] | None = None) -> Column:
     return result
 
 
-def to_profiles(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows with all required columns as profiles, and the rest as rejects."""
-    columns = rows.columns
-    good = rows.where(~missing_required()).select(
+def type_rows(rows: DataFrame) -> DataFrame:
+    """Rows as profiles, with a ``reason`` where a required column is null."""
+    email = F.col("email") if "email" in rows.columns else F.lit(None).cast("string")
+    return rows.select(
+        F.when(missing_required(), F.lit("null_in_required_column")).alias("reason"),
         F.col("pnum").cast("bigint").alias("id"),
-        (F.col("email") if "email" in columns else F.lit(None).cast("string")).alias("email"),
+        email.alias("email"),
         F.col("dob").cast("string").alias("dob"),
         F.col("weight").cast("int").alias("weight"),
         F.col("height").cast("int").alias("height"),
@@ -68,11 +70,15 @@ def to_profiles(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
                  F.col("latitude").cast("double").alias("lat")).alias("location"),
         F.col("gender").cast("int").alias("gender"),
     )
-    bad = rows.where(missing_required()).withColumn("reason", F.lit("null_in_required_column"))
-    return good, bad
+
+
+def scan(spark: SparkSession, url: str, table: str, cap: int | None = DATABASE_ROW_CAP,
+         **options) -> DataFrame:
+    """Extract of one table, capped before rows are checked."""
+    rows = spark.read.format("jdbc").options(**jdbc_options(url, table, **options)).load()
+    return first_rows(rows, cap)
 
 
 def read_profiles(spark: SparkSession, url: str, table: str, cap: int | None = DATABASE_ROW_CAP,
                   **options) -> tuple[DataFrame, DataFrame]:
-    rows = spark.read.format("jdbc").options(**jdbc_options(url, table, **options)).load()
-    return to_profiles(first_rows(rows, cap))
+    return split_rejects(type_rows(scan(spark, url, table, cap, **options)))

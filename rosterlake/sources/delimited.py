@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..functions.parsing import strict_double, strict_int, strict_long
 from ..schema import CORRUPT, DELIMITED_COLUMNS, NUMERIC_CHECK_ORDER
+from .rejects import split_rejects
 
 _PARSERS = {
     "pnum": strict_long, "lon": strict_double, "lat": strict_double,
@@ -75,12 +76,5 @@ def type_rows(raw: DataFrame) -> DataFrame:
 
 def read_profiles(spark: SparkSession, path: str | list[str],
                   strict_width: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Typed profiles and rejected lines (``reason``, ``line``)."""
-    rows = type_rows(scan(spark, path, strict_width))
-    good = rows.where(F.col("reason").isNull()).drop("reason", "line")
-    bad = rows.where(F.col("reason").isNotNull()).select("reason", "line")
-    return good, bad
-
-
-def rejects_by_reason(rejects: DataFrame) -> DataFrame:
-    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("rejects"))
+    """Typed profiles and rejected rows; the latter carry ``reason`` and the raw ``line``."""
+    return split_rejects(type_rows(scan(spark, path, strict_width)))
