@@ -43,5 +43,5 @@ def duration_histogram(rows: DataFrame, labels: list[str], seconds: Column,
 def run_times(rows: DataFrame, run: str, ts: str) -> DataFrame:
     """Completion time and duration in seconds of every run."""
     first, last = F.min(ts), F.max(ts)
-    seconds = (F.unix_micros(last) - F.unix_micros(first)) / 1e6
+    seconds = (F.unix_micros(last.cast("timestamp")) - F.unix_micros(first.cast("timestamp"))) / 1e6
     return rows.groupBy(run).agg(last.alias("completed_at"), seconds.alias("duration_seconds"))

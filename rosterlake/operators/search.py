@@ -161,9 +161,14 @@ def _needed(index: TextIndex, field: str, leaves: list) -> tuple[Column, bool]:
 # -- phrases ---------------------------------------------------------------------------------
 
 
+def _shifted(positions: Column, place: int) -> Column:
+    """Positions of a word moved back by its place in the phrase."""
+    return F.transform(positions, lambda x: x - place)
+
+
 def _exact_frequency(positions: list[Column]) -> Column:
     """How often the exact sequence occurs: start positions shared by all words after shifting."""
-    starts = [F.transform(p, lambda x, k=k: x - k) for k, p in enumerate(positions)]
+    starts = [_shifted(p, k) for k, p in enumerate(positions)]
     return F.coalesce(F.size(reduce(F.array_intersect, starts)), F.lit(0)).cast("double")
 
 
@@ -175,8 +180,8 @@ def _sloppy_frequency(per_doc: DataFrame, positions: list[str], slop: int, out:
     word at or after a position is a running minimum, so the work is linear in the occurrences.
     """
     shifted = [
-        F.transform(F.coalesce(F.col(c), F.array().cast("array<int>")),
-                    lambda x, k=k: F.struct((x - k).alias("at"), F.lit(k).alias("k")))
+        F.arrays_zip(
+            _shifted(F.col(c), k).alias("at"), F.array_repeat(F.lit(k), F.size(c)).alias("k"))
         for k, c in enumerate(positions)
     ]
     at_or_after = (
@@ -187,9 +192,10 @@ def _sloppy_frequency(per_doc: DataFrame, positions: list[str], slop: int, out:
         F.min(F.when(F.col("k") == k, F.col("at"))).over(at_or_after) for k in range(len(positions))
     ])
     windows = (
-        per_doc.select("doc_id", F.inline(F.concat(*shifted)))
+        per_doc.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in positions]))
+        .select("doc_id", F.inline(F.concat(*shifted)))
         .withColumn("nearest", nearest)
-        .where(~F.exists("nearest", lambda x: x.isNull()))
+        .where(F.forall("nearest", lambda x: x.isNotNull()))
         .withColumn("end", F.array_max("nearest"))
         .where(F.col("end") - F.col("at") <= slop)
         # Of the windows with the same end only the narrowest counts.

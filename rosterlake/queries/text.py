@@ -159,18 +159,18 @@ def match_phrase(spark, folder):
 
 
 @query(f"""with {_tables()},
-o as (select doc_id, dl, pos as at, 0 as k from words where term = 'of'
+o as (select doc_id, dl, pos as beg, 0 as k from words where term = 'of'
       union all select doc_id, dl, pos - 1, 1 from words where term = 'the'
       union all select doc_id, dl, pos - 2, 2 from words where term = 'and'),
-w as (select doc_id, dl, at, greatest(
-        min(case when k = 0 then at end) over u, min(case when k = 1 then at end) over u,
-        min(case when k = 2 then at end) over u) as until,
+w as (select doc_id, dl, beg, greatest(
+        min(case when k = 0 then beg end) over u, min(case when k = 1 then beg end) over u,
+        min(case when k = 2 then beg end) over u) as until,
         count(case when k = 0 then 1 end) over u as n0, count(case when k = 1 then 1 end) over u as n1,
         count(case when k = 2 then 1 end) over u as n2
-      from o window u as (partition by doc_id order by at desc)),
-m as (select doc_id, dl, until, max(at) as at from w
-      where n0 > 0 and n1 > 0 and n2 > 0 and until - at <= 2 group by all),
-f as (select doc_id, dl, sum(1.0::double / (1 + until - at)) as f from m group by all)
+      from o window u as (partition by doc_id order by beg desc)),
+m as (select doc_id, dl, until, max(beg) as beg from w
+      where n0 > 0 and n1 > 0 and n2 > 0 and until - beg <= 2 group by all),
+f as (select doc_id, dl, sum(1.0::double / (1 + until - beg)) as f from m group by all)
 select doc_id, round(({_phrase_idf(['of', 'the', 'and'])}) * f * 2.2
        / (f + 1.2 * (0.25 + 0.75 * dl / avgdl)), 6) as score from f, s""")
 def match_phrase_slop(spark, folder):
@@ -184,8 +184,8 @@ def match_prefix(spark, folder):
 
 
 @query(f"""with {_tables()},
-e as (select term, df, greatest(0, 1 - levenshtein(term, 'there') / least(length(term), 5)) as boost
-      from d where abs(length(term) - 5) <= 2 and levenshtein(term, 'there') <= 2),
+c as (select term, df, levenshtein(regexp_replace(term, '[^a-z0-9]', '?', 'g'), 'there') as edits from d),
+e as (select term, df, greatest(0, 1 - edits / least(length(term), 5)) as boost from c where edits <= 2),
 x as (select max(df) as maxdf from e)
 select doc_id, round(sum(boost * {_bm25(df='maxdf')}), 6) as score
 from p join e using (term), s, x group by doc_id""")
