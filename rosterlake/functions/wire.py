@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..schema import CORRUPT, LOCATION, PROFILE, STRING_FIELDS, UNKNOWN_DATE
+from .barrier import computed
 
 PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
@@ -14,8 +15,26 @@ KNOWN_FIELDS = PROFILE.fieldNames() + ["score"]
 
 
 def _decoding_schema(schema: T.StructType) -> T.StructType:
-    extra = [T.StructField("score", T.DoubleType()), T.StructField(CORRUPT, T.StringType())]
-    return T.StructType(schema.fields + extra)
+    """Schema to parse with. Strings are read as variants, because a plain string column would
+    also take numbers and objects, as their text."""
+    fields = [
+        T.StructField(f.name, T.VariantType() if f.name in STRING_FIELDS else f.dataType)
+        for f in schema
+    ]
+    return T.StructType(fields + [
+        T.StructField("score", T.DoubleType()), T.StructField(CORRUPT, T.StringType())])
+
+
+def _string(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "string")
+
+
+def _usable(record: Column) -> Column:
+    """The text was an object, every number had its type, and string fields hold strings or null."""
+    good = record.isNotNull() & record[CORRUPT].isNull()
+    for name in STRING_FIELDS:
+        good = good & F.coalesce(F.schema_of_variant(record[name]), F.lit("VOID")).isin("STRING", "VOID")
+    return good
 
 
 def encode(columns: list[str] | None = None) -> Column:
@@ -39,21 +58,6 @@ def encode(columns: list[str] | None = None) -> Column:
     return F.to_json(F.struct(*parts))
 
 
-def _strings_are_strings(body: Column) -> Column:
-    """True when every string field of the object holds a JSON string or null, not a number or object."""
-    parsed = F.try_parse_json(body)
-    checks = [
-        F.coalesce(
-            F.schema_of_variant(F.try_variant_get(parsed, f"$.{name}", "variant")), F.lit("VOID")
-        ).isin("STRING", "VOID")
-        for name in STRING_FIELDS
-    ]
-    result = checks[0]
-    for check in checks[1:]:
-        result = result & check
-    return result
-
-
 def _unknown_fields(body: Column) -> Column:
     outer = F.array_except(F.json_object_keys(body), F.array(*map(F.lit, KNOWN_FIELDS)))
     inner_keys = F.json_object_keys(F.get_json_object(body, "$.location"))
@@ -64,13 +68,15 @@ def _unknown_fields(body: Column) -> Column:
     return (F.size(outer) > 0) | (F.size(inner) > 0)
 
 
-def _zero_filled(record: Column, names: tuple[str, ...]) -> Column:
-    """Record with absent numbers in ``names`` and absent coordinates read as zero."""
+def _profile(record: Column, zeros: tuple[str, ...]) -> Column:
+    """Parsed record as a profile; absent numbers in ``zeros`` and absent coordinates read as zero."""
     point = record["location"]
     fields = []
     for name in PROFILE.fieldNames():
-        if name in names:
+        if name in zeros:
             fields.append(F.coalesce(record[name], F.lit(0)).alias(name))
+        elif name in STRING_FIELDS:
+            fields.append(_string(record[name]).alias(name))
         elif name == "location":
             filled = F.struct(
                 F.coalesce(point["lon"], F.lit(0.0)).alias("lon"),
@@ -82,8 +88,13 @@ def _zero_filled(record: Column, names: tuple[str, ...]) -> Column:
     return F.struct(*fields)
 
 
-def decode(body: Column, unknown_fields: str = "ignore") -> Column:
-    """Profile struct from JSON text, or null when the text is not a valid profile.
+def parse(body: Column) -> Column:
+    """JSON text as a raw record, for :func:`checked`."""
+    return F.from_json(body, _decoding_schema(PROFILE), PERMISSIVE)
+
+
+def checked(record: Column, body: Column, unknown_fields: str = "ignore") -> Column:
+    """Profile struct from a raw record and its text, or null when the text is no valid profile.
 
     ``ignore`` drops unknown fields and reads absent ``id``/``country``/coordinates as zero.
     ``reject`` treats a record with an unknown field (also inside ``location``) as undecodable and
@@ -91,12 +102,12 @@ def decode(body: Column, unknown_fields: str = "ignore") -> Column:
     """
     if unknown_fields not in ("ignore", "reject"):
         raise ValueError(f"unknown_fields must be 'ignore' or 'reject', not {unknown_fields!r}")
-    record = F.from_json(body, _decoding_schema(PROFILE), PERMISSIVE)
-    valid = record.isNotNull() & record[CORRUPT].isNull() & _strings_are_strings(body)
+    valid = _usable(record)
     if unknown_fields == "reject":
         valid = valid & ~F.coalesce(_unknown_fields(body), F.lit(True))
-        return F.when(valid, _zero_filled(record, ("id",)))
-    return F.when(valid, _zero_filled(record, ("id", "country")))
+        return F.when(valid, _profile(record, ("id",)))
+    valid = valid & F.rtrim(body).endswith("}")
+    return F.when(valid, _profile(record, ("id", "country")))
 
 
 def decode_messages(messages: DataFrame, value: str = "value",
@@ -106,7 +117,9 @@ def decode_messages(messages: DataFrame, value: str = "value",
     Both results are map-only and work on batch and streaming input alike.
     """
     body = F.col(value).cast("string")
-    decoded = messages.withColumn("_record", decode(body, unknown_fields))
+    parsed = computed(messages, parse(body).alias("_raw"))
+    decoded = computed(
+        parsed, checked(F.col("_raw"), body, unknown_fields).alias("_record"), keep=messages.columns)
     kept = [c for c in messages.columns if c != value]
     good = decoded.where(F.col("_record").isNotNull()).select(*kept, "_record.*")
     dead = decoded.where(F.col("_record").isNull()).drop("_record")
@@ -147,22 +160,20 @@ def parse_required(records: DataFrame, body: str = "value", fail_fast: bool = Fa
     record is usable. ``fail_fast`` raises on the first unusable record instead.
     """
     text = F.col(body)
-    parsed = records.withColumn("_p", F.from_json(text, _decoding_schema(_loose_schema()), PERMISSIVE))
+    parsed = computed(records, F.from_json(text, _decoding_schema(_loose_schema()), PERMISSIVE).alias("_p"))
     p = F.col("_p")
-    malformed = p.isNull() | p[CORRUPT].isNotNull() | ~_strings_are_strings(text)
-    reason = F.when(malformed, F.lit("not_a_record"))
+    reason = F.when(~_usable(p), F.lit("not_a_record"))
     for name in REQUIRED_FIELDS:
-        reason = reason.when(F.col(f"_p.{name}").isNull(), F.lit("missing_" + name.replace(".", "_")))
+        value = _string(p[name]) if name in STRING_FIELDS else F.col(f"_p.{name}")
+        reason = reason.when(value.isNull(), F.lit("missing_" + name.replace(".", "_")))
     if fail_fast:
         reason = F.when(reason.isNotNull(), F.raise_error(F.concat(F.lit("unusable record: "), reason)))
 
     fields = [
         p[f.name].try_cast(f.dataType).alias(f.name)
-        if isinstance(f.dataType, (T.LongType, T.IntegerType)) else p[f.name].alias(f.name)
+        if isinstance(f.dataType, (T.LongType, T.IntegerType))
+        else (_string(p[f.name]) if f.name in STRING_FIELDS else p[f.name]).alias(f.name)
         for f in PROFILE
     ]
-    return (
-        parsed.withColumn("reason", reason)
-        .withColumn("record", F.when(F.col("reason").isNull(), F.struct(*fields)))
-        .drop("_p")
-    )
+    record = F.when(reason.isNull(), F.struct(*fields))
+    return computed(parsed, reason.alias("reason"), record.alias("record"), keep=records.columns)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import query_tokens, tokens
 from .scoring import SCORE_DIGITS, inverse_document_frequency, term_weight
-from .textindex import TextIndex, statistics_of
+from .textindex import TextIndex
 
 
 # -- clauses ---------------------------------------------------------------------------------
@@ -270,7 +270,7 @@ def search(index: TextIndex, field: str, clause) -> DataFrame:
         if bounded:  # at most one row per named word
             vocabulary = F.broadcast(vocabulary)
         postings = postings.join(vocabulary, "term", "left")
-        n_docs, avg_dl = statistics_of(index, field)
+        n_docs, avg_dl = index.statistics(field)
         weight = term_weight(F.col("tf"), F.col("dl"), avg_dl)
 
     sums: list[Column] = []
@@ -346,7 +346,7 @@ def match_many(index: TextIndex, field: str, queries: DataFrame, query_id: str =
     in_field = F.col("field") == field
     postings = index.postings.where(in_field).join(terms, "term", "left_semi")
     frequency = index.term_stats.where(in_field).join(terms, "term", "left_semi").select("term", "df")
-    n_docs, avg_dl = statistics_of(index, field)
+    n_docs, avg_dl = index.statistics(field)
     idf = inverse_document_frequency(n_docs, F.col("df"))
     value = F.col("qtf") * idf * term_weight(F.col("tf"), F.col("dl"), avg_dl)
     return (

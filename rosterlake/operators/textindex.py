@@ -45,7 +45,8 @@ class TextIndex:
     ``postings``: field, term, doc_id, dl (field length in tokens), tf, positions.
     ``term_stats``: field, term, df. ``field_stats``: field, n_docs, avg_dl (one row per field).
     ``lengths``: field, doc_id, dl. ``buckets`` is set when postings and term statistics are stored
-    with a ``bucket`` partition column computed from the term.
+    with a ``bucket`` partition column computed from the term; ``known`` then holds the statistics
+    per field as (documents, average length).
     """
 
     postings: DataFrame
@@ -53,6 +54,15 @@ class TextIndex:
     field_stats: DataFrame
     lengths: DataFrame
     buckets: int | None = None
+    known: Mapping[str, tuple[int, float]] | None = None
+
+    def statistics(self, field: str) -> tuple[Column, Column]:
+        """Number of documents and average length of one field: constants, or scalar subqueries."""
+        if self.known is not None:
+            n_docs, avg_dl = self.known.get(field, (0, 0.0))
+            return F.lit(n_docs), F.lit(avg_dl)
+        one = self.field_stats.where(F.col("field") == field)
+        return one.select("n_docs").scalar(), one.select("avg_dl").scalar()
 
     def has_term(self, words: Iterable[str]) -> Column:
         """Condition on postings or term statistics: the term is one of ``words``.
@@ -112,12 +122,6 @@ def _postings(words: DataFrame) -> DataFrame:
     )
 
 
-def statistics_of(index: TextIndex, field: str) -> tuple[Column, Column]:
-    """Number of documents and average length of one field, as scalar subqueries."""
-    one = index.field_stats.where(F.col("field") == field)
-    return one.select("n_docs").scalar(), one.select("avg_dl").scalar()
-
-
 def term_stats(postings: DataFrame) -> DataFrame:
     """Document frequency per term; it reads ``tf`` so that a search computed on the fly shares one
     shuffle between its postings and their frequencies."""

@@ -17,8 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 class TableSpec:
     """Layout of one table; ``key`` decides the bucket, ``order`` the row order inside a bucket.
 
-    ``spread`` distributes rows by ranges of (bucket, order) before writing, so that a bucket with a
-    hot key is written by several tasks. Without it the rows are written as they are distributed.
+    ``spread`` gathers rows by bucket before writing, in partitions of even size: adaptive execution
+    splits a bucket with a hot key over several tasks. Without it the rows are written as they are
+    distributed.
     """
 
     schema: T.StructType
@@ -157,7 +158,7 @@ class Snapshot:
             "bucket", self.bucket_of(table, draft.buckets))
         placed = placed.select(*spec.schema.fieldNames(), "bucket")
         if spec.spread:
-            placed = placed.repartitionByRange("bucket", *spec.order)
+            placed = placed.hint("rebalance", F.col("bucket"))
         (
             placed.sortWithinPartitions("bucket", *spec.order)
             .write.mode("overwrite").option("partitionOverwriteMode", "static")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.wire import decode
+from ..functions.barrier import computed
+from ..functions.wire import checked, parse
 
 
 def split_bodies(bodies: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
@@ -15,12 +16,14 @@ def split_bodies(bodies: DataFrame, body: str = "body") -> tuple[DataFrame, Data
     """
     text = F.col(body)
     kept = [c for c in bodies.columns if c != body]
-    opened = bodies.withColumn(
-        "_parts",
-        F.when(F.ltrim(text).startswith("["), F.from_json(text, "array<string>")),
-    ).withColumn(
-        "_records",
-        F.transform("_parts", lambda x: decode(F.coalesce(x, F.lit("{}")))),
+    parts = computed(
+        bodies, F.when(F.ltrim(text).startswith("["), F.from_json(text, "array<string>")).alias("_parts"))
+    raw = computed(parts, F.transform("_parts", lambda x: F.struct(
+        F.coalesce(x, F.lit("{}")).alias("text"), parse(F.coalesce(x, F.lit("{}"))).alias("raw"))
+    ).alias("_raw"))
+    opened = computed(
+        raw, F.transform("_raw", lambda r: checked(r["raw"], r["text"])).alias("_records"),
+        keep=[*bodies.columns, "_parts"],
     ).withColumn(
         "reason",
         F.when(F.col("_parts").isNull(), F.lit("not_an_array"))

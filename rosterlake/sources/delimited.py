@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..functions.barrier import computed
 from ..functions.parsing import strict_double, strict_int, strict_long
 from ..schema import CORRUPT, DELIMITED_COLUMNS, NUMERIC_CHECK_ORDER
 from .rejects import split_rejects
@@ -40,37 +41,41 @@ def scan(spark: SparkSession, path: str | list[str], strict_width: bool = False)
 
 
 def reject_reason() -> Column:
-    """Why a scanned row is refused, or null: the width first, then the first numeric field that fails."""
+    """Why a row is refused, or null: the width first, then the first numeric field that fails.
+
+    Reads the raw columns next to their parsed values ``_<name>``.
+    """
     reason = F.when(F.col(CORRUPT).isNotNull(), F.lit("wrong_field_count"))
     for name in NUMERIC_CHECK_ORDER:
-        reason = reason.when(_PARSERS[name](F.col(name)).isNull(), F.lit(f"bad_{name}"))
+        reason = reason.when(F.col(f"_{name}").isNull(), F.lit(f"bad_{name}"))
     return reason
 
 
 def type_rows(raw: DataFrame) -> DataFrame:
-    """Scanned rows with ``reason``, typed profile columns and the ``suspect_location`` flag.
+    """Scanned rows with ``reason``, the raw ``line`` of refused rows, typed profile columns and the
+    ``suspect_location`` flag.
 
     Empty text stays empty text (the scan reads it as null). A zero coordinate is kept but flagged.
     """
-    value = {name: parse(F.col(name)) for name, parse in _PARSERS.items()}
-    text = {name: F.coalesce(F.col(name), F.lit("")) for name in
-            ("email", "nickname", "city", "caption", "dob")}
-    return raw.select(
-        reject_reason().alias("reason"),
-        F.coalesce(F.col(CORRUPT), F.concat_ws("|", *[F.coalesce(F.col(c), F.lit(""))
-                                                     for c in DELIMITED_COLUMNS])).alias("line"),
-        value["pnum"].alias("id"),
+    parsed = computed(raw, *[parse(F.col(name)).alias(f"_{name}") for name, parse in _PARSERS.items()])
+    text = {name: F.coalesce(F.col(name), F.lit("")) for name in DELIMITED_COLUMNS}
+    reason = reject_reason()
+    line = F.coalesce(F.col(CORRUPT), F.concat_ws("|", *text.values()))
+    return parsed.select(
+        reason.alias("reason"),
+        F.when(reason.isNotNull(), line).alias("line"),
+        F.col("_pnum").alias("id"),
         text["email"].alias("email"),
         text["dob"].alias("dob"),
-        value["weight"].alias("weight"),
-        value["height"].alias("height"),
+        F.col("_weight").alias("weight"),
+        F.col("_height").alias("height"),
         text["nickname"].alias("nickname"),
-        value["country"].alias("country"),
+        F.col("_country").alias("country"),
         text["city"].alias("city"),
         text["caption"].alias("caption"),
-        F.struct(value["lon"].alias("lon"), value["lat"].alias("lat")).alias("location"),
-        value["gender"].alias("gender"),
-        ((value["lon"] == 0) | (value["lat"] == 0)).alias("suspect_location"),
+        F.struct(F.col("_lon").alias("lon"), F.col("_lat").alias("lat")).alias("location"),
+        F.col("_gender").alias("gender"),
+        ((F.col("_lon") == 0) | (F.col("_lat") == 0)).alias("suspect_location"),
     )
 
 

@@ -68,9 +68,12 @@ def index_profiles(messages: DataFrame, table: ProfileTable, checkpoint: str,
     )
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        if dead_letters:
+            batch.persist()  # read twice below
         good, dead = decode_messages(batch)
         table.upsert(good, batch_id)
         if dead_letters:
             dead.write.mode("overwrite").parquet(f"{dead_letters}/batch={batch_id}")
+            batch.unpersist()
 
     return start(stamped, checkpoint, sink, mode="append", **options)
