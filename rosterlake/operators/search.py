@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import query_tokens, tokens
+from .bounded import has_at_most
 from .scoring import SCORE_DIGITS, inverse_document_frequency, term_weight
 from .textindex import TextIndex
 
@@ -335,14 +336,15 @@ def match_many(index: TextIndex, field: str, queries: DataFrame, query_id: str =
                text: str = "query", analyzer=tokens) -> DataFrame:
     """(query_id, doc_id, score) for a table of requests; all of them share one pass over the postings.
 
-    The table of requests may be of any size, so nothing of it is broadcast by hint: the planner
-    picks the join from measured sizes and splits hot words.
+    The words of the requests are counted first. Up to a fixed number they are sent to all tasks, and
+    postings placed by document are then scored where they are. Beyond it the postings are joined by
+    word, and adaptive execution splits the hot ones.
     """
-    wanted = (
-        queries.select(F.col(query_id).alias("query_id"), F.explode(analyzer(F.col(text))).alias("term"))
-        .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
-    )
-    terms = wanted.select("term").distinct()
+    exploded = queries.select(
+        F.col(query_id).alias("query_id"), F.explode(analyzer(F.col(text))).alias("term"))
+    send = F.broadcast if has_at_most(exploded) else (lambda rows: rows)
+    wanted = exploded.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
+    terms = send(exploded.select("term").distinct())
     in_field = F.col("field") == field
     postings = index.postings.where(in_field).join(terms, "term", "left_semi")
     frequency = index.term_stats.where(in_field).join(terms, "term", "left_semi").select("term", "df")
@@ -350,7 +352,7 @@ def match_many(index: TextIndex, field: str, queries: DataFrame, query_id: str =
     idf = inverse_document_frequency(n_docs, F.col("df"))
     value = F.col("qtf") * idf * term_weight(F.col("tf"), F.col("dl"), avg_dl)
     return (
-        postings.join(wanted.join(frequency, "term"), "term")
+        postings.join(send(wanted.join(frequency, "term")), "term")
         .groupBy("query_id", "doc_id")
         .agg(F.round(F.sum(value), SCORE_DIGITS).alias("score"))
     )

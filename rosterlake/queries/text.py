@@ -18,8 +18,16 @@ from .registry import query, table
 FIELD = "text"
 
 
-def _index(spark, folder, **fields):
+def _index(spark, folder, whole=False, **fields):
+    """Index of the documents, computed on the fly.
+
+    A search for a few words filters them before anything is shuffled. Where most words are needed
+    (``whole``), documents are first placed by id: their text is smaller than their postings, and
+    everything counted per document afterwards stays where it is.
+    """
     docs = table(spark, folder, "documents")
+    if whole:
+        docs = docs.repartition(F.col("doc_id"))
     return TextIndex.over(docs, "doc_id", fields or {FIELD: F.col("text")})
 
 
@@ -69,13 +77,13 @@ select doc_id, term, cast(dl as integer) as dl, cast(count(*) as integer) as tf,
        string_agg(cast(pos as varchar), ' ' order by pos) as positions
 from words group by doc_id, term, dl""")
 def build_postings(spark, folder):
-    return _index(spark, folder).postings.select(
+    return _index(spark, folder, whole=True).postings.select(
         "doc_id", "term", "dl", "tf", F.array_join(F.col("positions").cast("array<string>"), " ").alias("positions"))
 
 
 @query(f"with {_tables()} select term, df from d")
 def term_statistics(spark, folder):
-    return _index(spark, folder).term_stats.select("term", "df")
+    return _index(spark, folder, whole=True).term_stats.select("term", "df")
 
 
 # -- ranked match ----------------------------------------------------------------------------
@@ -108,7 +116,7 @@ select query_id, doc_id, score, cast(rank as integer) as rank from (
 where rank <= 10""")
 def match_topk_batch(spark, folder):
     requests = table(spark, folder, "benchmark")
-    return page_per_query(match_many(_index(spark, folder), FIELD, requests, "item_id", "text"), 10)
+    return page_per_query(match_many(_index(spark, folder, whole=True), FIELD, requests, "item_id", "text"), 10)
 
 
 @query(_matched(["en", "src3", "the"], "concat_ws(' ', text, lang, source)") + """
