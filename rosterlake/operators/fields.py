@@ -7,6 +7,13 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.parsing import strict_long
+from .bounded import has_at_most
+
+
+# A whole year, month or day.
+PERIOD = "^[0-9]{4}(-[0-9]{2}(-[0-9]{2})?)?$"
+
 
 def _all_score_one(rows: DataFrame) -> DataFrame:
     return rows.withColumn("score", F.lit(1.0))
@@ -42,3 +49,30 @@ def in_period(field: str, query: str) -> Column:
 def match_date(rows: DataFrame, field: str, query: str) -> DataFrame:
     """Rows whose date lies in the period that a possibly partial date names."""
     return _all_score_one(rows.where(in_period(field, query)))
+
+
+def match_numbers_many(rows: DataFrame, key: str, fields: list[str], queries: DataFrame) -> DataFrame:
+    """(query_id, key, score) for a table of (query_id, field, query): rows whose field equals the number.
+
+    Rows are unfolded to (field, value) pairs, so that requests on all fields share one equi-join.
+    """
+    wanted = queries.select("query_id", "field", strict_long(F.col("query")).alias("value"))
+    pairs = rows.select(key, F.inline(F.array(*[
+        F.struct(F.lit(f).alias("field"), F.col(f).cast("bigint").alias("value")) for f in fields])))
+    if has_at_most(wanted):
+        wanted = F.broadcast(wanted)
+    return _all_score_one(pairs.join(wanted, ["field", "value"])).select("query_id", key, "score")
+
+
+def match_dates_many(rows: DataFrame, key: str, field: str, queries: DataFrame) -> DataFrame:
+    """(query_id, key, score) for a table of (query_id, query) with possibly partial dates.
+
+    A date is unfolded to its year, month and day as text, which makes the match on a period an
+    equi-join too.
+    """
+    wanted = queries.select("query_id", F.col("query").alias("period"))
+    periods = rows.where(F.col(field).isNotNull()).select(
+        key, F.explode(F.array(*[F.date_format(field, p) for p in ("yyyy", "yyyy-MM", "yyyy-MM-dd")])).alias("period"))
+    if has_at_most(wanted):
+        wanted = F.broadcast(wanted)
+    return _all_score_one(periods.join(wanted, "period")).select("query_id", key, "score")

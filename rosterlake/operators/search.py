@@ -332,27 +332,37 @@ def match(index: TextIndex, field: str, text: str, **rules) -> DataFrame:
     return search(index, field, AnyOf(tuple(Word(w) for w in words)))
 
 
-def match_many(index: TextIndex, field: str, queries: DataFrame, query_id: str = "query_id",
+def match_many(index: TextIndex, field: str | None, queries: DataFrame, query_id: str = "query_id",
                text: str = "query", analyzer=tokens) -> DataFrame:
     """(query_id, doc_id, score) for a table of requests; all of them share one pass over the postings.
 
+    ``field`` is searched by all requests, or each names its own in a ``field`` column when it is None.
     The words of the requests are counted first. Up to a fixed number they are sent to all tasks, and
     postings placed by document are then scored where they are. Beyond it the postings are joined by
     word, and adaptive execution splits the hot ones.
     """
+    own_field = F.lit(field) if field is not None else F.col("field")
     exploded = queries.select(
-        F.col(query_id).alias("query_id"), F.explode(analyzer(F.col(text))).alias("term"))
+        F.col(query_id).alias("query_id"), own_field.alias("field"),
+        F.explode(analyzer(F.col(text))).alias("term"))
     send = F.broadcast if has_at_most(exploded) else (lambda rows: rows)
-    wanted = exploded.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
-    terms = send(exploded.select("term").distinct())
-    in_field = F.col("field") == field
-    postings = index.postings.where(in_field).join(terms, "term", "left_semi")
-    frequency = index.term_stats.where(in_field).join(terms, "term", "left_semi").select("term", "df")
-    n_docs, avg_dl = index.statistics(field)
+    word = ["field", "term"]
+    wanted = exploded.groupBy("query_id", *word).agg(F.count(F.lit(1)).alias("qtf"))
+    words = send(exploded.select(*word).distinct())
+    fields = F.lit(True) if field is None else F.col("field") == field
+    postings = index.postings.where(fields).join(words, word, "left_semi")
+    frequency = index.term_stats.where(fields).join(words, word, "left_semi").select(*word, "df")
+    weights = wanted.join(frequency, word)
+    if field is None:
+        # One row per indexed field.
+        weights = weights.join(F.broadcast(index.field_stats), "field")
+        n_docs, avg_dl = F.col("n_docs"), F.col("avg_dl")
+    else:
+        n_docs, avg_dl = index.statistics(field)
     idf = inverse_document_frequency(n_docs, F.col("df"))
     value = F.col("qtf") * idf * term_weight(F.col("tf"), F.col("dl"), avg_dl)
     return (
-        postings.join(send(wanted.join(frequency, "term")), "term")
+        postings.join(send(weights), word)
         .groupBy("query_id", "doc_id")
         .agg(F.round(F.sum(value), SCORE_DIGITS).alias("score"))
     )

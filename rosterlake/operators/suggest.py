@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import query_tokens, tokens
+from .bounded import BROADCAST_ROWS
 from .scoring import page, page_per_query
 from .search import AnyOf, Word, match_many, search
 from .textindex import TextIndex
@@ -23,15 +24,14 @@ def suggest(index: TextIndex, field: str, typed: str, names: DataFrame, key: str
         raise ValueError("the typed text must not be empty")
     words = query_tokens(index.postings.sparkSession, typed)
     if not words:
-        best = names.limit(0).select(F.lit(0).alias("rank"), F.col(name).alias("name"))
-        return best
+        return names.limit(0).select(F.lit(0).alias("rank"), F.col(name).alias("name"))
     hits = search(index, field, AnyOf(tuple(Word(w) for w in words)))
-    # At most ``size`` rows from here on.
-    best = page(hits, size).withColumn("query_id", F.lit(0))
-    ranked = page_per_query(best, size)
+    ranked = page_per_query(page(hits, size).withColumn("query_id", F.lit(0)), size)
+    if size <= BROADCAST_ROWS:
+        ranked = F.broadcast(ranked)
     return (
         names.select(F.col(key).alias("doc_id"), F.col(name).alias("name"))
-        .join(F.broadcast(ranked), "doc_id").select("rank", "name")
+        .join(ranked, "doc_id").select("rank", "name")
     )
 
 

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..operators.around import within_radius
+from ..functions.parsing import strict_long
+from ..operators.around import within_radius, within_radius_many
+from ..operators.bounded import BROADCAST_ROWS
 from ..operators.facets import BUCKETS, facet_dates, facet_tokens, facet_values
-from ..operators.fields import match_date, match_number
-from ..operators.requests import DEFAULT_SIZE, DEFAULT_SKIP
-from ..operators.scoring import check_page, page, total_hits
-from ..operators.search import match, search
+from ..operators.fields import PERIOD, match_date, match_dates_many, match_number, match_numbers_many
+from ..operators.requests import DEFAULT_SIZE, DEFAULT_SKIP, normalise
+from ..operators.scoring import check_page, page, page_per_query, total_hits
+from ..operators.search import match, match_many, search
 from ..operators.suggest import suggest
 from ..operators.textindex import EVERYTHING, TextIndex, combined
 from ..schema import INTEGER_FIELDS, SERVING, TEXT_FIELDS
 
-# A page of at most this many rows is sent to all tasks when it is joined back to the profiles.
-_PAGE_BROADCAST = 10_000
+NUMBER_FIELDS = ["id", *INTEGER_FIELDS]
+SEARCHED_FIELDS = [*TEXT_FIELDS, EVERYTHING]
 
 
 def text_fields() -> dict:
@@ -41,50 +43,86 @@ class ProfileSearch:
         self.index = index
         self.prefixes = prefixes
 
-    def hits(self, field: str = "", query: str = "", distance: str = "", lat: str = "", lon: str = "",
-             clause=None) -> DataFrame:
-        """(id, score) of all matches.
-
-        A distance takes precedence over the text. ``clause`` is what a wildcard request asks for;
-        without one it looks for any of the words, which is the plain match.
-        """
+    def _filtered(self, field: str, query: str, distance: str, lat: str, lon: str) -> DataFrame | None:
+        """Profiles with score for the requests that are a filter on the serving table."""
         if distance:
             try:
                 east, north = float(lon), float(lat)
             except ValueError:
                 raise ValueError("longitude and latitude must be numbers") from None
-            return within_radius(self.profiles, north, east, float(distance)).select("id", "score")
-        if not query and clause is None:
-            raise ValueError("query and distance can't both be empty")
-        field = field or EVERYTHING
-        query = query.lower()
-        if field == "id" or field in INTEGER_FIELDS:
-            return match_number(self.profiles, field, query).select("id", "score")
+            return within_radius(self.profiles, north, east, float(distance))
+        if field in NUMBER_FIELDS:
+            return match_number(self.profiles, field, query)
         if field == "dob":
-            return match_date(self.profiles, field, query).select("id", "score")
-        if field not in TEXT_FIELDS and field != EVERYTHING:
-            raise ValueError(f"unknown field: {field!r}")
-        found = match(self.index, field, query) if clause is None else search(self.index, field, clause)
-        return found.withColumnRenamed("doc_id", "id")
+            return match_date(self.profiles, field, query)
+        return None
+
+    def users(self, field: str = "", query: str = "", distance: str = "", lat: str = "", lon: str = "",
+              size: int = DEFAULT_SIZE, skip: int = DEFAULT_SKIP, clause=None) -> tuple[DataFrame, DataFrame]:
+        """One page of profiles with their score, in rank order, and the total number of hits.
 
-    def users(self, size: int = DEFAULT_SIZE, skip: int = DEFAULT_SKIP, **request) -> tuple[DataFrame, DataFrame]:
-        """One page of profiles with their score, in rank order, and the total number of hits."""
+        A distance takes precedence over the text. ``clause`` is what a wildcard request asks for;
+        without one it looks for any of the words, which is the plain match.
+        """
         check_page(size, skip)
-        hits = self.hits(**request)
-        wanted = page(hits, size, skip, key="id")
+        if not query and not distance and clause is None:
+            raise ValueError("query and distance can't both be empty")
+        field, query = field or EVERYTHING, query.lower()
+        columns = [*SERVING.fieldNames(), "score"]
+        found = self._filtered(field, query, distance, lat, lon)
+        if found is not None:
+            return page(found, size, skip, key="id").select(*columns), total_hits(found)
+        if field not in SEARCHED_FIELDS:
+            raise ValueError(f"unknown field: {field!r}")
+        hits = match(self.index, field, query) if clause is None else search(self.index, field, clause)
+        hits = hits.withColumnRenamed("doc_id", "id")
+        rows = self._with_profiles(page(hits, size, skip, key="id"), size)
+        return rows.select(*columns).orderBy(F.desc("score"), "id"), total_hits(hits)
+
+    def _with_profiles(self, wanted: DataFrame, rows: int) -> DataFrame:
+        """Profiles of a page; their bucket narrows the scan to the directories that hold them."""
         keys = ["id"]
         if self.buckets:
-            # The bucket narrows the scan of the profiles to the directories that hold the page.
-            wanted = wanted.withColumn(
-                "bucket", F.pmod(F.xxhash64("id"), F.lit(self.buckets)).cast("int"))
+            wanted = wanted.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(self.buckets)).cast("int"))
             keys = ["bucket", "id"]
-        if size <= _PAGE_BROADCAST:
-            wanted = F.broadcast(wanted)
-        rows = (
-            self.profiles.join(wanted, keys)
-            .select(*SERVING.fieldNames(), "score").orderBy(F.desc("score"), "id")
+        return self.profiles.join(F.broadcast(wanted) if rows <= BROADCAST_ROWS else wanted, keys)
+
+    def answer_many(self, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Pages for a whole table of requests (``query_id`` and the request parameters as text).
+
+        Returns (query_id, rank, id, score), and the refused requests with a reason. Requests of one
+        kind share one pass over the index or the serving table, whatever their number.
+        """
+        checked = normalise(requests)
+        number, date = F.col("field").isin(NUMBER_FIELDS), F.col("field") == "dob"
+        text = F.col("field").isin(SEARCHED_FIELDS)
+        by_text = F.col("mode") != "geo"
+        reason = (
+            F.when(F.col("reason").isNotNull(), F.col("reason"))
+            .when(by_text & number & strict_long(F.col("query")).isNull(), F.lit("not_a_number"))
+            .when(by_text & date & ~F.col("query").rlike(PERIOD), F.lit("not_a_date"))
+            .when(by_text & ~number & ~date & ~text, F.lit("unknown_field"))
+        )
+        checked = checked.withColumn("reason", reason)
+        good = checked.where(F.col("reason").isNull())
+        asked = good.where(by_text)
+        hits = (
+            match_many(self.index, None, asked.where(text)).withColumnRenamed("doc_id", "id")
+            .unionByName(match_numbers_many(self.profiles, "id", NUMBER_FIELDS, asked.where(number)))
+            .unionByName(match_dates_many(self.profiles, "id", "dob", asked.where(date)))
+            .unionByName(within_radius_many(
+                self.profiles,
+                good.where(~by_text).select("query_id", "lat", "lon", F.col("distance_km").alias("radius_km")),
+            ).select("query_id", "id", "score"))
+        )
+        deepest = good.agg(F.max(F.col("size") + F.col("skip")).alias("last")).first()["last"] or 0
+        limits = good.select("query_id", "size", "skip")
+        pages = (
+            page_per_query(hits, deepest, key="id").join(limits, "query_id")
+            .where((F.col("rank") > F.col("skip")) & (F.col("rank") <= F.col("skip") + F.col("size")))
+            .select("query_id", "rank", "id", "score")
         )
-        return rows, total_hits(hits)
+        return pages, checked.where(F.col("reason").isNotNull()).select("query_id", "reason")
 
     def nicks(self, nick: str) -> DataFrame:
         if self.prefixes is None:

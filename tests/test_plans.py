@@ -67,6 +67,34 @@ def test_search_requests(stored):
     assert sorted(ids(rows)) == [p[0] for p in PEOPLE if p[7] == "Wroclaw"]
 
 
+def test_a_table_of_requests_equals_single_ones(spark, stored):
+    columns = ["field", "query", "distance", "lat", "lon", "l", "s", "w"]
+    asked = {
+        1: ("city", "York new", "", "", "", "7", "3", ""), 2: ("", "user7 witam", "", "", "", "", "", ""),
+        3: ("gender", "2", "", "", "", "500", "10", ""), 4: ("dob", "1951", "", "", "", "", "", ""),
+        5: ("dob", "1952-03", "", "", "", "", "", ""), 6: ("", "", "700", "10", "10", "5", "2", ""),
+        7: ("id", "77", "", "", "", "", "", ""), 8: ("nickname", "nick", "", "", "", "0", "", ""),
+        9: ("gender", "male", "", "", "", "", "", ""), 10: ("dob", "spring", "", "", "", "", "", ""),
+        11: ("shoe", "x", "", "", "", "", "", ""), 12: ("", "", "", "", "", "", "", ""),
+        13: ("height", "160", "", "", "", "", "", ""),
+    }
+    table = spark.createDataFrame(
+        [(q, *r) for q, r in asked.items()], "query_id int, " + ", ".join(f"{c} string" for c in columns))
+    pages, refused = stored.answer_many(table)
+    assert {r["query_id"]: r["reason"] for r in refused.collect()} == {
+        9: "not_a_number", 10: "not_a_date", 11: "unknown_field", 12: "query_and_distance_empty"}
+    got = {}
+    for r in pages.collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["id"], r["score"]))
+    for q in (1, 2, 3, 4, 5, 6, 7, 8, 13):
+        field, query, distance, lat, lon, size, skip, _ = asked[q]
+        size, skip = int(size or 100), int(skip or 0)
+        rows, _ = stored.users(field=field, query=query, distance=distance, lat=lat, lon=lon, size=size, skip=skip)
+        want = [(skip + n + 1, r["id"], r["score"]) for n, r in enumerate(rows.collect())]
+        assert sorted(got.get(q, [])) == want, q
+    assert len(got[1]) == 7 and len(got[6]) == 5 and got[7][0][1] == 77 and 8 not in got
+
+
 def test_refused_requests(stored):
     for request in ({}, {"distance": "5", "lat": "x", "lon": "1"}, {"field": "gender", "query": "male"},
                     {"field": "shoe", "query": "x"}, {"query": "x", "size": -1}):

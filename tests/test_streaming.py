@@ -1,6 +1,7 @@
 import datetime
 import json
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -10,6 +11,7 @@ from rosterlake.plans.profiles import VERSION, ProfileTable
 from rosterlake.schema import PROFILE
 from rosterlake.sources.messages import follow_folder
 from rosterlake.streaming.counts import running_counts, tumbling_counts
+from rosterlake.streaming.progress import StreamCounters, counted
 from rosterlake.streaming.jobs import drain, index_profiles, latest_counts, parquet_log, start
 
 SCHEMA = "ts timestamp, country int"
@@ -79,6 +81,23 @@ def test_console_and_memory_sinks(spark, tmp_path, capfd):
     assert query.exception() is None
 
 
+def test_stream_counters(spark, tmp_path):
+    counters = StreamCounters()
+    spark.streams.addListener(counters)
+    try:
+        for n in range(2):
+            add_file(spark, str(tmp_path / "in"), [(at(1, n), 1), (at(1, n), None), (at(1, n), 2)])
+            stream = spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in"))
+            drain(counted(stream, "users", F.col("country").isNotNull()), str(tmp_path / "cp"), "noop", mode="append")
+        for _ in range(100):  # progress events arrive a little later
+            if counters.totals().get("users") == (4, 2):
+                break
+            time.sleep(0.1)
+        assert [tuple(r) for r in counters.table(spark).collect()] == [("users", 4, 2)]
+    finally:
+        spark.streams.removeListener(counters)
+
+
 @pytest.mark.parametrize("chunk", [1, 7, 1000])
 def test_running_counts(spark, chunk):
     rng = random.Random(9)
