@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..functions.barrier import computed
 from ..functions.parsing import strict_long
 from ..operators.around import within_radius, within_radius_many
 from ..operators.bounded import BROADCAST_ROWS
@@ -103,7 +104,7 @@ class ProfileSearch:
             .when(by_text & date & ~F.col("query").rlike(PERIOD), F.lit("not_a_date"))
             .when(by_text & ~number & ~date & ~text, F.lit("unknown_field"))
         )
-        checked = checked.withColumn("reason", reason)
+        checked = computed(checked, reason.alias("_reason")).drop("reason").withColumnRenamed("_reason", "reason")
         good = checked.where(F.col("reason").isNull())
         asked = good.where(by_text)
         hits = (

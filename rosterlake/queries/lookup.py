@@ -33,13 +33,13 @@ def match_date_period(spark, folder):
 
 # -- geo -------------------------------------------------------------------------------------
 
-_DISTANCE = """2 * 6371.0087714 * asin(sqrt(least(1.0, pow(sin(radians({lat2} - {lat1}) / 2), 2)
+DISTANCE = """2 * 6371.0087714 * asin(sqrt(least(1.0, pow(sin(radians({lat2} - {lat1}) / 2), 2)
   + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2))))"""
 
 
 @query(f"""
 select id, lat, lon, round(d, 6) as distance_km, 1.0::double as score from (
-  select *, {_DISTANCE.format(lat1='51.1', lon1='175.5', lat2='lat', lon2='lon')} as d
+  select *, {DISTANCE.format(lat1='51.1', lon1='175.5', lat2='lat', lon2='lon')} as d
   from ({standins.PROFILE_SQL})) where d <= 2500""")
 def geo_radius(spark, folder):
     people = standins.profiles(table(spark, folder, "customer"))
@@ -55,7 +55,7 @@ select s_suppkey as query_id, cast((s_suppkey * 29) % 181 - 90 as double) as q_l
 
 @query(f"""
 select query_id, id, round(d, 6) as distance_km from (
-  select *, {_DISTANCE.format(lat1='q_lat', lon1='q_lon', lat2='lat', lon2='lon')} as d
+  select *, {DISTANCE.format(lat1='q_lat', lon1='q_lon', lat2='lat', lon2='lon')} as d
   from ({standins.PROFILE_SQL}), ({_CIRCLES_SQL})) where d <= radius_km""")
 def geo_radius_batch(spark, folder):
     key = F.col("s_suppkey")
@@ -72,7 +72,7 @@ def geo_radius_batch(spark, folder):
 
 @query(f"""
 select lon as lng, lat, '{{"id":' || id || ',"nickname":"' || nickname || '"}}' as message, true as focus
-from (select *, {_DISTANCE.format(lat1='10', lon1='20', lat2='lat', lon2='lon')} as d
+from (select *, {DISTANCE.format(lat1='10', lon1='20', lat2='lat', lon2='lon')} as d
       from ({standins.PROFILE_SQL})) where d <= 3000""")
 def map_marker_rows(spark, folder):
     people = standins.profiles(table(spark, folder, "customer"))
