@@ -103,21 +103,31 @@ def _or(conditions: list[Column]) -> Column:
 NAMED_WORDS = 10_000
 
 
+def _swapped(word: str) -> set[str]:
+    """The word with one pair of adjacent characters swapped, in all ways that change it."""
+    return {word[:i] + word[i + 1] + word[i] + word[i + 2:] for i in range(len(word) - 1)} - {word}
+
+
 def _edits(term: Column, leaf: Fuzzy) -> Column:
-    """Edit distance of a vocabulary term, or null beyond the limit; lengths are compared first."""
+    """Edits between a vocabulary term and the word, or null beyond the limit.
+
+    Lengths are compared before distances. With transpositions a term may also be reached from the
+    word with some adjacent characters swapped, each swap being one edit.
+    """
+    starts = [{leaf.text}]
+    while leaf.transpositions and len(starts) <= leaf.edits:
+        starts.append({s for word in starts[-1] for s in _swapped(word)} - set().union(*starts))
     near = F.abs(F.length(term) - len(leaf.text)) <= leaf.edits
-    distance = F.levenshtein(term, F.lit(leaf.text), leaf.edits)
-    edits = F.when(near & (distance >= 0), distance)
-    if leaf.transpositions:
-        if leaf.edits != 1:
-            raise ValueError("transpositions are supported for one edit")
-        swaps = sorted({
-            leaf.text[:i] + leaf.text[i + 1] + leaf.text[i] + leaf.text[i + 2:]
-            for i in range(len(leaf.text) - 1)
-        } - {leaf.text})
-        if swaps:
-            edits = F.coalesce(edits, F.when(term.isin(swaps), F.lit(1)))
-    return edits
+    ways = []
+    for swaps, words in enumerate(starts):
+        left = leaf.edits - swaps
+        if swaps and not left:
+            ways += [F.when(term.isin(sorted(words)), F.lit(swaps))] if words else []
+            continue
+        for word in sorted(words):
+            distance = F.levenshtein(term, F.lit(word), left)
+            ways.append(F.when(near & (distance >= 0), distance + swaps))
+    return ways[0] if len(ways) == 1 else F.least(*ways)
 
 
 def _hit(term: Column, leaf) -> Column:
@@ -130,33 +140,35 @@ def _hit(term: Column, leaf) -> Column:
     return _edits(term, leaf).isNotNull()
 
 
-def _named(leaf) -> list[str]:
-    return [leaf.text] if isinstance(leaf, Word) else list(leaf.words)
+def _similar_words(index: TextIndex, field: str, fuzzy: list[Fuzzy]) -> list[str] | None:
+    """Words of a stored vocabulary that are similar to those asked for, unless there are very many.
 
+    The vocabulary is cheap to scan, and words known by name let the search skip most postings.
+    """
+    if not fuzzy or index.buckets is None:
+        return None
+    similar = _or([_hit(F.col("term"), leaf) for leaf in fuzzy])
+    found = (
+        index.term_stats.where((F.col("field") == field) & similar)
+        .select("term").limit(NAMED_WORDS + 1).collect()
+    )
+    return [r["term"] for r in found] if len(found) <= NAMED_WORDS else None
 
-def _needed(index: TextIndex, field: str, leaves: list) -> tuple[Column, bool]:
-    """Condition for the rows a search reads, and whether it names a bounded list of words."""
+
+def _rows_of(index: TextIndex, field: str, leaves: list, similar: list[str] | None) -> Column:
+    """Condition on postings or term statistics for the terms that the leaves need."""
     term = F.col("term")
-    words = [w for leaf in leaves if isinstance(leaf, (Word, Phrase)) for w in _named(leaf)]
-    fuzzy = [leaf for leaf in leaves if isinstance(leaf, Fuzzy)]
-    conditions = [term.startswith(leaf.text) for leaf in leaves if isinstance(leaf, Prefix)]
-    if fuzzy:
-        similar = _or([_hit(term, leaf) for leaf in fuzzy])
-        found = None
-        if index.buckets is not None:
-            # A stored vocabulary is cheap to scan, and named words then prune the postings.
-            found = (
-                index.term_stats.where((F.col("field") == field) & similar)
-                .select("term").limit(NAMED_WORDS + 1).collect()
-            )
-        if found is not None and len(found) <= NAMED_WORDS:
-            words += [r["term"] for r in found]
-        else:
-            conditions.append(similar)
-    bounded = not conditions
-    if words or not conditions:
-        conditions.append(index.has_term(words))
-    return (F.col("field") == field) & _or(conditions), bounded
+    named, conditions = list(similar or []), []
+    for leaf in leaves:
+        if isinstance(leaf, Word):
+            named.append(leaf.text)
+        elif isinstance(leaf, Phrase):
+            named += leaf.words
+        elif isinstance(leaf, Prefix) or similar is None:
+            conditions.append(_hit(term, leaf))
+    if named or not conditions:
+        conditions.append(index.has_term(named))
+    return (F.col("field") == field) & _or(conditions)
 
 
 # -- phrases ---------------------------------------------------------------------------------
@@ -257,18 +269,19 @@ def search(index: TextIndex, field: str, clause) -> DataFrame:
         if isinstance(leaf, Phrase) and leaf.slop and len(set(leaf.words)) < len(leaf.words):
             raise ValueError("a phrase with slop must not repeat a word")
     term = F.col("term")
-    condition, bounded = _needed(index, field, leaves)
-    postings = index.postings.where(condition)
+    fuzzy = [leaf for leaf in leaves if isinstance(leaf, Fuzzy)]
+    similar = _similar_words(index, field, fuzzy)
+    postings = index.postings.where(_rows_of(index, field, leaves, similar))
 
     scored = [leaf for leaf in leaves if not isinstance(leaf, Prefix)]
     if scored:
-        vocabulary = index.term_stats.where(_needed(index, field, scored)[0]).select("term", "df")
+        vocabulary = index.term_stats.where(_rows_of(index, field, scored, similar)).select("term", "df")
         for i, leaf in enumerate(leaves):
             if isinstance(leaf, Fuzzy):
                 # Similar words are weighed by the frequency of the most frequent of them.
                 most = vocabulary.agg(F.max(F.when(_hit(term, leaf), F.col("df"))).alias("most"))
                 vocabulary = vocabulary.withColumn(f"_most{i}", most.scalar())
-        if bounded:  # at most one row per named word
+        if not fuzzy or similar is not None:  # at most one row per named word
             vocabulary = F.broadcast(vocabulary)
         postings = postings.join(vocabulary, "term", "left")
         n_docs, avg_dl = index.statistics(field)

@@ -66,3 +66,14 @@ def kilometres(lat1, lon1, lat2, lon2):
     p, q = math.radians(lat1), math.radians(lat2)
     h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(lon2 - lon1) / 2) ** 2
     return 2 * 6371.0087714 * math.asin(math.sqrt(min(1.0, h)))
+
+
+def swap_edits(a, b):
+    """Edit distance in which swapping two adjacent characters is one edit."""
+    d = [[max(i, j) if not i * j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+    return d[-1][-1]

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from brute import Corpus, edits
+from brute import Corpus, edits, swap_edits
 from rosterlake.functions.text import edge_ngrams, tokens
 from rosterlake.operators.scoring import page, page_after, page_per_query, total_hits
 from rosterlake.operators.search import (
@@ -110,10 +110,12 @@ def test_fuzzy(index, corpus, limit):
     agrees(search(index, "text", Fuzzy("alpha", limit)), want)
 
 
-def test_fuzzy_with_transpositions(index, corpus):
-    plain = result(search(index, "text", Fuzzy("alpha", 1)))
-    swapped = result(search(index, "text", Fuzzy("alpha", 1, transpositions=True)))
-    assert set(swapped) == set(plain) | {d for d, ws in corpus.docs.items() if "alpah" in ws} > set(plain)
+@pytest.mark.parametrize("limit", [1, 2])
+def test_fuzzy_with_transpositions(index, corpus, limit):
+    hits = result(search(index, "text", Fuzzy("alpha", limit, transpositions=True)))
+    near = {w for w in corpus.df if swap_edits("alpha", w) <= limit}
+    assert set(hits) == {d for d, ws in corpus.docs.items() if near & set(ws)}
+    assert "alpah" in near and edits("alpah", "alpha") == 2
 
 
 @pytest.mark.parametrize("words_,slop", [
