@@ -185,35 +185,52 @@ def _exact_frequency(positions: list[Column]) -> Column:
     return F.coalesce(F.size(reduce(F.array_intersect, starts)), F.lit(0)).cast("double")
 
 
-def _sloppy_frequency(per_doc: DataFrame, positions: list[str], slop: int, out: str) -> DataFrame:
+def _sloppy_frequency(per_doc: DataFrame, words: list[str], columns: list[str], slop: int,
+                      out: str) -> DataFrame:
     """Add ``out``: sum over minimal windows of 1 / (1 + spread), for windows no wider than the slop.
 
-    Every occurrence is shifted back by the place of its word in the phrase; a window is a stretch
-    that holds a shifted occurrence of each word. Going down a document, the nearest occurrence of a
-    word at or after a position is a running minimum, so the work is linear in the occurrences.
+    Every occurrence is moved back by the place of its word in the phrase; a window is a stretch that
+    holds a moved occurrence for each place. Going down a document, the nearest occurrence for a place
+    is a running minimum, so the work is linear in the occurrences. Places of the same word must use
+    different occurrences: each takes the first one after that of the place before, for which an
+    occurrence carries the few that follow it.
     """
-    shifted = [
-        F.arrays_zip(
-            _shifted(F.col(c), k).alias("at"), F.array_repeat(F.lit(k), F.size(c)).alias("k"))
-        for k, c in enumerate(positions)
-    ]
+    repeats = {w: words.count(w) for w in words}
+
+    def occurrences(place: int) -> Column:
+        at, few = F.col(columns[place]), repeats[words[place]]
+        return F.transform(at, lambda x, i: F.struct(
+            (x - place).alias("at"), F.lit(place).alias("place"), F.slice(at, i + 1, few).alias("next")))
+
     at_or_after = (
         Window.partitionBy("doc_id").orderBy(F.desc("at"))
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    nearest = F.array(*[
-        F.min(F.when(F.col("k") == k, F.col("at"))).over(at_or_after) for k in range(len(positions))
-    ])
+    nearest = [
+        F.min(F.when(F.col("place") == k, F.struct("at", "next"))).over(at_or_after).alias(f"_p{k}")
+        for k in range(len(words))
+    ]
+    found = (
+        per_doc.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns]))
+        .select("doc_id", F.inline(F.concat(*[occurrences(k) for k in range(len(words))])))
+        .select("doc_id", *nearest)
+    )
+    last: dict[str, str] = {}
+    for k, word in enumerate(words):
+        following = F.col(f"_p{k}.next")
+        if word in last:
+            taken = F.col(last[word])
+            following = F.filter(following, lambda x: x > taken)  # noqa: B023 - used at once
+        found = found.withColumn(f"_at{k}", F.get(following, 0))
+        last[word] = f"_at{k}"
+    places = F.array(*[F.col(f"_at{k}") - k for k in range(len(words))])
     windows = (
-        per_doc.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in positions]))
-        .select("doc_id", F.inline(F.concat(*shifted)))
-        .withColumn("nearest", nearest)
-        .where(F.forall("nearest", lambda x: x.isNotNull()))
-        .withColumn("end", F.array_max("nearest"))
-        .where(F.col("end") - F.col("at") <= slop)
+        found.where(reduce(lambda a, b: a & b, [F.col(f"_at{k}").isNotNull() for k in range(len(words))]))
+        .select("doc_id", F.array_min(places).alias("begin"), F.array_max(places).alias("end"))
+        .where(F.col("end") - F.col("begin") <= slop)
         # Of the windows with the same end only the narrowest counts.
-        .groupBy("doc_id", "end").agg(F.max("at").alias("at"))
-        .groupBy("doc_id").agg(F.sum(1 / (1.0 + F.col("end") - F.col("at"))).alias(out))
+        .groupBy("doc_id", "end").agg(F.max("begin").alias("begin"))
+        .groupBy("doc_id").agg(F.sum(1 / (1.0 + F.col("end") - F.col("begin"))).alias(out))
     )
     return per_doc.join(windows, "doc_id", "left").withColumn(out, F.coalesce(out, F.lit(0.0)))
 
@@ -265,9 +282,6 @@ def search(index: TextIndex, field: str, clause) -> DataFrame:
     leaves = list(dict.fromkeys(_leaves(clause)))
     if not leaves:
         raise ValueError("a search needs at least one clause")
-    for leaf in leaves:
-        if isinstance(leaf, Phrase) and leaf.slop and len(set(leaf.words)) < len(leaf.words):
-            raise ValueError("a phrase with slop must not repeat a word")
     term = F.col("term")
     fuzzy = [leaf for leaf in leaves if isinstance(leaf, Fuzzy)]
     similar = _similar_words(index, field, fuzzy)
@@ -318,7 +332,8 @@ def search(index: TextIndex, field: str, clause) -> DataFrame:
             names = [phrase_words[w] for w in leaf.words]
             frequency = F.col(f"_f{i}")
             if leaf.slop:
-                per_doc = _sloppy_frequency(per_doc, [f"{n}_at" for n in names], leaf.slop, f"_f{i}")
+                per_doc = _sloppy_frequency(
+                    per_doc, list(leaf.words), [f"{n}_at" for n in names], leaf.slop, f"_f{i}")
             else:
                 per_doc = per_doc.withColumn(f"_f{i}", _exact_frequency([F.col(f"{n}_at") for n in names]))
             idf = reduce(lambda a, b: a + b, [

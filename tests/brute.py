@@ -3,6 +3,7 @@
 import math
 import re
 from collections import Counter
+from itertools import product
 
 
 def words(text):
@@ -43,10 +44,13 @@ class Corpus:
                 continue
             ends = {}
             for start in {x for xs in at for x in xs}:
-                nearest = [min((x for x in xs if x >= start), default=None) for xs in at]
-                if None not in nearest and max(nearest) - start <= slop:
-                    end = max(nearest)
-                    ends[end] = max(ends.get(end, start), start)
+                # Every choice of different occurrences at or after the start; the nearest end counts.
+                choices = [
+                    max(c) for c in product(*[[x for x in xs if x >= start] for xs in at])
+                    if len({x + k for k, x in enumerate(c)}) == len(c)
+                ]
+                if choices and min(choices) - start <= slop:
+                    ends[min(choices)] = max(ends.get(min(choices), start), start)
             if ends:
                 f = sum(1 / (1 + e - s) for e, s in ends.items())
                 out[d] = sum(self.idf(self.df[w]) for w in phrase) * self.norm(f, d)
