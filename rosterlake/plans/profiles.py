@@ -62,6 +62,12 @@ class ProfileTable:
     def read(self) -> DataFrame:
         return self.with_buckets().drop("bucket")
 
+    def current(self, ids: DataFrame) -> DataFrame:
+        """Current rows of the profiles with the given ``id``; their buckets narrow the scan."""
+        bucket = self.snapshot.bucket_of("profiles", self.snapshot.manifest().buckets)
+        wanted = ids.select("id").distinct().withColumn("bucket", bucket)
+        return self.with_buckets().join(wanted, ["bucket", "id"], "left_semi").drop("bucket")
+
     def upsert(self, changes: DataFrame, batch: int | None = None) -> None:
         """Replace or add whole profiles.
 

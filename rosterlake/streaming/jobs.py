@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.wire import decode_messages
 from ..plans.profiles import ProfileTable
+from .counts import tumbling_counts
 
 
 def start(stream: DataFrame, checkpoint: str, sink: str | Callable[[DataFrame, int], None],
@@ -50,14 +51,27 @@ def latest_counts(log: DataFrame, key: str) -> DataFrame:
     return log.groupBy("window_start", "window_end", key).agg(F.max("count").alias("count"))
 
 
+def country_counts(messages: DataFrame, **options) -> DataFrame:
+    """Profiles per country and window, from a message stream or batch (``value``, ``timestamp``).
+
+    Messages that do not decode strictly are left out, and so are profiles without a country. Event time
+    is the time of the message.
+    """
+    good, _ = decode_messages(messages.select("value", "timestamp"), unknown_fields="reject")
+    return tumbling_counts(good, "timestamp", "country", **options)
+
+
 def index_profiles(messages: DataFrame, table: ProfileTable, checkpoint: str,
-                   dead_letters: str | None = None, **options) -> StreamingQuery:
+                   dead_letters: str | None = None,
+                   after: Callable[[DataFrame, int], None] | None = None, **options) -> StreamingQuery:
     """Decode a message stream (``value``, ``timestamp`` and, from a topic, ``partition`` and
     ``offset``) and upsert it into the serving table.
 
     A batch is committed to the table before its offsets are, and the table skips batches it has,
     so a restart neither loses nor repeats an update. Records without ``partition`` and ``offset`` are
-    ordered by time only.
+    ordered by time only. ``after`` is called with the decoded profiles of a batch once they are stored,
+    for example to refresh a search index with their current rows; it may be called again for a batch
+    that is replayed.
     """
     present = set(messages.columns)
     stamped = messages.select(
@@ -68,12 +82,16 @@ def index_profiles(messages: DataFrame, table: ProfileTable, checkpoint: str,
     )
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        if dead_letters:
-            batch.persist()  # read twice below
+        reread = dead_letters or after
+        if reread:
+            batch.persist()
         good, dead = decode_messages(batch)
         table.upsert(good, batch_id)
         if dead_letters:
             dead.write.mode("overwrite").parquet(f"{dead_letters}/batch={batch_id}")
+        if after:
+            after(good, batch_id)
+        if reread:
             batch.unpersist()
 
     return start(stamped, checkpoint, sink, mode="append", **options)

@@ -7,12 +7,14 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from rosterlake.operators.search import match
+from rosterlake.plans.indexing import StoredIndex
 from rosterlake.plans.profiles import VERSION, ProfileTable
 from rosterlake.schema import PROFILE
 from rosterlake.sources.messages import follow_folder
 from rosterlake.streaming.counts import running_counts, tumbling_counts
 from rosterlake.streaming.progress import StreamCounters, counted
-from rosterlake.streaming.jobs import drain, index_profiles, latest_counts, parquet_log, start
+from rosterlake.streaming.jobs import country_counts, drain, index_profiles, latest_counts, parquet_log, start
 
 SCHEMA = "ts timestamp, country int"
 
@@ -180,3 +182,29 @@ def test_messages_reach_the_table_and_bad_ones_the_dead_letters(spark, tmp_path)
     assert contents(table) == {1: "x", 2: "y"}
     assert [r["value"] for r in spark.read.parquet(str(tmp_path / "dead")).collect()] == ["garbage"]
     assert {c for c in VERSION} <= set(table.snapshot.read("changes").columns)
+
+
+def test_a_stream_keeps_the_index_current(spark, tmp_path):
+    topic = tmp_path / "topic"
+    topic.mkdir()
+    table = ProfileTable(spark, str(tmp_path / "t"), buckets=2)
+    index = StoredIndex(spark, str(tmp_path / "ix"), "id", {"city": F.col("city")}, buckets=2)
+
+    def run(name, *records):
+        (topic / name).write_text("\n".join(map(json.dumps, records)))
+        index_profiles(
+            follow_folder(spark, str(topic)), table, str(tmp_path / "cp"), available_now=True,
+            after=lambda profiles, _: index.refresh(table.current(profiles)),
+        ).awaitTermination()
+        return {r["doc_id"] for r in match(index.open(), "city", "york").collect()}
+
+    assert run("1.txt", {"id": 1, "city": "New York"}, {"id": 2, "city": "York"}, {"id": 3, "city": "Paris"}) == {1, 2}
+    assert run("2.txt", {"id": 2, "city": "Rome"}, {"id": 3, "city": "york"}) == {1, 3}
+
+
+def test_countries_of_messages(spark):
+    rows = [('{"id":1,"country":5}', at(1, 1)), ('{"id":2,"country":5}', at(1, 9)), ('{"id":3}', at(1, 2)),
+            ('{"id":4,"country":5,"x":1}', at(1, 3)), ("nope", at(1, 3)), ('{"id":5,"country":5}', at(1, 10))]
+    counts = country_counts(spark.createDataFrame(rows, "value string, timestamp timestamp"))
+    assert sorted((r["window_start"], r["country"], r["count"]) for r in counts.collect()) == [
+        (at(1, 0), 5, 2), (at(1, 10), 5, 1)]
