@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.text import query_tokens, tokens
 from .bounded import has_at_most
 from .scoring import SCORE_DIGITS, inverse_document_frequency, term_weight
-from .textindex import TextIndex
+from .textindex import WHOLE, TextIndex
 
 
 # -- clauses ---------------------------------------------------------------------------------
@@ -285,11 +285,34 @@ def search(index: TextIndex, field: str, clause) -> DataFrame:
     term = F.col("term")
     fuzzy = [leaf for leaf in leaves if isinstance(leaf, Fuzzy)]
     similar = _similar_words(index, field, fuzzy)
-    postings = index.postings.where(_rows_of(index, field, leaves, similar))
-
+    needed = _rows_of(index, field, leaves, similar)
     scored = [leaf for leaf in leaves if not isinstance(leaf, Prefix)]
+    one_pass = index.rows is not None and len(scored) == len(leaves)
+    if one_pass:
+        # Words, their frequencies and the field's statistics all come from these rows. No branch
+        # filters them further, so the branches share one shuffle.
+        postings = index.rows.where((F.col("field") == field) & (needed | (term == WHOLE)))
+    else:
+        postings = index.postings.where(needed)
+
     if scored:
-        vocabulary = index.term_stats.where(_rows_of(index, field, scored, similar)).select("term", "df")
+        if one_pass:
+            # Always true; it names the columns that the scores read, or the shuffles would differ.
+            read = []
+            if any(not isinstance(leaf, Phrase) for leaf in leaves):
+                read.append(F.col("tf") > 0)
+            if any(isinstance(leaf, Phrase) for leaf in leaves):
+                read.append(F.size("positions") > 0)
+            vocabulary = postings.groupBy("term").agg(
+                F.count_if(reduce(lambda a, b: a & b, read)).alias("df"), F.sum("dl").alias("length"))
+            whole = term == WHOLE
+            documents, length = F.max(F.when(whole, F.col("df"))), F.max(F.when(whole, F.col("length")))
+            n_docs = vocabulary.agg(documents.alias("n")).scalar()
+            avg_dl = vocabulary.agg((length / documents).alias("avg")).scalar()
+            vocabulary = vocabulary.drop("length")
+        else:
+            vocabulary = index.term_stats.where(_rows_of(index, field, scored, similar)).select("term", "df")
+            n_docs, avg_dl = index.statistics(field)
         for i, leaf in enumerate(leaves):
             if isinstance(leaf, Fuzzy):
                 # Similar words are weighed by the frequency of the most frequent of them.
@@ -298,7 +321,6 @@ def search(index: TextIndex, field: str, clause) -> DataFrame:
         if not fuzzy or similar is not None:  # at most one row per named word
             vocabulary = F.broadcast(vocabulary)
         postings = postings.join(vocabulary, "term", "left")
-        n_docs, avg_dl = index.statistics(field)
         weight = term_weight(F.col("tf"), F.col("dl"), avg_dl)
 
     sums: list[Column] = []
@@ -344,7 +366,7 @@ def search(index: TextIndex, field: str, clause) -> DataFrame:
             flags[leaf] = F.col(f"_s{i}").isNotNull()
             scores[leaf] = F.col(f"_s{i}")
 
-    if _holds_without_words(clause):
+    if _holds_without_words(clause) and not one_pass:
         every = index.lengths.where(F.col("field") == field).select("doc_id")
         per_doc = every.join(per_doc, "doc_id", "left")
     return per_doc.where(_holds(clause, flags)).select(

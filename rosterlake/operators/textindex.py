@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import MAX_GRAM, edge_ngrams, tokens
 
+WHOLE = ""  # term under which a document stands for itself; no token is empty
 EVERYTHING = "everything"  # name of the field that combines all text fields
 
 
@@ -46,7 +47,9 @@ class TextIndex:
     ``term_stats``: field, term, df. ``field_stats``: field, n_docs, avg_dl (one row per field).
     ``lengths``: field, doc_id, dl. ``buckets`` is set when postings and term statistics are stored
     with a ``bucket`` partition column computed from the term; ``known`` then holds the statistics
-    per field as (documents, average length).
+    per field as (documents, average length). ``rows`` of a computed index are its postings plus one
+    row per document under the empty term: a search that reads them learns the statistics from the
+    same pass over the text.
     """
 
     postings: DataFrame
@@ -55,6 +58,7 @@ class TextIndex:
     lengths: DataFrame
     buckets: int | None = None
     known: Mapping[str, tuple[int, float]] | None = None
+    rows: DataFrame | None = None
 
     def statistics(self, field: str) -> tuple[Column, Column]:
         """Number of documents and average length of one field: constants, or scalar subqueries."""
@@ -84,11 +88,14 @@ class TextIndex:
         asked for are counted and shuffled.
         """
         toks = field_tokens(docs, id_column, fields, analyzer)
-        words = toks.select("field", "doc_id", F.size("toks").alias("dl"),
-                            F.posexplode("toks").alias("pos", "term"))
-        postings = _postings(words)
+        def words(terms: Column) -> DataFrame:
+            return toks.select("field", "doc_id", F.size("toks").alias("dl"),
+                               F.posexplode(terms).alias("pos", "term"))
+
+        postings = _postings(words(F.col("toks")))
         lengths = toks.select("field", "doc_id", F.size("toks").alias("dl"))
-        return TextIndex(postings, term_stats(postings), field_stats(lengths), lengths)
+        rows = _postings(words(F.array_append("toks", F.lit(WHOLE))))
+        return TextIndex(postings, term_stats(postings), field_stats(lengths), lengths, rows=rows)
 
     @staticmethod
     def over_prefixes(docs: DataFrame, id_column: str, fields: Mapping[str, Column],
