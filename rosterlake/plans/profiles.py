@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.wire import to_serving
@@ -22,8 +24,9 @@ _NAMES = _STORED.fieldNames()
 class ProfileTable:
     """Profiles by id: merged base files plus the change files of recent batches, both bucketed by id.
 
-    A batch only writes its own rows. A bucket is merged once it has ``compact_after`` change files,
-    so the cost of rewriting it is shared by that many batches. Choose ``buckets`` for the final size
+    A batch only writes its own rows. A bucket is merged once it has ``compact_after`` change files, so
+    the cost of rewriting it is shared by that many batches; a batch merges its share of the buckets
+    rather than all of them at once. Choose ``buckets`` for the final size
     when the table is made; a bucket is merged by ``splits`` tasks.
     """
 
@@ -83,12 +86,14 @@ class ProfileTable:
         incoming = latest_by_key(to_serving(changes).select(*_NAMES), ["id"], VERSION)
         self.snapshot.append(draft, "changes", incoming)
         self.snapshot.publish(draft)
-        self.compact(self.compact_after)
+        self.compact(self.compact_after, at_most=math.ceil(draft.buckets / self.compact_after))
 
-    def compact(self, min_changes: int = 1) -> list[int]:
-        """Merge the buckets with at least ``min_changes`` change files; returns them."""
+    def compact(self, min_changes: int = 1, at_most: int | None = None) -> list[int]:
+        """Merge the buckets with at least ``min_changes`` change files, ``at_most`` so many of them and
+        those with most files first; returns them."""
         manifest = self.snapshot.manifest()
-        due = [b for b, vs in manifest.tables["changes"].items() if len(vs) >= min_changes]
+        files = {b: len(vs) for b, vs in manifest.tables["changes"].items() if len(vs) >= min_changes}
+        due = sorted(files, key=lambda b: (-files[b], b))[:at_most]
         if due:
             draft = self.snapshot.draft()
             self.snapshot.replace(draft, "profiles", self._merged(manifest, due), due)

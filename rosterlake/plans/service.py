@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.barrier import computed
-from ..functions.parsing import strict_long
+from ..functions.parsing import read_double, strict_long
 from ..operators.around import within_radius, within_radius_many
 from ..operators.bounded import BROADCAST_ROWS
 from ..operators.facets import BUCKETS, facet_dates, facet_tokens, facet_values
@@ -47,11 +47,8 @@ class ProfileSearch:
     def _filtered(self, field: str, query: str, distance: str, lat: str, lon: str) -> DataFrame | None:
         """Profiles with score for the requests that are a filter on the serving table."""
         if distance:
-            try:
-                east, north = float(lon), float(lat)
-            except ValueError:
-                raise ValueError("longitude and latitude must be numbers") from None
-            return within_radius(self.profiles, north, east, float(distance))
+            east, north = read_double(lon), read_double(lat)
+            return within_radius(self.profiles, north, east, read_double(distance))
         if field in NUMBER_FIELDS:
             return match_number(self.profiles, field, query)
         if field == "dob":

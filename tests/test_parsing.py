@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from rosterlake.functions.parsing import strict_double, strict_int, strict_long
+from rosterlake.functions.parsing import read_double, strict_double, strict_int, strict_long
 
 
 def parsed(spark, texts, parse):
@@ -30,6 +30,11 @@ def test_longs_reach_their_range(spark):
 ])
 def test_doubles(spark, text, value):
     assert parsed(spark, [text], strict_double) == [value]
+    if value is None:
+        with pytest.raises(ValueError):
+            read_double(text)
+    else:
+        assert read_double(text) == value
 
 
 def test_nan_is_a_double(spark):

@@ -151,6 +151,16 @@ def test_the_order_of_batches_does_not_matter(spark, tmp_path, order, compact_af
     assert table.snapshot.vacuum(keep=1) >= 0 and contents(table) == want
 
 
+def test_a_batch_merges_its_share_of_the_buckets(spark, tmp_path):
+    table = ProfileTable(spark, str(tmp_path / "t"), buckets=4, compact_after=2)
+    merged = []
+    for n in range(4):
+        table.upsert(spark.createDataFrame([change(i, f"b{n}", n) for i in range(40)], CHANGES), n)
+        merged.append(len(table.snapshot.manifest().tables["profiles"]))
+    assert merged == [0, 2, 4, 4]
+    assert contents(table) == {i: "b3" for i in range(40)}
+
+
 def test_two_writers_cannot_publish_the_same_manifest(spark, tmp_path):
     table = ProfileTable(spark, str(tmp_path / "t"), buckets=2)
     one, two = table.snapshot.draft(), table.snapshot.draft()
