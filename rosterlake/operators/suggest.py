@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import query_tokens, tokens
-from .bounded import BROADCAST_ROWS
+from .bounded import BROADCAST_ROWS, has_at_most
 from .scoring import page, page_per_query
 from .search import AnyOf, Word, match_many, search
 from .textindex import TextIndex
@@ -44,9 +44,11 @@ def with_echo(suggestions: DataFrame, typed: str) -> DataFrame:
 def suggest_many(index: TextIndex, field: str, typed: DataFrame, names: DataFrame, key: str, name: str,
                  query_id: str = "query_id", text: str = "query", size: int = SUGGESTIONS) -> DataFrame:
     """(query_id, rank, name) for a table of typed texts."""
-    hits = match_many(index, field, typed, query_id, text, tokens)
+    ranked = page_per_query(match_many(index, field, typed, query_id, text, tokens), size)
+    if has_at_most(typed, BROADCAST_ROWS // max(size, 1)):
+        # The names of the whole table then stay where they are.
+        ranked = F.broadcast(ranked)
     return (
-        page_per_query(hits, size)
-        .join(names.select(F.col(key).alias("doc_id"), F.col(name).alias("name")), "doc_id")
-        .select("query_id", "rank", "name")
+        names.select(F.col(key).alias("doc_id"), F.col(name).alias("name"))
+        .join(ranked, "doc_id").select("query_id", "rank", "name")
     )

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.wire import to_serving
+from ..operators.bounded import has_at_most
 from ..operators.latest import latest_by_key
 from ..schema import SERVING
 from .snapshot import Manifest, Snapshot, TableSpec
@@ -19,6 +20,7 @@ _STORED = T.StructType(SERVING.fields + [
     T.StructField("_offset", T.LongType()),
 ])
 _NAMES = _STORED.fieldNames()
+NAMED_IDS = 10_000  # ids that a lookup names one by one
 
 
 class ProfileTable:
@@ -51,11 +53,16 @@ class ProfileTable:
         )
         return latest_by_key(both, ["bucket", "_split", "id"], VERSION).drop("_split")
 
-    def with_buckets(self) -> DataFrame:
-        """Current profiles with their bucket; only buckets with change files are merged on the way."""
+    def with_buckets(self, only: list[int] | None = None) -> DataFrame:
+        """Current profiles with their bucket, of all buckets or ``only`` some.
+
+        Just the buckets with change files are merged on the way.
+        """
         manifest = self.snapshot.manifest()
-        changed = sorted(manifest.tables["changes"])
-        settled = [b for b in manifest.tables["profiles"] if b not in set(changed)]
+        stored = set(manifest.tables["profiles"]) | set(manifest.tables["changes"])
+        asked = stored if only is None else stored & set(only)
+        changed = sorted(asked & set(manifest.tables["changes"]))
+        settled = sorted(asked - set(changed))
         wanted = [*SERVING.fieldNames(), "bucket"]
         rows = self.snapshot.read("profiles", settled, manifest).select(*wanted)
         if changed:
@@ -66,9 +73,18 @@ class ProfileTable:
         return self.with_buckets().drop("bucket")
 
     def current(self, ids: DataFrame) -> DataFrame:
-        """Current rows of the profiles with the given ``id``; their buckets narrow the scan."""
-        bucket = self.snapshot.bucket_of("profiles", self.snapshot.manifest().buckets)
-        wanted = ids.select("id").distinct().withColumn("bucket", bucket)
+        """Current rows of the profiles with the given ``id``.
+
+        Up to a fixed number of ids is looked up by value, in their buckets only and with the ids in the
+        scan; more of them are joined, sent to all tasks while that is bounded.
+        """
+        ids = ids.select("id").distinct()
+        placed = ids.withColumn("bucket", self.snapshot.bucket_of("profiles", self.snapshot.manifest().buckets))
+        named = placed.limit(NAMED_IDS + 1).collect()
+        if len(named) <= NAMED_IDS:
+            rows = self.with_buckets(sorted({r["bucket"] for r in named}))
+            return rows.where(F.col("id").isin([r["id"] for r in named])).drop("bucket")
+        wanted = F.broadcast(placed) if has_at_most(ids) else placed
         return self.with_buckets().join(wanted, ["bucket", "id"], "left_semi").drop("bucket")
 
     def upsert(self, changes: DataFrame, batch: int | None = None) -> None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rosterlake.operators.search import match
 from rosterlake.plans.indexing import StoredIndex
+import rosterlake.plans.profiles as profiles_module
 from rosterlake.plans.profiles import VERSION, ProfileTable
 from rosterlake.schema import PROFILE
 from rosterlake.sources.messages import follow_folder
@@ -161,6 +162,18 @@ def test_a_batch_merges_its_share_of_the_buckets(spark, tmp_path):
     assert contents(table) == {i: "b3" for i in range(40)}
 
 
+@pytest.mark.parametrize("named", [10_000, 1])
+def test_current_rows_of_some_ids(spark, tmp_path, monkeypatch, named):
+    monkeypatch.setattr(profiles_module, "NAMED_IDS", named)
+    table = ProfileTable(spark, str(tmp_path / "t"), buckets=4, compact_after=2)
+    table.upsert(spark.createDataFrame([change(i, "a", 0) for i in range(30)], CHANGES), 0)
+    table.upsert(spark.createDataFrame([change(i, "b", 1) for i in (3, 4)], CHANGES), 1)
+    ids = spark.createDataFrame([(3,), (3,), (7,), (99,)], "id bigint")
+    found = table.current(ids)
+    assert {r["id"]: r["email"] for r in found.collect()} == {3: "b", 7: "a"} and found.count() == 2
+    assert table.current(ids.where("id = 99")).count() == 0
+
+
 def test_two_writers_cannot_publish_the_same_manifest(spark, tmp_path):
     table = ProfileTable(spark, str(tmp_path / "t"), buckets=2)
     one, two = table.snapshot.draft(), table.snapshot.draft()
