@@ -73,7 +73,7 @@ def feed_times(spark, folder):
 select page_id, case when label = '' then 'root' else label end as label from (
   select page_id, lower(trim(regexp_replace(path, '[^a-zA-Z0-9]+', '_', 'g'), '_')) as label from (
     select page_id, regexp_extract(url, '^https?://[^/]+(/?.*)$', 1) as path from pages)
-  union all select -page_id - 1, lower(trim(regexp_replace(url, '[^a-zA-Z0-9]+', '_', 'g'), '_')) from pages)""")
+  union all select -page_id - 1, lower(trim(regexp_replace(url, '[^a-zA-Z0-9]+', '_', 'g'), '_')) from pages)""", name="path_label")
 def path_labels(spark, folder):
     pages = table(spark, folder, "pages")
     path = F.regexp_extract("url", "^https?://[^/]+(/?.*)$", 1)
@@ -85,7 +85,7 @@ def path_labels(spark, folder):
 @query("""
 select c_custkey, case when c_custkey % 3 = 0 then 'ip' || c_custkey
                        when c_custkey % 2 = 0 then 'fwd' || c_custkey else 'remote' end as client
-from customer""")
+from customer""", name="client_label")
 def client_labels(spark, folder):
     key = F.col("c_custkey")
     real = F.when(key % 3 == 0, F.concat(F.lit("ip"), key)).when(key % 3 == 1, F.lit(""))

@@ -73,7 +73,7 @@ def geo_radius_batch(spark, folder):
 @query(f"""
 select lon as lng, lat, '{{"id":' || id || ',"nickname":"' || nickname || '"}}' as message, true as focus
 from (select *, {DISTANCE.format(lat1='10', lon1='20', lat2='lat', lon2='lon')} as d
-      from ({standins.PROFILE_SQL})) where d <= 3000""")
+      from ({standins.PROFILE_SQL})) where d <= 3000""", name="map_markers")
 def map_marker_rows(spark, folder):
     people = standins.profiles(table(spark, folder, "customer"))
     found = within_radius(people, 10, 20, 3000)
@@ -120,7 +120,7 @@ def edge_ngram_index(spark, folder):
     return index.postings.select("doc_id", "term", "tf")
 
 
-@query(f"with {_GRAMS} select doc_id, term from grams")
+@query(f"with {_GRAMS} select doc_id, term from grams", name="edge_ngrams")
 def edge_ngram_rows(spark, folder):
     part = table(spark, folder, "part")
     words = part.select(F.col("p_partkey").alias("doc_id"), F.explode(tokens(F.col("p_name"))).alias("word"))

@@ -25,7 +25,7 @@ from rosterlake.streaming.counts import tumbling_counts
 
 PEOPLE = [
     (i, f"user{i}@test.com", f"19{50 + i % 40}-0{1 + i % 9}-01", 50000 + i, 150 + i % 40, f"Nick {i}", i % 5,
-     ["Wroclaw", "New York", "York"][i % 3], "hello there" if i % 2 else "Witam !", (float(i % 50), float(i % 40)),
+     ["Gdansk", "New York", "York"][i % 3], "hello there" if i % 2 else "greetings !", (float(i % 50), float(i % 40)),
      1 + i % 2)
     for i in range(1, 121)
 ]
@@ -55,7 +55,7 @@ def test_search_requests(stored):
     assert ids(rows) == york[5:15] and total.first()["total"] == len(york)
     first = rows.first()
     assert first["score"] > 0 and first["email"].startswith("user") and isinstance(first["dob"], datetime.date)
-    rows, total = stored.users(query="user7 witam", size=3)
+    rows, total = stored.users(query="user7 greetings", size=3)
     assert ids(rows)[0] == 7 or total.first()["total"] > 3
     rows, _ = stored.users(field="gender", query="2", size=200)
     assert sorted(ids(rows)) == [p[0] for p in PEOPLE if p[10] == 2]
@@ -63,14 +63,14 @@ def test_search_requests(stored):
     assert sorted(ids(rows)) == [p[0] for p in PEOPLE if p[2].startswith("1951")]
     rows, _ = stored.users(field="city", query="ignored", distance="10", lat="10", lon="10")
     assert ids(rows) == [10]
-    rows, _ = stored.users(field="city", query="yo", clause=Prefix("wro"), size=500)
-    assert sorted(ids(rows)) == [p[0] for p in PEOPLE if p[7] == "Wroclaw"]
+    rows, _ = stored.users(field="city", query="yo", clause=Prefix("gda"), size=500)
+    assert sorted(ids(rows)) == [p[0] for p in PEOPLE if p[7] == "Gdansk"]
 
 
 def test_a_table_of_requests_equals_single_ones(spark, stored):
     columns = ["field", "query", "distance", "lat", "lon", "l", "s", "w"]
     asked = {
-        1: ("city", "York new", "", "", "", "7", "3", ""), 2: ("", "user7 witam", "", "", "", "", "", ""),
+        1: ("city", "York new", "", "", "", "7", "3", ""), 2: ("", "user7 greetings", "", "", "", "", "", ""),
         3: ("gender", "2", "", "", "", "500", "10", ""), 4: ("dob", "1951", "", "", "", "", "", ""),
         5: ("dob", "1952-03", "", "", "", "", "", ""), 6: ("", "", "700", "10", "10", "5", "2", ""),
         7: ("id", "77", "", "", "", "", "", ""), 8: ("nickname", "nick", "", "", "", "0", "", ""),
@@ -107,7 +107,7 @@ def test_refused_requests(stored):
 def test_suggestions_and_facets(stored):
     assert stored.nicks("ni 12").orderBy("rank").first()["name"] == "Nick 12"
     top = stored.aggregations("city").collect()
-    assert {r["key"] for r in top} == {"Wroclaw", "New York", "York"} and top[0]["count"] == 40
+    assert {r["key"] for r in top} == {"Gdansk", "New York", "York"} and top[0]["count"] == 40
     assert stored.aggregations("city", by_token=True).first()["key"] == "york"
     assert isinstance(stored.aggregations("dob").first()["key"], int)
 
