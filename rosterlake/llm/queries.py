@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rosterlake.queries.registry import Entry, Runner, table
 
-from . import mixing, quality_rules
+from . import html_blocks, mixing, pieces, quality_rules
 
 CATALOGUE: dict[str, Entry] = {}
 
@@ -68,3 +68,27 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("row")
+
+
+def piece_model() -> str:
+    """File of the public piece model; its place is a parameter of the operator."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query()
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again, as digests."""
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), piece_model())
+    decoded = pieces.decode(encoded, piece_model())
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), pieces.digest(F.col("ids")).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"), pieces.digest(F.col("ends")).alias("ends_sha256"))
+
+
+@query()
+def op10_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    texts = html_blocks.extract(table(spark, sf_dir, "pages"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
