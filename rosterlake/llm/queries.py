@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rosterlake.queries.registry import Entry, Runner, table
+from rosterlake.queries import registry
+from rosterlake.queries.registry import Entry, Runner
 
-from . import html_blocks, mixing, pieces, quality_rules
+from . import (html_blocks, language_gru, learning, mixing, pieces, quality_model, quality_rules,
+               toxic_spans)
+from .common import fold
+from .shipping import ship_package
 
 CATALOGUE: dict[str, Entry] = {}
 
@@ -19,6 +23,11 @@ def query(sql: str | None = None):
     return register
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
+    return registry.table(spark, sf_dir, name)
+
+
 def runners() -> dict[str, Runner]:
     return {name: entry.run for name, entry in CATALOGUE.items()}
 
@@ -92,3 +101,43 @@ def op10_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     texts = html_blocks.extract(table(spark, sf_dir, "pages"))
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def _learned(name: str, modulus: int, held: int):
+    """Condition that an id is not held out."""
+    return fold(F.col(name), modulus) != held
+
+
+@query()
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs, labels, learn = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), _learned("doc_id", 5, 0)
+    settings = quality_model.Settings()
+    sample = learning.labelled_sample(docs, labels, "quality", learn, settings.per_label, settings.longest)
+    model = quality_model.fit(sample, learning.label_counts(labels, "quality", learn), settings)
+    return quality_model.score(docs, model).select(
+        "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query()
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, and how many tokens offend."""
+    docs, labels, learn = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), _learned("doc_id", 5, 0)
+    settings = toxic_spans.Settings()
+    sample = learning.labelled_sample(docs, labels, "toxic", learn, settings.per_label, settings.longest)
+    model = toxic_spans.fit(sample, learning.label_counts(labels, "toxic", learn), settings)
+    return toxic_spans.score(docs, model).select(
+        "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.array_join(F.transform("spans", lambda s: F.concat(s["begin"].cast("string"), F.lit(":"), s["end"].cast("string"))), ",")
+        .alias("spans"))
+
+
+@query()
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    sample = language_gru.training_windows(docs, _learned("doc_id", 4, 2))
+    predicted = language_gru.predict(docs, language_gru.fit(sample))
+    return predicted.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
