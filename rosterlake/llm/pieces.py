@@ -12,6 +12,7 @@ from __future__ import annotations
 import heapq
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -108,6 +109,8 @@ class PieceModel:
         self.squeeze = bool(spec.get(4, 1))
         self.escape = bool(spec.get(5, 1))
         self.ids = {p: (i, s) for i, (p, s, kind) in enumerate(pieces) if kind in (NORMAL, USER, UNUSED)}
+        self.scores = {p: s for p, (_, s) in self.ids.items()}
+        self.shown = {p: (i, len(p.encode()) - 2 * p.count(MARK)) for p, (i, _) in self.ids.items()}
         if any(MARK in p.lstrip(MARK) for p in self.ids) or any(k in (USER, UNUSED) for _, _, k in pieces):
             raise ValueError("models with pieces across blanks, user-defined or unused pieces are not supported")
         self.unknown = next(i for i, (_, _, kind) in enumerate(pieces) if kind == UNKNOWN)
@@ -121,15 +124,18 @@ class PieceModel:
         self.surface_length = np.array([len(s) for s in surface], np.int64)
         self.surface_start = np.concatenate([[0], np.cumsum(self.surface_length)])[:-1]
         self.surface_bytes = np.frombuffer(b"".join(surface), np.uint8)
+        self._forget()
+
+    def _forget(self) -> None:
+        """Start with no remembered stretches: their places, and the ids and sizes of all in a row."""
         self._known: dict[str, int] = {}
-        self._flat_ids: list[int] = []
-        self._flat_sizes: list[int] = []
-        self._bounds: list[int] = [0]
+        self._long: list[str] = []
+        self._flat_ids, self._flat_sizes, self._bounds = array("i"), array("i"), array("i", [0])
 
     @property
     def plain(self) -> bool:
         """Whether normalisation changes nothing but blanks."""
-        return not self.map.units and not self.squeeze and self.escape
+        return not self.map.units and not self.squeeze and self.escape and self.fallback and MARK in self.ids
 
     def normalise(self, text: str) -> tuple[str, list[int]]:
         """The normalised text, and for each of its bytes (and its end) the place in the original bytes."""
@@ -180,6 +186,8 @@ class PieceModel:
 
     def merge(self, stretch: str) -> list[str]:
         """Symbols of a stretch after all merges, in order."""
+        if len(stretch) <= LONGEST_REMEMBERED:
+            return self._merge_short(list(stretch))
         symbols: list[str | None] = list(stretch)
         n = len(symbols)
         left, right = list(range(-1, n - 1)), [*range(1, n), -1]
@@ -206,6 +214,23 @@ class PieceModel:
             offer(a, right[a])
         return [s for s in symbols if s is not None]
 
+    def _merge_short(self, symbols: list[str]) -> list[str]:
+        """The same for a few symbols, by looking for the best pair each time."""
+        scores, last = self.scores, float("-inf")
+        pairs = [scores.get(a + b, last) for a, b in zip(symbols, symbols[1:])]
+        while pairs:
+            best = max(pairs)
+            if best == last:
+                break
+            at = pairs.index(best)
+            symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
+            del pairs[at]
+            if at:
+                pairs[at - 1] = scores.get(symbols[at - 1] + symbols[at], last)
+            if at < len(pairs):
+                pairs[at] = scores.get(symbols[at] + symbols[at + 1], last)
+        return symbols
+
     def stretch(self, text: str) -> tuple[list[int], list[int]]:
         """Ids of a stretch of normalised text, and how many of its bytes each id covers."""
         ids, sizes = [], []
@@ -227,38 +252,46 @@ class PieceModel:
 
     def _remember(self, stretch: str) -> int:
         """Place of a stretch (blanks unescaped) among the remembered ones."""
-        ids, sizes = self.stretch(stretch.replace(" ", MARK))
-        flat = [self.surface[i].count(b" ") if self.kinds[i] == NORMAL else 0 for i in ids]
-        self._flat_ids += ids
-        self._flat_sizes += [s - 2 * blanks for s, blanks in zip(sizes, flat)]
+        ids, sizes, shown = self._flat_ids, self._flat_sizes, self.shown
+        for symbol in self.merge(stretch.replace(" ", MARK)):
+            known = shown.get(symbol)
+            if known:
+                ids.append(known[0])
+                sizes.append(known[1])
+            else:
+                raw = symbol.encode()
+                ids.extend([self.of_byte[b] for b in raw])
+                sizes.extend([0] * (len(raw) - 1) + [len(raw)])
         self._bounds.append(len(self._flat_ids))
         at = len(self._bounds) - 2
         self._known[stretch] = at
+        if len(stretch) > LONGEST_REMEMBERED:
+            self._long.append(stretch)
         return at
 
     def encode_plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of several texts in a row, where each text's ids end, and the original bytes under each id."""
         if len(self._known) > REMEMBERED:
-            self._known.clear()
-            self._flat_ids, self._flat_sizes, self._bounds = [], [], [0]
+            self._forget()
         known, places, counts = self._known, [], []
         for text in texts:
             found = re.findall(" *[^ ]+| +", " " + text if self.prefix else text) if text else []
             places += [known[s] if s in known else self._remember(s) for s in found]
             counts.append(len(found))
-        bounds = np.array(self._bounds, np.int64)
+        bounds = np.frombuffer(self._bounds, np.int32).astype(np.int64)
         place = np.array(places, np.int64)
         sizes = bounds[place + 1] - bounds[place]
         ends = np.cumsum(sizes)
         pick = np.arange(ends[-1] if len(ends) else 0) + np.repeat(bounds[place] - (ends - sizes), sizes)
-        ids = np.array(self._flat_ids, np.int32)[pick]
-        under = np.array(self._flat_sizes, np.int64)[pick]
+        ids = np.frombuffer(self._flat_ids, np.int32)[pick] if len(pick) else np.zeros(0, np.int32)
+        under = np.frombuffer(self._flat_sizes, np.int32)[pick] if len(pick) else np.zeros(0, np.int32)
         text_ends = np.concatenate([[0], ends])[np.cumsum([0, *counts])]
         first = text_ends[:-1][np.diff(text_ends) > 0]
         if self.prefix:
             under[first] -= 1
-        for long in [s for s in known if len(s) > LONGEST_REMEMBERED]:
-            del known[long]
+        for stretch in self._long:
+            known.pop(stretch, None)
+        self._long.clear()
         return ids, text_ends, under
 
     def encode(self, text: str) -> tuple[list[int], list[int], list[int]]:
@@ -286,16 +319,28 @@ class PieceModel:
             part = raw[ends[a]:ends[b]]
             kinds = self.kinds[ids[a:b]]
             shown = np.flatnonzero(kinds != CONTROL)
+            if len(shown) < b - a and (kinds == BYTE).any():
+                # A control piece ends a run of bytes.
+                cuts = [0, *np.flatnonzero(np.diff(kinds == CONTROL)) + 1, b - a]
+                texts = [raw[ends[a + x]:ends[a + y]] for x, y in zip(cuts[:-1], cuts[1:])]
+                first = "".join(map(_characters, texts))
+                out.append(first[1:] if self.prefix and kinds[shown[0]] == NORMAL and first[:1] == " " else first)
+                continue
             if self.prefix and len(shown) and kinds[shown[0]] == NORMAL and part[:1] == b" ":
                 part = part[1:]
-            try:
-                out.append(part.decode())
-            except UnicodeDecodeError:
-                out.append(part.decode(errors="surrogateescape").encode("utf-32", "surrogatepass").decode("utf-32", "surrogatepass")
-                           .translate({c: 0xFFFD for c in range(0xDC80, 0xDD00)}))
+            out.append(_characters(part))
         return out
 
 
+def _characters(raw: bytes) -> str:
+    """Text of bytes; each byte that is part of no character becomes U+FFFD."""
+    try:
+        return raw.decode()
+    except UnicodeDecodeError:
+        text = raw.decode(errors="surrogateescape")
+        return text.translate({c: 0xFFFD for c in range(0xDC80, 0xDD00)})
+
+
 _models: dict[str, PieceModel] = {}
 
 

@@ -8,7 +8,7 @@ from rosterlake.queries import registry
 from rosterlake.queries.registry import Entry, Runner
 
 from . import (html_blocks, language_gru, learning, mixing, pieces, quality_model, quality_rules,
-               toxic_spans)
+               toxic_spans, voronoi_knn)
 from .common import fold
 from .shipping import ship_package
 
@@ -141,3 +141,21 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     sample = language_gru.training_windows(docs, _learned("doc_id", 4, 2))
     predicted = language_gru.predict(docs, language_gru.fit(sample))
     return predicted.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("""
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id, cast(list_dot_product(cast(q.v as double[]), cast(c.v as double[])) as bigint) as score
+  from v q join v c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id),
+ranked as (
+  select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+  from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 20
+""")
+def op3_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest products of every query vector."""
+    return voronoi_knn.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
