@@ -3,8 +3,8 @@
 A text is normalised by taking, at each place, the longest prefix that the model's compiled character map knows;
 every byte of the result remembers where it came from. Pairs of neighbouring symbols are then merged, best score
 first and leftmost among equals, until no pair is a piece; symbols that are no piece fall back to bytes. No piece
-goes on past a blank, so the stretch from one blank to the next is encoded once and remembered. Each piece is
-projected back to the original bytes.
+goes on past a blank or from a letter to most punctuation, so the stretches between are encoded once and remembered.
+Each piece is projected back to the original bytes.
 """
 
 from __future__ import annotations
@@ -113,6 +113,12 @@ class PieceModel:
         self.shown = {p: (i, len(p.encode()) - 2 * p.count(MARK)) for p, (i, _) in self.ids.items()}
         if any(MARK in p.lstrip(MARK) for p in self.ids) or any(k in (USER, UNUSED) for _, _, k in pieces):
             raise ValueError("models with pieces across blanks, user-defined or unused pieces are not supported")
+        # Where a letter meets one of these, no piece goes on: stretches may end there too.
+        joined = {pair for p in self.ids for pair in zip(p, p[1:])}
+        apart = [c for c in map(chr, range(128)) if c != " " and not c.isalpha() and not any(
+            (a == c and b.isalpha()) or (b == c and a.isalpha()) for a, b in joined)]
+        marks = "[" + re.escape("".join(apart)) + "]" if apart else r"(?!)"
+        self.stretches = re.compile(rf" *[^\W\d_]++(?={marks})|{marks}++(?=[^\W\d_])| *[^ ]+| +")
         self.unknown = next(i for i, (_, _, kind) in enumerate(pieces) if kind == UNKNOWN)
         self.of_byte = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == BYTE}
         self.fallback = len(self.of_byte) == 256
@@ -275,7 +281,7 @@ class PieceModel:
             self._forget()
         known, places, counts = self._known, [], []
         for text in texts:
-            found = re.findall(" *[^ ]+| +", " " + text if self.prefix else text) if text else []
+            found = self.stretches.findall(" " + text if self.prefix else text) if text else []
             places += [known[s] if s in known else self._remember(s) for s in found]
             counts.append(len(found))
         bounds = np.frombuffer(self._bounds, np.int32).astype(np.int64)
