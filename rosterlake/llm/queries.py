@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rosterlake.queries import registry
 from rosterlake.queries.registry import Entry, Runner
 
-from . import (html_blocks, language_gru, learning, mixing, pieces, quality_model, quality_rules,
+from . import (html_blocks, jaccard_join, language_gru, learning, mixing, pieces, quality_model, quality_rules,
                toxic_spans, voronoi_knn)
 from .common import fold
 from .shipping import ship_package
@@ -159,3 +159,28 @@ select query_id, rank, vec_id, score from ranked where rank <= 20
 def op3_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 highest products of every query vector."""
     return voronoi_knn.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("""
+with recursive split as (
+  select row_number() over () as r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w
+  from documents),
+sets as (
+  select r, doc_id, case when len(w) >= 5
+      then list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+      when len(w) > 0 then [array_to_string(w, ' ')] else cast([] as varchar[]) end as s
+  from split),
+shingles as (select r, len(s) as n, unnest(s) as g from sets),
+links as (
+  select a.r as x, b.r as y from shingles a join shingles b on a.g = b.g and a.r <> b.r
+  group by a.r, b.r, a.n, b.n having 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reach(x, y) as (select r, r from sets union select reach.x, links.y from reach join links on reach.y = links.x)
+select sets.doc_id, cast(len(sets.s) as bigint) as n_shingles, min(other.doc_id) as component_id
+from sets join reach on reach.x = sets.r join sets other on other.r = reach.y
+group by sets.r, sets.doc_id, sets.s
+""")
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document."""
+    groups = jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "n_shingles", "component_id")
