@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rosterlake.queries import registry
 from rosterlake.queries.registry import Entry, Runner
 
-from . import (html_blocks, jaccard_join, language_gru, learning, mixing, pieces, quality_model, quality_rules,
+from . import (html_blocks, jaccard_join, language_gru, learning, mixing, pieces, pii_context, quality_model, quality_rules,
                toxic_spans, voronoi_knn)
 from .common import fold
 from .shipping import ship_package
@@ -184,3 +184,17 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of every document."""
     groups = jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", "n_shingles", "component_id")
+
+
+@query()
+def op6_pii_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    docs = table(spark, sf_dir, "documents")
+    rows = pii_context.attach(docs, pii_context.find(docs), F.col("doc_id"))
+
+    def count(place: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["place"] == place)).cast("long")
+
+    return rows.select(
+        F.col("row").alias("doc_id"), *[count(i + 1).alias(f"n_{k}") for i, k in enumerate(pii_context.KINDS)],
+        F.sha2(pii_context.shown(F.col("base")), 256).alias("base_sha256"), pii_context.shown(F.col("all")).alias("spans"))
