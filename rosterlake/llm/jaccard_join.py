@@ -11,7 +11,8 @@
 * Length, positional and suffix filters (counts per range of hashes bound the symmetric difference) drop pairs of
   leader and member, the others are verified once on whole sets.
 * A member that is not linked to its leader is compared with the other members of the leader, in blocks of bounded
-  size and inside the task; only links that join something are returned. Members linked to a leader are one
+  size and inside the task: first by the filters, then, where a partner is possible, by whole sets; only links that
+  join something are returned. Members linked to a leader are one
   component already, so pairs among them need no look. No link between components is lost.
 
 Hot shingles and hot leaders are split over many tasks. Components follow from the links.
@@ -300,42 +301,89 @@ def _block_links(left: list[np.ndarray], right: list[np.ndarray], percent: int)
     return np.argwhere(100 * common >= percent * (sizes - common))
 
 
-def _verify_rest(members: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
-    """Links of members (lead, member, linked) that are not linked to their leader with other members of it.
+def _blocks(members: DataFrame, settings: Settings) -> DataFrame:
+    """lead, i, j, side, member, loose: members (lead, member, loose) dealt over blocks of their leader.
 
-    An unlinked member meets every block of members; the others stay in their own block, once for each block of
-    unlinked ones.
+    A loose member is one that is not linked to the leader. Side 0 holds the loose ones, which meet every block of
+    members; side 1 holds all members, each in its own block, once for each block of loose ones.
     """
     sizes = members.groupBy("lead").agg(
         F.ceil(F.count("*") / settings.block).cast("int").alias("blocks"),
-        F.ceil(F.count_if(~F.col("linked")) / settings.block).cast("int").alias("loose"), F.count("*").alias("all"))
-    open_ones = sizes.where("loose > 0 and all > 1")
-    # No equal modulus for both roles, so that blocks of the two do not fall together.
+        F.ceil(F.count_if("loose") / settings.block).cast("int").alias("holds"), F.count("*").alias("all"))
+    rows = members.join(sizes.where("holds > 0 and all > 1"), "lead")
+    # Different hashes for the two sides, so that their blocks do not fall together.
     own = F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int")
-    loose = F.pmod(F.xxhash64("member", F.lit(1)), F.col("loose")).cast("int")
-    rows = members.join(open_ones, "lead").join(sets, F.col("member") == F.col("sig"))
-    left = rows.where(~F.col("linked")).select(
-        "lead", loose.alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"),
-        "sig", "linked", "set")
+    hold = F.pmod(F.xxhash64("member", F.lit(1)), F.col("holds")).cast("int")
+    left = rows.where("loose").select(
+        "lead", hold.alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"), "member", "loose")
     right = rows.select(
-        "lead", F.explode(F.sequence(F.lit(0), F.col("loose") - 1)).alias("i"), own.alias("j"), F.lit(1).alias("side"),
-        "sig", "linked", "set")
+        "lead", F.explode(F.sequence(F.lit(0), F.col("holds") - 1)).alias("i"), own.alias("j"), F.lit(1).alias("side"), "member", "loose")
+    return left.union(right)
+
+
+def _folded(bins: list[np.ndarray], size: int) -> np.ndarray:
+    return np.stack([b.reshape(size, -1).sum(1) for b in bins]).astype(np.int32)
+
+
+def _possible(left: list[bytes], right: list[bytes], percent: int) -> np.ndarray:
+    """Which pairs of two blocks may be similar by their sizes and counts per range of hashes."""
+    bins = [[np.frombuffer(b, np.uint16).astype(np.int64) for b in side] for side in (left, right)]
+    lengths = [np.array([len(b) for b in side]) for side in bins]
+    sizes = [np.array([b.sum() for b in side]) for side in bins]
+    both = sizes[0][:, None] + sizes[1][None]
+    may = np.minimum.outer(sizes[0], sizes[1]) * 100 >= np.maximum.outer(sizes[0], sizes[1]) * percent
+    for x in np.unique(lengths[0]):
+        for y in np.unique(lengths[1]):
+            a, b = np.flatnonzero(lengths[0] == x), np.flatnonzero(lengths[1] == y)
+            here = np.ix_(a, b)
+            if may[here].any():
+                one, two = (_folded([side[k] for k in at], min(x, y)) for side, at in zip(bins, (a, b)))
+                apart = np.stack([np.abs(two - row).sum(1) for row in one])
+                may[here] &= apart <= both[here] - 2 * _need(both[here], 0, percent)
+    return may
+
+
+def _with_partner(members: DataFrame, bins: DataFrame, settings: Settings) -> DataFrame:
+    """lead, i, j, side, member, loose: the dealt members that have a possible partner on the other side of their block.
+
+    Only counts per range of hashes are moved for it; one row per member and block comes out, never one per pair.
+    """
+    rows = _blocks(members, settings).join(bins.withColumnRenamed("sig", "member"), "member").select(
+        "lead", "i", "j", "side", "member", "loose", "bins")
 
     def run(batches):
         for group in _grouped(batches, 3):
-            side = group["side"].to_numpy()
-            sig, linked = group["sig"].to_numpy(), group["linked"].to_numpy()
-            sets_ = [np.frombuffer(raw, U64) for raw in group["set"].to_pylist()]
+            side, member = group["side"].to_numpy(), group["member"].to_numpy()
+            loose, raw = group["loose"].to_numpy(), group["bins"].to_pylist()
+            a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            if len(a) and len(b):
+                may = _possible([raw[k] for k in a], [raw[k] for k in b], settings.percent)
+                may &= member[a][:, None] != member[b][None]
+                may &= ~loose[b][None] | (member[a][:, None] < member[b][None])
+                kept = np.concatenate([a[may.any(1)], b[may.any(0)]])
+                yield from group.drop(["bins"]).take(kept).to_batches()
+
+    return (rows.repartition("lead", "i", "j").sortWithinPartitions("lead", "i", "j")
+            .mapInArrow(run, "lead long, i int, j int, side int, member long, loose boolean"))
+
+
+def _verify_rest(dealt: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Links of loose members with other members of their leader, from the dealt members with a possible partner."""
+    rows = dealt.join(sets, F.col("member") == F.col("sig")).select("lead", "i", "j", "side", "member", "loose", "set")
+
+    def run(batches):
+        for group in _grouped(batches, 3):
+            side, member, loose = (group[c].to_numpy() for c in ("side", "member", "loose"))
+            whole = [np.frombuffer(raw, U64) for raw in group["set"].to_pylist()]
             a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
             hits: list[tuple[int, int]] = []
             if len(a) and len(b):
-                found = _block_links([sets_[i] for i in a], [sets_[i] for i in b], settings.percent)
-                both = (linked[b][found[:, 1]]) | (sig[a][found[:, 0]] < sig[b][found[:, 1]])
-                hits = _spanning(found[both], sig[a].tolist(), sig[b].tolist())
-            yield pa.RecordBatch.from_arrays([pa.array([h[i] for h in hits], pa.int64()) for i in (0, 1)], ["a", "b"])
+                found = _block_links([whole[k] for k in a], [whole[k] for k in b], settings.percent)
+                once = ~loose[b][found[:, 1]] | (member[a][found[:, 0]] < member[b][found[:, 1]])
+                hits = _spanning(found[once], member[a].tolist(), member[b].tolist())
+            yield pa.RecordBatch.from_arrays([pa.array([h[k] for h in hits], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    return (left.union(right).repartition("lead", "i", "j").sortWithinPartitions("lead", "i", "j")
-            .mapInArrow(run, "a long, b long"))
+    return (rows.repartition("lead", "i", "j").sortWithinPartitions("lead", "i", "j").mapInArrow(run, "a long, b long"))
 
 
 def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
@@ -359,15 +407,19 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     described = profiles.where("chunk is null and n > 0").groupBy("sig").agg(F.first("bins").alias("bins"))
     near = stored(_suffix_filter(possible, described, settings), "near")
     several = pairs.groupBy("lead").agg(F.count("*").alias("members")).where("members > 1").select("lead")
-    together = pairs.join(several, "lead", "left_semi")
-    wanted = (near.select(F.col("lead").alias("sig")).union(near.select("member")).union(together.select("member"))).distinct()
-    sets = stored(_sets(bare, profiles, wanted, settings), "sets")
+    together = pairs.join(several, "lead", "left_semi").select("lead", "member")
 
+    def loose_but_for(found: DataFrame) -> DataFrame:
+        return together.join(found.select("lead", "member", F.lit(True).alias("yes")), ["lead", "member"], "left").select(
+            "lead", "member", F.col("yes").isNull().alias("loose"))
+
+    # Sets are read once: for the pairs to verify, and for members that are loose already and have possible partners.
+    early = _with_partner(loose_but_for(near), described, settings)
+    wanted = near.select(F.col("lead").alias("sig")).union(near.select("member")).union(early.select("member")).distinct()
+    sets = stored(_sets(bare, profiles, wanted, settings), "sets")
     linked = stored(_verify(near, sets, settings), "linked")
-    members = together.select("lead", "member").join(
-        linked.select("lead", "member", F.lit(True).alias("yes")), ["lead", "member"], "left").select(
-        "lead", "member", F.col("yes").isNotNull().alias("linked"))
-    links = linked.select(F.col("lead").alias("a"), F.col("member").alias("b")).union(_verify_rest(members, sets, settings))
+    rest = _verify_rest(_with_partner(loose_but_for(linked), described, settings), sets, settings)
+    links = linked.select(F.col("lead").alias("a"), F.col("member").alias("b")).union(rest)
     groups = components(links)
 
     # From signatures to ids: copies first, then components.
