@@ -3,7 +3,7 @@
 Everything is a built-in expression. A text diverges when the Jensen-Shannon distance between its histogram of
 character classes and that of its language, or between its histogram of common words and that of its language,
 passes a threshold; texts below a minimum length are not judged by a histogram too small to be one.
-References are sums over all documents of a language that passed the counts.
+References are sums over all documents of a language with enough words.
 """
 
 from __future__ import annotations
@@ -14,17 +14,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rosterlake.functions.barrier import computed
 
-from .common import BLANKS, column, whole_row, words
+from .common import BLANKS, column, whole_row, word_count, words
+from .graphs import stored
 
 # Fixed values of the contract.
 SYMBOLS = r"[#*$%&|<>]+"
 LEAST_WORDS = 50
 
-# Character classes as patterns of everything outside them; the last class is what remains.
-CLASSES = {
-    "lower": r"[^\p{Ll}]+", "upper": r"[^\p{Lu}]+", "digit": r"[^0-9]+",
-    "blank": r"[^\x20\x09-\x0D]+", "stop": r"[^.,;:?]+",
-}
+# Character classes: what is no running text (lower case and white space), and within it, patterns of everything
+# outside a class. The last class is what remains.
+RUNNING = r"[\p{Ll}\x20\x09-\x0D]+"
+CLASSES = {"upper": r"[^\p{Lu}]+", "digit": r"[^0-9]+", "stop": r"[^.,;:?]+"}
 
 
 @dataclass(frozen=True)
@@ -80,15 +80,21 @@ def base_failed() -> Column:
     return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def class_counts(text: Column) -> Column:
-    """Characters of a text in each class, and all of them, as an array of counts."""
-    full = F.coalesce(text, F.lit(""))
-    return F.array(*[_kept_length(full, outside) for outside in CLASSES.values()], F.length(full).cast("long"))
+def class_counts(rows: DataFrame, text: Column, name: str, keep: list[str]) -> DataFrame:
+    """``rows`` with the characters of a text per class and, last, all of them, as an array of counts; null for null.
+
+    The classes besides running text are counted in what is left of the text without it, which is short.
+    """
+    marked = computed(rows, F.struct(F.length(text).cast("long").alias("all"), F.regexp_replace(text, RUNNING, "").alias("rest"))
+                      .alias("_marked"), keep=keep)
+    rest, full = F.col("_marked.rest"), F.col("_marked.all")
+    counted = F.array(full - F.length(rest), *[_kept_length(rest, outside) for outside in CLASSES.values()], full)
+    return computed(marked, F.when(full.isNotNull(), counted).alias(name), keep=keep)
 
 
 def class_shares(counted: Column) -> Column:
     """Shares of the classes and of the remaining characters; ``counted`` is a column, for it is named often."""
-    n = len(CLASSES)
+    n = len(CLASSES) + 1
     rest = counted[n]
     for i in range(n):
         rest = rest - counted[i]
@@ -111,8 +117,8 @@ def references(docs: DataFrame, settings: Divergence) -> DataFrame:
 
     ``docs`` has lang, text and n_words of the documents references are drawn from.
     """
-    n = len(CLASSES) + 1
-    classes = computed(docs, class_counts(F.col("text")).alias("h"), keep=["lang", "n_words"])
+    n = len(CLASSES) + 2
+    classes = class_counts(docs, F.col("text"), "h", ["lang", "n_words"])
     sums = [F.sum(F.col("h")[i]).alias(f"c{i}") for i in range(n)]
     by_class = (classes.rollup("lang").agg(F.grouping("lang").alias("pool"), F.sum("n_words").alias("of_words"), *sums)
                 .select("lang", "pool", "of_words", F.array(*[F.col(f"c{i}") for i in range(n)]).alias("h")))
@@ -141,20 +147,21 @@ def word_histogram(word_list: Column, common: Column) -> Column:
 
 
 def judge(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang",
-          settings: Divergence = Divergence()) -> DataFrame:
-    """``row`` (all columns), the counts, base_failed, char_distance, word_distance and kept: one row per input row.
+          settings: Divergence = Divergence(), carried: Column | None = None) -> DataFrame:
+    """``row`` (all columns, or ``carried``), the counts, base_failed, char_distance, word_distance and kept: one row per input row.
 
     A null text counts as empty and fails. A language that is null or has too little text is judged by the pool
     of all languages. Distances are null where the text is too short to be judged by them; such a text is kept
-    when it passes the counts. With no text that passes the counts there is no reference and nothing diverges.
+    when it passes the counts. Without a text of enough words there is no reference and nothing diverges.
     Repeated rows get equal verdicts.
     """
-    bare = docs.select(whole_row(docs).alias("row"), column(id_column).alias("doc_id"),
+    bare = docs.select((whole_row(docs) if carried is None else carried).alias("row"), column(id_column).alias("doc_id"),
                        column(text_column).alias("text"), column(lang_column).alias("lang"))
     counted = counts(bare).withColumn("base_failed", base_failed())
-    sound = (counts(docs.select(column(text_column).alias("text"), column(lang_column).alias("lang")))
-             .where(~base_failed()).select("lang", "text", "n_words"))
-    refs = references(sound, settings)
+    texts = docs.select(column(text_column).cast("string").alias("text"), column(lang_column).alias("lang"))
+    long_ones = computed(texts, word_count(F.col("text")).alias("n_words")).where(F.col("n_words") >= LEAST_WORDS)
+    # Written once: a few rows, whose known size lets the join below send them to all tasks.
+    refs = stored(references(long_ones, settings), "references")
     pool = refs.where("all_languages").select("class_ref", "word_ref", "share_ref").first()
     fallback = [F.lit(None)] * 3 if pool is None else [
         F.array(*[F.lit(x) for x in pool[0]]), F.array(*[F.lit(x) for x in pool[1]]), F.array(*[F.lit(x) for x in pool[2]])]
@@ -166,10 +173,10 @@ def judge(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         "row", "doc_id", "text", "_words", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", *[F.coalesce(F.col(c), f.cast(k)).alias(c)
                          for c, f, k in zip(("class_ref", "word_ref", "share_ref"), fallback, kinds)])
+    carried_on = [c for c in matched.columns if c != "text"]
+    judged = F.when(~F.col("base_failed") & (F.length("text") >= settings.least_chars), F.col("text"))
     histograms = computed(
-        matched,
-        F.when(~F.col("base_failed") & (F.length("text") >= settings.least_chars),
-               class_counts(F.col("text"))).alias("_counted"),
+        class_counts(matched, judged, "_counted", carried_on),
         F.when(~F.col("base_failed") & (F.col("n_words") >= settings.least_words),
                word_histogram(F.col("_words"), F.col("word_ref"))).alias("_common"))
     per_word = F.expr("transform(sequence(1, size(word_ref)), "

@@ -76,7 +76,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
-    return quality_rules.judge(table(spark, sf_dir, "documents")).drop("row")
+    return quality_rules.judge(table(spark, sf_dir, "documents"), carried=F.lit(None).cast("boolean")).drop("row")
 
 
 def piece_model() -> str:
