@@ -88,15 +88,47 @@ def _profile(record: Column, zeros: tuple[str, ...]) -> Column:
     return F.struct(*fields)
 
 
-def parse(body: Column) -> Column:
-    """JSON text as a raw record, for :func:`checked`."""
-    return F.from_json(body, _decoding_schema(PROFILE), PERMISSIVE)
+# Ends a text that is wrapped to see whether it is one value.
+_SENTINEL = "rosterlake-end-of-text"
+
+
+def one_value(body: Column) -> Column:
+    """Whether the whole text is one JSON value, with nothing but white space around it.
+
+    As a member of an array it must leave the array with two members, the second one ours.
+    """
+    members = F.from_json(F.concat(F.lit("["), body, F.lit(f',"{_SENTINEL}"]')), "array<string>")
+    return F.coalesce(
+        (F.size(members) == 2) & (F.get(members, F.lit(1)) == _SENTINEL) & ~body.contains(_SENTINEL), F.lit(False))
+
+
+def outer_trim(body: Column) -> Column:
+    """The text without the white space that JSON allows around a value."""
+    return F.btrim(body, F.lit(" \t\r\n"))
+
+
+def fold_keys(body: Column) -> Column:
+    """Known field names that are written in another case, in lower case.
+
+    Quotes inside a JSON string are escaped, so a quoted name before a colon is a key.
+    """
+    names = [*KNOWN_FIELDS, *LOCATION.fieldNames()]
+    folded = body
+    for name in names:
+        folded = F.regexp_replace(folded, f'(?i)"{name}"(\\s*:)', f'"{name}"$1')
+    odd = body.rlike('"(?=[a-zA-Z]*[A-Z])(?i:' + "|".join(names) + ')"\\s*:')
+    return F.when(odd, folded).otherwise(body)
+
+
+def parse(body: Column, unknown_fields: str = "reject") -> Column:
+    """JSON text as a raw record, for :func:`checked`; field names count in any case unless unknown ones are refused."""
+    return F.from_json(fold_keys(body) if unknown_fields == "ignore" else body, _decoding_schema(PROFILE), PERMISSIVE)
 
 
 def checked(record: Column, body: Column, unknown_fields: str = "ignore") -> Column:
     """Profile struct from a raw record and its text, or null when the text is no valid profile.
 
-    ``ignore`` drops unknown fields and reads absent ``id``/``country``/coordinates as zero.
+    ``ignore`` drops unknown fields, takes field names in any case, refuses text after the record and reads absent ``id``/``country``/coordinates as zero.
     ``reject`` treats a record with an unknown field (also inside ``location``) as undecodable and
     leaves an absent country null, so that it is skipped by grouped counts.
     """
@@ -106,7 +138,7 @@ def checked(record: Column, body: Column, unknown_fields: str = "ignore") -> Col
     if unknown_fields == "reject":
         valid = valid & ~F.coalesce(_unknown_fields(body), F.lit(True))
         return F.when(valid, _profile(record, ("id",)))
-    valid = valid & F.rtrim(body).endswith("}")
+    valid = valid & outer_trim(body).endswith("}") & one_value(body)
     return F.when(valid, _profile(record, ("id", "country")))
 
 
@@ -117,7 +149,7 @@ def decode_messages(messages: DataFrame, value: str = "value",
     Both results are map-only and work on batch and streaming input alike.
     """
     body = F.col(value).cast("string")
-    parsed = computed(messages, parse(body).alias("_raw"))
+    parsed = computed(messages, parse(body, unknown_fields).alias("_raw"))
     decoded = computed(
         parsed, checked(F.col("_raw"), body, unknown_fields).alias("_record"), keep=messages.columns)
     kept = [c for c in messages.columns if c != value]

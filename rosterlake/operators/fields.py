@@ -15,6 +15,13 @@ from .bounded import has_at_most
 PERIOD = "^[0-9]{4}(-[0-9]{2}(-[0-9]{2})?)?$"
 
 
+def is_period(query: Column) -> Column:
+    """Whether a text names a year, a month or a day that exists."""
+    first = F.concat(query, F.substring(F.lit("0001-01-01"), F.length(query) + 1, F.lit(10)))
+    return F.coalesce(query.rlike(PERIOD), F.lit(False)) & F.try_to_date(first, "yyyy-MM-dd").isNotNull() & (
+        F.substring(query, 1, 4) != "0000")
+
+
 def _all_score_one(rows: DataFrame) -> DataFrame:
     return rows.withColumn("score", F.lit(1.0))
 

@@ -42,7 +42,7 @@ def page_after(hits: DataFrame, last_score: float, last_key, size: int = 100,
 
 
 # Up to this rank Spark itself cuts every task's rows to the best ones before they are shuffled.
-_EARLY_CUT = 1000
+EARLY_CUT = 1000
 
 
 def page_per_query(hits: DataFrame, size: int = 100, skip: int = 0, key: str = "doc_id",
@@ -57,7 +57,7 @@ def page_per_query(hits: DataFrame, size: int = 100, skip: int = 0, key: str = "
     last = skip + size
     best = [F.desc("score"), F.asc(key)]
     whole = Window.partitionBy(query).orderBy(*best)
-    if last > _EARLY_CUT:
+    if last > EARLY_CUT:
         sliced = Window.partitionBy(query, "_slice").orderBy(*best)
         hits = (
             hits.withColumn("_slice", F.pmod(F.xxhash64(F.col(key)), F.lit(slices)))
@@ -70,6 +70,22 @@ def page_per_query(hits: DataFrame, size: int = 100, skip: int = 0, key: str = "
     )
 
 
+def deep_pages(hits: DataFrame, limits: DataFrame, key: str = "doc_id", query: str = "query_id",
+               slices: int = 64) -> DataFrame:
+    """Hits with their ``rank`` up to the ``last`` rank that each query asks for itself (``limits``: query, skip, last).
+
+    The hits of a query are cut to its own depth in slices before they are ranked.
+    """
+    best = [F.desc("score"), F.asc(key)]
+    sliced = Window.partitionBy(query, "_slice").orderBy(*best)
+    cut = (
+        hits.join(limits, query).withColumn("_slice", F.pmod(F.xxhash64(F.col(key)), F.lit(slices)))
+        .withColumn("_r", F.row_number().over(sliced)).where(F.col("_r") <= F.col("last")).drop("_slice", "_r")
+    )
+    ranked = cut.withColumn("rank", F.row_number().over(Window.partitionBy(query).orderBy(*best)))
+    return ranked.where(F.col("rank") <= F.col("last"))
+
+
 def total_hits(hits: DataFrame, cap: int | None = None) -> DataFrame:
     """One row with the number of hits; ``cap`` saturates it, as a search engine does at 10 000."""
     n = F.count(F.lit(1))

@@ -7,7 +7,6 @@ import math
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.wire import to_serving
-from ..operators.bounded import has_at_most
 from ..operators.latest import latest_by_key
 from ..schema import SERVING
 from .snapshot import Manifest, Snapshot, TableSpec
@@ -20,7 +19,6 @@ _STORED = T.StructType(SERVING.fields + [
     T.StructField("_offset", T.LongType()),
 ])
 _NAMES = _STORED.fieldNames()
-NAMED_IDS = 10_000  # ids that a lookup names one by one
 
 
 class ProfileTable:
@@ -75,44 +73,73 @@ class ProfileTable:
     def current(self, ids: DataFrame) -> DataFrame:
         """Current rows of the profiles with the given ``id``.
 
-        Up to a fixed number of ids is looked up by value, in their buckets only and with the ids in the
-        scan; more of them are joined, sent to all tasks while that is bounded.
+        One semi-join on bucket and id, whatever the number of ids: where they are few, adaptive execution
+        sends them to all tasks and dynamic pruning opens their buckets only.
         """
-        ids = ids.select("id").distinct()
-        placed = ids.withColumn("bucket", self.snapshot.bucket_of("profiles", self.snapshot.manifest().buckets))
-        named = placed.limit(NAMED_IDS + 1).collect()
-        if len(named) <= NAMED_IDS:
-            rows = self.with_buckets(sorted({r["bucket"] for r in named}))
-            return rows.where(F.col("id").isin([r["id"] for r in named])).drop("bucket")
-        wanted = F.broadcast(placed) if has_at_most(ids) else placed
+        buckets = self.snapshot.manifest().buckets
+        wanted = ids.select("id").distinct().withColumn("bucket", self.snapshot.bucket_of("profiles", buckets))
         return self.with_buckets().join(wanted, ["bucket", "id"], "left_semi").drop("bucket")
 
-    def upsert(self, changes: DataFrame, batch: int | None = None) -> None:
+    def upsert(self, changes: DataFrame, batch: int | None = None, stream: str = "") -> None:
         """Replace or add whole profiles.
 
         ``changes`` has the profile columns plus ``_ts``, ``_partition`` and ``_offset``. A stored row
         stays if it is newer, so the order in which batches arrive does not matter. A ``batch`` number
-        that was committed before is skipped, which makes replays harmless.
+        that was committed before by the same ``stream`` is skipped, which makes replays harmless; numbers
+        of other streams, and of a stream started anew, do not count. Several writers may work at once.
         """
-        draft = self.snapshot.draft()
-        if batch is not None:
-            if draft.batch is not None and batch <= draft.batch:
-                return
-            draft.batch = batch
+
+        def had(manifest: Manifest) -> bool:
+            return batch is not None and batch <= manifest.batches.get(stream, -1)
+
+        now = self.snapshot.manifest()
+        if had(now):
+            return
         incoming = latest_by_key(to_serving(changes).select(*_NAMES), ["id"], VERSION)
-        self.snapshot.append(draft, "changes", incoming)
-        self.snapshot.publish(draft)
-        self.compact(self.compact_after, at_most=math.ceil(draft.buckets / self.compact_after))
+        version, written = self.snapshot.write("changes", incoming, now.buckets)
+
+        def note(draft: Manifest) -> bool:
+            if had(draft):
+                return False
+            if batch is not None:
+                draft.batches[stream] = batch
+            for b in written:
+                draft.tables["changes"].setdefault(b, []).append(version)
+            return True
+
+        if self.snapshot.commit(note):
+            self.compact(self.compact_after, at_most=math.ceil(now.buckets / self.compact_after))
 
     def compact(self, min_changes: int = 1, at_most: int | None = None) -> list[int]:
         """Merge the buckets with at least ``min_changes`` change files, ``at_most`` so many of them and
-        those with most files first; returns them."""
+        those with most files first; returns them.
+
+        Change files that arrive meanwhile stay. A bucket that another writer merged meanwhile is left
+        as that writer made it.
+        """
         manifest = self.snapshot.manifest()
         files = {b: len(vs) for b, vs in manifest.tables["changes"].items() if len(vs) >= min_changes}
         due = sorted(files, key=lambda b: (-files[b], b))[:at_most]
-        if due:
-            draft = self.snapshot.draft()
-            self.snapshot.replace(draft, "profiles", self._merged(manifest, due), due)
-            self.snapshot.replace(draft, "changes", None, due)
-            self.snapshot.publish(draft)
-        return due
+        if not due:
+            return due
+        version, written = self.snapshot.write("profiles", self._merged(manifest, due), manifest.buckets)
+        done: list[int] = []
+
+        def note(draft: Manifest) -> bool:
+            profiles, changes = draft.tables["profiles"], draft.tables["changes"]
+            done.clear()
+            for b in due:
+                merged = manifest.tables["changes"][b]
+                if profiles.get(b) != manifest.tables["profiles"].get(b) or changes.get(b, [])[:len(merged)] != merged:
+                    continue
+                done.append(b)
+                profiles[b] = [version]
+                if b not in written:
+                    profiles.pop(b)
+                changes[b] = changes[b][len(merged):]
+                if not changes[b]:
+                    changes.pop(b)
+            return bool(done)
+
+        self.snapshot.commit(note)
+        return done

@@ -9,9 +9,9 @@ from ..functions.parsing import read_double, strict_long
 from ..operators.around import within_radius, within_radius_many
 from ..operators.bounded import BROADCAST_ROWS
 from ..operators.facets import BUCKETS, facet_dates, facet_tokens, facet_values
-from ..operators.fields import PERIOD, match_date, match_dates_many, match_number, match_numbers_many
+from ..operators.fields import is_period, match_date, match_dates_many, match_number, match_numbers_many
 from ..operators.requests import DEFAULT_SIZE, DEFAULT_SKIP, normalise
-from ..operators.scoring import check_page, page, page_per_query, total_hits
+from ..operators.scoring import EARLY_CUT, check_page, deep_pages, page, page_per_query, total_hits
 from ..operators.search import match, match_many, search
 from ..operators.suggest import suggest
 from ..operators.textindex import EVERYTHING, TextIndex, combined
@@ -89,7 +89,9 @@ class ProfileSearch:
         """Pages for a whole table of requests (``query_id`` and the request parameters as text).
 
         Returns (query_id, rank, id, score), and the refused requests with a reason. Requests of one
-        kind share one pass over the index or the serving table, whatever their number.
+        kind share one pass over the index or the serving table, whatever their number; those beyond rank
+        1000 share another. A request cannot make others fail. Wildcard requests carry no clause here and
+        are refused; :meth:`users` takes one.
         """
         checked = normalise(requests)
         number, date = F.col("field").isin(NUMBER_FIELDS), F.col("field") == "dob"
@@ -98,29 +100,35 @@ class ProfileSearch:
         reason = (
             F.when(F.col("reason").isNotNull(), F.col("reason"))
             .when(by_text & number & strict_long(F.col("query")).isNull(), F.lit("not_a_number"))
-            .when(by_text & date & ~F.col("query").rlike(PERIOD), F.lit("not_a_date"))
+            .when(by_text & date & ~is_period(F.col("query")), F.lit("not_a_date"))
+            .when(F.col("mode") == "clauses", F.lit("clauses_not_supported"))
             .when(by_text & ~number & ~date & ~text, F.lit("unknown_field"))
         )
         checked = computed(checked, reason.alias("_reason")).drop("reason").withColumnRenamed("_reason", "reason")
-        good = checked.where(F.col("reason").isNull())
+        good = checked.where(F.col("reason").isNull()).withColumn(
+            "last", F.col("size").cast("bigint") + F.col("skip").cast("bigint"))
+        # Requests for a deep page are ranked by themselves, so they cost the others nothing.
+        near, deep = good.where(F.col("last") <= EARLY_CUT), good.where(F.col("last") > EARLY_CUT)
+        hits = page_per_query(self._hits(near), EARLY_CUT, key="id").join(near.select("query_id", "skip", "last"), "query_id")
+        pages = hits.unionByName(deep_pages(self._hits(deep), deep.select("query_id", "skip", "last"), key="id"))
+        return (
+            pages.where((F.col("rank") > F.col("skip")) & (F.col("rank") <= F.col("last")))
+            .select("query_id", "rank", "id", "score"),
+            checked.where(F.col("reason").isNotNull()).select("query_id", "reason"),
+        )
+
+    def _hits(self, good: DataFrame) -> DataFrame:
+        """(query_id, id, score) of accepted requests of all kinds."""
+        number, date = F.col("field").isin(NUMBER_FIELDS), F.col("field") == "dob"
+        text, by_text = F.col("field").isin(SEARCHED_FIELDS), F.col("mode") != "geo"
         asked = good.where(by_text)
-        hits = (
+        circles = good.where(~by_text).select("query_id", "lat", "lon", F.col("distance_km").alias("radius_km"))
+        return (
             match_many(self.index, None, asked.where(text)).withColumnRenamed("doc_id", "id")
             .unionByName(match_numbers_many(self.profiles, "id", NUMBER_FIELDS, asked.where(number)))
             .unionByName(match_dates_many(self.profiles, "id", "dob", asked.where(date)))
-            .unionByName(within_radius_many(
-                self.profiles,
-                good.where(~by_text).select("query_id", "lat", "lon", F.col("distance_km").alias("radius_km")),
-            ).select("query_id", "id", "score"))
-        )
-        deepest = good.agg(F.max(F.col("size") + F.col("skip")).alias("last")).first()["last"] or 0
-        limits = good.select("query_id", "size", "skip")
-        pages = (
-            page_per_query(hits, deepest, key="id").join(limits, "query_id")
-            .where((F.col("rank") > F.col("skip")) & (F.col("rank") <= F.col("skip") + F.col("size")))
-            .select("query_id", "rank", "id", "score")
+            .unionByName(within_radius_many(self.profiles, circles).select("query_id", "id", "score"))
         )
-        return pages, checked.where(F.col("reason").isNotNull()).select("query_id", "reason")
 
     def nicks(self, nick: str) -> DataFrame:
         if self.prefixes is None:

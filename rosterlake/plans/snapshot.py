@@ -1,18 +1,28 @@
 """Bucketed parquet tables that change bucket by bucket and switch by one small manifest.
 
 ``<root>/<table>/version=V/bucket=K/*.parquet`` holds the data, ``<root>/_manifests/N.json`` says
-which versions of each bucket are current. A writer adds a version directory with the buckets it
-replaces or appends to and then publishes the next manifest, so readers see all of a commit or none.
+which versions of each bucket are current. A writer adds a version directory of a name that no other
+writer uses, with the buckets it replaces or appends to, and then publishes the next manifest, so readers
+see all of a commit or none. A writer that finds its number taken starts again from the new manifest; what
+it wrote stays valid, and nothing that is committed is ever overwritten. Publishing needs a file system
+whose rename refuses an existing target.
 """
 
 from __future__ import annotations
 
 import json
+import time
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
+class LostRace(RuntimeError):
+    """Another writer published first."""
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """Layout of one table; ``key`` decides the bucket, ``order`` the row order inside a bucket.
@@ -32,8 +42,8 @@ class TableSpec:
 class Manifest:
     number: int = 0
     buckets: int = 64
-    batch: int | None = None
-    tables: dict[str, dict[int, list[int]]] = field(default_factory=dict)
+    batches: dict[str, int] = field(default_factory=dict)  # last batch committed of every stream
+    tables: dict[str, dict[int, list[str]]] = field(default_factory=dict)
     notes: dict[str, object] = field(default_factory=dict)
 
     def to_json(self) -> str:
@@ -89,7 +99,10 @@ class Snapshot:
     def create_if_absent(self, buckets: int = 64) -> "Snapshot":
         """Start an empty snapshot; the bucket count is fixed from here on."""
         if not self.exists():
-            self.publish(Manifest(1, buckets, None, {t: {} for t in self.specs}))
+            try:
+                self.publish(Manifest(1, buckets, {}, {t: {} for t in self.specs}))
+            except LostRace:
+                pass  # another writer has just created it
         return self
 
     def manifest(self) -> Manifest:
@@ -112,7 +125,7 @@ class Snapshot:
             return self.spark.createDataFrame([], schema)
         base = f"{self.root}/{table}"
         paths = [f"{base}/version={v}/bucket={b}" for b in chosen for v in current[b]]
-        layout = T.StructType(schema.fields + [T.StructField("version", T.IntegerType())])
+        layout = T.StructType(schema.fields + [T.StructField("version", T.StringType())])
         return (
             self.spark.read.schema(layout).option("basePath", base).parquet(*paths).drop("version")
         )
@@ -120,66 +133,80 @@ class Snapshot:
     # -- changes -----------------------------------------------------------------------------
 
     def draft(self) -> Manifest:
-        """The next manifest, to be filled by :meth:`replace` and :meth:`append` and published once."""
+        """The next manifest, to be filled by :meth:`replace` and published once."""
         now = self.manifest()
         tables = {t: {b: list(vs) for b, vs in m.items()} for t, m in now.tables.items()}
-        return Manifest(now.number + 1, now.buckets, now.batch, tables, dict(now.notes))
+        return Manifest(now.number + 1, now.buckets, dict(now.batches), tables, dict(now.notes))
+
+    def commit(self, change: Callable[[Manifest], bool | None], tries: int = 20) -> Manifest | None:
+        """Publish the current manifest as ``change`` alters it, again from the newer one after a lost race.
+
+        ``change`` only notes data that is written already; it returns False to give the commit up.
+        """
+        for n in range(tries):
+            draft = self.draft()
+            if change(draft) is False:
+                return None
+            try:
+                self.publish(draft)
+                return draft
+            except LostRace:
+                time.sleep(0.05 * (n + 1))
+        raise LostRace(f"gave up after {tries} lost races")
 
     def replace(self, draft: Manifest, table: str, rows: DataFrame | None, buckets: list[int]) -> None:
         """Write the new full contents of ``buckets``; ``None`` empties them."""
         current = draft.tables[table]
+        version, written = self.write(table, rows, draft.buckets) if rows is not None else ("", [])
         for b in buckets:
             current.pop(b, None)
-        if rows is not None:
-            current.update({b: [draft.number] for b in self._write(table, rows, draft)})
-
-    def append(self, draft: Manifest, table: str, rows: DataFrame) -> None:
-        """Write rows that are added to what is there."""
-        current = draft.tables[table]
-        for b in self._write(table, rows, draft):
-            current[b] = current.get(b, []) + [draft.number]
+        current.update({b: [version] for b in written})
 
     def publish(self, manifest: Manifest) -> None:
-        """Make a draft current; fails if another writer was first."""
+        """Make a draft current; raises :class:`LostRace` if another writer was first."""
         fs = self._fs()
         final = self._path(self._manifest_path(manifest.number))
-        pending = self._path(self._manifest_path(manifest.number) + ".pending")
+        pending = self._path(f"{self._manifest_path(manifest.number)}.{uuid.uuid4().hex}.pending")
         out = fs.create(pending, True)
         out.write(manifest.to_json().encode("utf-8"))
         out.close()
         if fs.exists(final) or not fs.rename(pending, final):
-            raise RuntimeError(f"manifest {manifest.number} was published by another writer")
+            fs.delete(pending, False)
+            raise LostRace(f"manifest {manifest.number} was published by another writer")
 
-    def _write(self, table: str, rows: DataFrame, draft: Manifest) -> list[int]:
-        """Write rows as a version of their buckets; returns the buckets that got any."""
+    def write(self, table: str, rows: DataFrame, buckets: int) -> tuple[str, list[int]]:
+        """Write rows as a new version of their buckets; returns its name and the buckets that got any."""
         spec = self.specs[table]
-        target = f"{self.root}/{table}/version={draft.number}"
-        placed = rows if "bucket" in rows.columns else rows.withColumn(
-            "bucket", self.bucket_of(table, draft.buckets))
+        version = f"w{uuid.uuid4().hex}"
+        target = f"{self.root}/{table}/version={version}"
+        placed = rows if "bucket" in rows.columns else rows.withColumn("bucket", self.bucket_of(table, buckets))
         placed = placed.select(*spec.schema.fieldNames(), "bucket")
         if spec.spread:
             placed = placed.hint("rebalance", F.col("bucket"))
         (
             placed.sortWithinPartitions("bucket", *spec.order)
-            .write.mode("overwrite").option("partitionOverwriteMode", "static")
-            .partitionBy("bucket").parquet(target)
+            .write.mode("errorifexists").partitionBy("bucket").parquet(target)
         )
-        return [int(n.split("=")[1]) for n in self._names(target) if n.startswith("bucket=")]
+        return version, [int(n.split("=")[1]) for n in self._names(target) if n.startswith("bucket=")]
+
+    def vacuum(self, keep: int = 2, unfinished_hours: float = 24.0) -> int:
+        """Delete bucket versions that none of the last ``keep`` manifests uses; returns how many.
 
-    def vacuum(self, keep: int = 2) -> int:
-        """Delete bucket versions that none of the last ``keep`` manifests uses; returns how many."""
+        Directories changed less than ``unfinished_hours`` ago stay: a writer may be about to commit them.
+        """
         numbers = self._manifest_numbers()
         used = [self._read_manifest(n).tables for n in numbers[-keep:]]
         fs, removed = self._fs(), 0
+        oldest = (time.time() - 3600 * unfinished_hours) * 1000
         for table in self.specs:
             live = {(v, b) for m in used for b, vs in m.get(table, {}).items() for v in vs}
             for version in self._names(f"{self.root}/{table}"):
-                v = int(version.split("=")[1])
-                if v > numbers[-1]:
-                    continue  # being written now
-                for bucket in self._names(f"{self.root}/{table}/{version}"):
-                    if bucket.startswith("bucket=") and (v, int(bucket.split("=")[1])) not in live:
-                        fs.delete(self._path(f"{self.root}/{table}/{version}/{bucket}"), True)
+                name, where = version.split("=")[1], f"{self.root}/{table}/{version}"
+                if fs.getFileStatus(self._path(where)).getModificationTime() > oldest:
+                    continue
+                for bucket in self._names(where):
+                    if bucket.startswith("bucket=") and (name, int(bucket.split("=")[1])) not in live:
+                        fs.delete(self._path(f"{where}/{bucket}"), True)
                         removed += 1
         for n in numbers[:-keep]:
             fs.delete(self._path(self._manifest_path(n)), False)

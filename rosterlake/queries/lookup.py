@@ -71,15 +71,14 @@ def geo_radius_batch(spark, folder):
 
 
 @query(f"""
-select lon as lng, lat, '{{"id":' || id || ',"nickname":"' || nickname || '"}}' as message, true as focus
+select lon as lng, lat, '{{"id":' || id || ',"nickname":"' || nickname
+         || '","location":{{"lon":' || lon || ',"lat":' || lat || '}}}}' as message, true as focus
 from (select *, {DISTANCE.format(lat1='10', lon1='20', lat2='lat', lon2='lon')} as d
       from ({standins.PROFILE_SQL})) where d <= 3000""", name="map_markers")
 def map_marker_rows(spark, folder):
     people = standins.profiles(table(spark, folder, "customer"))
     found = within_radius(people, 10, 20, 3000)
-    markers = map_markers(found.select("id", "nickname", "location"))
-    short = F.regexp_replace("message", r',"location":\{[^}]*\}', "")
-    return markers.withColumn("message", short)
+    return map_markers(found.select("id", "nickname", "location"))
 
 
 @query(f"""

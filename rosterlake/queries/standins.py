@@ -125,6 +125,10 @@ def json_messages(customer: DataFrame) -> DataFrame:
         .when(kind == 6, F.lit("not json"))
         .when(kind == 7, F.lit("[1]"))
         .when(kind == 8, F.concat(head, country, F.lit(',"city":5}')))
+        .when(kind == 9, F.concat(F.lit("\t"), good, F.lit(" \n")))
+        .when(kind == 10, F.concat(good, F.lit(' {"id":2}')))
+        .when(kind == 11, F.regexp_replace(F.regexp_replace(good, '"id"', '"ID"'), '"lon"', '"Lon"'))
+        .when(kind == 12, F.concat(good, F.lit(" x}")))
         .otherwise(good)
     )
     return customer.select(key.alias("key"), value.alias("value"))
@@ -139,5 +143,5 @@ select c_custkey as id, c_name as nickname,
             else (c_custkey * 17) % 181 - 90 end as double) as lat
 from customer where c_custkey % 13 not in ({refused})
 """
-LENIENT_SQL = DECODED_SQL.format(absent="0", refused="1, 2, 6, 7, 8")
-STRICT_SQL = DECODED_SQL.format(absent="null", refused="1, 2, 3, 4, 6, 7, 8")
+LENIENT_SQL = DECODED_SQL.format(absent="0", refused="1, 2, 6, 7, 8, 10, 12")
+STRICT_SQL = DECODED_SQL.format(absent="null", refused="1, 2, 3, 4, 6, 7, 8, 11")

@@ -34,7 +34,7 @@ from events where event_type is not null group by all""")
 def stream_tumbling_count(spark, folder):
     work = scratch(spark, "counts")
     drain(tumbling_counts(_event_stream(spark, folder), "ts", "event_type"),
-          f"{work}/checkpoint", parquet_log(f"{work}/log"), mode="update")
+          f"{work}/checkpoint", parquet_log(f"{work}/log", f"{work}/checkpoint"), mode="update")
     return _without_zone(latest_counts(spark.read.parquet(f"{work}/log"), "event_type"))
 
 
@@ -55,7 +55,7 @@ def stream_late_drop(spark, folder):
         part.write.mode("append").parquet(f"{work}/in")
         stream = spark.readStream.schema(events.schema).parquet(f"{work}/in")
         drain(tumbling_counts(stream, "ts", "event_type", "1 hour"),
-              f"{work}/checkpoint", parquet_log(f"{work}/log"), mode="update")
+              f"{work}/checkpoint", parquet_log(f"{work}/log", f"{work}/checkpoint"), mode="update")
     counts = latest_counts(spark.read.parquet(f"{work}/log"), "event_type")
     return _without_zone(counts.where(F.col("event_type") != "marker"))
 
@@ -78,7 +78,7 @@ def stream_country_count(spark, folder):
     table(spark, folder, "orders").select(
         F.concat(head, tail).alias("value"), sent.alias("timestamp")).write.parquet(f"{work}/topic")
     stream = spark.readStream.schema("value string, timestamp timestamp").parquet(f"{work}/topic")
-    drain(country_counts(stream), f"{work}/checkpoint", parquet_log(f"{work}/log"))
+    drain(country_counts(stream), f"{work}/checkpoint", parquet_log(f"{work}/log", f"{work}/checkpoint"))
     return _without_zone(latest_counts(spark.read.parquet(f"{work}/log"), "country"))
 
 
@@ -93,13 +93,13 @@ def stream_decode(spark, folder):
     return spark.read.parquet(f"{work}/out")
 
 
-@query("""
+_NEWEST = """
 select user_id as id, event_type as nickname, cast(floor(value) as integer) as weight, event_id as height from events
-qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1""")
-def stream_upsert(spark, folder):
-    """Events as profile messages in several micro-batches, upserted by user."""
-    work = scratch(spark, "upsert")
-    events = table(spark, folder, "events")
+qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1"""
+
+
+def _event_topic(events, path):
+    """Events as profile messages in several files, in order of time."""
     profile = F.struct(
         F.col("user_id").alias("id"), F.col("event_type").alias("nickname"),
         F.floor("value").cast("int").alias("weight"), F.col("event_id").cast("int").alias("height"))
@@ -107,12 +107,55 @@ def stream_upsert(spark, folder):
         events.select(
             F.to_json(profile).alias("value"), F.col("ts").cast("timestamp").alias("timestamp"),
             F.lit(0).alias("partition"), F.col("event_id").alias("offset"))
-        .repartitionByRange(4, "timestamp").write.parquet(f"{work}/topic")
+        .repartitionByRange(4, "timestamp").write.mode("append").parquet(path)
     )
-    stream = (
+
+
+def _follow_topic(spark, path):
+    return (
         spark.readStream.schema("value string, timestamp timestamp, partition int, offset bigint")
-        .option("maxFilesPerTrigger", 1).parquet(f"{work}/topic")
+        .option("maxFilesPerTrigger", 1).parquet(path)
     )
-    profiles = ProfileTable(spark, f"{work}/profiles", buckets=8, compact_after=3)
-    index_profiles(stream, profiles, f"{work}/checkpoint", available_now=True).awaitTermination()
+
+
+def _stored_events(profiles):
     return profiles.read().select("id", "nickname", "weight", F.col("height").cast("bigint").alias("height"))
+
+
+@query(_NEWEST)
+def stream_upsert(spark, folder):
+    """Events as profile messages in several micro-batches, upserted by user."""
+    work = scratch(spark, "upsert")
+    _event_topic(table(spark, folder, "events"), f"{work}/topic")
+    profiles = ProfileTable(spark, f"{work}/profiles", buckets=8, compact_after=3)
+    index_profiles(_follow_topic(spark, f"{work}/topic"), profiles, f"{work}/checkpoint",
+                   available_now=True).awaitTermination()
+    return _stored_events(profiles)
+
+
+@query(_NEWEST)
+def stream_upsert_two_streams(spark, folder):
+    """Two topics with half of the events each, upserted into one table by two streams."""
+    work = scratch(spark, "upsert-two")
+    events = table(spark, folder, "events")
+    profiles = ProfileTable(spark, f"{work}/profiles", buckets=8, compact_after=3)
+    for half in (0, 1):
+        _event_topic(events.where(F.col("event_id") % 2 == half), f"{work}/topic{half}")
+        index_profiles(_follow_topic(spark, f"{work}/topic{half}"), profiles, f"{work}/checkpoint{half}",
+                       available_now=True).awaitTermination()
+    return _stored_events(profiles)
+
+
+@query(_NEWEST)
+def stream_upsert_new_checkpoint(spark, folder):
+    """The older half of the events, then the newer half from a topic of its own after the checkpoint was lost."""
+    work = scratch(spark, "upsert-new")
+    events = table(spark, folder, "events")
+    middle = events.agg(F.expr("percentile_approx(unix_micros(cast(ts as timestamp)), 0.5)").alias("m")).first()["m"]
+    dated = events.withColumn("late", F.expr(f"unix_micros(cast(ts as timestamp)) > {middle}"))
+    profiles = ProfileTable(spark, f"{work}/profiles", buckets=8, compact_after=3)
+    for run, half in enumerate((~F.col("late"), F.col("late"))):
+        _event_topic(dated.where(half).select(*events.columns), f"{work}/topic{run}")
+        index_profiles(_follow_topic(spark, f"{work}/topic{run}"), profiles, f"{work}/checkpoint-of-run{run}",
+                       available_now=True).awaitTermination()
+    return _stored_events(profiles)

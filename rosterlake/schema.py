@@ -49,7 +49,6 @@ DATABASE_COLUMNS = [
     "pnum", "dob", "weight", "height", "nickname", "country", "city",
     "caption", "longitude", "latitude", "gender",
 ]
-DATABASE_ROW_CAP = 100_000
 
 # Fixed value: dates that mean "unknown".
 UNKNOWN_DATE = "0000-00-00"

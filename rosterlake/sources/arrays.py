@@ -5,21 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.barrier import computed
-from ..functions.wire import checked, parse
+from ..functions.wire import checked, one_value, outer_trim, parse
 
 
 def split_bodies(bodies: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
     """One row per profile of every acceptable body, and the refused bodies with a reason.
 
-    A body is refused as a whole when it is not a JSON array or when one element is malformed. A null
+    A body is refused as a whole when it is not one JSON array (white space may surround it) or when one
+    element is malformed. A null
     element counts as an empty profile. Other columns of ``bodies`` are kept on both sides.
     """
     text = F.col(body)
     kept = [c for c in bodies.columns if c != body]
     parts = computed(
-        bodies, F.when(F.ltrim(text).startswith("["), F.from_json(text, "array<string>")).alias("_parts"))
+        bodies, F.when(outer_trim(text).startswith("[") & one_value(text), F.from_json(text, "array<string>")).alias("_parts"))
     raw = computed(parts, F.transform("_parts", lambda x: F.struct(
-        F.coalesce(x, F.lit("{}")).alias("text"), parse(F.coalesce(x, F.lit("{}"))).alias("raw"))
+        F.coalesce(x, F.lit("{}")).alias("text"), parse(F.coalesce(x, F.lit("{}")), "ignore").alias("raw"))
     ).alias("_raw"))
     opened = computed(
         raw, F.transform("_raw", lambda r: checked(r["raw"], r["text"])).alias("_records"),

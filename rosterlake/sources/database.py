@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..schema import DATABASE_COLUMNS, DATABASE_ROW_CAP
+from ..schema import DATABASE_COLUMNS
 from .rejects import split_rejects
 
 
@@ -39,9 +39,14 @@ def jdbc_options(url: str, table: str, columns: list[str] | None = None,
 REQUIRED_COLUMNS = ["pnum", "country", "longitude", "latitude"]
 
 
-def first_rows(rows: DataFrame, cap: int | None = DATABASE_ROW_CAP, key: str = "pnum") -> DataFrame:
-    """The row cap of the extract, in key order so that reruns take the same rows."""
-    return rows if cap is None else rows.orderBy(F.col(key)).limit(cap)
+def first_rows(rows: DataFrame, cap: int | None = None, key: str = "pnum") -> DataFrame:
+    """All rows, or the first ``cap`` of them in key order (null keys last), so that reruns take the same rows."""
+    return rows if cap is None else rows.orderBy(F.asc_nulls_last(key)).limit(cap)
+
+
+def rows_cut(rows: DataFrame, cap: int | None) -> int:
+    """How many rows a cap leaves out."""
+    return 0 if cap is None else max(rows.count() - cap, 0)
 
 
 def missing_required(columns: list[str] | None = None) -> Column:
@@ -72,13 +77,13 @@ def type_rows(rows: DataFrame) -> DataFrame:
     )
 
 
-def scan(spark: SparkSession, url: str, table: str, cap: int | None = DATABASE_ROW_CAP,
+def scan(spark: SparkSession, url: str, table: str, cap: int | None = None,
          **options) -> DataFrame:
-    """Extract of one table, capped before rows are checked."""
+    """Extract of one table: all of it, or the first ``cap`` rows, taken before rows are checked."""
     rows = spark.read.format("jdbc").options(**jdbc_options(url, table, **options)).load()
     return first_rows(rows, cap)
 
 
-def read_profiles(spark: SparkSession, url: str, table: str, cap: int | None = DATABASE_ROW_CAP,
+def read_profiles(spark: SparkSession, url: str, table: str, cap: int | None = None,
                   **options) -> tuple[DataFrame, DataFrame]:
     return split_rejects(type_rows(scan(spark, url, table, cap, **options)))

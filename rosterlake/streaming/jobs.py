@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.wire import decode_messages
@@ -37,11 +38,25 @@ def drain(stream: DataFrame, checkpoint: str, sink, **options) -> StreamingQuery
     return query
 
 
-def parquet_log(path: str) -> Callable[[DataFrame, int], None]:
-    """Sink that keeps the output of every batch in its own folder; a replayed batch overwrites itself."""
+def stream_identity(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream of a checkpoint; a fresh checkpoint has another one."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/metadata")
+    stream = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).open(where)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))["id"]
+    finally:
+        stream.close()
+
+
+def parquet_log(path: str, checkpoint: str) -> Callable[[DataFrame, int], None]:
+    """Sink that keeps the output of every batch of every stream in its own folder.
+
+    A replayed batch overwrites itself and nothing else; a stream with a fresh checkpoint adds its own.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        stream = stream_identity(batch.sparkSession, checkpoint)
+        batch.write.mode("overwrite").parquet(f"{path}/stream={stream}/batch={batch_id}")
 
     return write
 
@@ -67,8 +82,9 @@ def index_profiles(messages: DataFrame, table: ProfileTable, checkpoint: str,
     """Decode a message stream (``value``, ``timestamp`` and, from a topic, ``partition`` and
     ``offset``) and upsert it into the serving table.
 
-    A batch is committed to the table before its offsets are, and the table skips batches it has,
-    so a restart neither loses nor repeats an update. Records without ``partition`` and ``offset`` are
+    A batch is committed to the table before its offsets are, and the table skips batches it has from the
+    same stream, so a restart neither loses nor repeats an update, and a second stream or a fresh checkpoint
+    loses nothing. Records without ``partition`` and ``offset`` are
     ordered by time only. ``after`` is called with the decoded profiles of a batch once they are stored,
     for example to refresh a search index with their current rows; it may be called again for a batch
     that is replayed.
@@ -82,16 +98,19 @@ def index_profiles(messages: DataFrame, table: ProfileTable, checkpoint: str,
     )
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        stream = stream_identity(batch.sparkSession, checkpoint)
         reread = dead_letters or after
         if reread:
             batch.persist()
-        good, dead = decode_messages(batch)
-        table.upsert(good, batch_id)
-        if dead_letters:
-            dead.write.mode("overwrite").parquet(f"{dead_letters}/batch={batch_id}")
-        if after:
-            after(good, batch_id)
-        if reread:
-            batch.unpersist()
+        try:
+            good, dead = decode_messages(batch)
+            table.upsert(good, batch_id, stream)
+            if dead_letters:
+                dead.write.mode("overwrite").parquet(f"{dead_letters}/stream={stream}/batch={batch_id}")
+            if after:
+                after(good, batch_id)
+        finally:
+            if reread:
+                batch.unpersist()
 
     return start(stamped, checkpoint, sink, mode="append", **options)
