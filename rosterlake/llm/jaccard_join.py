@@ -39,7 +39,7 @@ from .shingles import difference_bound, histogram, overlap, shingle_sets
 class Settings:
     words: int = 5           # words in a shingle
     percent: int = 75        # least share of the union, in percent
-    counter_bits: int = 22   # size of the counting table
+    counter_bits: int = 24   # size of the counting table (one byte each when it is sent to tasks)
     hot: int = 1000          # counted documents from which a shingle is split over tasks
     block: int = 512         # members compared in one block
 
@@ -97,12 +97,13 @@ def _counting_table(profiles: DataFrame, settings: Settings) -> np.ndarray:
     parts = profiles.where("chunk is not null").select("chunk", "counts")
     # Two rounds, so that no task adds up more than a share of the tables of one chunk.
     parts = parts.repartition("chunk", F.pmod(F.spark_partition_id(), F.lit(16))).mapInArrow(add, "chunk int, counts binary")
-    parts = parts.repartition("chunk").mapInArrow(add, "chunk int, counts binary")
-    table = np.zeros(1 << settings.counter_bits, np.uint32)
+    parts = stored(parts.repartition("chunk").mapInArrow(add, "chunk int, counts binary"), "counting-table")
+    table = np.zeros(1 << settings.counter_bits, np.uint8)
     size = min(1 << CHUNK_BITS, len(table))
-    for row in parts.collect():
-        table[row.chunk * size:(row.chunk + 1) * size] = np.frombuffer(zlib.decompress(row.counts), np.uint32)
-    return np.minimum(4 * np.log2(1.0 + table), 255).astype(np.uint8)
+    for row in parts.toLocalIterator():
+        counts = np.frombuffer(zlib.decompress(row.counts), np.uint32)
+        table[row.chunk * size:(row.chunk + 1) * size] = np.minimum(4 * np.log2(1.0 + counts), 255)
+    return table
 
 
 def _prefixes(docs: DataFrame, order, settings: Settings) -> DataFrame:
@@ -233,10 +234,11 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]
 def _verify(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
     """lead, member for the pairs that reach the similarity. The leader's set goes to all tasks of its members."""
     salts = pairs.groupBy("lead").agg(F.ceil(F.count("*") / settings.block).cast("int").alias("salts"))
-    members = (pairs.join(salts, "lead").join(sets, F.col("member") == F.col("sig"))
-               .select("lead", F.pmod(F.col("member"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("side"), "sig", "set"))
-    leaders = (salts.join(sets, F.col("lead") == F.col("sig"))
-               .select("lead", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("side"), "sig", "set"))
+    members = pairs.join(salts, "lead").select(
+        "lead", F.pmod(F.col("member"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("side"), F.col("member").alias("sig"))
+    leaders = salts.select(
+        "lead", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("side"), F.col("lead").alias("sig"))
+    asked = members.union(leaders).join(sets, "sig").select("lead", "salt", "side", "sig", "set")
 
     def run(batches):
         lead, own = None, np.zeros(0, U64)
@@ -250,7 +252,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
                     hits.append((group, sig))
             yield pa.RecordBatch.from_arrays([pa.array([h[i] for h in hits], pa.int64()) for i in (0, 1)], ["lead", "member"])
 
-    return (members.union(leaders).repartition("lead", "salt").sortWithinPartitions("lead", "salt", "side")
+    return (asked.repartition("lead", "salt").sortWithinPartitions("lead", "salt", "side")
             .mapInArrow(run, "lead long, member long"))
 
 
