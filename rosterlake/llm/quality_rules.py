@@ -123,8 +123,9 @@ def references(docs: DataFrame, settings: Divergence) -> DataFrame:
     by_class = (classes.rollup("lang").agg(F.grouping("lang").alias("pool"), F.sum("n_words").alias("of_words"), *sums)
                 .select("lang", "pool", "of_words", F.array(*[F.col(f"c{i}") for i in range(n)]).alias("h")))
     by_class = computed(by_class, class_shares(F.col("h")).alias("class_ref"), keep=["lang", "pool", "of_words"])
-    per_word = (docs.select("lang", F.explode(words(F.lower("text"))).alias("word"))
-                .groupBy("lang", "word").agg(F.count("*").alias("n")))
+    # Written once: ranked by language and in the pool.
+    per_word = stored(docs.select("lang", F.explode(words(F.lower("text"))).alias("word"))
+                      .groupBy("lang", "word").agg(F.count("*").alias("n")), "word-counts")
     pooled = per_word.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), F.lit(1).alias("pool"), "word", "n")
     ranked = per_word.select("lang", F.lit(0).alias("pool"), "word", "n").unionByName(pooled)
     first = Window.partitionBy("lang", "pool").orderBy(F.desc("n"), "word")

@@ -27,7 +27,7 @@ def part_of(texts):
 def test_quality_is_learned(documents, empty):
     rng = random.Random(1)
     good = [prose(rng) for _ in range(150)]
-    bad = [" ".join(w + "###" for w in prose(rng).split()) for _ in range(50)] + [" ".join([w] * 40) for w in prose(rng, n=50).split()]
+    bad = [" ".join(w + "###" for w in prose(rng).split()) for _ in range(50)] + [" ".join(w for w in prose(rng, n=10).split() for _ in range(8)) for _ in range(50)]
     sample = [(t, 1) for t in good[:100]] + [(t, 0) for t in bad[:40] + bad[50:90]]
     model = quality_model.fit(sample, (80, 100))
     part = part_of(good[100:] + bad[40:50] + bad[90:])
