@@ -60,15 +60,16 @@ def coin(key: Column, seed: str) -> Column:
 
 
 def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
-        weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, seed: str = "mix") -> DataFrame:
-    """``row`` (all columns of the document), size, source_size, target, copies: one row per input row.
+        weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, seed: str = "mix",
+        carried: Column | None = None) -> DataFrame:
+    """``row`` (all columns of the document, or ``carried``), size, source_size, target, copies: one row per input row.
 
     Null and empty texts have size 0 and are taken like the others. A null source is a source of its own, null
     ids share one coin, repeated rows are taken alike. An empty table gives an empty table. The table of sources
     is aggregated per task first and joined; its size, not a hint, decides how.
     """
     sized = docs.select(
-        whole_row(docs).alias("row"), column(source_column).alias("source"),
+        (whole_row(docs) if carried is None else carried).alias("row"), column(source_column).alias("source"),
         column(id_column).alias("key"), word_count(column(text_column)).alias("size"))
     targets = source_targets(sized.select("source", "size"), weights, most).withColumnRenamed("source", "of_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))

@@ -69,8 +69,8 @@ from rated
 """)
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the weights of their sources."""
-    mixed = mixing.mix(table(spark, sf_dir, "documents"))
-    return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), carried=F.col("doc_id"))
+    return mixed.select(F.col("row").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 @query()
