@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.text import query_tokens, tokens
 from .bounded import has_at_most
 from .scoring import SCORE_DIGITS, inverse_document_frequency, term_weight
-from .textindex import WHOLE, TextIndex
+from .textindex import WHOLE, TextIndex, term_bucket
 
 
 # -- clauses ---------------------------------------------------------------------------------
@@ -387,8 +387,9 @@ def match_many(index: TextIndex, field: str | None, queries: DataFrame, query_id
     """(query_id, doc_id, score) for a table of requests; all of them share one pass over the postings.
 
     ``field`` is searched by all requests, or each names its own in a ``field`` column when it is None.
-    The words of the requests are counted first. Up to a fixed number they are sent to all tasks, and
-    postings placed by document are then scored where they are. Beyond it the postings are joined by
+    The words of the requests are counted first. Up to a fixed size they are sent to all tasks, and
+    postings placed by document are then scored where they are. Of a stored index only the buckets of those
+    words are read. Beyond the size the postings are joined by
     word, and adaptive execution splits the hot ones.
     """
     own_field = F.lit(field) if field is not None else F.col("field")
@@ -400,6 +401,10 @@ def match_many(index: TextIndex, field: str | None, queries: DataFrame, query_id
     wanted = exploded.groupBy("query_id", *word).agg(F.count(F.lit(1)).alias("qtf"))
     words = send(exploded.select(*word).distinct())
     fields = F.lit(True) if field is None else F.col("field") == field
+    if index.buckets is not None:
+        # The buckets that hold the words, at most all of them: directories of others are not opened.
+        bucket = term_bucket(F.col("term"), index.buckets)
+        fields = fields & F.col("bucket").isin([r[0] for r in exploded.select(bucket).distinct().collect()])
     postings = index.postings.where(fields).join(words, word, "left_semi")
     frequency = index.term_stats.where(fields).join(words, word, "left_semi").select(*word, "df")
     weights = wanted.join(frequency, word)

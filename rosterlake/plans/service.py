@@ -8,7 +8,7 @@ from ..functions.barrier import computed
 from ..functions.parsing import read_double, strict_long
 from ..operators.around import within_radius, within_radius_many
 from ..operators.bounded import BROADCAST_ROWS
-from ..operators.facets import BUCKETS, facet_dates, facet_tokens, facet_values
+from ..operators.facets import BUCKETS, facet_dates, facet_terms, facet_tokens, facet_values
 from ..operators.fields import is_period, match_date, match_dates_many, match_number, match_numbers_many
 from ..operators.requests import DEFAULT_SIZE, DEFAULT_SKIP, normalise
 from ..operators.scoring import EARLY_CUT, check_page, deep_pages, page, page_per_query, total_hits
@@ -141,5 +141,7 @@ class ProfileSearch:
         if field == "dob":
             return facet_dates(self.profiles, field, size)
         if by_token:
+            if field in (self.index.known or {}):
+                return facet_terms(self.index.term_stats.where(F.col("field") == field), size)
             return facet_tokens(self.profiles, field, size)
         return facet_values(self.profiles, field, size)

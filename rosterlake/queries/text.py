@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import tokens
 from ..operators.requests import normalise
+from ..operators.facets import facet_terms
 from ..operators.scoring import page, page_after, page_per_query, total_hits
 from ..operators.search import (
     Fuzzy, Prefix, Word, all_of, any_of, match, match_many, none_of, phrase, search,
@@ -106,14 +107,17 @@ def match_topk_rows(spark, folder):
     return docs.join(F.broadcast(best), "doc_id")
 
 
-@query(f"""with {_tables()},
+_BATCH_SQL = f"""with {_tables()},
 q as (select item_id as query_id, unnest({TOKENS.format('text')}) as term from benchmark),
 qt as (select query_id, term, count(*) as qtf from q group by all),
 hits as (select query_id, doc_id, round(sum(qtf * {_bm25()}), 6) as score
          from qt join p using (term) join d using (term), s group by all)
 select query_id, doc_id, score, cast(rank as integer) as rank from (
   select *, row_number() over (partition by query_id order by score desc, doc_id) as rank from hits)
-where rank <= 10""")
+where rank <= 10"""
+
+
+@query(_BATCH_SQL)
 def match_topk_batch(spark, folder):
     requests = table(spark, folder, "benchmark")
     return page_per_query(match_many(_index(spark, folder, whole=True), FIELD, requests, "item_id", "text"), 10)
@@ -285,6 +289,23 @@ def stored_match_topk(spark, folder):
     return page(match(stored.open(), FIELD, TEXT), 100)
 
 
+@query(_BATCH_SQL)
+def stored_match_batch(spark, folder):
+    """The table of requests against an index on disk."""
+    stored = StoredIndex(spark, scratch(spark, "index"), "doc_id", {FIELD: F.col("text")}, buckets=16)
+    stored.build(table(spark, folder, "documents"))
+    return page_per_query(match_many(stored.open(), FIELD, table(spark, folder, "benchmark"), "item_id", "text"), 10)
+
+
+@query(f"""with {_tables()}
+select term as key, df as count from d order by df desc, term limit 10""")
+def stored_facet_token(spark, folder):
+    """The most frequent words, from the term statistics of an index on disk."""
+    stored = StoredIndex(spark, scratch(spark, "index"), "doc_id", {FIELD: F.col("text")}, buckets=16)
+    stored.build(table(spark, folder, "documents"))
+    return facet_terms(stored.open().term_stats, 10)
+
+
 @query(f"""with mixed as (
   select doc_id, case when doc_id % 3 = 0 then source || ' ' || text else text end as body
   from documents where doc_id % 5 <> 1),

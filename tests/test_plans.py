@@ -95,6 +95,35 @@ def test_a_table_of_requests_equals_single_ones(spark, stored):
     assert len(got[1]) == 7 and len(got[6]) == 5 and got[7][0][1] == 77 and 8 not in got
 
 
+def test_no_request_spoils_the_others(spark, stored):
+    columns = ["field", "query", "distance", "lat", "lon", "l", "s", "w"]
+    odd = {
+        1: ("", "", "inf", "1", "1", "", "", ""), 2: ("", "", "nan", "1", "1", "", "", ""),
+        3: ("", "", "-5", "1", "1", "", "", ""), 4: ("", "", "5", "95", "1", "", "", ""),
+        5: ("", "", "5", "nan", "1", "", "", ""), 6: ("", "", "5", "1", "1e12", "", "", ""),
+        7: ("dob", "1951-99", "", "", "", "", "", ""), 8: ("city", "york", "", "", "", "", "", "true"),
+        9: ("city", "york", "", "", "", "2147483647", "10", ""), 10: ("city", "york", "", "", "", "3", "", ""),
+        11: ("city", "york", "", "", "", "5", "1000000", ""), 12: ("", "", "1e12", "10", "10", "7", "", ""),
+        13: ("", "", "3000", "90", "180", "", "", ""),
+    }
+    table = spark.createDataFrame(
+        [(q, *r) for q, r in odd.items()], "query_id int, " + ", ".join(f"{c} string" for c in columns))
+    pages, refused = stored.answer_many(table)
+    assert {r["query_id"]: r["reason"] for r in refused.collect()} == {
+        1: "bad_distance", 2: "bad_distance", 3: "bad_distance", 4: "bad_lat", 5: "bad_lat", 6: "bad_lon",
+        7: "not_a_date", 8: "clauses_not_supported"}
+    got = {}
+    for r in pages.collect():
+        got.setdefault(r["query_id"], []).append(r["rank"])
+    york = sum(p[7] != "Gdansk" for p in PEOPLE)
+    assert sorted(got[9]) == list(range(11, york + 1)) and sorted(got[10]) == [1, 2, 3] and sorted(got[12]) == list(range(1, 8))
+    assert 11 not in got
+    for q in range(1, 8):
+        field, query, distance, lat, lon, *_ = odd[q]
+        with pytest.raises(ValueError):
+            stored.users(field=field, query=query, distance=distance, lat=lat, lon=lon)
+
+
 def test_refused_requests(stored):
     for request in ({}, {"distance": "5", "lat": "x", "lon": "1"}, {"field": "gender", "query": "male"},
                     {"field": "shoe", "query": "x"}, {"query": "x", "size": -1}):
@@ -198,3 +227,12 @@ def test_the_shared_folder_is_the_one_the_session_names(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert configured is None or shared_dir(spark) == configured.rstrip("/")
     assert scratch(spark, "x") != scratch(spark, "x")
+
+
+def test_a_table_of_requests_reads_only_the_buckets_of_its_words(spark, stored):
+    asked = spark.createDataFrame([(1, "york"), (2, "york york")], "query_id int, query string")
+    found = match_many(stored.index, "city", asked)
+    scans = [line for line in plan_of(found).splitlines() if "FileScan" in line]
+    assert len(scans) == 2 and all("bucket" in s.split("PartitionFilters")[1].split("PushedFilters")[0] for s in scans)
+    assert found.where("query_id = 2").count() == sum(p[7] != "Gdansk" for p in PEOPLE)
+    assert match_many(stored.index, "city", asked.limit(0)).count() == 0

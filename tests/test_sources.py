@@ -112,3 +112,9 @@ def test_publishing_to_a_folder(spark, tmp_path):
     messages.publish_to_folder(messages.to_messages(people), str(tmp_path / "topic"))
     assert [r["value"] for r in spark.read.text(str(tmp_path / "topic")).collect()] == ['{"id":1,"city":"x"}']
     assert messages.kafka_options("b:9092", "users")["kafka.retries"] == "10"
+
+
+def test_database_rows_are_all_taken_unless_a_cap_is_named(spark):
+    rows = spark.createDataFrame([(None,), (5,), (None,), (3,)], "pnum bigint")
+    assert database.first_rows(rows).count() == 4 and database.rows_cut(rows, None) == 0
+    assert [r["pnum"] for r in database.first_rows(rows, 2).collect()] == [3, 5] and database.rows_cut(rows, 2) == 2

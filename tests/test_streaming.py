@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from rosterlake.operators.search import match
 from rosterlake.plans.indexing import StoredIndex
-import rosterlake.plans.profiles as profiles_module
 from rosterlake.plans.profiles import VERSION, ProfileTable
+from rosterlake.plans.snapshot import LostRace
 from rosterlake.schema import PROFILE
 from rosterlake.sources.messages import follow_folder
 from rosterlake.streaming.counts import running_counts, tumbling_counts
@@ -65,7 +65,7 @@ def test_stream_and_batch_agree(spark, tmp_path):
     for i in range(0, 500, 100):
         add_file(spark, str(tmp_path / "in"), rows[i:i + 100])
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    drain(tumbling_counts(stream, "ts", "country"), str(tmp_path / "cp"), parquet_log(str(tmp_path / "log")))
+    drain(tumbling_counts(stream, "ts", "country"), str(tmp_path / "cp"), parquet_log(str(tmp_path / "log"), str(tmp_path / "cp")))
     streamed = latest_counts(spark.read.parquet(str(tmp_path / "log")), "country")
     batch = tumbling_counts(spark.createDataFrame(rows, SCHEMA), "ts", "country")
     columns = ["window_start", "window_end", "country", "count"]
@@ -162,9 +162,7 @@ def test_a_batch_merges_its_share_of_the_buckets(spark, tmp_path):
     assert contents(table) == {i: "b3" for i in range(40)}
 
 
-@pytest.mark.parametrize("named", [10_000, 1])
-def test_current_rows_of_some_ids(spark, tmp_path, monkeypatch, named):
-    monkeypatch.setattr(profiles_module, "NAMED_IDS", named)
+def test_current_rows_of_some_ids(spark, tmp_path):
     table = ProfileTable(spark, str(tmp_path / "t"), buckets=4, compact_after=2)
     table.upsert(spark.createDataFrame([change(i, "a", 0) for i in range(30)], CHANGES), 0)
     table.upsert(spark.createDataFrame([change(i, "b", 1) for i in (3, 4)], CHANGES), 1)
@@ -174,12 +172,53 @@ def test_current_rows_of_some_ids(spark, tmp_path, monkeypatch, named):
     assert table.current(ids.where("id = 99")).count() == 0
 
 
-def test_two_writers_cannot_publish_the_same_manifest(spark, tmp_path):
+def test_two_writers_keep_each_others_rows(spark, tmp_path):
+    """Both write from the same manifest; the second publishes on top of the first."""
     table = ProfileTable(spark, str(tmp_path / "t"), buckets=2)
-    one, two = table.snapshot.draft(), table.snapshot.draft()
-    table.snapshot.publish(one)
-    with pytest.raises(RuntimeError, match="another writer"):
-        table.snapshot.publish(two)
+    other = ProfileTable(spark, str(tmp_path / "t"), buckets=2)
+    write, publish = table.snapshot.write, table.snapshot.publish
+
+    def slow_write(*args):
+        written = write(*args)
+        if not contents(other):
+            other.upsert(spark.createDataFrame([change(i, "winner", 0) for i in range(10)], CHANGES), 0, "other")
+        return written
+
+    table.snapshot.write = slow_write
+    table.upsert(spark.createDataFrame([change(i, "late", 1) for i in range(8, 20)], CHANGES), 0, "one")
+    want = {**{i: "winner" for i in range(8)}, **{i: "late" for i in range(8, 20)}}
+    assert contents(table) == want == contents(other)
+
+    stale = table.snapshot.draft()
+    publish(table.snapshot.draft())
+    with pytest.raises(LostRace):
+        publish(stale)
+    assert contents(table) == want
+
+
+def test_a_lost_race_is_run_again(spark, tmp_path):
+    table = ProfileTable(spark, str(tmp_path / "t"), buckets=2)
+    other = ProfileTable(spark, str(tmp_path / "t"), buckets=2)
+    drafts = []
+    draft = table.snapshot.draft
+
+    def overtaken():
+        drafts.append(draft())
+        if len(drafts) == 1:
+            other.upsert(spark.createDataFrame([change(1, "other", 0)], CHANGES))
+        return drafts[-1]
+
+    table.snapshot.draft = overtaken
+    table.upsert(spark.createDataFrame([change(2, "mine", 0)], CHANGES))
+    assert contents(table) == {1: "other", 2: "mine"} and len(drafts) == 2
+
+
+def test_batch_numbers_belong_to_their_stream(spark, tmp_path):
+    table = ProfileTable(spark, str(tmp_path / "t"), buckets=2)
+    for stream, email in (("a", "x"), ("b", "y"), ("a", "skipped")):
+        rows = [change(ord(stream) if email != "skipped" else 1, email, 0)]
+        table.upsert(spark.createDataFrame(rows, CHANGES), 0, stream)
+    assert contents(table) == {97: "x", 98: "y"} and table.snapshot.manifest().batches == {"a": 0, "b": 0}
 
 
 def test_an_existing_table_is_opened_as_it_is(spark, tmp_path):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rosterlake.functions.wire import decode_messages, encode, parse_required, to_serving
 from rosterlake.schema import PROFILE
+from rosterlake.sources.arrays import split_bodies
 
 
 def decode(spark, *texts, **options):
@@ -23,6 +24,26 @@ def test_what_the_lenient_decoder_takes(spark):
     assert tuple(good[7]["location"]) == (0.0, 3.0)
 
 
+def test_the_whole_text_is_one_record(spark):
+    texts = ['{"id":1}\n', '\r\n\t {"id":2} ', '{"id":3} {"id":4}', '{"id":5} x}', '{"id":6}]', '{"id":7},{"id":8}',
+             '{"ID":9,"Nickname":"x","LOCATION":{"Lon":2}}', '{"id":1,"ID":10}', '{"id":11,"caption":"\\"ID\\": 5"}',
+             '{"id":12}],{"id":13}', None]
+    good, dead = decode(spark, *texts)
+    assert {n: r["id"] for n, r in good.items()} == {0: 1, 1: 2, 6: 9, 7: 10, 8: 11}
+    assert good[6]["nickname"] == "x" and good[6]["location"]["lon"] == 2.0 and good[8]["caption"] == '"ID": 5'
+    assert sorted(dead) == [2, 3, 4, 5, 9, 10]
+    good, _ = decode(spark, '{"ID":9}', unknown_fields="reject")
+    assert not good
+
+
+def test_bodies_are_one_array(spark):
+    bodies = ['\n[{"id":1},{"ID":2}]\r\n', '[{"id":3}] junk', '[{"id":3}][', ' {"id":4}', '[{"id":5},null]', "[]", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(bodies)], "n int, body string")
+    good, bad = split_bodies(rows)
+    assert sorted((r["n"], r["id"]) for r in good.collect()) == [(0, 1), (0, 2), (4, 0), (4, 5)]
+    assert {r["n"]: r["reason"] for r in bad.collect()} == {n: "not_an_array" for n in (1, 2, 3, 6)}
+
+
 def test_what_the_strict_decoder_takes(spark):
     good, _ = decode(
         spark, '{"id":1,"extra":1}', '{"location":{"lon":1,"alt":2}}', '{"id":5,"location":{"lon":1}}',
