@@ -1,3 +1,5 @@
+"""Fixtures and rows that the tests of all operators share."""
+
 import pytest
 from pyspark.sql import types as T
 

@@ -7,7 +7,7 @@ from rosterlake.llm.jaccard_join import Settings, _block_links, _possible, keep_
 from rosterlake.llm.shingles import difference_bound, histogram, overlap
 import numpy as np
 
-from conftest import ODD_TEXTS, rows
+from odd_rows import documents, empty, ODD_TEXTS, rows  # noqa: F401  (fixtures)
 
 
 def shingles(text, n=5):

@@ -1,6 +1,6 @@
 from rosterlake.llm.mixing import emit, mix, source_targets
 
-from conftest import ODD_TEXTS, rows
+from odd_rows import documents, empty, ODD_TEXTS, rows  # noqa: F401  (fixtures)
 
 
 def shared(sizes, weights):

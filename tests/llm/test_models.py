@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rosterlake.llm import language_gru, learning, quality_model, toxic_spans
 from rosterlake.llm.bytetext import slices
 
-from conftest import ODD_TEXTS
+from odd_rows import documents, empty, ODD_TEXTS  # noqa: F401  (fixtures)
 
 SYLLABLES = {"en": "the an er th on in ing".split(), "de": "sch en ein ver ü keit".split(), "fr": "eau é ou è ment le".split()}
 

@@ -8,7 +8,7 @@ import sentencepiece
 
 from rosterlake.llm.pieces import CharacterMap, PieceModel, _fields, decode, encode, load
 
-from conftest import ODD_TEXTS
+from odd_rows import documents, empty, ODD_TEXTS  # noqa: F401  (fixtures)
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=PATH)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from rosterlake.llm.pii_context import KINDS, Settings, attach, find, mask, shown
 
-from conftest import ODD_TEXTS
+from odd_rows import documents, empty, ODD_TEXTS  # noqa: F401  (fixtures)
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
             "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}

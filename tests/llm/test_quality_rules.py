@@ -4,7 +4,7 @@ import re
 
 from rosterlake.llm.quality_rules import Divergence, judge, keep
 
-from conftest import ODD_TEXTS
+from odd_rows import documents, empty, ODD_TEXTS  # noqa: F401  (fixtures)
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 
