@@ -118,7 +118,12 @@ class PieceModel:
         apart = [c for c in map(chr, range(128)) if c != " " and not c.isalpha() and not any(
             (a == c and b.isalpha()) or (b == c and a.isalpha()) for a, b in joined)]
         marks = "[" + re.escape("".join(apart)) + "]" if apart else r"(?!)"
-        self.stretches = re.compile(rf" *[^\W\d_]++(?={marks})|{marks}++(?=[^\W\d_])| *[^ ]+| +")
+        # The class of letters below also holds signs such as '²'; one that pieces join to such a mark ends nothing.
+        odd = sorted({a for pair in joined for a, b in (pair, pair[::-1])
+                      if b in apart and not a.isalpha() and re.fullmatch(r"[^\W\d_]", a)})
+        ends = "(?<![" + re.escape("".join(odd)) + "])" if odd else ""
+        goes_on = "(?![" + re.escape("".join(odd)) + "])" if odd else ""
+        self.stretches = re.compile(rf" *[^\W\d_]++{ends}(?={marks})|{marks}++(?=[^\W\d_]){goes_on}| *[^ ]+| +")
         self.unknown = next(i for i, (_, _, kind) in enumerate(pieces) if kind == UNKNOWN)
         self.of_byte = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == BYTE}
         self.fallback = len(self.of_byte) == 256

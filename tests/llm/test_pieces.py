@@ -38,6 +38,20 @@ def test_ids_and_texts_equal_the_library(documents, empty):
     assert encode(empty, PATH).count() == 0
 
 
+def test_signs_among_letters_keep_the_marks_that_pieces_join_to_them():
+    rng, model = random.Random(9), load(PATH)
+    texts = ["m².", "km². And", "area².x", ".²a", "²", "x² .", "½.a", "m³.", "a.²"]
+    texts += ["".join(rng.choice("am².³½¹ ,:_0é") for _ in range(rng.randrange(1, 12))) for _ in range(2000)]
+    ids, ends, _ = model.encode_plain(texts)
+    for text, a, b in zip(texts, ends[:-1], ends[1:]):
+        assert ids[a:b].tolist() == LIBRARY.encode(text), text
+    # Every neighbourhood inside a piece, in the middle of letters.
+    inside = ["ab" + p.replace("▁", " ") + "cd" for p in model.ids if not p.isalpha()]
+    ids, ends, _ = model.encode_plain(inside)
+    for text, a, b in zip(inside, ends[:-1], ends[1:]):
+        assert ids[a:b].tolist() == LIBRARY.encode(text), text
+
+
 def test_a_character_map_normalises_like_the_library():
     def normaliser(squeeze):
         return sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc", add_dummy_prefix=False, escape_whitespaces=False,
