@@ -1,8 +1,9 @@
 """Main text of web pages: flat text blocks, classified by a tree over each block and its neighbours.
 
 A page is cut into blocks wherever a block-level tag begins or ends. A block is described by its word count and
-link density, those of the blocks before and after it, and four marks of the elements around it (article, page
-furniture, a telling class or id, heading). A tree learned from the labelled blocks below keeps or drops it.
+link density, those of the blocks before and after it, and marks of the elements around it (article, page furniture,
+a telling class or id, hidden, heading). An article inside furniture clears the marks of what is around it; that there
+were some is a mark of its own. A tree learned from the labelled blocks below keeps or drops a block.
 """
 
 from __future__ import annotations
@@ -41,8 +42,11 @@ _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 
-#: Marks of an element and of everything inside it.
-STORY_MARK, FURNITURE_MARK, TELLING_MARK, HIDDEN_MARK = 1, 2, 4, 8
+# Fixed value: words from which a block is long, however long it is.
+LONG = 32
+
+#: Marks of an element and of everything inside it; the last one tells that an article cleared others.
+STORY_MARK, FURNITURE_MARK, TELLING_MARK, HIDDEN_MARK, CLEARED_MARK = 1, 2, 4, 8, 16
 
 
 @dataclass
@@ -58,19 +62,19 @@ class Block:
 def _marks(tag: str, attributes: str, outer: int) -> int:
     """Marks of an element, given those of the elements around it."""
     marks = outer
-    if tag in ARTICLE:
+    named = attributes and tag not in ("html", "body")
+    parts = {p for found in _NAMED.finditer(attributes)
+             for p in re.split(r"[^a-z]+", (found[1] or found[2] or found[3] or "").lower())} if named else set()
+    if tag in ARTICLE or parts & STORY:
         marks |= STORY_MARK
+        if outer & (FURNITURE_MARK | TELLING_MARK) and tag not in FURNITURE and not parts & TELLING:
+            marks = marks & ~(FURNITURE_MARK | TELLING_MARK) | CLEARED_MARK
     if tag in FURNITURE and not (tag == "header" and outer & STORY_MARK):
         marks |= FURNITURE_MARK
-    if attributes and tag not in ("html", "body"):
-        if _HIDDEN.search(attributes):
-            marks |= HIDDEN_MARK
-        parts = {p for found in _NAMED.finditer(attributes)
-                 for p in re.split(r"[^a-z]+", (found[1] or found[2] or found[3] or "").lower())}
-        if parts & STORY:
-            marks |= STORY_MARK
-        if parts & TELLING and tag not in ARTICLE:
-            marks |= TELLING_MARK
+    if named and _HIDDEN.search(attributes):
+        marks |= HIDDEN_MARK
+    if parts & TELLING and tag not in ARTICLE:
+        marks |= TELLING_MARK
     return marks
 
 
@@ -138,17 +142,21 @@ def blocks(page: str) -> list[Block]:
 
 
 def features(found: list[Block]) -> np.ndarray:
-    """One row per block: words and link density of it, the one before and the one after, then its marks."""
-    words = np.array([0, *[b.words for b in found], 0], float)
+    """One row per block: words and link density of it, the one before and the one after, then its marks.
+
+    Words count up to LONG; the fewer and the more words of the two neighbours stand beside them.
+    """
+    words = np.minimum([0, *[b.words for b in found], 0], LONG).astype(float)
     density = np.array([0, *[min(b.linked / b.words, 1.0) for b in found], 0], float)
     marks = np.array([b.marks for b in found], int)
-    columns = [words[1:-1], density[1:-1], words[:-2], density[:-2], words[2:], density[2:]]
-    columns += [(marks & m > 0).astype(float) for m in (STORY_MARK, FURNITURE_MARK, TELLING_MARK, HIDDEN_MARK)]
+    columns = [words[1:-1], density[1:-1], words[:-2], density[:-2], words[2:], density[2:],
+               np.minimum(words[:-2], words[2:]), np.maximum(words[:-2], words[2:])]
+    columns += [(marks & m > 0).astype(float) for m in (STORY_MARK, FURNITURE_MARK, TELLING_MARK, HIDDEN_MARK, CLEARED_MARK)]
     return np.stack([*columns, np.array([b.heading for b in found], float)], axis=1)
 
 
 # The labelled table. A page is a row of blocks: words, linked words, marks (s story, f furniture, t telling name,
-# h hidden, 1 heading), and + for a block of the main text or - for one that is not.
+# h hidden, c cleared, 1 heading), and + for a block of the main text or - for one that is not.
 LABELLED = """
 6,6,f,- 8,0,t,- 11,0,s1,+ 60,0,s,+ 3,0,s,+ 1,0,s,+ 140,0,s,+ 2,0,s,+ 9,0,f,-
 4,4,f,- 2,2,f,- 30,0,t,- 7,0,s1,+ 1,0,s,+ 2,0,s,+ 1,0,s,+ 12,2,f,-
@@ -161,12 +169,23 @@ LABELLED = """
 7,0,f1,- 1,1,f,- 16,0,s,+ 1,0,s1,+ 100,20,s,+ 2,2,s,+ 6,6,st,- 9,0,ft,- 85,0,ft,-
 1,0,s1,+ 9,9,s,+ 10,0,s,+ 4,0,st,- 19,0,sf,- 110,0,f,- 130,2,t,- 3,0,h,-
 40,40,,- 6,6,,- 200,3,,+ 180,0,,+ 1,0,1,+ 95,0,,+ 12,12,,- 2,1,,-
+1,0,,- 2,0,,- 1,0,,- 3,0,,- 7,0,1,+ 52,1,,+ 4,0,,+ 71,0,,+ 36,0,,+ 6,0,,- 4,0,,- 9,0,,-
+2,2,,- 3,0,,- 2,2,,- 19,0,,- 5,5,,- 9,0,1,+ 130,2,,+ 3,0,,+ 41,0,,+ 8,8,,- 3,0,,- 4,4,,- 11,0,,-
+3,0,,- 2,0,,- 24,0,,- 1,0,,- 88,0,,+ 18,0,,+ 60,0,,+ 2,2,,- 7,0,,- 1,1,,- 10,0,,-
+2,0,,- 10,0,1,+ 20,0,,+ 24,0,,+ 15,0,,+ 22,0,,+ 17,0,,+ 2,0,,- 12,0,,-
+5,0,t,- 8,0,sc1,+ 44,0,sc,+ 6,0,sc,+ 90,0,sc,+ 33,0,sc,+ 15,0,sc,+ 3,3,f,- 4,0,f,-
+3,0,f,- 4,0,sc,- 2,0,sc,- 6,0,sc,- 3,0,sc,- 12,0,sc,- 5,5,t,-
+150,0,,+
+48,0,t,- 60,0,t,- 39,0,f,- 16,0,t,- 52,0,f,- 2,0,f,- 34,0,ft,-
+9,0,s1,+ 16,0,s,+ 12,0,s,+ 20,0,s,+ 1,0,s,+ 8,0,f,- 1,0,f,- 10,0,st,- 1,0,h,- 9,0,s,+
+40,0,h,- 60,0,,+ 12,0,h,- 45,0,,+ 33,0,h,- 50,0,,+ 16,0,h,-
+3,0,,- 16,0,,- 2,0,,- 17,0,,- 4,0,,-
 """
 
 
 def labelled_blocks() -> tuple[np.ndarray, np.ndarray]:
     """Features and labels of the table, neighbours taken from each page's row."""
-    letters = {"s": STORY_MARK, "f": FURNITURE_MARK, "t": TELLING_MARK, "h": HIDDEN_MARK, "1": 0}
+    letters = {"s": STORY_MARK, "f": FURNITURE_MARK, "t": TELLING_MARK, "h": HIDDEN_MARK, "c": CLEARED_MARK, "1": 0}
     x, y = [], []
     for line in LABELLED.split("\n"):
         rows = [entry.split(",") for entry in line.split()]

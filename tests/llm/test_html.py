@@ -25,6 +25,47 @@ def test_pages_without_marks():
     assert main_text(page) == " ".join([long_text.strip(), "Short.", long_text.strip()])
 
 
+STORY_TEXT = "Plenty of ordinary words make up this paragraph of the story, which goes on for a while. " * 3
+BRIEF_TEXT = "This paragraph of the story is brief but it has nearly twenty words and it stands among others."
+
+
+def splits(tree):
+    return set() if tree.column is None else {tree.column} | splits(tree.low) | splits(tree.high)
+
+
+def test_words_and_neighbours_decide():
+    # The columns are words and link density of the block, of the one before and of the one after; more of words follow.
+    found = splits(classifier())
+    assert 0 in found and found & {2, 4, 6, 7}
+
+
+def test_boilerplate_without_names_or_links():
+    menu = "".join(f"<div>{w}</div>" for w in ("Home", "News", "About us", "Contact"))
+    foot = "<div>Imprint</div><div>Copyright 2020 The Site, all rights reserved.</div>"
+    notice = "<p>We use small files on your device to make sure this site works as you like it best today.</p>"
+    body = f"<h2>A headline of a few words</h2><p>{STORY_TEXT}</p><p>A short one.</p><p>{STORY_TEXT}</p>"
+    want = " ".join(["A headline of a few words", STORY_TEXT.strip(), "A short one.", STORY_TEXT.strip()])
+    assert main_text(menu + body + foot) == want
+    assert main_text(menu + notice + "<p>OK</p>" + body + foot) == want
+    assert main_text(menu + "<h2>A headline of a few words</h2>" + f"<p>{BRIEF_TEXT}</p>" * 4 + foot) == " ".join(
+        ["A headline of a few words"] + [BRIEF_TEXT] * 4)
+    assert main_text(menu + foot) == ""
+    for n in range(1, 20):
+        assert main_text(menu + f"<p>{'word ' * n}</p>" + foot) == "", n
+    assert main_text(f"<p>{STORY_TEXT}</p><p hidden>{STORY_TEXT}</p><p>{STORY_TEXT}</p>") == f"{STORY_TEXT}{STORY_TEXT}".strip()
+
+
+def test_an_article_inside_furniture():
+    for outer in ("<form>", "<div class='sidebar'>", "<aside>", "<div class='menu'>"):
+        for inner in ("<article>", "<main>", "<div class='content'>"):
+            page = f"{outer}<p>Outer words of the page.</p>{inner}<h2>A headline here</h2><p>{STORY_TEXT}</p><p>Brief.</p><p>{STORY_TEXT}</p>"
+            assert main_text(page) == " ".join(["A headline here", STORY_TEXT.strip(), "Brief.", STORY_TEXT.strip()]), (outer, inner)
+    # A column that only names its inside so, a named comment and what an article itself surrounds stay out.
+    assert main_text("<footer><div class=content><p>Copyright 2020</p><p>All rights reserved.</p></div></footer>") == ""
+    assert main_text(f"<section id=comments><article class=comment><p>{STORY_TEXT}</p></article></section>") == ""
+    assert main_text(f"<form><article><aside><p>{STORY_TEXT}</p></aside></article></form>") == ""
+
+
 def test_any_markup_is_read():
     for page in ("", "   ", "<", "<>", "</p>", "<p", "<!--", "<!-- x", "<script>", "<a href='", "&#xZZ; &bogus;", "<p>" * 3000, "</div>" * 3000,
                  "<div>" * 3000 + "x", "<script></scripty>x</script >y", "<p class='a>b'>t</p>", "\x00<b>�", "<svg/>after"):
