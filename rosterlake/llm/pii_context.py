@@ -4,8 +4,9 @@ Base entities (e-mail, ip, card, phone) are found by patterns in whole texts and
 words before and after them are lexical patterns. Words with digits that no base entity covers are the other
 instances. Spark scores the graph of patterns and instances in rounds: a pattern's confidence is the share of all
 its occurrences in the corpus that are filled by seeds or by instances believed so far; an instance is believed by
-the noisy-or of its patterns. Occurrences inside patterns of high confidence are reported as further spans, with the
-kind of the seeds that the pattern came from.
+the noisy-or of its patterns. Instances inside patterns of high confidence induce patterns as seeds do, and all is
+scored again, until no pattern and no instance is added and no confidence rises. Occurrences inside patterns of high confidence are reported
+as further spans, with the kind of the seeds or instances that the pattern came from.
 """
 
 from __future__ import annotations
@@ -36,8 +37,9 @@ CONTEXT = 256
 
 @dataclass(frozen=True)
 class Settings:
-    rounds: int = 2            # rounds of scoring
-    seeds: int = 3             # distinct seeds that a pattern needs
+    rounds: int = 2            # rounds of scoring after each step of induction
+    seeds: int = 3             # distinct seeds or believed instances that a pattern needs
+    rise: float = 0.01         # rise of a confidence up to which scoring has settled
     floor: float = 0.05        # confidence below which a pattern believes nothing
     confidence: float = 0.4    # confidence from which a pattern discovers
     smoothing: float = 2.0     # occurrences added to every pattern
@@ -127,28 +129,56 @@ def _further(words_with_digits: DataFrame, base: DataFrame, settings: Settings)
 
 def confident_patterns(base: DataFrame, further: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
     """side, word, kind, confidence of the patterns that discover."""
-    seeds = _patterns(base)
-    of_seeds = seeds.groupBy("side", "word", "kind").agg(F.count("*").alias("n"), F.count_distinct("instance").alias("distinct"))
-    by_pattern = of_seeds.groupBy("side", "word").agg(
-        F.sum("n").alias("seeded"), F.sum("distinct").alias("distinct"), F.max_by("kind", F.struct("n", "kind")).alias("kind"))
-    able = by_pattern.where(F.col("distinct") >= settings.seeds)
+    of_seeds = _patterns(base).groupBy("side", "word", "kind").agg(
+        F.count("*").alias("seeded"), F.count_distinct("instance").alias("distinct"))
+    edges = stored(_patterns(further.withColumn("kind", F.lit("further"))).groupBy("side", "word", "instance")
+                   .agg(F.count("*").alias("n")), "edges")
+    # Below so many instances of either sort nothing is induced, in no round.
+    met = of_seeds.select("side", "word", "distinct").union(
+        edges.groupBy("side", "word").agg(F.count("*").alias("distinct"))).groupBy("side", "word").agg(F.sum("distinct").alias("distinct"))
+    able = met.where(F.col("distinct") >= settings.seeds).select("side", "word")
     # How often a pattern's word occurs at all; a word with digits is not counted apart from the others.
     total = texts.select(F.explode(words(F.lower("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("total"))
-    known = stored(able.join(total, "word"), "patterns")
-    edges = _patterns(further.withColumn("kind", F.lit("further"))).groupBy("side", "word", "instance").agg(F.count("*").alias("n"))
-    edges = stored(edges.join(known.select("side", "word"), ["side", "word"], "left_semi"), "edges")
+    able = stored(able.join(total, "word"), "able")
+    of_seeds = stored(of_seeds.join(able.select("side", "word"), ["side", "word"], "left_semi"), "seeds")
+    edges = stored(edges.join(able.select("side", "word"), ["side", "word"], "left_semi"), "edges")
 
     def confidence(believed: Column) -> Column:
         return F.least((F.col("seeded") + believed) / (F.col("total") + settings.smoothing), F.lit(0.999))
 
-    scored = known.withColumn("confidence", confidence(F.lit(0.0)))
-    for _ in range(settings.rounds - 1):
-        useful = scored.where(F.col("confidence") >= settings.floor).select("side", "word", "confidence")
-        belief = edges.join(useful, ["side", "word"]).groupBy("instance").agg(
-            (1 - F.exp(F.sum(F.log(1 - F.col("confidence"))))).alias("belief"))
-        gained = edges.join(belief, "instance").groupBy("side", "word").agg(F.sum(F.col("n") * F.col("belief")).alias("gained"))
-        scored = known.join(gained, ["side", "word"], "left").withColumn("confidence", confidence(F.coalesce("gained", F.lit(0.0))))
-    return scored.where(F.col("confidence") >= settings.confidence).select("side", "word", "kind", "confidence")
+    support, before, size = of_seeds, None, -1
+    while True:
+        by_pattern = support.groupBy("side", "word").agg(
+            F.sum("seeded").alias("seeded"), F.sum("distinct").alias("distinct"),
+            F.max_by("kind", F.struct("seeded", "distinct", "kind")).alias("kind")).where(F.col("distinct") >= settings.seeds)
+        known = stored(by_pattern.join(able, ["side", "word"]), "patterns")
+        scored = known.withColumn("confidence", confidence(F.lit(0.0)))
+        if before is not None:
+            scored = scored.join(before, ["side", "word"], "left").withColumn("confidence", F.greatest("confidence", "was")).drop("was")
+        for _ in range(settings.rounds - 1):
+            useful = scored.where(F.col("confidence") >= settings.floor).select("side", "word", "confidence")
+            belief = edges.join(useful, ["side", "word"]).groupBy("instance").agg(
+                (1 - F.exp(F.sum(F.log(1 - F.col("confidence"))))).alias("belief"))
+            gained = edges.join(belief, "instance").groupBy("side", "word").agg(F.sum(F.col("n") * F.col("belief")).alias("gained"))
+            scored = known.join(gained, ["side", "word"], "left").withColumn("confidence", confidence(F.coalesce("gained", F.lit(0.0))))
+        scored = stored(scored, "scored")
+        if before is None:
+            risen = not scored.isEmpty()
+        else:
+            risen = not scored.join(before, ["side", "word"], "left").where(
+                F.col("confidence") > F.coalesce("was", F.lit(-1.0)) + settings.rise).isEmpty()
+        before = scored.select("side", "word", F.col("confidence").alias("was"))
+        sure = scored.where(F.col("confidence") >= settings.confidence).select("side", "word", "kind", "confidence")
+        # What stands in a pattern that discovers is believed and induces patterns as seeds do; the sets only grow.
+        believed = stored(edges.join(sure, ["side", "word"]).groupBy("instance").agg(
+            F.max_by("kind", F.struct("confidence", "kind")).alias("kind")), "believed")
+        last, size = size, believed.count()
+        if size == last and not risen:
+            return sure
+        # Occurrences of believed instances count by belief, in the scoring above, and not as seeds.
+        induced = edges.join(believed, "instance").groupBy("side", "word", "kind").agg(
+            F.lit(0).cast("long").alias("seeded"), F.count("*").alias("distinct"))
+        support = of_seeds.unionByName(induced)
 
 
 def find(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",

@@ -57,6 +57,14 @@ def test_contexts_discover_what_no_pattern_matches(documents):
     assert all(got[i][0] == got[i][1] != "" for i in range(12))
 
 
+def test_discovered_identifiers_induce_patterns(documents):
+    known = [(i, f"some words {i} tel: +1 (017) 555-7{i:03d} more text") for i in range(60)]
+    shared = [(100 + i, f"w{i}w tel: 55510{i:02d} x{i}x") for i in range(20)] + [(200 + i, f"y{i}y hotline 55510{i:02d} z{i}z") for i in range(20)]
+    further = [(300 + i, f"a{i}a hotline 77720{i:02d} b{i}b") for i in range(8)] + [(400 + i, f"c{i}c desk 77720{i:02d} d{i}d") for i in range(8)]
+    got = spans(documents(known + shared + further + [(900, "my hotline 7771234 now"), (901, "my desk 8881234 now"), (902, "my lamp 8881239 now")]))
+    assert got[900] == ("", "phone:11:18") and got[901] == ("", "phone:8:15") and got[902] == ("", "")
+
+
 def test_masking(documents):
     docs = documents([(1, "mail a@b.cc or 10.0.0.1!"), (2, None), (3, "clean"), (4, "+4539148803436467 x")], extra=("place",))
     got = {r.doc_id: r for r in mask(docs).collect()}
