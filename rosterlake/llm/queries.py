@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from rosterlake.queries import registry
 from rosterlake.queries.registry import Entry, Runner
 
-from . import (html_blocks, jaccard_join, language_gru, learning, mixing, pieces, pii_context, quality_model, quality_rules,
-               toxic_spans, voronoi_knn)
+from . import (html_blocks, jaccard_join, language_gru, learning, merkle_manifest, mixing, pieces, pii_context, quality_model,
+               quality_rules, toxic_spans, voronoi_knn)
 from .common import fold
 from .shipping import ship_package
 
@@ -198,3 +198,60 @@ def op6_pii_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         F.col("row").alias("doc_id"), *[count(i + 1).alias(f"n_{k}") for i, k in enumerate(pii_context.KINDS)],
         F.sha2(pii_context.shown(F.col("base")), 256).alias("base_sha256"), pii_context.shown(F.col("all")).alias("spans"))
+
+
+@query("""
+with recursive written as (
+  select row_number() over () as r, doc_id, lang,
+    [cast(doc_id as varchar), source, lang, cast(n_chars as varchar), text] as own,
+    [cast(doc_id as varchar), source, lang, cast(n_chars + 1 as varchar), text] as altered,
+    xor(list_reduce(list_prepend(4294967295, [cast(ascii(c) as bigint) for c in string_split(cast(doc_id as varchar), '')]),
+      lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0::bigint for i in range(8)]),
+        lambda x, y: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)), 4294967295) % 7 = 0 as tampered
+  from documents),
+leaves as (
+  select r, doc_id, lang, tampered,
+    sha256(array_to_string([coalesce(cast(octet_length(encode(v)) as varchar) || ':' || v, '-') for v in own], '')) as leaf,
+    sha256(array_to_string([coalesce(cast(octet_length(encode(v)) as varchar) || ':' || v, '-') for v in altered], '')) as other
+  from written),
+placed as (
+  select *, row_number() over (partition by lang order by doc_id, leaf) - 1 as place, count(*) over (partition by lang) as n
+  from leaves),
+nodes(lang, lvl, place, n, h) as (
+  select lang, 0, place, n, leaf from placed
+  union all
+  select lang, lvl + 1, place // 2, (n + 1) // 2, sha256(string_agg(h, '' order by place))
+  from nodes where n > 1 group by lang, lvl, place // 2, n),
+subroots as (
+  select lang, h, row_number() over (order by encode(lang) nulls first) - 1 as place, count(*) over () as n from nodes where n = 1),
+tops(lvl, place, n, h) as (
+  select 0, place, n, h from subroots
+  union all
+  select lvl + 1, place // 2, (n + 1) // 2, sha256(string_agg(h, '' order by place)) from tops where n > 1 group by lvl, place // 2, n),
+inner_steps as (
+  select p.r, x.lvl, case when s.h is null then '-' when s.place < (p.place >> x.lvl) then 'L' || s.h else 'R' || s.h end as step
+  from placed p join (select distinct lang, lvl from nodes where n > 1) x on p.lang is not distinct from x.lang
+  left join nodes s on s.lang is not distinct from p.lang and s.lvl = x.lvl and s.place = xor(p.place >> x.lvl, 1)),
+outer_steps as (
+  select p.r, 1000 + x.lvl as lvl,
+    case when s.h is null then '-' when s.place < (t.place >> x.lvl) then 'L' || s.h else 'R' || s.h end as step
+  from placed p join subroots t on t.lang is not distinct from p.lang
+  join (select distinct lvl from tops where n > 1) x on true
+  left join tops s on s.lvl = x.lvl and s.place = xor(t.place >> x.lvl, 1)),
+paths as (
+  select r, list(step order by lvl) as steps from (select * from inner_steps union all select * from outer_steps) group by r),
+folded as (
+  select p.*, t.h as subroot, (select h from tops where n = 1) as root, coalesce(s.steps, cast([] as varchar[])) as steps
+  from placed p join subroots t on t.lang is not distinct from p.lang left join paths s on s.r = p.r),
+done as (
+  select doc_id, leaf, subroot, root,
+    sha256(array_to_string([case when s = '-' then '' else s[2:] end for s in steps], '')) as proof_sha256,
+    list_reduce(list_prepend(case when tampered then other else leaf end, steps), lambda h, s:
+      sha256(case s[1] when 'L' then s[2:] || h when 'R' then h || s[2:] else h end)) as folded_root
+  from folded)
+select *, folded_root = root as verified from done
+""")
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest tree of all documents, every document's proof, and where a tampered one shows."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    return merkle_manifest.manifest(table(spark, sf_dir, "documents"), tampered).drop("proof")
