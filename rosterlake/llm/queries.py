@@ -8,7 +8,7 @@ from rosterlake.queries import registry
 from rosterlake.queries.registry import Entry, Runner
 
 from . import (html_blocks, jaccard_join, language_gru, learning, merkle_manifest, mixing, pieces, pii_context, quality_model,
-               quality_rules, toxic_spans, voronoi_knn)
+               quality_rules, token_alignment, toxic_spans, voronoi_knn)
 from .common import fold
 from .shipping import ship_package
 
@@ -79,11 +79,15 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), carried=F.lit(None).cast("boolean")).drop("row")
 
 
-def piece_model() -> str:
-    """File of the public piece model; its place is a parameter of the operator."""
+def tokenizer(name: str) -> str:
+    """File of a public tokenizer; its place is a parameter of the operators."""
     import public_tokenizers
 
-    return public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path(name)
+
+
+def piece_model() -> str:
+    return tokenizer("piece_bpe_32k.model")
 
 
 @query()
@@ -255,3 +259,13 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest tree of all documents, every document's proof, and where a tampered one shows."""
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
     return merkle_manifest.manifest(table(spark, sf_dir, "documents"), tampered).drop("proof")
+
+
+@query()
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tokenizations of every document aligned, and how often the corpus links their ids."""
+    aligned = token_alignment.align(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), piece_model())
+    kept = aligned.select(
+        "doc_id", "n_a", "n_b", F.size("cuts").cast("long").alias("n_groups"), "n_links",
+        F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256)).alias("groups_sha256"), "pairs", "times")
+    return token_alignment.with_counts(kept, ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"])
