@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from rosterlake.queries import registry
 from rosterlake.queries.registry import Entry, Runner
 
-from . import (html_blocks, jaccard_join, language_gru, learning, merkle_manifest, mixing, pieces, pii_context, quality_model,
-               quality_rules, token_alignment, toxic_spans, voronoi_knn)
+from . import (html_blocks, jaccard_join, language_gru, learning, lm_trie, merkle_manifest, mixing, pieces, pii_context,
+               quality_model, quality_rules, token_alignment, toxic_spans, voronoi_knn)
 from .common import fold
 from .shipping import ship_package
 
@@ -269,3 +269,10 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_a", "n_b", F.size("cuts").cast("long").alias("n_groups"), "n_links",
         F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256)).alias("groups_sha256"), "pairs", "times")
     return token_alignment.with_counts(kept, ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"])
+
+
+@query()
+def op13_lm_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model score of every document, the model being learned from nine tenths of them."""
+    scored = lm_trie.score(table(spark, sf_dir, "documents"), _learned("doc_id", 10, 0))
+    return scored.select("doc_id", (fold(F.col("doc_id"), 10) == 0).alias("held_out"), *scored.columns[1:])
