@@ -33,9 +33,11 @@ SECOND_BITS = 20        # an id pair is one number; ids of the second tokenizer
 FREQUENT_PAIRS = 65536  # id pairs whose counts are sent to all tasks
 LINKS_AT_ONCE = 1 << 22  # links of one text that are unfolded together
 
-#: Texts that are encoded by the library that reads the first tokenizer's file itself. The faster one for the same
-#: vocabulary takes the others: its letter classes are of another Unicode version, and long stretches cost it squares.
-UNUSUAL = re.compile(r"[^\x00-ɏ‐-…€]|\S{400}|[\s\x00-\x20]{400}")
+#: Characters and lengths of a stretch for which the library that reads the first tokenizer's file encodes a text itself.
+#: The faster one for the same vocabulary takes the others: its letter classes are of another Unicode version, and long
+#: stretches cost it squares.
+UNUSUAL = re.compile(r"[^\x00-ɏ‐-…€]")
+LONG_STRETCH = 400
 
 
 def byte_symbols() -> dict[str, int]:
@@ -93,20 +95,29 @@ class TokenizerPair:
             return bytes([int(piece[3:5], 16)])
         return b"" if self.second.is_control(i) else piece.replace(MARK, " ").encode()
 
-    def encode_first(self, text: str) -> list[int]:
-        if UNUSUAL.search(text):
+    def encode_first(self, text: str, raw: bytes) -> list[int]:
+        """Ids of A; ``raw`` is the text in bytes."""
+        if not text.isascii() and UNUSUAL.search(text):
+            return self.slow.encode(text, add_special_tokens=False).ids
+        # Places where blanks and other characters meet; code points beyond ASCII count as others.
+        blank = np.frombuffer(raw, np.uint8) <= 32
+        turns = np.flatnonzero(blank[1:] != blank[:-1])
+        if len(raw) >= LONG_STRETCH and np.diff(turns, prepend=-1, append=len(raw) - 1).max() >= LONG_STRETCH:
             return self.slow.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)
 
     def align(self, text: str, second: list[int]) -> Aligned | None:
         """The alignment of a text whose second encoding is given; None where either encoding loses bytes."""
-        first = self.encode_first(" " + text)
         raw = b" " + text.encode()
-        if b"".join([self.bytes_b[i] for i in second]) != raw or b"".join([self.bytes_a[i] for i in first]) != raw:
+        if b"".join([self.bytes_b[i] for i in second]) != raw:
+            return None
+        a, b = np.array(self.encode_first(" " + text, raw), np.int64), np.array(second, np.int64)
+        ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        # A byte-level encoding cuts the text and changes nothing, or it has no ids for some bytes.
+        if ends_a[-1] != len(raw):
             return None
-        a, b = np.array(first, np.int64), np.array(second, np.int64)
-        index_a = dict(zip(np.cumsum(self.length_a[a]).tolist(), range(1, len(a) + 1)))
-        index_b = dict(zip(np.cumsum(self.length_b[b]).tolist(), range(1, len(b) + 1)))
+        index_a = dict(zip(ends_a.tolist(), range(1, len(a) + 1)))
+        index_b = dict(zip(ends_b.tolist(), range(1, len(b) + 1)))
         cuts = sorted(index_a.keys() & index_b.keys())
         n = len(cuts)
         ends_a = np.fromiter(map(index_a.__getitem__, cuts), np.int64, n)

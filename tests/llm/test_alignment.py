@@ -115,7 +115,13 @@ def test_the_faster_encoder_equals_the_library(libraries):
     pair = load(FIRST, SECOND)
     for _ in range(3000):
         text = "".join(rng.choice(ALPHABET) for _ in range(rng.randrange(40)))
-        assert pair.encode_first(text) == libraries[0].encode(text, add_special_tokens=False).ids
+        assert pair.encode_first(text, text.encode()) == libraries[0].encode(text, add_special_tokens=False).ids
+
+
+def test_long_stretches(libraries):
+    pair = load(FIRST, SECOND)
+    for text in ("x" * 399, "x" * 401, "a " + "b" * 400 + " c", " " * 500, "a" + "\n" * 401 + "b", "é" * 300, "1" * 70_000):
+        assert pair.encode_first(text, text.encode()) == libraries[0].encode(text, add_special_tokens=False).ids
 
 
 def test_links_of_large_groups(monkeypatch):
