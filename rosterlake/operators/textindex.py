@@ -99,13 +99,13 @@ class TextIndex:
 
     @staticmethod
     def over_prefixes(docs: DataFrame, id_column: str, fields: Mapping[str, Column],
-                      max_gram: int = MAX_GRAM) -> "TextIndex":
+                      max_gram: int = MAX_GRAM, analyzer: Callable[[Column], Column] = tokens) -> "TextIndex":
         """Edge n-gram index: every prefix of every token is a term at the position of its token.
 
         A document is as long as it has tokens, while the average length counts all n-grams, as
         the scoring library does for terms that share a position.
         """
-        toks = field_tokens(docs, id_column, fields)
+        toks = field_tokens(docs, id_column, fields, analyzer)
         words = toks.select("field", "doc_id", F.size("toks").alias("dl"),
                             F.posexplode("toks").alias("pos", "word"))
         grams = words.select("field", "doc_id", "dl", "pos",

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.wire import to_serving
 from ..operators.latest import latest_by_key
 from ..schema import SERVING
-from .snapshot import Manifest, Snapshot, TableSpec
+from .parts import PartTable, Spec
 
 # Arrival order of a message: later timestamps win, then partition and offset.
 VERSION = ["_ts", "_partition", "_offset"]
@@ -22,12 +20,11 @@ _NAMES = _STORED.fieldNames()
 
 
 class ProfileTable:
-    """Profiles by id: merged base files plus the change files of recent batches, both bucketed by id.
+    """Profiles by id: a base per share of the buckets plus the changes of recent batches.
 
-    A batch only writes its own rows. A bucket is merged once it has ``compact_after`` change files, so
-    the cost of rewriting it is shared by that many batches; a batch merges its share of the buckets
-    rather than all of them at once. Choose ``buckets`` for the final size
-    when the table is made; a bucket is merged by ``splits`` tasks.
+    A batch only writes its own rows. Once a share has ``compact_after`` batches waiting it is merged; a batch merges
+    one share at most, so the cost of rewriting is spread over that many batches. Choose ``buckets`` for the final
+    size when the table is made; a bucket is merged by ``splits`` tasks.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 64, splits: int = 1,
@@ -35,37 +32,17 @@ class ProfileTable:
         self.spark = spark
         self.splits = splits
         self.compact_after = compact_after
-        self.snapshot = Snapshot(spark, path, {
-            "profiles": TableSpec(_STORED, "id", ("id",)),
-            "changes": TableSpec(_STORED, "id", ("id",), spread=True),
-        }).create_if_absent(buckets)
+        self.parts = PartTable(spark, path, Spec(_STORED, "id", ("id",), self._newest, spread=True), buckets, compact_after)
 
-    def _merged(self, manifest: Manifest, buckets: list[int]) -> DataFrame:
-        """Newest row per id of the given buckets; one shuffle, by (bucket, split)."""
+    def _newest(self, rows: DataFrame) -> DataFrame:
+        """Newest row per id; one shuffle, by (bucket, split)."""
         split = F.pmod(F.xxhash64(F.col("id"), F.lit("split")), F.lit(self.splits))
-        both = (
-            self.snapshot.read("profiles", buckets, manifest)
-            .unionByName(self.snapshot.read("changes", buckets, manifest))
-            .withColumn("_split", split)
-            .repartition(F.col("bucket"), F.col("_split"))
-        )
-        return latest_by_key(both, ["bucket", "_split", "id"], VERSION).drop("_split")
-
-    def with_buckets(self, only: list[int] | None = None) -> DataFrame:
-        """Current profiles with their bucket, of all buckets or ``only`` some.
-
-        Just the buckets with change files are merged on the way.
-        """
-        manifest = self.snapshot.manifest()
-        stored = set(manifest.tables["profiles"]) | set(manifest.tables["changes"])
-        asked = stored if only is None else stored & set(only)
-        changed = sorted(asked & set(manifest.tables["changes"]))
-        settled = sorted(asked - set(changed))
-        wanted = [*SERVING.fieldNames(), "bucket"]
-        rows = self.snapshot.read("profiles", settled, manifest).select(*wanted)
-        if changed:
-            rows = rows.unionByName(self._merged(manifest, changed).select(*wanted))
-        return rows
+        placed = rows.withColumn("_split", split).repartition(F.col("bucket"), F.col("_split"))
+        return latest_by_key(placed, ["bucket", "_split", "id"], VERSION).drop("_split")
+
+    def with_buckets(self) -> DataFrame:
+        """Current profiles with their bucket; only the shares with changes are resolved on the way."""
+        return self.parts.read().select(*SERVING.fieldNames(), "bucket")
 
     def read(self) -> DataFrame:
         return self.with_buckets().drop("bucket")
@@ -76,8 +53,7 @@ class ProfileTable:
         One semi-join on bucket and id, whatever the number of ids: where they are few, adaptive execution
         sends them to all tasks and dynamic pruning opens their buckets only.
         """
-        buckets = self.snapshot.manifest().buckets
-        wanted = ids.select("id").distinct().withColumn("bucket", self.snapshot.bucket_of("profiles", buckets))
+        wanted = ids.select("id").distinct().withColumn("bucket", self.parts.bucket_of(F.col("id")))
         return self.with_buckets().join(wanted, ["bucket", "id"], "left_semi").drop("bucket")
 
     def upsert(self, changes: DataFrame, batch: int | None = None, stream: str = "") -> None:
@@ -85,61 +61,13 @@ class ProfileTable:
 
         ``changes`` has the profile columns plus ``_ts``, ``_partition`` and ``_offset``. A stored row
         stays if it is newer, so the order in which batches arrive does not matter. A ``batch`` number
-        that was committed before by the same ``stream`` is skipped, which makes replays harmless; numbers
+        that was written before by the same ``stream`` is skipped, which makes replays harmless; numbers
         of other streams, and of a stream started anew, do not count. Several writers may work at once.
         """
-
-        def had(manifest: Manifest) -> bool:
-            return batch is not None and batch <= manifest.batches.get(stream, -1)
-
-        now = self.snapshot.manifest()
-        if had(now):
-            return
         incoming = latest_by_key(to_serving(changes).select(*_NAMES), ["id"], VERSION)
-        version, written = self.snapshot.write("changes", incoming, now.buckets)
-
-        def note(draft: Manifest) -> bool:
-            if had(draft):
-                return False
-            if batch is not None:
-                draft.batches[stream] = batch
-            for b in written:
-                draft.tables["changes"].setdefault(b, []).append(version)
-            return True
-
-        if self.snapshot.commit(note):
-            self.compact(self.compact_after, at_most=math.ceil(now.buckets / self.compact_after))
-
-    def compact(self, min_changes: int = 1, at_most: int | None = None) -> list[int]:
-        """Merge the buckets with at least ``min_changes`` change files, ``at_most`` so many of them and
-        those with most files first; returns them.
-
-        Change files that arrive meanwhile stay. A bucket that another writer merged meanwhile is left
-        as that writer made it.
-        """
-        manifest = self.snapshot.manifest()
-        files = {b: len(vs) for b, vs in manifest.tables["changes"].items() if len(vs) >= min_changes}
-        due = sorted(files, key=lambda b: (-files[b], b))[:at_most]
-        if not due:
-            return due
-        version, written = self.snapshot.write("profiles", self._merged(manifest, due), manifest.buckets)
-        done: list[int] = []
-
-        def note(draft: Manifest) -> bool:
-            profiles, changes = draft.tables["profiles"], draft.tables["changes"]
-            done.clear()
-            for b in due:
-                merged = manifest.tables["changes"][b]
-                if profiles.get(b) != manifest.tables["profiles"].get(b) or changes.get(b, [])[:len(merged)] != merged:
-                    continue
-                done.append(b)
-                profiles[b] = [version]
-                if b not in written:
-                    profiles.pop(b)
-                changes[b] = changes[b][len(merged):]
-                if not changes[b]:
-                    changes.pop(b)
-            return bool(done)
-
-        self.snapshot.commit(note)
-        return done
+        if self.parts.append(incoming, stream, batch) and self.parts.merge(self.compact_after, at_most=1):
+            self.parts.clean()
+
+    def compact(self) -> list[int]:
+        """Merge all shares that have changes; returns them."""
+        return self.parts.merge()

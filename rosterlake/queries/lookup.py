@@ -11,6 +11,8 @@ from ..operators.facets import facet_dates, facet_tokens, facet_values
 from ..operators.fields import match_date, match_number
 from ..operators.suggest import suggest, suggest_many, with_echo
 from ..operators.textindex import TextIndex
+from ..plans.indexing import StoredIndex
+from ..session import scratch
 from . import standins
 from .registry import query, table
 from .text import TOKENS
@@ -126,9 +128,25 @@ def edge_ngram_rows(spark, folder):
     return words.select("doc_id", F.explode(edge_ngrams(F.col("word"))).alias("term"))
 
 
-@query(_SUGGESTED + """
+_SUGGESTED_20 = _SUGGESTED + """
 select cast(rank as integer) as rank, p_name as name from best join part on p_partkey = doc_id
-where rank <= 20""")
+where rank <= 20"""
+_SUGGESTED_BATCH = f"""with {_GRAMS},
+typed as (select min(p_partkey) as query_id, substr(p_name, 1, 4) as query from part group by 2),
+hits as (select query_id, doc_id, round(sum({_WEIGHT}), 6) as score
+         from (select query_id, unnest({TOKENS.format('query')}) as term from typed)
+         join p using (term) join d using (term), s group by all),
+best as (select *, row_number() over (partition by query_id order by score desc, doc_id) as rank from hits)
+select query_id, cast(rank as integer) as rank, p_name as name from best join part on p_partkey = doc_id
+where rank <= 20"""
+
+
+def _typed(part):
+    """The first four characters of every name, typed once each."""
+    return part.groupBy(F.substring("p_name", 1, 4).alias("query")).agg(F.min("p_partkey").alias("query_id"))
+
+
+@query(_SUGGESTED_20)
 def autocomplete(spark, folder):
     index, part = _prefixes(spark, folder)
     return suggest(index, "name", "Re wid", part, "p_partkey", "p_name")
@@ -142,18 +160,35 @@ def autocomplete_with_echo(spark, folder):
     return with_echo(suggest(index, "name", "Re wid", part, "p_partkey", "p_name"), "Re wid")
 
 
-@query(f"""with {_GRAMS},
-typed as (select min(p_partkey) as query_id, substr(p_name, 1, 4) as query from part group by 2),
-hits as (select query_id, doc_id, round(sum({_WEIGHT}), 6) as score
-         from (select query_id, unnest({TOKENS.format('query')}) as term from typed)
-         join p using (term) join d using (term), s group by all),
-best as (select *, row_number() over (partition by query_id order by score desc, doc_id) as rank from hits)
-select query_id, cast(rank as integer) as rank, p_name as name from best join part on p_partkey = doc_id
-where rank <= 20""")
+@query(_SUGGESTED_BATCH)
 def autocomplete_batch(spark, folder):
     index, part = _prefixes(spark, folder)
-    typed = part.groupBy(F.substring("p_name", 1, 4).alias("query")).agg(F.min("p_partkey").alias("query_id"))
-    return suggest_many(index, "name", typed, part, "p_partkey", "p_name")
+    return suggest_many(index, "name", _typed(part), part, "p_partkey", "p_name")
+
+
+def _stored_prefixes(spark, folder):
+    """The prefixes of all names on disk: first names that are wrong or too many, then refreshed to what they are."""
+    part = table(spark, folder, "part")
+    key = F.col("p_partkey")
+    stored = StoredIndex.of_prefixes(spark, scratch(spark, "prefixes"), "p_partkey", {"name": F.col("p_name")}, buckets=16)
+    early = part.select("p_partkey", F.when(key % 4 == 1, F.concat(F.lit("red "), "p_name")).otherwise(F.col("p_name")).alias("p_name"))
+    extra = part.where(key % 7 == 0).select((F.lit(-1) - key).alias("p_partkey"), F.lit("rewind wide").alias("p_name"))
+    stored.build(early.where(key % 9 != 2).unionByName(extra))
+    stored.refresh(part.where((key % 4 == 1) | (key % 9 == 2)).select("p_partkey", "p_name"), extra)
+    return stored.open(), part
+
+
+@query(_SUGGESTED_20)
+def stored_autocomplete(spark, folder):
+    """Suggestions from a stored table of prefixes that was refreshed after it was built."""
+    index, part = _stored_prefixes(spark, folder)
+    return suggest(index, "name", "Re wid", part, "p_partkey", "p_name")
+
+
+@query(_SUGGESTED_BATCH)
+def stored_autocomplete_batch(spark, folder):
+    index, part = _stored_prefixes(spark, folder)
+    return suggest_many(index, "name", _typed(part), part, "p_partkey", "p_name")
 
 
 # -- facets ----------------------------------------------------------------------------------

@@ -321,3 +321,25 @@ def index_refresh(spark, folder):
     changed = docs.where((key % 3 == 0) & (key % 5 != 1)).withColumn("text", F.concat_ws(" ", "source", "text"))
     stored.refresh(changed, docs.where(key % 5 == 1))
     return match(stored.open(), FIELD, "the of src3")
+
+
+@query(f"""with mixed as (
+  select doc_id, case when doc_id % 4 = 0 then source || ' ' || text when doc_id % 4 = 2 then lang || ' the ' || text
+                 else text end as body
+  from documents where doc_id % 5 <> 1),
+{_tables('body', 'mixed')}, {_words_sql(['the', 'of', 'src3', 'en'])}
+select doc_id, round(sum({_bm25()}), 6) as score
+from q join p using (term) join d using (term), s group by doc_id""")
+def index_refresh_incremental(spark, folder):
+    """A third of the documents indexed, the others and all later texts in several refreshes, some merged on the way."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    key = F.col("doc_id")
+    stored = StoredIndex(spark, scratch(spark, "index"), "doc_id", {FIELD: F.col("text")}, buckets=16, merge_after=2)
+    stored.build(docs.where(key % 3 == 0))
+    stored.refresh(docs.where(key % 3 == 1))
+    stored.refresh(docs.where(key % 3 == 2).withColumn("text", F.concat_ws(" ", F.lit("draft the"), "text")))
+    stored.refresh(docs.where((key % 3 == 2) & (key % 4 != 0)), docs.where(key % 5 == 1))
+    stored.refresh(docs.where((key % 4 == 0) & (key % 5 != 1)).withColumn("text", F.concat_ws(" ", "source", "text")))
+    stored.refresh(docs.where((key % 4 == 2) & (key % 5 != 1)).withColumn("text", F.concat_ws(" ", "lang", F.lit("the"), "text")),
+                   docs.where(key % 5 == 1))
+    return match(stored.open(), FIELD, "the of src3 en")

@@ -236,3 +236,66 @@ def test_a_table_of_requests_reads_only_the_buckets_of_its_words(spark, stored):
     assert len(scans) == 2 and all("bucket" in s.split("PartitionFilters")[1].split("PushedFilters")[0] for s in scans)
     assert found.where("query_id = 2").count() == sum(p[7] != "Gdansk" for p in PEOPLE)
     assert match_many(stored.index, "city", asked.limit(0)).count() == 0
+
+
+def files_of(root):
+    return {str(p): p.stat().st_mtime_ns for p in root.rglob("*.parquet")}
+
+
+def test_a_refresh_rewrites_nothing(spark, tmp_path):
+    people = spark.createDataFrame(PEOPLE, PROFILE)
+    index = StoredIndex(spark, str(tmp_path / "ix"), "id", {"city": F.col("city")}, buckets=8, merge_after=3)
+    index.build(people)
+    before = files_of(tmp_path)
+    index.refresh(people.where("id = 3").withColumn("city", F.lit("Rome York")))
+    after = files_of(tmp_path)
+    assert before.items() <= after.items()
+    rows = spark.read.parquet(*[p for p in after if p not in before and "/postings/" in p]).collect()
+    assert {(r["term"], r["tf"]) for r in rows} == {("rome", 1), ("york", 1), ("gdansk", 0)}
+    assert {r["doc_id"] for r in match(index.open(), "city", "rome").collect()} == {3}
+    for n, city in enumerate(("Oslo", "Gdansk", "Bergen York", "York")):
+        index.refresh(people.where(f"id in (3, {40 + n})").withColumn("city", F.lit(city)))
+    cities = {p[0]: p[7] for p in PEOPLE} | {40: "Oslo", 41: "Gdansk", 42: "Bergen York", 43: "York", 3: "York"}
+    assert any(t.state(0)["base"].startswith("part=base.0") for t in index.tables.values())
+    rebuilt = StoredIndex(spark, str(tmp_path / "again"), "id", {"city": F.col("city")}, buckets=4)
+    rebuilt.build(spark.createDataFrame(list(cities.items()), "id bigint, city string"))
+    for words in ("york new", "oslo gdansk bergen rome"):
+        got, want = (sorted(tuple(r) for r in match(i.open(), "city", words).collect()) for i in (index, rebuilt))
+        assert got == want
+    statistics = [sorted(tuple(r) for r in i.open().term_stats.select("term", "df").collect()) for i in (index, rebuilt)]
+    assert statistics[0] == statistics[1] and index.open().known == rebuilt.open().known
+
+
+def test_a_refresh_that_was_broken_off_does_not_count(spark, tmp_path):
+    people = spark.createDataFrame(PEOPLE[:9], PROFILE)
+    index = StoredIndex(spark, str(tmp_path / "ix"), "id", {"city": F.col("city")}, buckets=2)
+    index.build(people)
+    write = index._write
+    index._write = lambda name, *rest: write(name, *rest) if name != "stats" else 1 / 0
+    with pytest.raises(ZeroDivisionError):
+        index.refresh(people.where("id = 1").withColumn("city", F.lit("Oslo")))
+    assert match(index.open(), "city", "oslo").count() == 0 and index.open().known["city"][0] == 9
+    index._write = write
+    index.refresh(people.where("id = 2").withColumn("city", F.lit("Bergen")))
+    assert match(index.open(), "city", "oslo").count() == 0 and match(index.open(), "city", "bergen").count() == 1
+
+
+def test_stored_suggestions_read_the_buckets_of_what_was_typed(spark, tmp_path):
+    people = spark.createDataFrame(PEOPLE, PROFILE)
+    stored = StoredIndex.of_prefixes(spark, str(tmp_path / "px"), "id", {"nickname": F.col("nickname")}, buckets=8)
+    stored.build(people)
+    index, computed = stored.open(), TextIndex.over_prefixes(people, "id", {"nickname": F.col("nickname")})
+    assert index.known["nickname"][1] == pytest.approx(computed.field_stats.first()["avg_dl"])
+    searching = [ProfileSearch(people, None, i) for i in (index, computed)]
+    for typed in ("ni 12", "NICK", "1", "zz", "--"):
+        got, want = (sorted(tuple(r) for r in s.nicks(typed).collect()) for s in searching)
+        assert got == want, typed
+    plan = plan_of(match(index, "nickname", "ni 12"))
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 2 and all("bucket" in s.split("PartitionFilters")[1].split("PushedFilters")[0] for s in scans)
+    stored.refresh(people.where("id = 12").withColumn("nickname", F.lit("Zara")))
+    assert [r["name"] for r in searching[0].nicks("zar").collect()] == []  # opened before the refresh
+    after = ProfileSearch(people.withColumn("nickname", F.when(F.col("id") == 12, "Zara").otherwise(F.col("nickname"))), None, stored.open())
+    assert [r["name"] for r in after.nicks("zar").collect()] == ["Zara"] and after.nicks("12").count() == 1
+    scans = [line for line in plan_of(match(stored.open(), "nickname", "zar")).splitlines() if "FileScan" in line]
+    assert scans and all("bucket" in s.split("PartitionFilters")[1].split("PushedFilters")[0] for s in scans)

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from rosterlake.operators.search import match
 from rosterlake.plans.indexing import StoredIndex
 from rosterlake.plans.profiles import VERSION, ProfileTable
-from rosterlake.plans.snapshot import LostRace
 from rosterlake.schema import PROFILE
 from rosterlake.sources.messages import follow_folder
 from rosterlake.streaming.counts import running_counts, tumbling_counts
@@ -148,8 +147,10 @@ def test_the_order_of_batches_does_not_matter(spark, tmp_path, order, compact_af
     want = {**{i: "a" for i in range(20)}, 3: "c", 4: "b", 50: "new"}
     assert contents(table) == want
     table.compact()
-    assert contents(table) == want and not table.snapshot.manifest().tables["changes"]
-    assert table.snapshot.vacuum(keep=1) >= 0 and contents(table) == want
+    assert contents(table) == want and not any(table.parts.pending().values())
+    assert table.parts.clean(hours=0) >= 3 and contents(table) == want and not table.parts.batches()
+    table.upsert(spark.createDataFrame([change(99, "replayed", 9)], CHANGES), 1)  # its folder is gone, the batch is not
+    assert contents(table) == want
 
 
 def test_a_batch_merges_its_share_of_the_buckets(spark, tmp_path):
@@ -157,8 +158,8 @@ def test_a_batch_merges_its_share_of_the_buckets(spark, tmp_path):
     merged = []
     for n in range(4):
         table.upsert(spark.createDataFrame([change(i, f"b{n}", n) for i in range(40)], CHANGES), n)
-        merged.append(len(table.snapshot.manifest().tables["profiles"]))
-    assert merged == [0, 2, 4, 4]
+        merged.append(sum(table.parts.state(s)["base"] is not None for s in range(table.parts.shares)))
+    assert merged == [0, 1, 2, 2]
     assert contents(table) == {i: "b3" for i in range(40)}
 
 
@@ -173,44 +174,49 @@ def test_current_rows_of_some_ids(spark, tmp_path):
 
 
 def test_two_writers_keep_each_others_rows(spark, tmp_path):
-    """Both write from the same manifest; the second publishes on top of the first."""
+    """One starts its batch before the other has written its own."""
     table = ProfileTable(spark, str(tmp_path / "t"), buckets=2)
     other = ProfileTable(spark, str(tmp_path / "t"), buckets=2)
-    write, publish = table.snapshot.write, table.snapshot.publish
+    write = table.parts._write
 
     def slow_write(*args):
-        written = write(*args)
-        if not contents(other):
+        if not other.parts.batches():
             other.upsert(spark.createDataFrame([change(i, "winner", 0) for i in range(10)], CHANGES), 0, "other")
-        return written
+        write(*args)
 
-    table.snapshot.write = slow_write
+    table.parts._write = slow_write
     table.upsert(spark.createDataFrame([change(i, "late", 1) for i in range(8, 20)], CHANGES), 0, "one")
     want = {**{i: "winner" for i in range(8)}, **{i: "late" for i in range(8, 20)}}
     assert contents(table) == want == contents(other)
 
-    stale = table.snapshot.draft()
-    publish(table.snapshot.draft())
-    with pytest.raises(LostRace):
-        publish(stale)
-    assert contents(table) == want
 
+def test_batches_that_arrive_during_a_merge_keep_waiting(spark, tmp_path):
+    table = ProfileTable(spark, str(tmp_path / "t"), buckets=2, compact_after=100)
+    table.upsert(spark.createDataFrame([change(i, "a", 0) for i in range(6)], CHANGES))
+    write = table.parts._write
 
-def test_a_lost_race_is_run_again(spark, tmp_path):
-    table = ProfileTable(spark, str(tmp_path / "t"), buckets=2)
-    other = ProfileTable(spark, str(tmp_path / "t"), buckets=2)
-    drafts = []
-    draft = table.snapshot.draft
+    def slow_write(name, rows):
+        write(name, rows)
+        if name.startswith("part=base.") and len(table.parts.batches()) == 1:
+            ProfileTable(spark, str(tmp_path / "t")).upsert(spark.createDataFrame([change(3, "b", 1)], CHANGES))
+
+    table.parts._write = slow_write
+    table.compact()
+    assert contents(table) == {**{i: "a" for i in range(6)}, 3: "b"}
+    table.compact()
+    assert contents(table) == {**{i: "a" for i in range(6)}, 3: "b"}
 
-    def overtaken():
-        drafts.append(draft())
-        if len(drafts) == 1:
-            other.upsert(spark.createDataFrame([change(1, "other", 0)], CHANGES))
-        return drafts[-1]
 
-    table.snapshot.draft = overtaken
-    table.upsert(spark.createDataFrame([change(2, "mine", 0)], CHANGES))
-    assert contents(table) == {1: "other", 2: "mine"} and len(drafts) == 2
+def test_a_batch_that_was_broken_off_does_not_count(spark, tmp_path):
+    table = ProfileTable(spark, str(tmp_path / "t"), buckets=2)
+    rows = spark.createDataFrame([change(1, "a", 0)], CHANGES)
+    table.upsert(rows, 0, "s")
+    (tmp_path / "t" / "part=change.s.000000000000" / "_SUCCESS").unlink()
+    assert contents(table) == {}
+    table.upsert(spark.createDataFrame([change(1, "again", 0)], CHANGES), 0, "s")
+    assert contents(table) == {1: "again"}
+    with pytest.raises(ValueError):
+        table.upsert(rows, 0, "../x")
 
 
 def test_batch_numbers_belong_to_their_stream(spark, tmp_path):
@@ -218,14 +224,14 @@ def test_batch_numbers_belong_to_their_stream(spark, tmp_path):
     for stream, email in (("a", "x"), ("b", "y"), ("a", "skipped")):
         rows = [change(ord(stream) if email != "skipped" else 1, email, 0)]
         table.upsert(spark.createDataFrame(rows, CHANGES), 0, stream)
-    assert contents(table) == {97: "x", 98: "y"} and table.snapshot.manifest().batches == {"a": 0, "b": 0}
+    assert contents(table) == {97: "x", 98: "y"} and table.parts.batches() == [("a", 0), ("b", 0)]
 
 
 def test_an_existing_table_is_opened_as_it_is(spark, tmp_path):
     ProfileTable(spark, str(tmp_path / "t"), buckets=2).upsert(
         spark.createDataFrame([change(1, "a", 0)], CHANGES))
     again = ProfileTable(spark, str(tmp_path / "t"), buckets=64)
-    assert contents(again) == {1: "a"} and again.snapshot.manifest().buckets == 2
+    assert contents(again) == {1: "a"} and again.parts.buckets == 2
 
 
 def test_messages_reach_the_table_and_bad_ones_the_dead_letters(spark, tmp_path):
@@ -243,7 +249,7 @@ def test_messages_reach_the_table_and_bad_ones_the_dead_letters(spark, tmp_path)
     run()
     assert contents(table) == {1: "x", 2: "y"}
     assert [r["value"] for r in spark.read.parquet(str(tmp_path / "dead")).collect()] == ["garbage"]
-    assert {c for c in VERSION} <= set(table.snapshot.read("changes").columns)
+    assert {c for c in VERSION} <= set(table.parts.read().columns)
 
 
 def test_a_stream_keeps_the_index_current(spark, tmp_path):
