@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rosterlake.functions.barrier import computed
 
-from .common import BLANKS, column, whole_row, word_count, words
+from .common import column, whole_row, words
 from .graphs import stored
 
 # Fixed values of the contract.
@@ -47,7 +47,8 @@ def counts(rows: DataFrame, text: str = "text") -> DataFrame:
     """``rows`` plus n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and the text's word list.
 
     Repeated 3-word windows are found by sorting hashes of windows together with their places: the low bits of a
-    hash make room for the place, so one sort of longs does it, in n log n at any length.
+    hash make room for the place, so one sort of longs does it, in n log n at any length. Texts whose windows are all
+    different are not sorted, and only texts with a symbol are searched for all of them.
     """
     full = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(full, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -59,7 +60,7 @@ def counts(rows: DataFrame, text: str = "text") -> DataFrame:
         F.expr("transform(sequence(0, greatest(size(_words) - 3, 0)), "
                "i -> xxhash64(get(_words, i), get(_words, i + 1), get(_words, i + 2)))").alias("_hashes"))
     ordered = computed(
-        sized, F.expr("if(_n < 3, array(), sort_array(transform(_hashes, "
+        sized, F.expr("if(_n < 3 or size(array_distinct(_hashes)) = size(_hashes), array(), sort_array(transform(_hashes, "
                       "(h, i) -> shiftleft(shiftright(h, _bits), _bits) | cast(i as bigint))))").alias("_keys"))
     places = computed(ordered, F.expr(
         "sort_array(transform(filter(_keys, (k, i) -> "
@@ -69,8 +70,9 @@ def counts(rows: DataFrame, text: str = "text") -> DataFrame:
     return places.select(
         *rows.columns, F.col("_words"),
         F.col("_n").cast("long").alias("n_words"),
-        _kept_length(full, BLANKS).alias("word_chars"),
-        (F.length(full) - F.length(F.regexp_replace(full, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        F.when(full.rlike(SYMBOLS), F.length(full) - F.length(F.regexp_replace(full, SYMBOLS, ""))).otherwise(0)
+        .cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.expr("aggregate(transform(_places, (p, i) -> least(3, coalesce(get(_places, i + 1) - p, 3))), "
                "0L, (a, x) -> a + x)").alias("n_repeat_words"))
@@ -115,16 +117,16 @@ def js_distance(p: Column, q: Column) -> Column:
 def references(docs: DataFrame, settings: Divergence) -> DataFrame:
     """One row per language and one for all (all_languages): class shares, common words and their shares.
 
-    ``docs`` has lang, text and n_words of the documents references are drawn from.
+    ``docs`` has lang, text, n_words and the lower-cased words of the documents references are drawn from.
     """
     n = len(CLASSES) + 2
-    classes = class_counts(docs, F.col("text"), "h", ["lang", "n_words"])
+    classes = class_counts(docs.select("lang", "n_words", "text"), F.col("text"), "h", ["lang", "n_words"])
     sums = [F.sum(F.col("h")[i]).alias(f"c{i}") for i in range(n)]
     by_class = (classes.rollup("lang").agg(F.grouping("lang").alias("pool"), F.sum("n_words").alias("of_words"), *sums)
                 .select("lang", "pool", "of_words", F.array(*[F.col(f"c{i}") for i in range(n)]).alias("h")))
     by_class = computed(by_class, class_shares(F.col("h")).alias("class_ref"), keep=["lang", "pool", "of_words"])
     # Written once: ranked by language and in the pool.
-    per_word = stored(docs.select("lang", F.explode(words(F.lower("text"))).alias("word"))
+    per_word = stored(docs.select("lang", F.explode("_lowered").alias("word"))
                       .groupBy("lang", "word").agg(F.count("*").alias("n")), "word-counts")
     pooled = per_word.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), F.lit(1).alias("pool"), "word", "n")
     ranked = per_word.select("lang", F.lit(0).alias("pool"), "word", "n").unionByName(pooled)
@@ -141,9 +143,10 @@ def references(docs: DataFrame, settings: Divergence) -> DataFrame:
         F.concat(known, F.array(1 - F.aggregate(known, F.lit(0.0), lambda s, x: s + x))).alias("share_ref"))
 
 
-def word_histogram(word_list: Column, common: Column) -> Column:
-    """How often each common word occurs in a list, and how many other words there are."""
-    hits = F.array_remove(F.transform(word_list, lambda w: F.array_position(common, F.lower(w)).cast("int")), 0)
+def word_histogram(word_list: Column, common: Column, longest: Column) -> Column:
+    """How often each common word, ``longest`` characters at most, occurs in a list, and how many other words there are."""
+    short = F.filter(word_list, lambda w: F.length(w) <= longest)
+    hits = F.array_remove(F.transform(short, lambda w: F.array_position(common, F.lower(w)).cast("int")), 0)
     return F.struct(F.size(word_list).alias("n"), hits.alias("hits"))
 
 
@@ -160,7 +163,8 @@ def judge(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                        column(text_column).alias("text"), column(lang_column).alias("lang"))
     counted = counts(bare).withColumn("base_failed", base_failed())
     texts = docs.select(column(text_column).cast("string").alias("text"), column(lang_column).alias("lang"))
-    long_ones = computed(texts, word_count(F.col("text")).alias("n_words")).where(F.col("n_words") >= LEAST_WORDS)
+    long_ones = computed(texts, words(F.lower("text")).alias("_lowered")).where(F.size("_lowered") >= LEAST_WORDS).withColumn(
+        "n_words", F.size("_lowered").cast("long"))
     # Written once: a few rows, whose known size lets the join below send them to all tasks.
     refs = stored(references(long_ones, settings), "references")
     pool = refs.where("all_languages").select("class_ref", "word_ref", "share_ref").first()
@@ -174,12 +178,14 @@ def judge(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         "row", "doc_id", "text", "_words", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", *[F.coalesce(F.col(c), f.cast(k)).alias(c)
                          for c, f, k in zip(("class_ref", "word_ref", "share_ref"), fallback, kinds)])
+    # Lower-casing makes no word shorter, so longer words than these are none of the common ones.
+    matched = matched.withColumn("_longest", F.coalesce(F.array_max(F.transform("word_ref", F.length)), F.lit(0)))
     carried_on = [c for c in matched.columns if c != "text"]
     judged = F.when(~F.col("base_failed") & (F.length("text") >= settings.least_chars), F.col("text"))
     histograms = computed(
         class_counts(matched, judged, "_counted", carried_on),
         F.when(~F.col("base_failed") & (F.col("n_words") >= settings.least_words),
-               word_histogram(F.col("_words"), F.col("word_ref"))).alias("_common"))
+               word_histogram(F.col("_words"), F.col("word_ref"), F.col("_longest"))).alias("_common"))
     per_word = F.expr("transform(sequence(1, size(word_ref)), "
                       "j -> cast(size(_common.hits) - size(array_remove(_common.hits, j)) as double) / _common.n)")
     other = F.expr("cast(_common.n - size(_common.hits) as double) / _common.n")
