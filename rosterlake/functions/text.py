@@ -44,3 +44,33 @@ def edge_ngrams(word: Column, max_gram: int = MAX_GRAM) -> Column:
 def query_tokens(spark: SparkSession, text: str, **rules) -> list[str]:
     """Tokens of one request text, analysed by the same expression as the indexed text."""
     return spark.range(1).select(tokens(F.lit(text), **rules).alias("t")).first()["t"]
+
+
+SIMILAR_HEAD = 7    # characters of a word whose deletions are looked up
+SIMILAR_EDITS = 2   # edits up to which similar words are found by common deletions
+
+
+def _less_one(word: Column) -> Column:
+    places = F.sequence(F.lit(1), F.length(word))
+    shorter = F.transform(places, lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, F.length(word))))
+    return F.when(F.length(word) > 0, shorter).otherwise(F.array().cast("array<string>"))
+
+
+def deletions(word: Column) -> Column:
+    """What is left of the head of a word after up to two characters are deleted, in all ways, as an array.
+
+    Words within two edits of each other (or adjacent swaps) have a common deletion.
+    """
+    head = F.array(F.substring(word, F.lit(1), F.lit(SIMILAR_HEAD)))
+    once = F.flatten(F.transform(head, _less_one))
+    twice = F.flatten(F.transform(once, _less_one))
+    return F.array_distinct(F.concat(head, once, twice))
+
+
+def word_deletions(word: str) -> list[str]:
+    """The same for a word of a request."""
+    found = level = {word[:SIMILAR_HEAD]}
+    for _ in range(SIMILAR_EDITS):
+        level = {w[:i] + w[i + 1:] for w in level for i in range(len(w))}
+        found = found | level
+    return sorted(found)

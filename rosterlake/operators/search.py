@@ -11,10 +11,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.text import query_tokens, tokens
+from ..functions.text import SIMILAR_EDITS, query_tokens, tokens, word_deletions
 from .bounded import has_at_most
 from .scoring import SCORE_DIGITS, inverse_document_frequency, term_weight
-from .textindex import WHOLE, TextIndex, term_bucket
+from .textindex import WHOLE, TextIndex, range_bucket, term_bucket
 
 
 # -- clauses ---------------------------------------------------------------------------------
@@ -99,10 +99,6 @@ def _or(conditions: list[Column]) -> Column:
 
 # -- words of a leaf -------------------------------------------------------------------------
 
-# Up to this many similar words are looked up by name; beyond it the condition itself is used.
-NAMED_WORDS = 10_000
-
-
 def _swapped(word: str) -> set[str]:
     """The word with one pair of adjacent characters swapped, in all ways that change it."""
     return {word[:i] + word[i + 1] + word[i] + word[i + 2:] for i in range(len(word) - 1)} - {word}
@@ -140,35 +136,60 @@ def _hit(term: Column, leaf) -> Column:
     return _edits(term, leaf).isNotNull()
 
 
-def _similar_words(index: TextIndex, field: str, fuzzy: list[Fuzzy]) -> list[str] | None:
-    """Words of a stored vocabulary that are similar to those asked for, unless there are very many.
+def _named(leaves: list) -> list[str]:
+    """The words that the leaves name."""
+    return [w for leaf in leaves for w in ([leaf.text] if isinstance(leaf, Word) else leaf.words if isinstance(leaf, Phrase) else [])]
+
 
-    The vocabulary is cheap to scan, and words known by name let the search skip most postings.
+def _looked_up(index: TextIndex, field: str, leaves: list) -> DataFrame | None:
+    """(term, df) of a stored vocabulary for the leaves that name no word, without the words that others name.
+
+    A prefix reads a range of terms. Similar words are those that have a deletion in common with the word asked for,
+    found by an equi-join and compared then; without stored deletions, or beyond their edits, all terms are compared.
     """
-    if not fuzzy or index.buckets is None:
+    term, stats, found = F.col("term"), index.term_stats.where(F.col("field") == field), None
+    for leaf in leaves:
+        if isinstance(leaf, Prefix):
+            part = stats.where(index.begins_with(leaf.text))
+        elif isinstance(leaf, Fuzzy) and index.similar is not None and leaf.edits <= SIMILAR_EDITS:
+            variants = word_deletions(leaf.text)
+            near = index.similar.where(
+                (F.col("field") == field) & F.col("variant").isin(variants)
+                & F.col("bucket").isin([term_bucket(F.lit(v), index.buckets) for v in variants])).select("term").distinct()
+            near = near.where(_hit(term, leaf)).withColumn("bucket", range_bucket(term, index.bounds))
+            part = stats.join(F.broadcast(near) if has_at_most(near) else near, ["bucket", "term"], "left_semi")
+        elif isinstance(leaf, Fuzzy):
+            part = stats.where(_hit(term, leaf))
+        else:
+            continue
+        part = part.select("term", "df")
+        found = part if found is None else found.unionByName(part)
+    if found is None:
         return None
-    similar = _or([_hit(F.col("term"), leaf) for leaf in fuzzy])
-    found = (
-        index.term_stats.where((F.col("field") == field) & similar)
-        .select("term").limit(NAMED_WORDS + 1).collect()
-    )
-    return [r["term"] for r in found] if len(found) <= NAMED_WORDS else None
+    names = sorted(set(_named(leaves)))
+    return found.where(~term.isin(names)).distinct() if names else found.distinct()
 
 
-def _rows_of(index: TextIndex, field: str, leaves: list, similar: list[str] | None) -> Column:
-    """Condition on postings or term statistics for the terms that the leaves need."""
-    term = F.col("term")
-    named, conditions = list(similar or []), []
-    for leaf in leaves:
-        if isinstance(leaf, Word):
-            named.append(leaf.text)
-        elif isinstance(leaf, Phrase):
-            named += leaf.words
-        elif isinstance(leaf, Prefix) or similar is None:
-            conditions.append(_hit(term, leaf))
-    if named or not conditions:
-        conditions.append(index.has_term(named))
-    return (F.col("field") == field) & _or(conditions)
+def _stored_rows(index: TextIndex, field: str, leaves: list) -> tuple[DataFrame, DataFrame]:
+    """Postings of the terms that the leaves need in a stored index, and (term, df) of those terms."""
+    names, found = _named(leaves), _looked_up(index, field, leaves)
+    postings, stats = index.postings.where(F.col("field") == field), index.term_stats.where(F.col("field") == field)
+    if found is None:
+        return postings.where(index.has_term(names)), stats.where(index.counts_term(names)).select("term", "df")
+    # Joined by bucket and term: where few terms are found, dynamic pruning opens their buckets only.
+    terms = found.select("term", term_bucket(F.col("term"), index.buckets).alias("bucket"))
+    if has_at_most(terms):
+        terms = F.broadcast(terms)
+    rows = postings.join(terms, ["bucket", "term"], "left_semi").select(*postings.columns)
+    if not names:
+        return rows, found
+    return (rows.unionByName(postings.where(index.has_term(names))),
+            found.unionByName(stats.where(index.counts_term(names)).select("term", "df")))
+
+
+def _rows_of(field: str, leaves: list) -> Column:
+    """Condition on the postings of a computed index for the terms that the leaves need."""
+    return (F.col("field") == field) & _or([_hit(F.col("term"), leaf) for leaf in leaves])
 
 
 # -- phrases ---------------------------------------------------------------------------------
@@ -283,17 +304,19 @@ def search(index: TextIndex, field: str, clause) -> DataFrame:
     if not leaves:
         raise ValueError("a search needs at least one clause")
     term = F.col("term")
-    fuzzy = [leaf for leaf in leaves if isinstance(leaf, Fuzzy)]
-    similar = _similar_words(index, field, fuzzy)
-    needed = _rows_of(index, field, leaves, similar)
+    fuzzy = any(isinstance(leaf, Fuzzy) for leaf in leaves)
     scored = [leaf for leaf in leaves if not isinstance(leaf, Prefix)]
     one_pass = index.rows is not None and len(scored) == len(leaves)
-    if one_pass:
+    if index.buckets is not None:
+        postings, vocabulary = _stored_rows(index, field, leaves)
+    elif one_pass:
+        needed = _rows_of(field, leaves)
         # Words, their frequencies and the field's statistics all come from these rows. No branch
         # filters them further, so the branches share one shuffle.
         postings = index.rows.where((F.col("field") == field) & (needed | (term == WHOLE)))
     else:
-        postings = index.postings.where(needed)
+        postings = index.postings.where(_rows_of(field, leaves))
+        vocabulary = index.term_stats.where(_rows_of(field, scored)).select("term", "df") if scored else None
 
     if scored:
         if one_pass:
@@ -311,15 +334,14 @@ def search(index: TextIndex, field: str, clause) -> DataFrame:
             avg_dl = vocabulary.agg((length / documents).alias("avg")).scalar()
             vocabulary = vocabulary.drop("length")
         else:
-            vocabulary = index.term_stats.where(_rows_of(index, field, scored, similar)).select("term", "df")
             n_docs, avg_dl = index.statistics(field)
         for i, leaf in enumerate(leaves):
             if isinstance(leaf, Fuzzy):
                 # Similar words are weighed by the frequency of the most frequent of them.
                 most = vocabulary.agg(F.max(F.when(_hit(term, leaf), F.col("df"))).alias("most"))
                 vocabulary = vocabulary.withColumn(f"_most{i}", most.scalar())
-        if not fuzzy or similar is not None:  # at most one row per named word
-            vocabulary = F.broadcast(vocabulary)
+        if len(_named(leaves)) and len(_named(leaves)) == sum(len(leaf.words) if isinstance(leaf, Phrase) else 1 for leaf in leaves):
+            vocabulary = F.broadcast(vocabulary)  # at most one row per named word
         postings = postings.join(vocabulary, "term", "left")
         weight = term_weight(F.col("tf"), F.col("dl"), avg_dl)
 
@@ -388,7 +410,7 @@ def match_many(index: TextIndex, field: str | None, queries: DataFrame, query_id
 
     ``field`` is searched by all requests, or each names its own in a ``field`` column when it is None.
     The words of the requests are counted first. Up to a fixed size they are sent to all tasks, and
-    postings placed by document are then scored where they are. Of a stored index only the buckets of those
+    postings placed by document are then scored where they are, and of a stored index only the buckets of those
     words are read. Beyond the size the postings are joined by
     word, and adaptive execution splits the hot ones.
     """
@@ -401,12 +423,15 @@ def match_many(index: TextIndex, field: str | None, queries: DataFrame, query_id
     wanted = exploded.groupBy("query_id", *word).agg(F.count(F.lit(1)).alias("qtf"))
     words = send(exploded.select(*word).distinct())
     fields = F.lit(True) if field is None else F.col("field") == field
-    if index.buckets is not None:
-        # The buckets that hold the words, at most all of them: directories of others are not opened.
-        bucket = term_bucket(F.col("term"), index.buckets)
-        fields = fields & F.col("bucket").isin([r[0] for r in exploded.select(bucket).distinct().collect()])
-    postings = index.postings.where(fields).join(words, word, "left_semi")
-    frequency = index.term_stats.where(fields).join(words, word, "left_semi").select(*word, "df")
+    if index.buckets is None:
+        postings = index.postings.where(fields).join(words, word, "left_semi")
+        frequency = index.term_stats.where(fields).join(words, word, "left_semi").select(*word, "df")
+    else:
+        # Joined by bucket as well: where few words are asked for, dynamic pruning opens their buckets only.
+        by_hash, by_range = term_bucket(F.col("term"), index.buckets), range_bucket(F.col("term"), index.bounds)
+        placed = ["bucket", *word]
+        postings = index.postings.where(fields).join(words.withColumn("bucket", by_hash), placed, "left_semi")
+        frequency = index.term_stats.where(fields).join(words.withColumn("bucket", by_range), placed, "left_semi").select(*word, "df")
     weights = wanted.join(frequency, word)
     if field is None:
         # One row per indexed field.

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from bisect import bisect_right
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -39,15 +40,23 @@ def term_bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
+def range_bucket(term: Column, bounds: Sequence[str]) -> Column:
+    """The range of terms that a term is in; ranges begin at the ``bounds``."""
+    if not bounds:
+        return F.lit(0)
+    return F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= term))
+
+
 @dataclass(frozen=True)
 class TextIndex:
     """The tables a search reads, whether they come from disk or are computed from documents.
 
     ``postings``: field, term, doc_id, dl (field length in tokens), tf, positions.
     ``term_stats``: field, term, df. ``field_stats``: field, n_docs, avg_dl (one row per field).
-    ``lengths``: field, doc_id, dl. ``buckets`` is set when postings and term statistics are stored
-    with a ``bucket`` partition column computed from the term; ``known`` then holds the statistics
-    per field as (documents, average length). ``rows`` of a computed index are its postings plus one
+    ``lengths``: field, doc_id, dl. ``buckets`` is set when postings are stored with a ``bucket`` partition column
+    computed from the term; term statistics then have one of ranges of terms, which begin at ``bounds``, and ``known``
+    holds the statistics per field as (documents, average length). ``similar``: field, variant (and ``bucket``), term
+    leads from the deletions of a word to the words that have them. ``rows`` of a computed index are its postings plus one
     row per document under the empty term: a search that reads them learns the statistics from the
     same pass over the text.
     """
@@ -59,6 +68,8 @@ class TextIndex:
     buckets: int | None = None
     known: Mapping[str, tuple[int, float]] | None = None
     rows: DataFrame | None = None
+    bounds: Sequence[str] = ()
+    similar: DataFrame | None = None
 
     def statistics(self, field: str) -> tuple[Column, Column]:
         """Number of documents and average length of one field: constants, or scalar subqueries."""
@@ -69,7 +80,7 @@ class TextIndex:
         return one.select("n_docs").scalar(), one.select("avg_dl").scalar()
 
     def has_term(self, words: Iterable[str]) -> Column:
-        """Condition on postings or term statistics: the term is one of ``words``.
+        """Condition on postings: the term is one of ``words``.
 
         On a stored index it also names the buckets of the words, so other directories are not read.
         """
@@ -79,6 +90,22 @@ class TextIndex:
             return found
         return found & F.col("bucket").isin([term_bucket(F.lit(w), self.buckets) for w in words])
 
+    def counts_term(self, words: Iterable[str]) -> Column:
+        """The same condition on term statistics."""
+        words = sorted(set(words))
+        found = F.col("term").isin(words)
+        if self.buckets is None:
+            return found
+        return found & F.col("bucket").isin(sorted({bisect_right(self.bounds, w) for w in words}))
+
+    def begins_with(self, prefix: str) -> Column:
+        """Condition on term statistics: the term starts with ``prefix``. Stored ranges beyond it are not read."""
+        found = F.col("term").startswith(prefix)
+        if self.buckets is None or not prefix:
+            return found
+        last = bisect_right(self.bounds, prefix + chr(0x10FFFF))
+        return found & F.col("bucket").between(bisect_right(self.bounds, prefix), last)
+
     @staticmethod
     def over(docs: DataFrame, id_column: str, fields: Mapping[str, Column],
              analyzer: Callable[[Column], Column] = tokens) -> "TextIndex":

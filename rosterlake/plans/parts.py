@@ -17,6 +17,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..operators.textindex import range_bucket
+
 
 ONCE = "once-"  # begins the stream names of batches that no stream will write again
 
@@ -26,6 +28,7 @@ class Spec:
     """``key`` decides the bucket, ``order`` the row order inside it; ``resolve`` makes changes (and ``bucket``) current.
 
     ``spread`` gathers rows by bucket before writing, in even partitions: a bucket with a hot key takes several tasks.
+    With ``bounds`` a bucket is a range of keys instead of a hash: bucket i has the keys from bound i - 1 up to bound i.
     """
 
     schema: T.StructType
@@ -33,6 +36,7 @@ class Spec:
     order: tuple[str, ...]
     resolve: Callable[[DataFrame], DataFrame]
     spread: bool = False
+    bounds: tuple[str, ...] = ()
 
 
 class PartTable:
@@ -40,8 +44,18 @@ class PartTable:
 
     def __init__(self, spark: SparkSession, root: str, spec: Spec, buckets: int, shares: int):
         self.spark, self.root, self.spec = spark, root.rstrip("/"), spec
-        made = self._load("_table.json") or self._save("_table.json", {"buckets": buckets, "shares": min(shares, buckets)})
-        self.buckets, self.shares = made["buckets"], made["shares"]
+        if spec.bounds:
+            buckets = len(spec.bounds) + 1
+        if not self.exists():
+            self._save("_table.json", {"buckets": buckets, "shares": min(shares, buckets), "bounds": list(spec.bounds)})
+        self._describe()
+
+    def _describe(self) -> None:
+        made = self._load("_table.json")
+        self.buckets, self.shares, self.bounds = made["buckets"], made["shares"], made["bounds"]
+
+    def exists(self) -> bool:
+        return self._load("_table.json") is not None
 
     # -- files -------------------------------------------------------------------------------
 
@@ -98,6 +112,8 @@ class PartTable:
         return f"part=change.{stream}.{batch:012d}"
 
     def bucket_of(self, key: Column) -> Column:
+        if self.bounds:
+            return range_bucket(key, self.bounds)
         return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
 
     def _write(self, name: str, rows: DataFrame) -> None:
@@ -139,6 +155,7 @@ class PartTable:
 
         Filters on the bucket and on what rows are resolved by reach the files.
         """
+        self._describe()  # ranges may have other bounds since
         waiting = self.pending(upto)
         settled, changed = [s for s in waiting if not waiting[s]], [s for s in waiting if waiting[s]]
         parts = [self._rows(settled, {})] if settled else []
@@ -178,8 +195,11 @@ class PartTable:
                 gone += fs.delete(path, True)
         return gone
 
-    def replace(self, rows: DataFrame) -> None:
-        """A new base of all shares from whole contents, instead of everything there is."""
+    def replace(self, rows: DataFrame, bounds: list[str] | None = None) -> None:
+        """A new base of all shares from whole contents, instead of everything there is; ranges may get other ``bounds``."""
+        if bounds is not None:
+            self._save("_table.json", {"buckets": len(bounds) + 1, "shares": self.shares, "bounds": bounds})
+            self._describe()
         name, batches = f"part=base.all.{uuid.uuid4().hex}", dict(self.batches())
         self._write(name, rows)
         for share in range(self.shares):

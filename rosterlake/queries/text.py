@@ -160,12 +160,15 @@ def _phrase_idf(words: list[str]) -> str:
         f"(select ln(1 + (n - df + 0.5) / (df + 0.5)) from d, s where term = '{w}')" for w in words)
 
 
-@query(f"""with {_tables()},
+_PHRASE_SQL = f"""with {_tables()},
 f as (select a.doc_id, a.dl, cast(count(*) as double) as f from words a
       join words b on b.doc_id = a.doc_id and b.pos = a.pos + 1 and b.term = 'the'
       where a.term = 'of' group by all)
 select doc_id, round(({_phrase_idf(['of', 'the'])}) * f * 2.2
-       / (f + 1.2 * (0.25 + 0.75 * dl / avgdl)), 6) as score from f, s""")
+       / (f + 1.2 * (0.25 + 0.75 * dl / avgdl)), 6) as score from f, s"""
+
+
+@query(_PHRASE_SQL)
 def match_phrase(spark, folder):
     return search(_index(spark, folder), FIELD, phrase("of the"))
 
@@ -189,18 +192,24 @@ def match_phrase_slop(spark, folder):
     return search(_index(spark, folder), FIELD, phrase("of the and", slop=2))
 
 
-@query(f"""with {_tables()}
-select distinct doc_id, 1.0::double as score from p where term like 'thr%'""")
+_PREFIX_SQL = f"""with {_tables()}
+select distinct doc_id, 1.0::double as score from p where term like 'thr%'"""
+
+
+@query(_PREFIX_SQL)
 def match_prefix(spark, folder):
     return search(_index(spark, folder), FIELD, Prefix("thr"))
 
 
-@query(f"""with {_tables()},
+_FUZZY_SQL = f"""with {_tables()},
 c as (select term, df, levenshtein(regexp_replace(term, '[^a-z0-9]', '?', 'g'), 'there') as edits from d),
 e as (select term, df, greatest(0, 1 - edits / least(length(term), 5)) as boost from c where edits <= 2),
 x as (select max(df) as maxdf from e)
 select doc_id, round(sum(boost * {_bm25(df='maxdf')}), 6) as score
-from p join e using (term), s, x group by doc_id""")
+from p join e using (term), s, x group by doc_id"""
+
+
+@query(_FUZZY_SQL)
 def match_fuzzy(spark, folder):
     return search(_index(spark, folder), FIELD, Fuzzy("there", 2))
 
@@ -306,6 +315,29 @@ def stored_facet_token(spark, folder):
     return facet_terms(stored.open().term_stats, 10)
 
 
+def _stored(spark, folder, **options):
+    index = StoredIndex(spark, scratch(spark, "index"), "doc_id", {FIELD: F.col("text")}, buckets=16, **options)
+    index.build(table(spark, folder, "documents"))
+    return index.open()
+
+
+@query(_PREFIX_SQL)
+def stored_match_prefix(spark, folder):
+    """A prefix against an index on disk: a range of its terms, then their buckets."""
+    return search(_stored(spark, folder), FIELD, Prefix("thr"))
+
+
+@query(_FUZZY_SQL)
+def stored_match_fuzzy(spark, folder):
+    """Similar words from the deletions that an index on disk keeps."""
+    return search(_stored(spark, folder, similar=True), FIELD, Fuzzy("there", 2))
+
+
+@query(_PHRASE_SQL)
+def stored_match_phrase(spark, folder):
+    return search(_stored(spark, folder), FIELD, phrase("of the"))
+
+
 @query(f"""with mixed as (
   select doc_id, case when doc_id % 3 = 0 then source || ' ' || text else text end as body
   from documents where doc_id % 5 <> 1),

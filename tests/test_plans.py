@@ -12,7 +12,7 @@ from rosterlake.operators.facets import facet_values
 from rosterlake.operators.fields import match_date
 from rosterlake.operators.latest import latest_by_key
 from rosterlake.operators.scoring import page, page_per_query
-from rosterlake.operators.search import Prefix, match, match_many, search
+from rosterlake.operators.search import Fuzzy, Prefix, match, match_many, search
 from rosterlake.operators.textindex import TextIndex
 from rosterlake.plans.feed import run_feed
 from rosterlake.plans.indexing import StoredIndex
@@ -153,7 +153,39 @@ def test_a_stored_search_prunes_buckets_and_pushes_words_down(stored):
     assert len(scans) == 2 and all("bucket" in s.split("PartitionFilters")[1] for s in scans)
     assert all("In(term" in s for s in scans) and all("positions" not in s for s in scans)
     assert plan.count("Exchange hashpartitioning") == 1 and "TakeOrderedAndProject" in plan
-    assert "StringStartsWith(term" in plan_of(search(stored.index, "city", Prefix("yo")))
+
+
+def scans_of(plan):
+    return [line for line in plan.splitlines() if "FileScan" in line]
+
+
+def partition_filters(scan):
+    return scan.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_a_stored_prefix_reads_a_range_of_terms_and_their_buckets(stored):
+    plan = plan_of(search(stored.index, "city", Prefix("yo")))
+    terms = [s for s in scans_of(plan) if "StringStartsWith(term" in s]
+    postings = [s for s in scans_of(plan) if "tf" in s.split("ReadSchema")[1] or "doc_id" in s.split("ReadSchema")[1]]
+    assert terms and all("bucket" in partition_filters(s) for s in terms)
+    assert postings and all("dynamicpruning" in partition_filters(s) for s in postings)
+
+
+def test_similar_words_are_joined_by_deletions_and_not_scanned(spark, tmp_path):
+    people = spark.createDataFrame(PEOPLE, PROFILE)
+    index = StoredIndex(spark, str(tmp_path / "ix"), "id", {"city": F.col("city")}, buckets=8, similar=True)
+    index.build(people)
+    found = search(index.open(), "city", Fuzzy("yrok", 2))
+    scans = scans_of(plan_of(found))
+    # Variants by the buckets of the word's deletions, terms and postings by those of the words found.
+    assert scans and all("bucket" in partition_filters(s) for s in scans)
+    assert sorted(r["doc_id"] for r in found.collect()) == [p[0] for p in PEOPLE if "York" in p[7]]
+    index.refresh(people.where("id = 3").withColumn("city", F.lit("Yorrk")))
+    assert 3 in {r["doc_id"] for r in search(index.open(), "city", Fuzzy("yorrkk", 1)).collect()}
+    index.refresh(people.where("id = 3").withColumn("city", F.lit("Rome")))
+    assert search(index.open(), "city", Fuzzy("yorrkk", 1)).count() == 0
+
+
 
 
 def test_searches_stay_in_the_engine_without_cross_joins(spark, stored):

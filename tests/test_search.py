@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brute import Corpus, edits, swap_edits
-from rosterlake.functions.text import edge_ngrams, tokens
+from rosterlake.functions.text import deletions, edge_ngrams, tokens, word_deletions
 from rosterlake.operators.scoring import page, page_after, page_per_query, total_hits
 from rosterlake.operators.search import (
     Fuzzy, Prefix, Word, all_of, any_of, match, match_many, none_of, phrase, search,
@@ -209,3 +209,46 @@ def test_edge_ngrams_count_characters(spark):
     df = spark.createDataFrame([("été",), ("a" * 25,)], "t string")
     grams = [r[0] for r in df.select(edge_ngrams(F.col("t"))).collect()]
     assert grams[0] == ["é", "ét", "été"] and len(grams[1]) == 20 and grams[1][-1] == "a" * 20
+
+
+def test_words_within_two_edits_have_a_common_deletion(spark):
+    rng = random.Random(12)
+    pairs = []
+    for _ in range(400):
+        a = "".join(rng.choice("abcé") for _ in range(rng.randrange(1, 12)))
+        b = list(a)
+        for _ in range(rng.randrange(3)):
+            at, how = rng.randrange(len(b) + 1), rng.randrange(4)
+            if how == 0:
+                b.insert(at, rng.choice("abcé"))
+            elif how == 1 and at < len(b):
+                del b[at]
+            elif how == 2 and at < len(b):
+                b[at] = rng.choice("abcé")
+            elif how == 3 and at + 1 < len(b):
+                b[at], b[at + 1] = b[at + 1], b[at]
+        pairs.append((a, "".join(b)))
+    rows = spark.createDataFrame(pairs, "a string, b string").select("a", "b", deletions(F.col("b")).alias("d")).collect()
+    for row in rows:
+        assert sorted(row.d) == word_deletions(row.b)
+        assert set(word_deletions(row.a)) & set(row.d), row
+
+
+def test_similar_words_of_a_stored_index(spark, tmp_path):
+    texts = make_texts(60, 9)
+    kept = [StoredIndex(spark, str(tmp_path / str(n)), "id", fields(), buckets=4, similar=n == 1) for n in range(2)]
+    for index in kept:
+        index.build(frame(spark, texts))
+    for leaf in (Fuzzy("alpha", 2), Fuzzy("alpha", 1, True), Fuzzy("bxt", 2), Fuzzy("gamma", 3), Fuzzy("x", 0)):
+        clause = any_of(leaf, Word("delta"), Prefix("alp"))
+        one, two = (result(search(i.open(), "text", clause)) for i in kept)
+        assert one == two and one == result(search(TextIndex.over(frame(spark, texts), "id", fields()), "text", clause)), leaf
+
+
+def test_the_analyser_of_a_stored_index_is_chosen(spark, tmp_path):
+    index = StoredIndex(spark, str(tmp_path / "a"), "id", fields(), buckets=2,
+                        analyzer=lambda c: tokens(c, rules="standard"))
+    index.build(frame(spark, {1: "l'hospitalet 3.14", 2: "l hospitalet"}))
+    assert set(result(search(index.open(), "text", Word("l'hospitalet")))) == {1}
+    index.refresh(frame(spark, {2: "csc_1004"}))
+    assert set(result(search(index.open(), "text", Word("csc_1004")))) == {2}
