@@ -133,9 +133,9 @@ class PartTable:
         self._write(self._name(stream, batch), rows)
         return True
 
-    def pending(self, upto: int | None = None) -> dict[int, list[tuple[str, int]]]:
+    def pending(self, upto: int | None = None, without: tuple[str, int] | None = None) -> dict[int, list[tuple[str, int]]]:
         """Batches that are not in the base of each share, up to the batch number ``upto`` where it is given."""
-        batches = [b for b in self.batches() if upto is None or b[1] <= upto]
+        batches = [b for b in self.batches() if (upto is None or b[1] <= upto) and b != without]
         merged = {s: self.state(s)["merged"] for s in range(self.shares)}
         return {s: [(stream, n) for stream, n in batches if n > merged[s].get(stream, -1)] for s in merged}
 
@@ -150,27 +150,29 @@ class PartTable:
         layout = T.StructType([*schema.fields, T.StructField("part", T.StringType())])
         return self.spark.read.schema(layout).option("basePath", self.root).parquet(*paths).drop("part", "share")
 
-    def read(self, upto: int | None = None) -> DataFrame:
+    def read(self, upto: int | None = None, without: tuple[str, int] | None = None) -> DataFrame:
         """Current rows, with their ``bucket``; shares without changes are read as they are.
 
+        ``without`` leaves out a batch that is in no base yet.
+
         Filters on the bucket and on what rows are resolved by reach the files.
         """
         self._describe()  # ranges may have other bounds since
-        waiting = self.pending(upto)
+        waiting = self.pending(upto, without)
         settled, changed = [s for s in waiting if not waiting[s]], [s for s in waiting if waiting[s]]
         parts = [self._rows(settled, {})] if settled else []
         if changed:
             parts.append(self.spec.resolve(self._rows(changed, waiting)).select(*self.spec.schema.fieldNames(), "bucket"))
         return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
-    def merge(self, at_least: int = 1, at_most: int | None = None) -> list[int]:
+    def merge(self, at_least: int = 1, at_most: int | None = None, without: tuple[str, int] | None = None) -> list[int]:
         """Write new bases for the shares with ``at_least`` so many batches waiting, ``at_most`` so many shares and
-        those with most first; returns them.
+        those with most first; returns them. A batch that may be written again is left out by ``without``.
 
         Batches that arrive meanwhile keep waiting. Of two merges of a share at once the later state holds, and it
         names a base and the batches in it.
         """
-        waiting = self.pending()
+        waiting = self.pending(without=without)
         due = sorted((s for s in waiting if len(waiting[s]) >= at_least), key=lambda s: (-len(waiting[s]), s))[:at_most]
         for share in due:
             name = f"part=base.{share}.{uuid.uuid4().hex}"

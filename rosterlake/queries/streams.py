@@ -10,6 +10,7 @@ from ..session import scratch
 from ..sources.messages import follow_folder
 from ..streaming.counts import tumbling_counts
 from ..streaming.jobs import country_counts, drain, index_profiles, latest_counts, parquet_log
+from ..streaming.totals import WindowTotals, late_row_log, running_count_log
 from . import standins
 from .registry import query, table
 
@@ -159,3 +160,44 @@ def stream_upsert_new_checkpoint(spark, folder):
         index_profiles(_follow_topic(spark, f"{work}/topic{run}"), profiles, f"{work}/checkpoint-of-run{run}",
                        available_now=True).awaitTermination()
     return _stored_events(profiles)
+
+
+@query("""
+select date_trunc('hour', ts) as window_start, event_type, event_id,
+       count(*) over (partition by date_trunc('hour', ts), event_type order by event_id
+                      rows unbounded preceding) as running_count from events""")
+def stream_running_count(spark, folder):
+    """Events in four micro-batches by their number; every count goes on where the batch before ended."""
+    work = scratch(spark, "running")
+    events = table(spark, folder, "events").select("event_id", "ts", "event_type")
+    last = events.agg(F.max("event_id").alias("m")).first()["m"]
+    totals = WindowTotals(spark, f"{work}/totals", buckets=4, merge_after=2)
+    sink = running_count_log(f"{work}/log", totals, f"{work}/checkpoint", "ts", "event_type", None, "event_id", "1 hour")
+    for part in range(4):
+        mine = F.floor(F.col("event_id") * 4 / (last + 1)) == part
+        events.where(mine).write.mode("append").parquet(f"{work}/in")
+        drain(spark.readStream.schema(events.schema).parquet(f"{work}/in"), f"{work}/checkpoint", sink, mode="append")
+    return spark.read.parquet(f"{work}/log").select("window_start", "event_type", "event_id", "running_count")
+
+
+@query("""
+with w as (select time_bucket(interval 1 hour, ts) as window_start, event_type, count(*) as n from events
+           where event_type is not null group by all),
+m as (select max(ts) - interval 1 day as mark from events where event_type is not null)
+select window_start, event_type, 2 * n as total, case when window_start + interval 1 hour <= mark then n else 0 end as late
+from w, m""")
+def stream_late_rows(spark, folder):
+    """All events, then all again: what was counted and what came too late, per window and type."""
+    work = scratch(spark, "late-rows")
+    events = table(spark, folder, "events").select("ts", "event_type")
+    totals = WindowTotals(spark, f"{work}/totals", buckets=4)
+    sink = late_row_log(f"{work}/late", totals, f"{work}/checkpoint", "ts", "event_type", "1 hour")
+    for _ in range(2):
+        events.write.mode("append").parquet(f"{work}/in")
+        drain(spark.readStream.schema(events.schema).parquet(f"{work}/in"), f"{work}/checkpoint", sink, mode="append")
+    late = spark.read.parquet(f"{work}/late").groupBy("window_start", "event_type").agg(F.count(F.lit(1)).alias("late"))
+    counted = totals.read().withColumnRenamed("key", "event_type")
+    both = counted.join(late, ["window_start", "event_type"], "full")
+    return both.select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type",
+        (F.coalesce("count", F.lit(0)) + F.coalesce("late", F.lit(0))).alias("total"), F.coalesce("late", F.lit(0)).alias("late"))

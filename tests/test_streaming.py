@@ -12,6 +12,7 @@ from rosterlake.plans.indexing import StoredIndex
 from rosterlake.plans.profiles import VERSION, ProfileTable
 from rosterlake.schema import PROFILE
 from rosterlake.sources.messages import follow_folder
+from rosterlake.streaming.totals import WindowTotals, late_row_log, running_count_log
 from rosterlake.streaming.counts import running_counts, tumbling_counts
 from rosterlake.streaming.progress import StreamCounters, counted
 from rosterlake.streaming.jobs import country_counts, drain, index_profiles, latest_counts, parquet_log, start
@@ -276,3 +277,62 @@ def test_countries_of_messages(spark):
     counts = country_counts(spark.createDataFrame(rows, "value string, timestamp timestamp"))
     assert sorted((r["window_start"], r["country"], r["count"]) for r in counts.collect()) == [
         (at(1, 0), 5, 2), (at(1, 10), 5, 1)]
+
+
+# -- totals over micro-batches ---------------------------------------------------------------
+
+
+def checkpoint_of(folder, name):
+    folder.mkdir()
+    (folder / "metadata").write_text(json.dumps({"id": name}))
+    return str(folder)
+
+
+def test_running_counts_go_on_over_batches_replays_and_streams(spark, tmp_path):
+    rng = random.Random(21)
+    rows = [(n, at(1, rng.randrange(30)), rng.choice(["hot"] * 6 + ["a", None])) for n in range(400)]
+    totals = WindowTotals(spark, str(tmp_path / "totals"), buckets=4, merge_after=2)
+    sinks = {s: running_count_log(str(tmp_path / "log"), totals, checkpoint_of(tmp_path / s, s), "ts", "key", None, "off")
+             for s in ("first", "second")}
+
+    def batch(n):
+        return spark.createDataFrame(rows[n * 80:(n + 1) * 80], "off bigint, ts timestamp, key string")
+
+    for n in range(3):
+        sinks["first"](batch(n), n)
+        if n != 1:
+            sinks["first"](batch(n), n)  # replayed after a failure
+    again = WindowTotals(spark, str(tmp_path / "totals"))  # a restart
+    assert any(again.counts.state(s)["base"] for s in range(again.counts.shares))
+    for n in (3, 4):
+        sinks["second"](batch(n), n - 3)  # a fresh checkpoint starts its numbers anew
+    got = {r["off"]: r["running_count"] for r in spark.read.parquet(str(tmp_path / "log")).collect()}
+    so_far, want = Counter(), {}
+    for off, ts, key in rows:
+        if key is not None:
+            group = (ts.replace(second=ts.second // 10 * 10), key)
+            so_far[group] += 1
+            want[off] = so_far[group]
+    assert got == want
+    assert {(r["window_start"], r["key"]): r["count"] for r in again.read().collect()} == dict(so_far)
+
+
+def minute(m, second):
+    return at(1, 60 * m + second)
+
+
+def test_rows_that_come_too_late_are_logged_with_their_window(spark, tmp_path):
+    totals = WindowTotals(spark, str(tmp_path / "totals"), buckets=2)
+    sink = late_row_log(str(tmp_path / "late"), totals, checkpoint_of(tmp_path / "cp", "s"), "ts", "key", retention="1 minute")
+
+    def batch(n, *rows):
+        sink(spark.createDataFrame(list(rows), "ts timestamp, key string, value int"), n)
+
+    batch(0, (minute(1, 5), "a", 1), (minute(9, 0), "a", 2))  # late rows of its own batch are in time
+    batch(1, (minute(7, 55), "a", 3), (minute(8, 1), "a", 4), (minute(1, 6), None, 5), (minute(12, 0), "b", 6))
+    batch(1, (minute(7, 55), "a", 3), (minute(8, 1), "a", 4), (minute(1, 6), None, 5), (minute(12, 0), "b", 6))
+    batch(2, (minute(10, 59), "a", 7), (minute(11, 0), "b", 8))
+    late = {r["value"]: r["window_end"] for r in spark.read.parquet(str(tmp_path / "late")).collect()}
+    assert late == {3: minute(8, 0), 7: minute(11, 0)}
+    counts = {(r["window_start"], r["key"]): r["count"] for r in totals.read().collect()}
+    assert counts == {(minute(1, 0), "a"): 1, (minute(9, 0), "a"): 1, (minute(8, 0), "a"): 1, (minute(12, 0), "b"): 1, (minute(11, 0), "b"): 1}
