@@ -88,18 +88,15 @@ def _profile(record: Column, zeros: tuple[str, ...]) -> Column:
     return F.struct(*fields)
 
 
-# Ends a text that is wrapped to see whether it is one value.
-_SENTINEL = "rosterlake-end-of-text"
-
-
 def one_value(body: Column) -> Column:
     """Whether the whole text is one JSON value, with nothing but white space around it.
 
-    As a member of an array it must leave the array with two members, the second one ours.
+    A text that ends an array it is put into ends it at the same place whatever follows. So it is one value if it
+    makes an array of one member by itself and one of two with a member after it; no text is special.
     """
-    members = F.from_json(F.concat(F.lit("["), body, F.lit(f',"{_SENTINEL}"]')), "array<string>")
-    return F.coalesce(
-        (F.size(members) == 2) & (F.get(members, F.lit(1)) == _SENTINEL) & ~body.contains(_SENTINEL), F.lit(False))
+    alone = F.json_array_length(F.concat(F.lit("["), body, F.lit("]")))
+    followed = F.json_array_length(F.concat(F.lit("["), body, F.lit(",0]")))
+    return F.coalesce((alone == 1) & (followed == 2), F.lit(False))
 
 
 def outer_trim(body: Column) -> Column:

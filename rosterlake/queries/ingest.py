@@ -105,18 +105,18 @@ def wire_encode(spark, folder):
     return rows.select("id", encode().alias("value"))
 
 
-_DECODED = ["id", "nickname", "country", "location.lon", "location.lat"]
+_DECODED = ["id", "email", "dob", "weight", "height", "nickname", "country", "city", "caption", "location.lon", "location.lat", "gender"]
 
 
-@query(standins.LENIENT_SQL)
+@query(standins.WHOLE_SQL.format(decoded=standins.LENIENT_SQL))
 def wire_decode(spark, folder):
-    good, _ = decode_messages(standins.json_messages(table(spark, folder, "customer")))
+    good, _ = decode_messages(standins.json_messages(table(spark, folder, "customer"), whole=True))
     return good.select(*_DECODED)
 
 
-@query(standins.STRICT_SQL)
+@query(standins.WHOLE_SQL.format(decoded=standins.STRICT_SQL))
 def wire_decode_strict(spark, folder):
-    rows = standins.json_messages(table(spark, folder, "customer"))
+    rows = standins.json_messages(table(spark, folder, "customer"), whole=True)
     good, _ = decode_messages(rows, unknown_fields="reject")
     return good.select(*_DECODED)
 

@@ -5,7 +5,7 @@ Spark expressions and SQL here describe the same rows; faults are spread over th
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # -- clean profiles from customers -----------------------------------------------------------
 
@@ -27,25 +27,30 @@ from customer
 """
 
 
-def profiles(customer: DataFrame) -> DataFrame:
+def _fields() -> dict[str, Column]:
+    """The fields of a profile made from a customer."""
     key = F.col("c_custkey")
     born = F.date_add(F.lit("1950-01-01").cast("date"), (key % 15000).cast("int")).cast("string")
-    return customer.select(
-        key.alias("id"),
-        F.concat(F.lit("test"), key, F.lit("@test.com")).alias("email"),
-        F.when(key % 9 == 0, F.lit("0000-00-00")).otherwise(born).alias("dob"),
-        (40000 + (key * 7) % 80000).cast("int").alias("weight"),
-        (150 + key % 50).cast("int").alias("height"),
-        F.col("c_name").alias("nickname"),
-        F.col("c_nationkey").cast("int").alias("country"),
-        F.col("c_mktsegment").alias("city"),
-        F.concat(F.lit("seg "), "c_mktsegment").alias("caption"),
-        F.struct(
+    return {
+        "id": key,
+        "email": F.concat(F.lit("test"), key, F.lit("@test.com")),
+        "dob": F.when(key % 9 == 0, F.lit("0000-00-00")).otherwise(born),
+        "weight": (40000 + (key * 7) % 80000).cast("int"),
+        "height": (150 + key % 50).cast("int"),
+        "nickname": F.col("c_name"),
+        "country": F.col("c_nationkey").cast("int"),
+        "city": F.col("c_mktsegment"),
+        "caption": F.concat(F.lit("seg "), "c_mktsegment"),
+        "location": F.struct(
             ((key * 37) % 361 - 180).cast("double").alias("lon"),
             ((key * 17) % 181 - 90).cast("double").alias("lat"),
-        ).alias("location"),
-        (1 + key % 2).cast("int").alias("gender"),
-    )
+        ),
+        "gender": (1 + key % 2).cast("int"),
+    }
+
+
+def profiles(customer: DataFrame) -> DataFrame:
+    return customer.select(*[value.alias(name) for name, value in _fields().items()])
 
 
 # -- delimited lines -------------------------------------------------------------------------
@@ -107,10 +112,18 @@ where r.reason is null
 # -- JSON messages ---------------------------------------------------------------------------
 
 
-def json_messages(customer: DataFrame) -> DataFrame:
-    """``key`` and ``value``: one JSON text per customer, some of them faulty."""
+def json_messages(customer: DataFrame, whole: bool = False) -> DataFrame:
+    """``key`` and ``value``: one JSON text per customer, some of them faulty; ``whole`` ones have all fields."""
     key = F.col("c_custkey")
-    head = F.concat(F.lit('{"id":'), key, F.lit(',"nickname":"'), F.col("c_name"), F.lit('"'))
+    bare = F.concat(F.lit('{"id":'), key, F.lit(',"nickname":"'), F.col("c_name"), F.lit('"'))
+    head = bare
+    if whole:
+        p = _fields()
+        city = F.when(key % 13 != 8, F.concat(F.lit(',"city":"'), p["city"], F.lit('"'))).otherwise(F.lit(""))
+        head = F.concat(
+            bare, F.lit(',"email":"'), p["email"], F.lit('","dob":"'), p["dob"], F.lit('","weight":'), p["weight"],
+            F.lit(',"height":'), p["height"], city, F.lit(',"caption":"'), p["caption"], F.lit(r' said \"]\u00e9, {'),
+            F.lit('","gender":'), p["gender"])
     country = F.concat(F.lit(',"country":'), F.col("c_nationkey"))
     place = F.concat(F.lit(',"location":{"lon":'), (key * 37) % 361 - 180, F.lit(',"lat":'),
                      (key * 17) % 181 - 90, F.lit("}"))
@@ -121,7 +134,7 @@ def json_messages(customer: DataFrame) -> DataFrame:
         .when(kind == 2, F.concat(head, F.lit(',"country":5.7'), place, F.lit("}")))
         .when(kind == 3, F.concat(head, country, F.lit(',"extra":1'), place, F.lit("}")))
         .when(kind == 4, F.concat(head, country, F.lit(',"location":{"lon":1.5,"alt":7}}')))
-        .when(kind == 5, F.concat(head, F.lit("}")))
+        .when(kind == 5, F.concat(bare, F.lit("}")))
         .when(kind == 6, F.lit("not json"))
         .when(kind == 7, F.lit("[1]"))
         .when(kind == 8, F.concat(head, country, F.lit(',"city":5}')))
@@ -145,3 +158,10 @@ from customer where c_custkey % 13 not in ({refused})
 """
 LENIENT_SQL = DECODED_SQL.format(absent="0", refused="1, 2, 6, 7, 8, 10, 12")
 STRICT_SQL = DECODED_SQL.format(absent="null", refused="1, 2, 3, 4, 6, 7, 8, 11")
+
+WHOLE_SQL = f"""
+select d.*, case k when 5 then null else p.email end as email, case k when 5 then null else p.dob end as dob,
+       case k when 5 then null else p.weight end as weight, case k when 5 then null else p.height end as height,
+       case k when 5 then null else p.city end as city, case k when 5 then null else p.caption || ' said "]é, {{{{' end as caption,
+       case k when 5 then null else p.gender end as gender
+from ({{decoded}}) d join (select *, id % 13 as k from ({PROFILE_SQL})) p using (id)"""

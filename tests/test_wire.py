@@ -109,3 +109,12 @@ def test_fail_fast(spark):
 def test_unknown_dates_become_null(spark):
     df = spark.createDataFrame([("0000-00-00",), ("1988-1-8",), ("1988-01-08",), (None,)], "dob string")
     assert [str(r["dob"]) for r in to_serving(df).collect()] == ["None", "None", "1988-01-08", "None"]
+
+
+def test_no_text_is_special(spark):
+    bodies = {'{"id":1,"caption":"rosterlake-end-of-text"}': True, '{"id":1,"caption":"],[,0]"}': True, ' {"id":2}\n': True,
+              '{"id":1}],[{"id":2}': False, '{"id":1},0],[1': False, '{"id":1},{"id":2}': False, '{"id":1}]': False, "": False, "]": False,
+              '{"id":1},': False, '"open': False, '{"id":3} x': False}
+    good, dead = decode_messages(spark.createDataFrame([(b,) for b in bodies], "value string"))
+    assert good.count() == sum(bodies.values())
+    assert {r["value"] for r in dead.collect()} == {b for b, fine in bodies.items() if not fine}
