@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import SIMILAR_EDITS, query_tokens, tokens, word_deletions
 from .bounded import has_at_most
-from .scoring import SCORE_DIGITS, inverse_document_frequency, term_weight
-from .textindex import WHOLE, TextIndex, range_bucket, term_bucket
+from .scoring import SCORE_DIGITS, inverse_document_frequency, page_per_query, term_weight
+from .textindex import LENGTH_CLASSES, WHOLE, TextIndex, block_of, range_bucket, term_bucket
 
 
 # -- clauses ---------------------------------------------------------------------------------
@@ -404,34 +404,47 @@ def match(index: TextIndex, field: str, text: str, **rules) -> DataFrame:
     return search(index, field, AnyOf(tuple(Word(w) for w in words)))
 
 
-def match_many(index: TextIndex, field: str | None, queries: DataFrame, query_id: str = "query_id",
-               text: str = "query", analyzer=tokens) -> DataFrame:
-    """(query_id, doc_id, score) for a table of requests; all of them share one pass over the postings.
+@dataclass(frozen=True)
+class _Requests:
+    """What a table of requests asks of an index: its words with their weight, and the postings of those words."""
 
-    ``field`` is searched by all requests, or each names its own in a ``field`` column when it is None.
-    The words of the requests are counted first. Up to a fixed size they are sent to all tasks, and
-    postings placed by document are then scored where they are, and of a stored index only the buckets of those
-    words are read. Beyond the size the postings are joined by
-    word, and adaptive execution splits the hot ones.
-    """
+    weights: DataFrame   # query_id, field, term, qtf, df and, without a common field, n_docs and avg_dl
+    postings: DataFrame
+    words: DataFrame     # field, term
+    fields: Column
+    n_docs: Column
+    avg_dl: Column
+    few: bool            # whether words and weights may be sent to all tasks
+
+    def value(self, tf: Column, dl: Column) -> Column:
+        idf = inverse_document_frequency(self.n_docs, F.col("df"))
+        return F.col("qtf") * idf * term_weight(tf, dl, self.avg_dl)
+
+    def weighed(self, rows: DataFrame) -> DataFrame:
+        """Rows of a word joined to the requests that ask for it."""
+        return rows.join(F.broadcast(self.weights) if self.few else self.weights, ["field", "term"])
+
+
+def _prepared(index: TextIndex, field: str | None, queries: DataFrame, query_id: str, text: str, analyzer) -> _Requests:
     own_field = F.lit(field) if field is not None else F.col("field")
     exploded = queries.select(
         F.col(query_id).alias("query_id"), own_field.alias("field"),
         F.explode(analyzer(F.col(text))).alias("term"))
-    send = F.broadcast if has_at_most(exploded) else (lambda rows: rows)
+    few = has_at_most(exploded)
     word = ["field", "term"]
     wanted = exploded.groupBy("query_id", *word).agg(F.count(F.lit(1)).alias("qtf"))
-    words = send(exploded.select(*word).distinct())
+    words = exploded.select(*word).distinct()
+    sent = F.broadcast(words) if few else words
     fields = F.lit(True) if field is None else F.col("field") == field
     if index.buckets is None:
-        postings = index.postings.where(fields).join(words, word, "left_semi")
-        frequency = index.term_stats.where(fields).join(words, word, "left_semi").select(*word, "df")
+        postings = index.postings.where(fields).join(sent, word, "left_semi")
+        frequency = index.term_stats.where(fields).join(sent, word, "left_semi").select(*word, "df")
     else:
         # Joined by bucket as well: where few words are asked for, dynamic pruning opens their buckets only.
         by_hash, by_range = term_bucket(F.col("term"), index.buckets), range_bucket(F.col("term"), index.bounds)
         placed = ["bucket", *word]
-        postings = index.postings.where(fields).join(words.withColumn("bucket", by_hash), placed, "left_semi")
-        frequency = index.term_stats.where(fields).join(words.withColumn("bucket", by_range), placed, "left_semi").select(*word, "df")
+        postings = index.postings.where(fields).join(sent.withColumn("bucket", by_hash), placed, "left_semi")
+        frequency = index.term_stats.where(fields).join(sent.withColumn("bucket", by_range), placed, "left_semi").select(*word, "df")
     weights = wanted.join(frequency, word)
     if field is None:
         # One row per indexed field.
@@ -439,10 +452,65 @@ def match_many(index: TextIndex, field: str | None, queries: DataFrame, query_id
         n_docs, avg_dl = F.col("n_docs"), F.col("avg_dl")
     else:
         n_docs, avg_dl = index.statistics(field)
-    idf = inverse_document_frequency(n_docs, F.col("df"))
-    value = F.col("qtf") * idf * term_weight(F.col("tf"), F.col("dl"), avg_dl)
-    return (
-        postings.join(send(weights), word)
-        .groupBy("query_id", "doc_id")
-        .agg(F.round(F.sum(value), SCORE_DIGITS).alias("score"))
-    )
+    return _Requests(weights, postings, sent, fields, n_docs, avg_dl, few)
+
+
+def match_many(index: TextIndex, field: str | None, queries: DataFrame, query_id: str = "query_id",
+               text: str = "query", analyzer=tokens) -> DataFrame:
+    """(query_id, doc_id, score) for a table of requests; all of them share one pass over the postings.
+
+    ``field`` is searched by all requests, or each names its own in a ``field`` column when it is None.
+    The words of the requests are counted first. Up to a fixed size they are sent to all tasks, and
+    postings placed by document are then scored where they are, and of a stored index only the buckets of those
+    words are read. Beyond the size the postings are joined by
+    word, and adaptive execution splits the hot ones.
+    """
+    asked = _prepared(index, field, queries, query_id, text, analyzer)
+    return _scores(asked.weighed(asked.postings).withColumn("value", asked.value(F.col("tf"), F.col("dl"))))
+
+
+def _scores(valued: DataFrame) -> DataFrame:
+    return valued.groupBy("query_id", "doc_id").agg(F.round(F.sum("value"), SCORE_DIGITS).alias("score"))
+
+
+# Blocks of all requests together that are sent to all tasks; beyond it a table of requests is ranked without them.
+BLOCKS_SENT = 4_000_000
+SEED_BLOCKS = 8  # scored first, and as many again as the page is long
+
+
+def top_many(index: TextIndex, field: str, queries: DataFrame, size: int, query_id: str = "query_id", text: str = "query",
+             analyzer=tokens) -> DataFrame:
+    """The ``size`` best documents of every request with their ``rank``, exactly those of the full ranking.
+
+    A stored index with blocks knows for every word and block of documents the greatest frequency and the least
+    length, hence a bound of the score of any document of a block. The documents of the best few blocks of a request
+    are scored first; the last score of their page is a threshold, and postings of blocks whose bound is below it are
+    left out before documents are gathered.
+    """
+    asked = _prepared(index, field, queries, query_id, text, analyzer)
+    valued = asked.weighed(asked.postings).withColumn("value", asked.value(F.col("tf"), F.col("dl")))
+    if index.blocks is None or not asked.few or queries.count() * LENGTH_CLASSES * index.spread > BLOCKS_SENT:
+        return page_per_query(_scores(valued), size)
+    kept = _blocks_within(index, asked, valued, size)
+    return page_per_query(_scores(in_blocks(index, valued, kept)), size)
+
+
+def in_blocks(index: TextIndex, valued: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Rows of requests and documents that are in these blocks of the request."""
+    placed = valued.withColumn("block", block_of(F.col("doc_id"), F.col("dl"), index.spread))
+    return placed.join(F.broadcast(blocks), ["query_id", "block"], "left_semi")
+
+
+def _blocks_within(index: TextIndex, asked: _Requests, valued: DataFrame, size: int) -> DataFrame:
+    """(query_id, block): the blocks that may hold a document of the request's page."""
+    by_hash = term_bucket(F.col("term"), index.buckets)
+    rows = index.blocks.where(asked.fields).join(asked.words.withColumn("bucket", by_hash), ["bucket", "field", "term"], "left_semi")
+    bound = asked.value(F.col("max_tf"), F.col("min_dl"))
+    upper = asked.weighed(rows).groupBy("query_id", "block").agg(F.sum(bound).alias("bound"))
+    best = Window.partitionBy("query_id").orderBy(F.desc("bound"), "block")
+    seeds = upper.withColumn("at", F.row_number().over(best)).where(F.col("at") <= SEED_BLOCKS + size).select("query_id", "block")
+    seeded = page_per_query(_scores(in_blocks(index, valued, seeds)), size)
+    threshold = seeded.where(F.col("rank") == size).select("query_id", F.col("score").alias("least"))
+    # Scores are rounded; a bound is taken a little higher.
+    within = F.col("bound") + 2 * 10.0 ** -SCORE_DIGITS >= F.col("least")
+    return upper.join(threshold, "query_id", "left").where(F.col("least").isNull() | within).select("query_id", "block")

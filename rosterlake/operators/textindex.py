@@ -47,6 +47,15 @@ def range_bucket(term: Column, bounds: Sequence[str]) -> Column:
     return F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= term))
 
 
+LENGTH_CLASSES = 64  # halves of a doubling of the length
+
+
+def block_of(doc_id: Column, dl: Column, spread: int) -> Column:
+    """The block of a document: one of ``spread`` for documents of similar length, whose weights for a word are alike."""
+    length = F.least(F.floor(2 * F.log2(F.greatest(dl, F.lit(1)))), F.lit(LENGTH_CLASSES - 1))
+    return (length * spread + F.pmod(F.xxhash64(doc_id, F.lit("block")), F.lit(spread))).cast("int")
+
+
 @dataclass(frozen=True)
 class TextIndex:
     """The tables a search reads, whether they come from disk or are computed from documents.
@@ -56,7 +65,9 @@ class TextIndex:
     ``lengths``: field, doc_id, dl. ``buckets`` is set when postings are stored with a ``bucket`` partition column
     computed from the term; term statistics then have one of ranges of terms, which begin at ``bounds``, and ``known``
     holds the statistics per field as (documents, average length). ``similar``: field, variant (and ``bucket``), term
-    leads from the deletions of a word to the words that have them. ``rows`` of a computed index are its postings plus one
+    leads from the deletions of a word to the words that have them. ``blocks``: field, term, block, max_tf, min_dl
+    (and ``bucket``) bound what a word adds to the score of a document of a block; documents of one length class lie in
+    ``spread`` blocks. ``rows`` of a computed index are its postings plus one
     row per document under the empty term: a search that reads them learns the statistics from the
     same pass over the text.
     """
@@ -70,6 +81,8 @@ class TextIndex:
     rows: DataFrame | None = None
     bounds: Sequence[str] = ()
     similar: DataFrame | None = None
+    blocks: DataFrame | None = None
+    spread: int = 0
 
     def statistics(self, field: str) -> tuple[Column, Column]:
         """Number of documents and average length of one field: constants, or scalar subqueries."""

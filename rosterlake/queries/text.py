@@ -9,7 +9,7 @@ from ..operators.requests import normalise
 from ..operators.facets import facet_terms
 from ..operators.scoring import page, page_after, page_per_query, total_hits
 from ..operators.search import (
-    Fuzzy, Prefix, Word, all_of, any_of, match, match_many, none_of, phrase, search,
+    Fuzzy, Prefix, Word, all_of, any_of, match, match_many, none_of, phrase, search, top_many,
 )
 from ..operators.textindex import EVERYTHING, TextIndex, combined
 from ..plans.indexing import StoredIndex
@@ -306,6 +306,13 @@ def stored_match_batch(spark, folder):
     return page_per_query(match_many(stored.open(), FIELD, table(spark, folder, "benchmark"), "item_id", "text"), 10)
 
 
+@query(_BATCH_SQL)
+def stored_match_batch_bounded(spark, folder):
+    """The same with blocks of documents left out that cannot be on a page."""
+    index = _stored(spark, folder, blocks=16)
+    return top_many(index, FIELD, table(spark, folder, "benchmark"), 10, "item_id", "text")
+
+
 @query(f"""with {_tables()}
 select term as key, df as count from d order by df desc, term limit 10""")
 def stored_facet_token(spark, folder):

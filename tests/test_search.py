@@ -7,7 +7,7 @@ from brute import Corpus, edits, swap_edits
 from rosterlake.functions.text import deletions, edge_ngrams, tokens, word_deletions
 from rosterlake.operators.scoring import page, page_after, page_per_query, total_hits
 from rosterlake.operators.search import (
-    Fuzzy, Prefix, Word, all_of, any_of, match, match_many, none_of, phrase, search,
+    Fuzzy, Prefix, Word, _blocks_within, _prepared, all_of, any_of, in_blocks, match, match_many, none_of, phrase, search, top_many,
 )
 from rosterlake.operators.textindex import TextIndex
 from rosterlake.plans.indexing import StoredIndex
@@ -252,3 +252,33 @@ def test_the_analyser_of_a_stored_index_is_chosen(spark, tmp_path):
     assert set(result(search(index.open(), "text", Word("l'hospitalet")))) == {1}
     index.refresh(frame(spark, {2: "csc_1004"}))
     assert set(result(search(index.open(), "text", Word("csc_1004")))) == {2}
+
+
+def test_blocks_that_cannot_be_on_a_page_are_left_out(spark, tmp_path):
+    rng = random.Random(30)
+    words = [f"w{n}" for n in range(40)]
+    texts = {i: " ".join(rng.choices(words, weights=[1 / (n + 1) for n in range(40)], k=rng.choice([3, 10, 40, 160])))
+             for i in range(1500)}
+    stored = StoredIndex(spark, str(tmp_path / "ix"), "id", fields(), buckets=4, blocks=128)
+    stored.build(frame(spark, texts))
+    asked = spark.createDataFrame(
+        [(n, " ".join(rng.choices(words, k=rng.randrange(1, 5)))) for n in range(30)] + [(99, "nothing"), (100, "...")],
+        "query_id int, query string")
+
+    def check(texts):
+        index, computed = stored.open(), TextIndex.over(frame(spark, texts), "id", fields())
+        for size in (1, 7, 2000):
+            got = top_many(index, "text", asked, size)
+            want = page_per_query(match_many(computed, "text", asked), size)
+            columns = ["query_id", "rank", "doc_id", "score"]
+            assert sorted(map(tuple, got.select(*columns).collect())) == sorted(map(tuple, want.select(*columns).collect()))
+
+    check(texts)
+    index = stored.open()
+    requests = _prepared(index, "text", asked, "query_id", "query", tokens)
+    rows = requests.weighed(requests.postings).withColumn("value", requests.value(F.col("tf"), F.col("dl"))).persist()
+    kept = in_blocks(index, rows, _blocks_within(index, requests, rows, 7)).count()
+    assert kept < 0.7 * rows.count(), (kept, rows.count())
+    changed = {**{i: "w39 w39 w38" for i in range(40)}, 5000: "w0 w0"}
+    stored.refresh(frame(spark, changed), frame(spark, {700: "", 701: ""}))
+    check({i: t for i, t in {**texts, **changed}.items() if i not in (700, 701)})
