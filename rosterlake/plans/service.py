@@ -8,6 +8,7 @@ from ..functions.barrier import computed
 from ..functions.parsing import read_double, strict_long
 from ..operators.around import within_radius, within_radius_many
 from ..operators.bounded import BROADCAST_ROWS
+from ..operators.clauses import clause_reason, search_many
 from ..operators.facets import BUCKETS, facet_dates, facet_terms, facet_tokens, facet_values
 from ..operators.fields import is_period, match_date, match_dates_many, match_number, match_numbers_many
 from ..operators.requests import DEFAULT_SIZE, DEFAULT_SKIP, normalise
@@ -90,10 +91,11 @@ class ProfileSearch:
 
         Returns (query_id, rank, id, score), and the refused requests with a reason. Requests of one
         kind share one pass over the index or the serving table, whatever their number; those beyond rank
-        1000 share another. A request cannot make others fail. Wildcard requests carry no clause here and
-        are refused; :meth:`users` takes one.
+        1000 share another. A request cannot make others fail. Wildcard requests bring their clause tree in a
+        ``clause`` column (see :mod:`..operators.clauses`); without the column they are refused.
         """
         checked = normalise(requests)
+        refused_clause = clause_reason(F.col("clause")) if "clause" in checked.columns else F.lit("clauses_not_supported")
         number, date = F.col("field").isin(NUMBER_FIELDS), F.col("field") == "dob"
         text = F.col("field").isin(SEARCHED_FIELDS)
         by_text = F.col("mode") != "geo"
@@ -101,8 +103,8 @@ class ProfileSearch:
             F.when(F.col("reason").isNotNull(), F.col("reason"))
             .when(by_text & number & strict_long(F.col("query")).isNull(), F.lit("not_a_number"))
             .when(by_text & date & ~is_period(F.col("query")), F.lit("not_a_date"))
-            .when(F.col("mode") == "clauses", F.lit("clauses_not_supported"))
             .when(by_text & ~number & ~date & ~text, F.lit("unknown_field"))
+            .when((F.col("mode") == "clauses") & ~number & ~date & refused_clause.isNotNull(), refused_clause)
         )
         checked = computed(checked, reason.alias("_reason")).drop("reason").withColumnRenamed("_reason", "reason")
         good = checked.where(F.col("reason").isNull()).withColumn(
@@ -122,9 +124,14 @@ class ProfileSearch:
         number, date = F.col("field").isin(NUMBER_FIELDS), F.col("field") == "dob"
         text, by_text = F.col("field").isin(SEARCHED_FIELDS), F.col("mode") != "geo"
         asked = good.where(by_text)
+        trees = (F.col("mode") == "clauses") & text
         circles = good.where(~by_text).select("query_id", "lat", "lon", F.col("distance_km").alias("radius_km"))
+        words = match_many(self.index, None, asked.where(text & ~trees))
+        if "clause" in good.columns:
+            for field in SEARCHED_FIELDS:
+                words = words.unionByName(search_many(self.index, field, asked.where(trees & (F.col("field") == field))))
         return (
-            match_many(self.index, None, asked.where(text)).withColumnRenamed("doc_id", "id")
+            words.withColumnRenamed("doc_id", "id")
             .unionByName(match_numbers_many(self.profiles, "id", NUMBER_FIELDS, asked.where(number)))
             .unionByName(match_dates_many(self.profiles, "id", "dob", asked.where(date)))
             .unionByName(within_radius_many(self.profiles, circles).select("query_id", "id", "score"))

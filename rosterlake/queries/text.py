@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import tokens
 from ..operators.requests import normalise
+from ..operators.clauses import NODES, search_many
 from ..operators.facets import facet_terms
 from ..operators.scoring import page, page_after, page_per_query, total_hits
 from ..operators.search import (
@@ -382,3 +383,52 @@ def index_refresh_incremental(spark, folder):
     stored.refresh(docs.where((key % 4 == 2) & (key % 5 != 1)).withColumn("text", F.concat_ws(" ", "lang", F.lit("the"), "text")),
                    docs.where(key % 5 == 1))
     return match(stored.open(), FIELD, "the of src3 en")
+
+
+_CLAUSE_REQUESTS = """select s_suppkey as query_id, s_suppkey % 4 as kind,
+  case s_suppkey % 3 when 0 then 'the' when 1 then 'of' else 'le' end as a,
+  case s_suppkey % 5 when 0 then 'and' when 1 then 'la' when 2 then 're' when 3 then 'the' else 'er' end as b,
+  case s_suppkey % 7 when 0 then 'der' when 1 then 'en' when 2 then 'th' else 'ing' end as c from supplier"""
+
+
+@query(f"""with {_tables()}, req as ({_CLAUSE_REQUESTS}),
+bm as (select doc_id, term, df, {_bm25()} as w from p join d using (term), s
+       where term in (select a from req union select b from req)),
+bad as (select distinct term, doc_id from p where term in (select c from req)),
+ph as (select query_id, x.doc_id, x.dl, count(*) as f from req
+       join words x on x.term = a join words y on y.term = b and y.doc_id = x.doc_id and y.pos = x.pos + 1
+       where kind = 2 group by all),
+hits as (
+  select query_id, x.doc_id, x.w + y.w as score from req join bm x on x.term = a
+    join bm y on y.term = b and y.doc_id = x.doc_id where kind = 0
+  union all
+  select query_id, bm.doc_id, sum(w * (cast(term = a as integer) + cast(term = b as integer))) from req join bm on bm.term = a or bm.term = b
+    where kind = 1 and not exists (select 1 from bad where bad.term = c and bad.doc_id = bm.doc_id) group by all
+  union all
+  select query_id, doc_id, (ia.i + ib.i) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * dl / avgdl)) from ph join req using (query_id)
+    join (select term, ln(1 + (n - df + 0.5) / (df + 0.5)) as i from d, s) ia on ia.term = a
+    join (select term, ln(1 + (n - df + 0.5) / (df + 0.5)) as i from d, s) ib on ib.term = b, s
+  union all
+  select distinct query_id, p.doc_id, 1.0::double from req join p on starts_with(p.term, b)
+    where kind = 3 and not exists (select 1 from bad where bad.term = c and bad.doc_id = p.doc_id)),
+rounded as (select query_id, doc_id, round(score, 6) as score from hits)
+select query_id, doc_id, score, cast(rank as integer) as rank from (
+  select *, row_number() over (partition by query_id order by score desc, doc_id) as rank from rounded) where rank <= 10""")
+def search_requests_clauses(spark, folder):
+    """A table of requests that each bring a clause tree: all of, none of, a phrase, a prefix."""
+    table(spark, folder, "supplier").createOrReplaceTempView("_suppliers")
+    asked = spark.sql(_CLAUSE_REQUESTS.replace("from supplier", "from _suppliers"))
+
+    def node(i, parent, kind, text=None):
+        return F.struct(F.lit(i).alias("id"), F.lit(parent).alias("parent"), F.lit(kind).alias("kind"),
+                        (F.lit(None).cast("string") if text is None else F.col(text)).alias("text"))
+
+    both = F.array(node(0, -1, "all"), node(1, 0, "word", "a"), node(2, 0, "word", "b"))
+    either = F.array(node(0, -1, "all"), node(1, 0, "any"), node(2, 1, "word", "a"), node(3, 1, "word", "b"),
+                     node(4, 0, "none"), node(5, 4, "word", "c"))
+    sequence = F.array(node(0, -1, "phrase", "ab"))
+    begins = F.array(node(0, -1, "all"), node(1, 0, "prefix", "b"), node(2, 0, "none"), node(3, 2, "word", "c"))
+    kind = F.col("kind")
+    requests = asked.withColumn("ab", F.concat_ws(" ", "a", "b")).select("query_id", F.when(kind == 0, both).when(
+        kind == 1, either).when(kind == 2, sequence).otherwise(begins).cast(NODES).alias("clause"))
+    return page_per_query(search_many(_index(spark, folder, whole=True), FIELD, requests), 10)

@@ -12,7 +12,8 @@ from rosterlake.operators.facets import facet_values
 from rosterlake.operators.fields import match_date
 from rosterlake.operators.latest import latest_by_key
 from rosterlake.operators.scoring import page, page_per_query
-from rosterlake.operators.search import Fuzzy, Prefix, match, match_many, search
+from rosterlake.operators.clauses import NODES, as_nodes
+from rosterlake.operators.search import Fuzzy, Prefix, Word, all_of, match, match_many, none_of, phrase, search
 from rosterlake.operators.textindex import TextIndex
 from rosterlake.plans.feed import run_feed
 from rosterlake.plans.indexing import StoredIndex
@@ -331,3 +332,21 @@ def test_stored_suggestions_read_the_buckets_of_what_was_typed(spark, tmp_path):
     assert [r["name"] for r in after.nicks("zar").collect()] == ["Zara"] and after.nicks("12").count() == 1
     scans = [line for line in plan_of(match(stored.open(), "nickname", "zar")).splitlines() if "FileScan" in line]
     assert scans and all("bucket" in s.split("PartitionFilters")[1].split("PushedFilters")[0] for s in scans)
+
+
+def test_wildcard_requests_bring_their_clauses(spark, stored):
+    trees = {1: all_of(Word("york"), none_of(Word("new"))), 2: Prefix("gda"), 3: phrase("new york"), 4: none_of(Word("york"))}
+    rows = [(n, "city", "york", "50", "true", as_nodes(t)) for n, t in trees.items()]
+    rows += [(5, "city", "york", "50", "", None), (6, "city", "york", "50", "true", None), (7, "nickname", "x", "3", "true", as_nodes(Prefix("ni")))]
+    requests = spark.createDataFrame(rows, f"query_id int, field string, query string, l string, w string, clause {NODES}")
+    requests = requests.selectExpr("*", "'' distance", "'' lat", "'' lon", "'' s")
+    pages, refused = stored.answer_many(requests)
+    assert {r["query_id"]: r["reason"] for r in refused.collect()} == {4: "clause_without_words", 6: "no_clause"}
+    got = {}
+    for r in pages.orderBy("rank").collect():
+        got.setdefault(r["query_id"], []).append((r["id"], r["score"]))
+    for n, tree in {**trees, 5: None}.items():
+        if n != 4:
+            page_, _ = stored.users(field="city", query="york", size=50, clause=tree)
+            assert got[n] == [(r["id"], r["score"]) for r in page_.collect()], n
+    assert len(got[7]) == 3

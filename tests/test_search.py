@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from brute import Corpus, edits, swap_edits
 from rosterlake.functions.text import deletions, edge_ngrams, tokens, word_deletions
+from rosterlake.operators.clauses import NODES, as_nodes, refused_clauses, search_many
 from rosterlake.operators.scoring import page, page_after, page_per_query, total_hits
 from rosterlake.operators.search import (
     Fuzzy, Prefix, Word, _blocks_within, _prepared, all_of, any_of, in_blocks, match, match_many, none_of, phrase, search, top_many,
@@ -282,3 +283,28 @@ def test_blocks_that_cannot_be_on_a_page_are_left_out(spark, tmp_path):
     changed = {**{i: "w39 w39 w38" for i in range(40)}, 5000: "w0 w0"}
     stored.refresh(frame(spark, changed), frame(spark, {700: "", 701: ""}))
     check({i: t for i, t in {**texts, **changed}.items() if i not in (700, 701)})
+
+
+def test_a_table_of_clause_trees_equals_single_searches(spark, index):
+    trees = [
+        Word("alpha"), all_of(Word("alpha"), Word("beta")), all_of(any_of(Word("gamma"), Word("été")), none_of(Word("alpha"))),
+        phrase("alpha beta"), phrase("beta alpha beta"), Prefix("alp"), any_of(Prefix("al"), phrase("beta gamma"), Word("zzz")),
+        all_of(any_of(all_of(Word("alpha"), Word("beta")), all_of(Prefix("de"), none_of(Prefix("be")))), none_of(Word("x1"))),
+        any_of(Word("alpha"), Word("alpha")), all_of(Word("alpha"), none_of(all_of(Word("beta"), Word("gamma")))),
+        Word("zzz"), phrase("zzz alpha"),
+    ]
+    refused = [none_of(Word("alpha")), any_of(Word("alpha"), none_of(Word("beta")))]
+    rows = [(n, as_nodes(t)) for n, t in enumerate([*trees, *refused])] + [(50, None), (51, []), (52, [(0, -1, "huh", "x")])]
+    requests = spark.createDataFrame(rows, f"query_id int, clause {NODES}")
+    got = {}
+    for r in search_many(index, "text", requests).collect():
+        got.setdefault(r["query_id"], {})[r["doc_id"]] = r["score"]
+    for n, tree in enumerate(trees):
+        want = result(search(index, "text", tree))
+        assert got.get(n, {}).keys() == want.keys(), tree
+        assert all(abs(got[n][d] - want[d]) < 2e-6 for d in want), tree
+    assert set(got) <= set(range(len(trees)))
+    reasons = {r["query_id"]: r["reason"] for r in refused_clauses(requests).collect()}
+    assert reasons == {12: "clause_without_words", 13: "clause_without_words", 50: "no_clause", 51: "no_clause", 52: "bad_clause"}
+    with pytest.raises(ValueError):
+        as_nodes(Fuzzy("alpha"))
