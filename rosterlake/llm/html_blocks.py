@@ -82,6 +82,12 @@ def blocks(page: str) -> list[Block]:
     """Text blocks of a page in order; never fails, whatever the markup."""
     found: list[Block] = []
     block, stack, link, at = Block(), [("", 0)], 0, 0
+    open_at: dict[str, list[int]] = {}  # where in the stack each tag is open
+
+    def leave(depth: int) -> None:
+        """Close the elements from a depth of the stack on."""
+        while len(stack) > depth:
+            open_at[stack.pop()[0]].pop()
 
     def put(piece: str) -> None:
         if "&" in piece:
@@ -120,20 +126,20 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in INLINE:
             telling = not ends and attributes and _marks(tag, attributes, 0)
-            if not telling and not any(t == tag for t, _ in stack):
+            if not telling and not open_at.get(tag):
                 continue
         if ends:
-            at_tag = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
-            if at_tag:
-                del stack[at_tag:]
+            if open_at.get(tag):
+                leave(open_at[tag][-1])
             close()
         elif tag == "hr":
             close()
         else:
             if tag not in INLINE and stack[-1][0] == "p":
-                stack.pop()
+                leave(len(stack) - 1)
             if tag in ("li", "tr", "td", "th", "dt", "dd", "option") and stack[-1][0] == tag:
-                stack.pop()
+                leave(len(stack) - 1)
+            open_at.setdefault(tag, []).append(len(stack))
             stack.append((tag, _marks(tag, attributes, stack[-1][1])))
             close()
     put(page[at:])

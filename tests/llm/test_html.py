@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 
 from rosterlake.llm.html_blocks import blocks, classifier, extract, labelled_blocks, main_text
@@ -87,3 +89,13 @@ def test_tables_of_pages(spark):
     assert [(r.page_id, r.url, r.text[:5]) for r in got] == [(1, "u", MAIN[:5]), (2, None, ""), (None, "v", ""), (1, "u", MAIN[:5]), (5, "w", "word ")]
     assert got[0].text == MAIN and len(got[4].text) == 5 * 200_000 - 1
     assert extract(spark.createDataFrame([], pages.schema)).count() == 0
+
+
+def test_deep_nesting_takes_time_in_proportion(monkeypatch):
+    text = "word " * 60
+    for n in (1000, 100_000):
+        began = time.perf_counter()
+        for page in ("<div>" * n + "</p>" * n + f"<p>{text}</p>", "<div>" * n + "<i>x</i>" * n + f"<p>{text}</p>" + "</div>" * n):
+            assert text.strip() in main_text(page)
+        took = time.perf_counter() - began
+    assert took < 20
