@@ -33,6 +33,49 @@ def page(hits: DataFrame, size: int = 100, skip: int = 0, key: str = "doc_id") -
     return (ranked.offset(skip) if skip else ranked).limit(size)
 
 
+def _first_of(rows: DataFrame, value: Column, skip: int, at_most: int, buckets: int) -> tuple[object, object, int] | None:
+    """Where the row after ``skip`` others lies in rising order of a numeric value: the least and greatest value of a
+    group of rows that has it, and how many rows come before the group; None if there are so few rows.
+
+    Every round counts rows per bucket of the range that is left, combined per task; it ends at ``at_most`` rows or
+    at rows of one value.
+    """
+    rows, before = rows.select(value.alias("v")), 0
+    range_ = rows.agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("v").alias("n")).first()
+    low, high, n = range_["low"], range_["high"], range_["n"]
+    if skip >= n:
+        return None
+    while n > at_most and low < high:
+        bucket = F.least(F.floor((F.col("v") - F.lit(low)) / F.lit(high - low) * buckets), F.lit(buckets - 1))
+        found = rows.where(F.col("v").between(low, high)).groupBy(bucket.alias("b")).agg(
+            F.min("v").alias("low"), F.max("v").alias("high"), F.count("v").alias("n")).orderBy("low").collect()  # a row per bucket
+        for part in found:
+            if before + part["n"] > skip:
+                low, high, n = part["low"], part["high"], part["n"]
+                break
+            before += part["n"]
+    return low, high, before
+
+
+def page_deep(hits: DataFrame, size: int, skip: int, key: str = "doc_id", at_most: int = 10_000, buckets: int = 1024) -> DataFrame:
+    """The same page as :func:`page` for a large ``skip`` and a numeric key: rows before it are counted, not ranked.
+
+    The score at which the page begins is found by histograms, and among equal scores the key; ranked are the rows
+    from there on, of which a task keeps ``at_most`` and the page.
+    """
+    check_page(size, skip)
+    begin = _first_of(hits, -F.col("score"), skip, at_most, buckets)
+    if begin is None:
+        return hits.limit(0)
+    least, greatest, before = begin
+    later = -F.col("score") >= least
+    if least == greatest:
+        ties = _first_of(hits.where(-F.col("score") == least), F.col(key), skip - before, at_most, buckets)
+        later = (-F.col("score") > least) | (later & (F.col(key) >= ties[0]))
+        before += ties[2]
+    return hits.where(later).orderBy(F.desc("score"), F.asc(key)).offset(skip - before).limit(size)
+
+
 def page_after(hits: DataFrame, last_score: float, last_key, size: int = 100,
                key: str = "doc_id") -> DataFrame:
     """The page after a known hit; costs the same at any depth, unlike a large ``skip``."""

@@ -12,13 +12,14 @@ from ..operators.clauses import clause_reason, search_many
 from ..operators.facets import BUCKETS, facet_dates, facet_terms, facet_tokens, facet_values
 from ..operators.fields import is_period, match_date, match_dates_many, match_number, match_numbers_many
 from ..operators.requests import DEFAULT_SIZE, DEFAULT_SKIP, normalise
-from ..operators.scoring import EARLY_CUT, check_page, deep_pages, page, page_per_query, total_hits
+from ..operators.scoring import EARLY_CUT, check_page, deep_pages, page, page_after, page_deep, page_per_query, total_hits
 from ..operators.search import match, match_many, search
 from ..operators.suggest import suggest
 from ..operators.textindex import EVERYTHING, TextIndex, combined
 from ..schema import INTEGER_FIELDS, SERVING, TEXT_FIELDS
 
 NUMBER_FIELDS = ["id", *INTEGER_FIELDS]
+DEEP = 10_000  # rows from which counting the rows before a page is less work than ranking them
 SEARCHED_FIELDS = [*TEXT_FIELDS, EVERYTHING]
 
 
@@ -57,9 +58,12 @@ class ProfileSearch:
         return None
 
     def users(self, field: str = "", query: str = "", distance: str = "", lat: str = "", lon: str = "",
-              size: int = DEFAULT_SIZE, skip: int = DEFAULT_SKIP, clause=None) -> tuple[DataFrame, DataFrame]:
+              size: int = DEFAULT_SIZE, skip: int = DEFAULT_SKIP, clause=None,
+              after: tuple[float, int] | None = None) -> tuple[DataFrame, DataFrame]:
         """One page of profiles with their score, in rank order, and the total number of hits.
 
+        ``after`` names the last row of the page before by its score and id: the page then costs the same at any
+        depth. A large ``skip`` without it is found by histograms.
         A distance takes precedence over the text. ``clause`` is what a wildcard request asks for;
         without one it looks for any of the words, which is the plain match.
         """
@@ -70,14 +74,20 @@ class ProfileSearch:
         columns = [*SERVING.fieldNames(), "score"]
         found = self._filtered(field, query, distance, lat, lon)
         if found is not None:
-            return page(found, size, skip, key="id").select(*columns), total_hits(found)
+            return self._page(found, size, skip, after).select(*columns), total_hits(found)
         if field not in SEARCHED_FIELDS:
             raise ValueError(f"unknown field: {field!r}")
         hits = match(self.index, field, query) if clause is None else search(self.index, field, clause)
         hits = hits.withColumnRenamed("doc_id", "id")
-        rows = self._with_profiles(page(hits, size, skip, key="id"), size)
+        rows = self._with_profiles(self._page(hits, size, skip, after), size)
         return rows.select(*columns).orderBy(F.desc("score"), "id"), total_hits(hits)
 
+    @staticmethod
+    def _page(hits: DataFrame, size: int, skip: int, after: tuple[float, int] | None) -> DataFrame:
+        if after is not None:
+            return page_after(hits, *after, size, key="id")
+        return page_deep(hits, size, skip, key="id") if skip > DEEP else page(hits, size, skip, key="id")
+
     def _with_profiles(self, wanted: DataFrame, rows: int) -> DataFrame:
         """Profiles of a page; their bucket narrows the scan to the directories that hold them."""
         keys = ["id"]

@@ -8,7 +8,7 @@ from ..functions.text import tokens
 from ..operators.requests import normalise
 from ..operators.clauses import NODES, search_many
 from ..operators.facets import facet_terms
-from ..operators.scoring import page, page_after, page_per_query, total_hits
+from ..operators.scoring import page, page_after, page_deep, page_per_query, total_hits
 from ..operators.search import (
     Fuzzy, Prefix, Word, all_of, any_of, match, match_many, none_of, phrase, search, top_many,
 )
@@ -432,3 +432,10 @@ def search_requests_clauses(spark, folder):
     requests = asked.withColumn("ab", F.concat_ws(" ", "a", "b")).select("query_id", F.when(kind == 0, both).when(
         kind == 1, either).when(kind == 2, sequence).otherwise(begins).cast(NODES).alias("clause"))
     return page_per_query(search_many(_index(spark, folder, whole=True), FIELD, requests), 10)
+
+
+@query(_matched(["the", "of", "and", "the", "re"]) + """
+select doc_id, score from hits order by score desc, doc_id limit 60 offset 300""")
+def search_page_deep(spark, folder):
+    """A page far down the ranking, whose beginning is found by counting."""
+    return page_deep(match(_index(spark, folder), FIELD, TEXT), 60, 300, at_most=20, buckets=16)

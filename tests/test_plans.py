@@ -350,3 +350,14 @@ def test_wildcard_requests_bring_their_clauses(spark, stored):
             page_, _ = stored.users(field="city", query="york", size=50, clause=tree)
             assert got[n] == [(r["id"], r["score"]) for r in page_.collect()], n
     assert len(got[7]) == 3
+
+
+def test_pages_after_a_known_row_and_deep_pages(stored, monkeypatch):
+    whole = [(r["id"], r["score"]) for r in stored.users(field="city", query="york", size=200)[0].collect()]
+    monkeypatch.setattr("rosterlake.plans.service.DEEP", 5)
+    rows, total = stored.users(field="city", query="york", size=7, skip=20)
+    assert [(r["id"], r["score"]) for r in rows.collect()] == whole[20:27] and total.first()["total"] == len(whole)
+    rows, _ = stored.users(field="city", query="york", size=7, after=(whole[19][1], whole[19][0]))
+    assert [(r["id"], r["score"]) for r in rows.collect()] == whole[20:27]
+    rows, _ = stored.users(field="gender", query="2", size=4, skip=30)
+    assert [r["id"] for r in rows.collect()] == [p[0] for p in PEOPLE if p[10] == 2][30:34]

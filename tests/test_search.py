@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from brute import Corpus, edits, swap_edits
 from rosterlake.functions.text import deletions, edge_ngrams, tokens, word_deletions
 from rosterlake.operators.clauses import NODES, as_nodes, refused_clauses, search_many
-from rosterlake.operators.scoring import page, page_after, page_per_query, total_hits
+from rosterlake.operators.scoring import page, page_after, page_deep, page_per_query, total_hits
 from rosterlake.operators.search import (
     Fuzzy, Prefix, Word, _blocks_within, _prepared, all_of, any_of, in_blocks, match, match_many, none_of, phrase, search, top_many,
 )
@@ -308,3 +308,16 @@ def test_a_table_of_clause_trees_equals_single_searches(spark, index):
     assert reasons == {12: "clause_without_words", 13: "clause_without_words", 50: "no_clause", 51: "no_clause", 52: "bad_clause"}
     with pytest.raises(ValueError):
         as_nodes(Fuzzy("alpha"))
+
+
+@pytest.mark.parametrize("values", [1, 3, 1000])
+def test_deep_pages_are_counted_and_not_ranked(spark, values):
+    rng = random.Random(values)
+    rows = [(i, round(rng.randrange(values) / 7, 6)) for i in rng.sample(range(10_000), 700)]
+    hits = spark.createDataFrame(rows, "doc_id bigint, score double").persist()
+    order = sorted(rows, key=lambda r: (-r[1], r[0]))
+    for skip in (0, 1, 333, 690, 699, 700, 5000):
+        got = [tuple(r) for r in page_deep(hits, 25, skip, at_most=10, buckets=8).collect()]
+        assert got == order[skip:skip + 25], skip
+    with pytest.raises(ValueError):
+        page_deep(hits, -1, 0)
