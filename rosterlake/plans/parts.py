@@ -133,16 +133,20 @@ class PartTable:
         self._write(self._name(stream, batch), rows)
         return True
 
-    def pending(self, upto: int | None = None, without: tuple[str, int] | None = None) -> dict[int, list[tuple[str, int]]]:
+    def states(self) -> dict[int, dict]:
+        return {s: self.state(s) for s in range(self.shares)}
+
+    def pending(self, upto: int | None = None, without: tuple[str, int] | None = None,
+                states: dict[int, dict] | None = None) -> dict[int, list[tuple[str, int]]]:
         """Batches that are not in the base of each share, up to the batch number ``upto`` where it is given."""
+        states = states or self.states()
         batches = [b for b in self.batches() if (upto is None or b[1] <= upto) and b != without]
-        merged = {s: self.state(s)["merged"] for s in range(self.shares)}
-        return {s: [(stream, n) for stream, n in batches if n > merged[s].get(stream, -1)] for s in merged}
+        return {s: [(stream, n) for stream, n in batches if n > states[s]["merged"].get(stream, -1)] for s in states}
 
-    def _rows(self, shares: list[int], waiting: dict[int, list[tuple[str, int]]]) -> DataFrame:
-        """Rows of some shares as they are written: their base and the batches given for each."""
+    def _rows(self, shares: list[int], waiting: dict[int, list[tuple[str, int]]], states: dict[int, dict]) -> DataFrame:
+        """Rows of some shares as they are written: the base of their state and the batches given for each."""
         schema = T.StructType([*self.spec.schema.fields, *(T.StructField(n, T.IntegerType()) for n in ("share", "bucket"))])
-        names = {s: [base for base in [self.state(s)["base"]] if base] + [self._name(*b) for b in waiting.get(s, [])] for s in shares}
+        names = {s: [base for base in [states[s]["base"]] if base] + [self._name(*b) for b in waiting.get(s, [])] for s in shares}
         there = {n: set(self._names(n)) for n in {n for ns in names.values() for n in ns}}
         paths = [f"{self.root}/{n}/share={s}" for s, ns in names.items() for n in ns if f"share={s}" in there[n]]
         if not paths:
@@ -158,31 +162,33 @@ class PartTable:
         Filters on the bucket and on what rows are resolved by reach the files.
         """
         self._describe()  # ranges may have other bounds since
-        waiting = self.pending(upto, without)
+        states = self.states()
+        waiting = self.pending(upto, without, states)
         settled, changed = [s for s in waiting if not waiting[s]], [s for s in waiting if waiting[s]]
-        parts = [self._rows(settled, {})] if settled else []
+        parts = [self._rows(settled, {}, states)] if settled else []
         if changed:
-            parts.append(self.spec.resolve(self._rows(changed, waiting)).select(*self.spec.schema.fieldNames(), "bucket"))
+            parts.append(self.spec.resolve(self._rows(changed, waiting, states)).select(*self.spec.schema.fieldNames(), "bucket"))
         return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
     def merge(self, at_least: int = 1, at_most: int | None = None, without: tuple[str, int] | None = None) -> list[int]:
-        """Write new bases for the shares with ``at_least`` so many batches waiting, ``at_most`` so many shares and
+        """Write a new base for the shares with ``at_least`` so many batches waiting, ``at_most`` so many shares and
         those with most first; returns them. A batch that may be written again is left out by ``without``.
 
-        Batches that arrive meanwhile keep waiting. Of two merges of a share at once the later state holds, and it
-        names a base and the batches in it.
+        Batches that arrive meanwhile keep waiting. Of two merges of a share at once the later state holds; it names a
+        base and the batches in it, so what only the other merged waits again.
         """
-        waiting = self.pending(without=without)
+        states = self.states()
+        waiting = self.pending(without=without, states=states)
         due = sorted((s for s in waiting if len(waiting[s]) >= at_least), key=lambda s: (-len(waiting[s]), s))[:at_most]
-        for share in due:
-            name = f"part=base.{share}.{uuid.uuid4().hex}"
-            self._write(name, self.spec.resolve(self._rows([share], waiting)))
-            self._settle(share, name, dict(waiting[share]))
+        if due:
+            name = f"part=base.{uuid.uuid4().hex}"
+            self._write(name, self.spec.resolve(self._rows(due, waiting, states)))
+            for share in due:
+                self._settle(share, name, states[share]["merged"] | dict(waiting[share]))
         return due
 
-    def _settle(self, share: int, base: str, batches: dict[str, int]) -> None:
+    def _settle(self, share: int, base: str, merged: dict[str, int]) -> None:
         there = {stream for stream, _ in self.batches()}
-        merged = self.state(share)["merged"] | batches
         self._save(f"_share-{share}.json", {"base": base, "merged": {
             stream: n for stream, n in merged.items() if stream in there or not stream.startswith(ONCE)}})
 
@@ -202,7 +208,7 @@ class PartTable:
         if bounds is not None:
             self._save("_table.json", {"buckets": len(bounds) + 1, "shares": self.shares, "bounds": bounds})
             self._describe()
-        name, batches = f"part=base.all.{uuid.uuid4().hex}", dict(self.batches())
+        name, batches, states = f"part=base.all.{uuid.uuid4().hex}", dict(self.batches()), self.states()
         self._write(name, rows)
         for share in range(self.shares):
-            self._settle(share, name, batches)
+            self._settle(share, name, states[share]["merged"] | batches)

@@ -208,6 +208,27 @@ def test_batches_that_arrive_during_a_merge_keep_waiting(spark, tmp_path):
     assert contents(table) == {**{i: "a" for i in range(6)}, 3: "b"}
 
 
+def test_two_merges_at_once_lose_nothing(spark, tmp_path):
+    """A merge that began before another batch ends after a merge that has that batch."""
+    table = ProfileTable(spark, str(tmp_path / "t"), buckets=2, compact_after=100)
+    other = ProfileTable(spark, str(tmp_path / "t"))
+    table.upsert(spark.createDataFrame([change(i, "a", 0) for i in range(6)], CHANGES), 0, "s")
+    write = table.parts._write
+
+    def slow_write(name, rows):
+        write(name, rows)
+        if not any(state["base"] for state in other.parts.states().values()):
+            other.upsert(spark.createDataFrame([change(3, "b", 1)], CHANGES), 1, "s")
+            other.compact()
+
+    table.parts._write = slow_write
+    table.compact()
+    want = {**{i: "a" for i in range(6)}, 3: "b"}
+    assert contents(table) == want
+    table.compact()
+    assert contents(table) == want == contents(other)
+
+
 def test_a_batch_that_was_broken_off_does_not_count(spark, tmp_path):
     table = ProfileTable(spark, str(tmp_path / "t"), buckets=2)
     rows = spark.createDataFrame([change(1, "a", 0)], CHANGES)
