@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from ..functions.display import gender_name, kilograms, map_markers
 from ..functions.text import edge_ngrams, tokens
+from ..functions.wire import to_serving
 from ..operators.around import within_radius, within_radius_many
 from ..operators.facets import facet_dates, facet_tokens, facet_values
 from ..operators.fields import match_date, match_number
 from ..operators.suggest import suggest, suggest_many, with_echo
 from ..operators.textindex import TextIndex
 from ..plans.indexing import StoredIndex
+from ..plans.places import StoredPlaces
 from ..session import scratch
 from . import standins
 from .registry import query, table
@@ -56,19 +58,46 @@ select s_suppkey as query_id, cast((s_suppkey * 29) % 181 - 90 as double) as q_l
 
 
 @query(f"""
-select query_id, id, round(d, 6) as distance_km from (
-  select *, {DISTANCE.format(lat1='q_lat', lon1='q_lon', lat2='lat', lon2='lon')} as d
-  from ({standins.PROFILE_SQL}), ({_CIRCLES_SQL})) where d <= radius_km""")
-def geo_radius_batch(spark, folder):
+select id, lat, lon, round(d, 6) as distance_km, 1.0::double as score from (
+  select *, {DISTANCE.format(lat1='51.1', lon1='175.5', lat2='lat', lon2='lon')} as d
+  from ({standins.PROFILE_SQL})) where d <= 2500""")
+def stored_geo_radius(spark, folder):
+    people = to_serving(standins.profiles(table(spark, folder, "customer")))
+    places = StoredPlaces(spark, scratch(spark, "places"))
+    places.build(people)
+    hits = places.near(51.1, 175.5, 2500)
+    return hits.select("id", "location.lat", "location.lon", F.round("distance_km", 6).alias("distance_km"), "score")
+
+
+def _circles(spark, folder):
     key = F.col("s_suppkey")
-    circles = table(spark, folder, "supplier").select(
+    return table(spark, folder, "supplier").select(
         key.alias("query_id"),
         ((key * 29) % 181 - 90).cast("double").alias("lat"),
         ((key * 53) % 361 - 180).cast("double").alias("lon"),
         (20 + (key * 97) % 3000).cast("double").alias("radius_km"),
     )
+
+
+@query(f"""
+select query_id, id, round(d, 6) as distance_km from (
+  select *, {DISTANCE.format(lat1='q_lat', lon1='q_lon', lat2='lat', lon2='lon')} as d
+  from ({standins.PROFILE_SQL}), ({_CIRCLES_SQL})) where d <= radius_km""")
+def geo_radius_batch(spark, folder):
     people = standins.profiles(table(spark, folder, "customer"))
-    hits = within_radius_many(people, circles)
+    hits = within_radius_many(people, _circles(spark, folder))
+    return hits.select("query_id", "id", F.round("distance_km", 6).alias("distance_km"))
+
+
+@query(f"""
+select query_id, id, round(d, 6) as distance_km from (
+  select *, {DISTANCE.format(lat1='q_lat', lon1='q_lon', lat2='lat', lon2='lon')} as d
+  from ({standins.PROFILE_SQL}), ({_CIRCLES_SQL})) where d <= radius_km""")
+def stored_geo_radius_batch(spark, folder):
+    people = to_serving(standins.profiles(table(spark, folder, "customer")))
+    places = StoredPlaces(spark, scratch(spark, "places"))
+    places.build(people)
+    hits = places.near_many(_circles(spark, folder))
     return hits.select("query_id", "id", F.round("distance_km", 6).alias("distance_km"))
 
 
