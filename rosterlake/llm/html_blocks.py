@@ -1,9 +1,10 @@
 """Main text of web pages: flat text blocks, classified by a tree over each block and its neighbours.
 
-A page is cut into blocks wherever a block-level tag begins or ends. A block is described by its word count and
-link density, those of the blocks before and after it, and marks of the elements around it (article, page furniture,
-a telling class or id, hidden, heading). An article inside furniture clears the marks of what is around it; that there
-were some is a mark of its own. A tree learned from the labelled blocks below keeps or drops a block.
+A page is cut into blocks wherever a block-level tag begins or ends; hidden elements have none. A block is described by its word count and
+link density, those of the blocks before and after it, and marks (article, page furniture or a telling class or id around
+it, heading, a line about rights). An article inside furniture clears the marks of what is around it; that there were some is a mark of its own. A tree
+learned from the labelled blocks below keeps or drops a block. A menu or page header that is never closed ends where the
+next element begins after its text.
 """
 
 from __future__ import annotations
@@ -34,19 +35,28 @@ TELLING = set("ad ads adslot advert adverts advertisement advertising banner spo
               "cookies consent gdpr notice notification alert popup modal overlay newsletter subscribe subscription "
               "signup login share sharing social related recommended recommendations sidebar widget menu nav navbar "
               "navigation breadcrumb breadcrumbs footer masthead comment comments commentlist disqus reply replies "
-              "respond discussion search toolbar pagination pager copyright legal disclaimer tags skip".split())
+              "respond discussion search toolbar pagination pager copyright legal disclaimer tags skip reviews "
+              "testimonials guestbook".split())
 STORY = set("article content story entry post main".split())
+# Words before a telling part that say the element only has such a thing, or has none; people whose
+# reviews are comments; words of a line about rights; furniture that comes before the article.
+ABOUT = set("with has have no without".split())
+VISITORS = set("user users reader readers customer customers visitor visitors guest guests member members".split())
+BEFORE = set("nav header menu".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
                   r"|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 
+_RIGHTS = re.compile(r"\A(?:copyright\b|©|\(c\))[^\w]*(?:c\b[^\w]*)?[12][0-9]{3}\b", re.I)
+
 # Fixed value: words from which a block is long, however long it is.
 LONG = 32
 
-#: Marks of an element and of everything inside it; the last one tells that an article cleared others.
-STORY_MARK, FURNITURE_MARK, TELLING_MARK, HIDDEN_MARK, CLEARED_MARK = 1, 2, 4, 8, 16
+#: Marks of an element and of everything inside it; the fifth tells that an article cleared others, the last one is a
+#: block's own and tells of a line about rights.
+STORY_MARK, FURNITURE_MARK, TELLING_MARK, HIDDEN_MARK, CLEARED_MARK, RIGHTS_MARK = 1, 2, 4, 8, 16, 32
 
 
 @dataclass
@@ -59,35 +69,69 @@ class Block:
     words: int = 0
 
 
+def _names(attributes: str) -> tuple[bool, bool]:
+    """Whether class, id and role name an article, and whether they name furniture.
+
+    "page-with-sidebar" and "no-ads" only tell what the element has or lacks and name no furniture; "tags-article",
+    where the last part is what the element is, names an article.
+    """
+    story = telling = False
+    for found in _NAMED.finditer(attributes):
+        for name in (found[1] or found[2] or found[3] or "").lower().split():
+            parts = re.findall(r"[a-z]+", name)
+            told = [i for i, part in enumerate(parts) if part in TELLING and not (i and set(parts[:i]) & ABOUT)]
+            reviewed = "review" in parts and bool(VISITORS & set(parts))
+            if parts and parts[-1] == "article":
+                story = True
+            elif told or reviewed:
+                telling = True
+            story = story or bool(STORY.intersection(parts))
+    return story, telling
+
+
 def _marks(tag: str, attributes: str, outer: int) -> int:
     """Marks of an element, given those of the elements around it."""
     marks = outer
     named = attributes and tag not in ("html", "body")
-    parts = {p for found in _NAMED.finditer(attributes)
-             for p in re.split(r"[^a-z]+", (found[1] or found[2] or found[3] or "").lower())} if named else set()
-    if tag in ARTICLE or parts & STORY:
+    story, telling = _names(attributes) if named else (False, False)
+    if tag in ARTICLE or story:
         marks |= STORY_MARK
-        if outer & (FURNITURE_MARK | TELLING_MARK) and tag not in FURNITURE and not parts & TELLING:
+        if outer & (FURNITURE_MARK | TELLING_MARK) and tag not in FURNITURE and not telling:
             marks = marks & ~(FURNITURE_MARK | TELLING_MARK) | CLEARED_MARK
     if tag in FURNITURE and not (tag == "header" and outer & STORY_MARK):
         marks |= FURNITURE_MARK
     if named and _HIDDEN.search(attributes):
         marks |= HIDDEN_MARK
-    if parts & TELLING and tag not in ARTICLE:
+    if telling and tag not in ARTICLE:
         marks |= TELLING_MARK
     return marks
 
 
 def blocks(page: str) -> list[Block]:
     """Text blocks of a page in order; never fails, whatever the markup."""
+    found, unclosed = _blocks(page, frozenset())
+    return _blocks(page, unclosed)[0] if unclosed else found
+
+
+def _blocks(page: str, ending: frozenset[int]) -> tuple[list[Block], frozenset[int]]:
+    """Text blocks of a page, and where menus and page headers begin that are never closed.
+
+    Those that begin at a place in ``ending`` end where an element begins after text of theirs.
+    """
     found: list[Block] = []
     block, stack, link, at = Block(), [("", 0)], 0, 0
     open_at: dict[str, list[int]] = {}  # where in the stack each tag is open
+    begun: dict[int, tuple[int, int]] = {}  # depth of open menus and page headers: where they begin, blocks before them
+    unclosed: set[int] = set()
 
-    def leave(depth: int) -> None:
-        """Close the elements from a depth of the stack on."""
+    def leave(depth: int, ended: bool = False) -> None:
+        """Close the elements from a depth of the stack on; ``ended`` if the one at that depth has its own end."""
         while len(stack) > depth:
             open_at[stack.pop()[0]].pop()
+            if len(stack) in begun:
+                place, _ = begun.pop(len(stack))
+                if not (ended and len(stack) == depth):
+                    unclosed.add(place)
 
     def put(piece: str) -> None:
         if "&" in piece:
@@ -99,8 +143,10 @@ def blocks(page: str) -> list[Block]:
     def close() -> None:
         nonlocal block
         block.text = " ".join("".join(block.pieces).split())
-        if block.text:
+        if block.text and not block.marks & HIDDEN_MARK:
             block.words = block.text.count(" ") + 1
+            if block.words < LONG and _RIGHTS.search(block.text):
+                block.marks |= RIGHTS_MARK
             found.append(block)
         block = Block(marks=stack[-1][1], heading=any(t[:1] == "h" and t[1:].isdigit() for t, _ in stack[-2:]))
 
@@ -130,11 +176,16 @@ def blocks(page: str) -> list[Block]:
                 continue
         if ends:
             if open_at.get(tag):
-                leave(open_at[tag][-1])
+                leave(open_at[tag][-1], True)
             close()
         elif tag == "hr":
             close()
         else:
+            if ending and begun and tag not in INLINE and tag not in ("ul", "ol", "li"):
+                close()
+                spent = [depth for depth, (place, before) in begun.items() if place in ending and len(found) > before]
+                if spent:
+                    leave(min(spent))
             if tag not in INLINE and stack[-1][0] == "p":
                 leave(len(stack) - 1)
             if tag in ("li", "tr", "td", "th", "dt", "dd", "option") and stack[-1][0] == tag:
@@ -142,69 +193,87 @@ def blocks(page: str) -> list[Block]:
             open_at.setdefault(tag, []).append(len(stack))
             stack.append((tag, _marks(tag, attributes, stack[-1][1])))
             close()
+            if tag in BEFORE and stack[-1][1] & FURNITURE_MARK:
+                begun[len(stack) - 1] = match.start(), len(found)
     put(page[at:])
     close()
-    return found
+    leave(1)
+    return found, frozenset(unclosed)
 
 
 def features(found: list[Block]) -> np.ndarray:
     """One row per block: words and link density of it, the one before and the one after, then its marks.
 
-    Words count up to LONG; the fewer and the more words of the two neighbours stand beside them.
+    Words count up to LONG; the fewer and the more words of the two neighbours and the higher of their densities stand
+    beside them.
     """
     words = np.minimum([0, *[b.words for b in found], 0], LONG).astype(float)
     density = np.array([0, *[min(b.linked / b.words, 1.0) for b in found], 0], float)
     marks = np.array([b.marks for b in found], int)
     columns = [words[1:-1], density[1:-1], words[:-2], density[:-2], words[2:], density[2:],
-               np.minimum(words[:-2], words[2:]), np.maximum(words[:-2], words[2:])]
-    columns += [(marks & m > 0).astype(float) for m in (STORY_MARK, FURNITURE_MARK, TELLING_MARK, HIDDEN_MARK, CLEARED_MARK)]
+               np.minimum(words[:-2], words[2:]), np.maximum(words[:-2], words[2:]),
+               np.maximum(density[:-2], density[2:])]
+    columns += [(marks & m > 0).astype(float) for m in (
+        STORY_MARK, FURNITURE_MARK, TELLING_MARK, CLEARED_MARK, RIGHTS_MARK)]
     return np.stack([*columns, np.array([b.heading for b in found], float)], axis=1)
 
 
 # The labelled table. A page is a row of blocks: words, linked words, marks (s story, f furniture, t telling name,
-# h hidden, c cleared, 1 heading), and + for a block of the main text or - for one that is not.
+# c cleared, r rights, 1 heading), and + for a block of the main text or - for one that is not.
 LABELLED = """
 6,6,f,- 8,0,t,- 11,0,s1,+ 60,0,s,+ 3,0,s,+ 1,0,s,+ 140,0,s,+ 2,0,s,+ 9,0,f,-
 4,4,f,- 2,2,f,- 30,0,t,- 7,0,s1,+ 1,0,s,+ 2,0,s,+ 1,0,s,+ 12,2,f,-
 1,1,f,- 5,0,s1,+ 220,4,s,+ 25,0,st,- 90,3,s,+ 14,14,sf,- 40,0,st,- 55,0,st,- 6,1,f,-
-3,3,ft,- 12,0,f1,- 9,0,s1,+ 4,0,s,+ 35,35,s,+ 80,0,s,+ 18,0,sf,- 1,0,sf,- 22,0,h,-
-8,8,,- 2,2,,- 10,0,1,+ 75,1,,+ 120,5,,+ 3,0,,+ 64,0,,+ 5,3,,- 4,4,,-
+3,3,ft,- 12,0,f1,- 9,0,s1,+ 4,0,s,+ 35,35,s,+ 80,0,s,+ 18,0,sf,- 1,0,sf,-
 2,2,,- 3,3,,- 1,1,,- 6,0,1,+ 45,0,,+ 2,0,,+ 51,2,,+ 1,0,,+ 90,0,,+ 7,7,,- 6,4,,-
-20,0,t,- 5,5,t,- 8,0,1,+ 30,0,,+ 33,1,,+ 28,0,t,- 70,0,t,- 3,2,,-
-15,0,f,- 65,0,f,- 12,0,s1,+ 38,0,s,+ 5,0,sh,- 47,1,s,+ 50,0,sft,- 31,0,t1,- 44,0,t,- 10,3,f,-
-7,0,f1,- 1,1,f,- 16,0,s,+ 1,0,s1,+ 100,20,s,+ 2,2,s,+ 6,6,st,- 9,0,ft,- 85,0,ft,-
-1,0,s1,+ 9,9,s,+ 10,0,s,+ 4,0,st,- 19,0,sf,- 110,0,f,- 130,2,t,- 3,0,h,-
+7,0,f1,- 1,1,f,- 16,0,s,+ 1,0,s1,+ 100,20,s,+ 2,2,s,- 6,6,st,- 9,0,ft,- 85,0,ft,-
+1,0,s1,+ 9,9,s,+ 10,0,s,+ 4,0,st,- 19,0,sf,- 110,0,f,- 130,2,t,-
 40,40,,- 6,6,,- 200,3,,+ 180,0,,+ 1,0,1,+ 95,0,,+ 12,12,,- 2,1,,-
-1,0,,- 2,0,,- 1,0,,- 3,0,,- 7,0,1,+ 52,1,,+ 4,0,,+ 71,0,,+ 36,0,,+ 6,0,,- 4,0,,- 9,0,,-
+1,0,,- 2,0,,- 1,0,,- 3,0,,- 7,0,1,+ 52,1,,+ 4,0,,+ 71,0,,+ 36,0,,+ 6,0,,- 4,0,,- 9,0,r,-
 2,2,,- 3,0,,- 2,2,,- 19,0,,- 5,5,,- 9,0,1,+ 130,2,,+ 3,0,,+ 41,0,,+ 8,8,,- 3,0,,- 4,4,,- 11,0,,-
-3,0,,- 2,0,,- 24,0,,- 1,0,,- 88,0,,+ 18,0,,+ 60,0,,+ 2,2,,- 7,0,,- 1,1,,- 10,0,,-
-2,0,,- 10,0,1,+ 20,0,,+ 24,0,,+ 15,0,,+ 22,0,,+ 17,0,,+ 2,0,,- 12,0,,-
+3,0,,- 2,0,,- 24,0,,- 1,0,,- 88,0,,+ 18,0,,+ 60,0,,+ 2,2,,- 7,0,,- 1,1,,- 10,0,r,-
+2,0,,- 10,0,1,+ 18,0,,+ 24,0,,+ 15,0,,+ 22,0,,+ 17,0,,+ 2,0,,- 12,0,,-
 5,0,t,- 8,0,sc1,+ 44,0,sc,+ 6,0,sc,+ 90,0,sc,+ 33,0,sc,+ 15,0,sc,+ 3,3,f,- 4,0,f,-
 3,0,f,- 4,0,sc,- 2,0,sc,- 6,0,sc,- 3,0,sc,- 12,0,sc,- 5,5,t,-
-150,0,,+
-48,0,t,- 60,0,t,- 39,0,f,- 16,0,t,- 52,0,f,- 2,0,f,- 34,0,ft,-
-9,0,s1,+ 16,0,s,+ 12,0,s,+ 20,0,s,+ 1,0,s,+ 8,0,f,- 1,0,f,- 10,0,st,- 1,0,h,- 9,0,s,+
-40,0,h,- 60,0,,+ 12,0,h,- 45,0,,+ 33,0,h,- 50,0,,+ 16,0,h,-
+48,0,t,- 39,0,f,- 52,0,ft,-
+9,0,s1,+ 16,0,s,+ 12,0,s,+ 20,0,s,+ 1,0,s,+ 8,0,f,- 1,0,f,- 10,0,st,- 9,0,s,+
 3,0,,- 16,0,,- 2,0,,- 17,0,,- 4,0,,-
+9,0,s1,+ 70,0,s,+ 5,5,s,- 4,4,s,- 6,6,s,- 50,0,s,+ 3,3,s,- 30,1,s,+
+2,2,s,- 1,1,s,- 3,3,s,- 3,0,s1,+ 90,2,s,+ 20,0,s,+ 4,4,s,- 3,0,sr,-
+1,1,,- 2,2,,- 3,0,1,+ 60,0,,+ 2,0,1,+ 44,0,,+ 2,0,1,- 3,3,,- 4,4,,- 6,0,sr,-
+3,0,1,+ 60,0,,+ 40,0,,+
+8,0,,+
+5,0,f,- 3,0,sc1,+ 44,0,sc,+ 1,0,sc,+ 60,0,sc,+
+5,5,f,- 12,0,s1,+ 18,0,s,+ 7,0,s,+ 25,0,s,+ 6,0,s,+ 5,0,s,+ 22,0,s,+ 10,0,s,+ 8,0,f,-
 """
 
 
-def labelled_blocks() -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of the table, neighbours taken from each page's row."""
-    letters = {"s": STORY_MARK, "f": FURNITURE_MARK, "t": TELLING_MARK, "h": HIDDEN_MARK, "c": CLEARED_MARK, "1": 0}
+def labelled_blocks(shorter: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of the table, neighbours taken from each page's row.
+
+    ``shorter`` halves the unlinked main text inside articles that often: there, short blocks are main text as well.
+    """
+    letters = {"s": STORY_MARK, "f": FURNITURE_MARK, "t": TELLING_MARK, "c": CLEARED_MARK, "r": RIGHTS_MARK, "1": 0}
     x, y = [], []
     for line in LABELLED.split("\n"):
         rows = [entry.split(",") for entry in line.split()]
-        if rows:
-            x.append(features([Block(words=int(w), linked=int(linked), marks=sum(letters[m] for m in marks),
-                                     heading="1" in marks) for w, linked, marks, _ in rows]))
+        if shorter and "s" not in "".join(marks for _, _, marks, label in rows if label == "+"):
+            continue
+        page = [Block(words=int(w), linked=int(linked), marks=sum(letters[m] for m in marks), heading="1" in marks)
+                for w, linked, marks, _ in rows]
+        for b, (*_, label) in zip(page, rows):
+            if label == "+" and b.marks == STORY_MARK and 3 * b.linked < b.words:
+                b.words = max(b.words >> shorter, 1)
+        if page:
+            x.append(features(page))
             y += [label == "+" for *_, label in rows]
     return np.concatenate(x), np.array(y, float)
 
 
 @lru_cache(1)
 def classifier() -> Tree:
-    return Tree(*labelled_blocks())
+    tables = [labelled_blocks(shorter) for shorter in range(4)]
+    return Tree(np.concatenate([x for x, _ in tables]), np.concatenate([y for _, y in tables]), depth=12)
 
 
 def main_text(page: str) -> str:

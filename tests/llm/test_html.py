@@ -57,6 +57,44 @@ def test_boilerplate_without_names_or_links():
     assert main_text(f"<p>{STORY_TEXT}</p><p hidden>{STORY_TEXT}</p><p>{STORY_TEXT}</p>") == f"{STORY_TEXT}{STORY_TEXT}".strip()
 
 
+MENU = "<ul><li><a href=a>Home</a><li><a href=b>About us</a><li><a href=c>All the news</a></ul>"
+BODY = f"<h1>A headline of several words</h1><p>{STORY_TEXT}</p><p>Brief one.</p><p>{STORY_TEXT}</p>"
+BODY_TEXT = " ".join(["A headline of several words", STORY_TEXT.strip(), "Brief one.", STORY_TEXT.strip()])
+
+
+def test_names_that_only_tell_what_an_element_has():
+    for names in ('id="page-with-sidebar"', 'class="container with-comments"', 'class="no-ads"', 'class="tags-article"', "class='has-menu x'"):
+        assert main_text(f"<body><nav>{MENU}</nav><div {names}>{BODY}</div><footer>x y</footer></body>") == BODY_TEXT, names
+    for names in ('class="comments"', 'id="sidebar-left"', 'class="post-comments"', 'class="user-review"', 'class="with-menu sidebar"'):
+        assert main_text(f"<body><article>{BODY}</article><div {names}><p>{STORY_TEXT}</p></div></body>") == BODY_TEXT, names
+
+
+def test_menus_that_are_never_closed():
+    for start in (f"<nav>{MENU}", "<nav><a href=a>Home</a> <a href=b>News</a>", f"<div><nav>{MENU}</div>", f"<header><h1>Site</h1>{MENU}",
+                  f"<header><nav>{MENU}</header>", f"<nav>{MENU}</nav><nav>{MENU}"):
+        assert main_text(f"<body>{start}<div>{BODY}</div></body>") == BODY_TEXT, start
+    # One that is closed keeps what stands in it.
+    assert main_text(f"<nav>{MENU}<div>{BODY}</div></nav><div>{BODY}</div>") == BODY_TEXT
+    assert main_text("<nav>" * 2000 + f"a<div>{BODY}</div>") == BODY_TEXT
+
+
+def test_links_and_short_lines_inside_an_article():
+    links = "<ul><li><a href=x>Read this other thing</a><li><a href=y>Share on Facebook</a></ul>"
+    assert main_text(f"<article>{BODY}{links}</article>") == BODY_TEXT
+    assert main_text(f"<article>{BODY}<p><a href=y>Share on Facebook</a></p></article>") == BODY_TEXT
+    assert main_text(f"<main>{MENU}{BODY}<p>Copyright 2024 Foo</p><p>&copy; 2024 Foo</p></main>") == BODY_TEXT
+    assert main_text(f"<article>{BODY}<div class='user-review'><p>{STORY_TEXT}</p></div></article>") == BODY_TEXT
+    # Plain short lines are part of it, also those that only mention rights.
+    assert main_text(f"<article>{BODY}<p>No.</p><p>All rights reserved.</p></article>") == f"{BODY_TEXT} No. All rights reserved."
+
+
+def test_short_pages_and_first_headings():
+    assert main_text("<p>Just a short page with few words.</p>") == "Just a short page with few words."
+    for start in ("", MENU):
+        assert main_text(f"{start}<h2>A title here</h2><p>{STORY_TEXT}</p><p>{STORY_TEXT}</p>") == f"A title here {STORY_TEXT}{STORY_TEXT}".strip()
+    assert main_text(f"<p>{STORY_TEXT}</p><p hidden>two words</p><p>{STORY_TEXT}</p>") == f"{STORY_TEXT}{STORY_TEXT}".strip()
+
+
 def test_an_article_inside_furniture():
     for outer in ("<form>", "<div class='sidebar'>", "<aside>", "<div class='menu'>"):
         for inner in ("<article>", "<main>", "<div class='content'>"):
