@@ -7,14 +7,22 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .common import column
 
 
+PARTS = 256  # groups of tasks whose rows are cut together before a label is cut as a whole
+
+
 def chosen_rows(rows: DataFrame, per_label: int, most: int) -> DataFrame:
     """``rows`` (doc_id, label) with up to ``per_label`` ids of every label and ``most`` in all, by a hash of the id.
 
-    The window keeps only its first rows per task before anything is moved.
+    A window keeps only its first rows per task before anything is moved. Tasks are cut in groups first, so that
+    neither cut brings the rows of all tasks together; which group a row is in does not change what is chosen.
     """
-    at = Window.partitionBy("label").orderBy("h", "doc_id")
-    ranked = rows.select("doc_id", "label", F.xxhash64("doc_id").alias("h")).withColumn("at", F.row_number().over(at))
-    return ranked.where(F.col("at") <= per_label).orderBy("at", "h", "label").limit(most).select("doc_id", "label")
+    hashed = rows.select("doc_id", "label", F.xxhash64("doc_id").alias("h"),
+                         F.pmod(F.spark_partition_id(), F.lit(PARTS)).alias("part"))
+    of_part = Window.partitionBy("label", "part").orderBy("h", "doc_id")
+    first = hashed.withColumn("at", F.row_number().over(of_part)).where(F.col("at") <= per_label)
+    of_label = Window.partitionBy("label").orderBy("h", "doc_id")
+    ranked = first.withColumn("at", F.row_number().over(of_label)).where(F.col("at") <= per_label)
+    return ranked.orderBy("at", "h", "label").limit(most).select("doc_id", "label")
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_label: int,

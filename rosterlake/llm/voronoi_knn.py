@@ -6,16 +6,18 @@ products. Candidates are grouped by their nearest pivot and summarised (how many
 distances to the pivot); queries are grouped likewise. From the summaries alone each query group gets a bound on how
 far its k-th neighbour can be, and from that a bound per candidate group: a candidate nearer to its pivot than the
 bound, by the triangle inequality, cannot be among the neighbours. The others are sent to the query group, in blocks
-of bounded size, solved block by block with exact integer products, and merged.
+of bounded size, solved block by block with exact integer products, and merged in two rounds, so that no task sees the
+lists of all blocks of a query.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import column
 
@@ -30,13 +32,26 @@ class Settings:
     block: int = 4096            # candidates of a group that are solved together
 
 
-def _packed(vectors: np.ndarray) -> list[bytes]:
-    return [row.tobytes() for row in np.ascontiguousarray(vectors, np.int64)]
+def _narrowest(reach: float) -> type:
+    """Smallest integer type for components of at most that size."""
+    return next((kind for kind in (np.int8, np.int16, np.int32) if reach <= np.iinfo(kind).max), np.int64)
 
 
-def _unpacked(values: pa.Array, size: int) -> np.ndarray:
+def _packed(vectors: np.ndarray, kind: type) -> list[bytes]:
+    return [row.tobytes() for row in np.ascontiguousarray(vectors, kind)]
+
+
+def _unpacked(values: pa.Array, size: int, kind: type) -> np.ndarray:
     raw = b"".join(values.to_pylist())
-    return np.frombuffer(raw, np.int64).reshape(-1, size)
+    return np.frombuffer(raw, kind).reshape(-1, size).astype(np.int64)
+
+
+def _spots(ids: np.ndarray, vectors: np.ndarray, seed: int) -> np.ndarray:
+    """A hash of every id and vector, so that rows of one id are spread as well."""
+    odd = np.arange(1, vectors.shape[1] + 1, dtype=np.uint64) * np.uint64(0xBF58476D1CE4E5B9) | np.uint64(1)
+    mixed = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (vectors.astype(np.uint64) * odd).sum(1, dtype=np.uint64)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(seed)
+    return mixed >> np.uint64(33)
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str, scale: int) -> DataFrame:
@@ -120,7 +135,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str = "v
 def _of_length(base: DataFrame, is_query: Column, k: int, size: int, settings: Settings) -> DataFrame:
     spark = base.sparkSession
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    longest = base.agg(F.max(norm)).first()[0]
+    reach = F.array_max(F.transform("v", lambda x: F.abs(x.cast("double"))))
+    longest, reach = base.agg(F.max(norm), F.max(reach)).first()
+    if longest is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    kind = _narrowest(reach)
     sample = base.select("v").distinct().orderBy(F.xxhash64("v"), "v").limit(settings.pivots).collect()
     cells = Cells(np.array([r.v for r in sample], float).reshape(-1, size), float(longest))
     shared = spark.sparkContext.broadcast(cells)
@@ -132,7 +151,7 @@ def _of_length(base: DataFrame, is_query: Column, k: int, size: int, settings: S
                     v = _lists(batch.column(1))
                     cell, distance = shared.value.nearest(shared.value.lift(v, queries))
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0), pa.array(_packed(v), pa.binary()), pa.array(cell, pa.int32()),
+                        [batch.column(0), pa.array(_packed(v, kind), pa.binary()), pa.array(cell, pa.int32()),
                          pa.array(distance)], ["vec_id", "v", "cell", "distance"])
 
         return run
@@ -157,9 +176,9 @@ def _of_length(base: DataFrame, is_query: Column, k: int, size: int, settings: S
         needs, parts, blocks = plan.value
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            vectors = _unpacked(batch.column(1), size)
+            vectors = _unpacked(batch.column(1), size, kind)
             cell, distance = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            spots = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+            spots = _spots(ids, vectors, 0x94D049BB133111EB)
             rows = []
             for group, least in needs.items():
                 floor = np.array([least.get(j, np.inf) for j in range(len(shared.value.points))])
@@ -168,7 +187,7 @@ def _of_length(base: DataFrame, is_query: Column, k: int, size: int, settings: S
                 for b in np.unique(block[send]):
                     chosen = send & (block == b)
                     for part in range(parts[group]):
-                        rows.append((group, part, int(b), ids[chosen].tobytes(), vectors[chosen].tobytes()))
+                        rows.append((group, part, int(b), ids[chosen].tobytes(), vectors[chosen].astype(kind).tobytes()))
             yield _table(rows)
 
     def ask(batches):
@@ -176,37 +195,43 @@ def _of_length(base: DataFrame, is_query: Column, k: int, size: int, settings: S
         _, parts, blocks = plan.value
         for batch in batches:
             ids, cell = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            vectors = _unpacked(batch.column(1), size)
-            spots = (ids.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(33)
+            vectors = _unpacked(batch.column(1), size, kind)
+            spots = _spots(ids, vectors, 0xD6E8FEB86659FD93)
             rows = []
             for group in np.unique(cell):
                 part = spots % np.uint64(parts[group])
                 for p in np.unique(part[cell == group]):
                     chosen = (cell == group) & (part == p)
                     for b in range(blocks[group]):
-                        rows.append((int(group), int(p), b, ids[chosen].tobytes(), vectors[chosen].tobytes()))
+                        rows.append((int(group), int(p), b, ids[chosen].tobytes(), vectors[chosen].astype(kind).tobytes()))
             yield _table(rows)
 
     routed = "cell int, part int, block int, ids binary, vectors binary"
     place = ["cell", "part", "block"]
 
     def solve(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        asked_ids, asked_rows = _unpack(left, size)
-        ids, rows = _unpack(right, size)
+        asked_ids, asked_rows = _unpack(left, size, kind)
+        ids, rows = _unpack(right, size, kind)
         asked_rows, first = np.unique(np.concatenate([asked_ids[:, None], asked_rows], axis=1), axis=0, return_index=True)
         found = []
         for a in range(0, len(first), 256):
             found += _best(asked_rows[a:a + 256, 0], asked_rows[a:a + 256, 1:], ids, rows, k)
-        return _result(found)
+        return _result(found, key[2].as_py() % turns)
 
+    # A query has one list per block: first the lists of every turn are merged, then those of all turns.
+    turns = math.isqrt(max(shares.values(), default=1) - 1) + 1
     best = (asked.mapInArrow(ask, routed).groupBy(*place)
             .cogroup(data.mapInArrow(route, routed).groupBy(*place))
-            .applyInArrow(solve, "query_id long, query binary, vec_ids array<bigint>, scores array<bigint>"))
-    merged = best.groupBy("query_id", "query").agg(
-        F.flatten(F.collect_list(F.arrays_zip(F.transform("scores", lambda s: -s).alias("s"), F.col("vec_ids").alias("i")))).alias("all"))
-    top = merged.select("query_id", F.posexplode(F.slice(F.sort_array("all"), 1, k)).alias("at", "hit"))
-    return top.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("hit.i").alias("vec_id"),
-                      (-F.col("hit.s")).alias("score"))
+            .applyInArrow(solve, "query_id long, query binary, turn int, vec_ids array<bigint>, scores array<bigint>"))
+    hits = best.select("query_id", "query", "turn", F.inline(F.arrays_zip(F.col("vec_ids").alias("vec_id"), F.col("scores").alias("score"))))
+    top = _first(hits, ["query_id", "query", "turn"], k).drop("rank") if turns > 1 else hits
+    return _first(top, ["query_id", "query"], k).select("query_id", "rank", "vec_id", "score")
+
+
+def _first(hits: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """The ``k`` best hits per key with their rank; every task cuts its own before anything is moved."""
+    at = Window.partitionBy(*keys).orderBy(F.desc("score"), "vec_id")
+    return hits.withColumn("rank", F.row_number().over(at)).where(F.col("rank") <= k)
 
 
 def _nearest_distances(rows: DataFrame, k: int) -> DataFrame:
@@ -234,9 +259,9 @@ def _table(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names)
 
 
-def _unpack(table: pa.Table, size: int) -> tuple[np.ndarray, np.ndarray]:
+def _unpack(table: pa.Table, size: int, kind: type) -> tuple[np.ndarray, np.ndarray]:
     ids = np.frombuffer(b"".join(table["ids"].to_pylist()), np.int64)
-    return ids, np.frombuffer(b"".join(table["vectors"].to_pylist()), np.int64).reshape(-1, size)
+    return ids, np.frombuffer(b"".join(table["vectors"].to_pylist()), kind).reshape(-1, size).astype(np.int64)
 
 
 def _best(asked_ids: np.ndarray, asked: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> list[tuple]:
@@ -264,7 +289,8 @@ def _best(asked_ids: np.ndarray, asked: np.ndarray, ids: np.ndarray, rows: np.nd
     return found
 
 
-def _result(found: list[tuple]) -> pa.Table:
+def _result(found: list[tuple], turn: int) -> pa.Table:
     kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-    return pa.table([pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)],
-                    names=["query_id", "query", "vec_ids", "scores"])
+    columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)]
+    columns.insert(2, pa.array([turn] * len(found), pa.int32()))
+    return pa.table(columns, names=["query_id", "query", "turn", "vec_ids", "scores"])
