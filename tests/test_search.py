@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brute import Corpus, edits, swap_edits
+from conftest import plan_of
 from rosterlake.functions.text import deletions, edge_ngrams, tokens, word_deletions
 from rosterlake.operators.clauses import NODES, as_nodes, refused_clauses, search_many
 from rosterlake.operators.scoring import page, page_after, page_deep, page_per_query, total_hits
@@ -321,3 +322,27 @@ def test_deep_pages_are_counted_and_not_ranked(spark, values):
         assert got == order[skip:skip + 25], skip
     with pytest.raises(ValueError):
         page_deep(hits, -1, 0)
+
+
+def test_postings_are_counted_inside_documents(spark):
+    def found(rows, **options):
+        docs = spark.createDataFrame(rows, "id bigint, text string")
+        index = TextIndex.over(docs, "id", {"text": F.col("text")}) if not options else TextIndex.over_prefixes(
+            docs, "id", {"text": F.col("text")}, **options)
+        got = sorted((r["term"], r["doc_id"] is None, r["doc_id"] or 0, r["dl"], r["tf"], r["positions"]) for r in index.postings.collect())
+        counts = {r["term"]: r["df"] for r in index.term_stats.collect()}
+        return index, got, counts
+
+    index, got, counts = found([(1, "b a b"), (2, None), (3, "."), (4, "a")])
+    assert got == [("a", False, 1, 3, 1, [1]), ("a", False, 4, 1, 1, [0]), ("b", False, 1, 3, 2, [0, 2])]
+    assert counts == {"a": 2, "b": 1}
+    # Words are not unfolded before they are counted, which took a sort of all of them.
+    plan = plan_of(index.postings)
+    assert "Aggregate" not in plan and "Exchange" not in plan and plan.count("Generate") == 2
+    # Rows of one id and length are one document, with an id that is null too.
+    _, got, counts = found([(1, "b a b"), (1, "c a c"), (1, "a"), (None, "x y"), (None, "y x")])
+    assert got == [("a", False, 1, 1, 1, [0]), ("a", False, 1, 3, 2, [1, 1]), ("b", False, 1, 3, 2, [0, 2]),
+                   ("c", False, 1, 3, 2, [0, 2]), ("x", True, 0, 2, 2, [0, 1]), ("y", True, 0, 2, 2, [0, 1])]
+    assert counts == {"a": 2, "b": 1, "c": 1, "x": 1, "y": 1}
+    _, got, _ = found([(1, "ab ac ab")], max_gram=2)
+    assert got == [("a", False, 1, 3, 3, [0, 1, 2]), ("ab", False, 1, 3, 2, [0, 2]), ("ac", False, 1, 3, 1, [1])]
