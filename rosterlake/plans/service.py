@@ -11,7 +11,7 @@ from ..operators.bounded import BROADCAST_ROWS
 from ..operators.clauses import clause_reason, search_many
 from ..operators.facets import BUCKETS, facet_dates, facet_terms, facet_tokens, facet_values
 from ..operators.fields import is_period, match_date, match_dates_many, match_number, match_numbers_many
-from ..operators.requests import DEFAULT_SIZE, DEFAULT_SKIP, normalise
+from ..operators.requests import DEFAULT_SIZE, DEFAULT_SKIP, answered, asked_once, normalise
 from ..operators.scoring import EARLY_CUT, check_page, deep_pages, page, page_after, page_deep, page_per_query, total_hits
 from ..operators.search import match, match_many, search
 from ..operators.suggest import suggest
@@ -121,7 +121,11 @@ class ProfileSearch:
             "last", F.col("size").cast("bigint") + F.col("skip").cast("bigint"))
         # Requests for a deep page are ranked by themselves, so they cost the others nothing.
         near, deep = good.where(F.col("last") <= EARLY_CUT), good.where(F.col("last") > EARLY_CUT)
-        hits = page_per_query(self._hits(near), EARLY_CUT, key="id").join(near.select("query_id", "skip", "last"), "query_id")
+        # Requests that differ in their page at most are matched and ranked once, as deep as the deepest of them all.
+        once, whose = asked_once(near.drop("size", "skip", "last", "reason", *self._unread(near)))
+        depth = near.agg(F.max("last")).first()[0] or 0
+        ranked = answered(page_per_query(self._hits(once), depth, key="id"), whose)
+        hits = ranked.join(near.select("query_id", "skip", "last"), "query_id")
         pages = hits.unionByName(deep_pages(self._hits(deep), deep.select("query_id", "skip", "last"), key="id"))
         return (
             pages.where((F.col("rank") > F.col("skip")) & (F.col("rank") <= F.col("last")))
@@ -129,6 +133,12 @@ class ProfileSearch:
             checked.where(F.col("reason").isNotNull()).select("query_id", "reason"),
         )
 
+    @staticmethod
+    def _unread(requests: DataFrame) -> list[str]:
+        """Columns of checked requests that do not say what is asked."""
+        read = {"query_id", "field", "query", "distance_km", "lat", "lon", "size", "skip", "mode", "reason", "last", "clause"}
+        return [c for c in requests.columns if c not in read]
+
     def _hits(self, good: DataFrame) -> DataFrame:
         """(query_id, id, score) of accepted requests of all kinds."""
         number, date = F.col("field").isin(NUMBER_FIELDS), F.col("field") == "dob"
