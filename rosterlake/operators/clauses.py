@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import tokens
 from .bounded import has_at_most
-from .scoring import SCORE_DIGITS, inverse_document_frequency, term_weight
+from .requests import answered, asked_once
+from .scoring import SCORE_DIGITS, inverse_document_frequency, page_per_query, term_weight
 from .search import AllOf, AnyOf, NoneOf, Phrase, Prefix, Word, _prepared
 from .textindex import TextIndex, range_bucket, term_bucket
 
@@ -108,6 +109,16 @@ def search_many(index: TextIndex, field: str, requests: DataFrame, query_id: str
     return judged.where("_e.holds").select("query_id", "doc_id", F.round("_e.score", SCORE_DIGITS).alias("score"))
 
 
+def search_pages(index: TextIndex, field: str, requests: DataFrame, size: int, skip: int = 0, query_id: str = "query_id",
+                 clause: str = "clause") -> DataFrame:
+    """The same page of the hits of :func:`search_many` for every request, with its ``rank``.
+
+    Requests with the same tree are searched and ranked once.
+    """
+    once, whose = asked_once(requests.select(F.col(query_id).alias("query_id"), F.col(clause).alias("clause")))
+    return answered(page_per_query(search_many(index, field, once), size, skip), whose)
+
+
 def _of_terms(index: TextIndex, field: str, terms: DataFrame, *columns: str) -> DataFrame:
     """Postings of a table of terms, with its other columns."""
     postings, keys = index.postings.where(F.col("field") == field), ["term"]

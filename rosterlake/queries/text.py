@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import tokens
 from ..operators.requests import normalise
-from ..operators.clauses import NODES, search_many
+from ..operators.clauses import NODES, search_pages
 from ..operators.facets import facet_terms
 from ..operators.scoring import page, page_after, page_deep, page_per_query, total_hits
 from ..operators.search import (
@@ -431,7 +431,7 @@ def search_requests_clauses(spark, folder):
     kind = F.col("kind")
     requests = asked.withColumn("ab", F.concat_ws(" ", "a", "b")).select("query_id", F.when(kind == 0, both).when(
         kind == 1, either).when(kind == 2, sequence).otherwise(begins).cast(NODES).alias("clause"))
-    return page_per_query(search_many(_index(spark, folder, whole=True), FIELD, requests), 10)
+    return search_pages(_index(spark, folder, whole=True), FIELD, requests, 10)
 
 
 @query(_matched(["the", "of", "and", "the", "re"]) + """

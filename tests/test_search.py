@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from brute import Corpus, edits, swap_edits
 from conftest import plan_of
 from rosterlake.functions.text import deletions, edge_ngrams, tokens, word_deletions
-from rosterlake.operators.clauses import NODES, as_nodes, refused_clauses, search_many
+from rosterlake.operators.clauses import NODES, as_nodes, refused_clauses, search_many, search_pages
+from rosterlake.operators.requests import answered, asked_once
 from rosterlake.operators.scoring import page, page_after, page_deep, page_per_query, total_hits
 from rosterlake.operators.search import (
     Fuzzy, Prefix, Word, _blocks_within, _prepared, all_of, any_of, in_blocks, match, match_many, none_of, phrase, search, top_many,
@@ -346,3 +347,24 @@ def test_postings_are_counted_inside_documents(spark):
     assert counts == {"a": 2, "b": 1, "c": 1, "x": 1, "y": 1}
     _, got, _ = found([(1, "ab ac ab")], max_gram=2)
     assert got == [("a", False, 1, 3, 3, [0, 1, 2]), ("ab", False, 1, 3, 2, [0, 2]), ("ac", False, 1, 3, 1, [1])]
+
+
+def test_requests_that_ask_the_same_are_answered_once(spark):
+    rows = [(1, "a", 2), (2, "a", 2), (3, "b", 1), (4, "b", None), (5, "a", 2), (5, "b", 1), (6, "b", 1), (6, "a", 2), (7, "b", None)]
+    once, whose = asked_once(spark.createDataFrame(rows, "query_id int, query string, n int"))
+    assert sorted((tuple(r) for r in once.collect()), key=str) == sorted(
+        [(1, "a", 2), (3, "b", 1), (4, "b", None), (5, "a", 2), (5, "b", 1)], key=str)
+    assert {r["query_id"]: r["question"] for r in whose.collect()} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 5, 7: 4}
+    hits = spark.createDataFrame([(1, 10), (5, 11)], "query_id int, doc_id int")
+    assert sorted(tuple(r) for r in answered(hits, whose).collect()) == [(1, 10), (2, 10), (5, 11), (6, 11)]
+
+
+def test_pages_of_equal_clause_trees(spark):
+    docs = spark.createDataFrame([(i, "the cat" if i % 2 else "the dog cat") for i in range(40)], "id bigint, text string")
+    index = TextIndex.over(docs, "id", {"text": F.col("text")})
+    trees = [as_nodes(all_of(Word("the"), Word("dog"))), as_nodes(all_of(Word("cat"), none_of(Word("dog"))))]
+    requests = spark.createDataFrame([(q, trees[q % 2]) for q in range(200)], f"query_id int, clause {NODES}")
+    pages = search_pages(index, "text", requests, 3, skip=1)
+    whole = page_per_query(search_many(index, "text", requests), 3, 1)
+    key = lambda r: (r["query_id"], r["rank"], r["doc_id"], r["score"])
+    assert sorted(map(key, pages.collect())) == sorted(map(key, whole.collect())) and pages.count() == 600
