@@ -466,7 +466,12 @@ def match_many(index: TextIndex, field: str | None, queries: DataFrame, query_id
     word, and adaptive execution splits the hot ones.
     """
     asked = _prepared(index, field, queries, query_id, text, analyzer)
-    return _scores(asked.weighed(asked.postings).withColumn("value", asked.value(F.col("tf"), F.col("dl"))))
+    postings = asked.postings
+    if asked.few and index.buckets is not None:
+        # Requests have words in common: their postings are fewer than the pairs of request and document, which then
+        # need no shuffle. Computed postings lie by document already.
+        postings = postings.repartition(F.col("doc_id"))
+    return _scores(asked.weighed(postings).withColumn("value", asked.value(F.col("tf"), F.col("dl"))))
 
 
 def _scores(valued: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """The shape of physical plans, and whole jobs."""
 
 import datetime
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -361,3 +362,14 @@ def test_pages_after_a_known_row_and_deep_pages(stored, monkeypatch):
     assert [(r["id"], r["score"]) for r in rows.collect()] == whole[20:27]
     rows, _ = stored.users(field="gender", query="2", size=4, skip=30)
     assert [r["id"] for r in rows.collect()] == [p[0] for p in PEOPLE if p[10] == 2][30:34]
+
+
+def test_postings_for_a_table_of_requests_move_by_document_not_the_pairs(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"a b{i % 3}") for i in range(30)], "id bigint, text string")
+    stored = StoredIndex(spark, str(tmp_path / "ix"), "id", {"text": F.col("text")}, buckets=4)
+    stored.build(docs)
+    requests = spark.createDataFrame([(q, f"a b{q}") for q in range(3)], "query_id int, query string")
+    hits = match_many(stored.open(), "text", requests)
+    moved = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", re.sub(r"#\d+L?", "", plan_of(hits)))
+    assert any(m.startswith("doc_id,") for m in moved) and not any("query_id, doc_id" in m for m in moved)
+    assert hits.count() == 90
