@@ -466,12 +466,16 @@ def match_many(index: TextIndex, field: str | None, queries: DataFrame, query_id
     word, and adaptive execution splits the hot ones.
     """
     asked = _prepared(index, field, queries, query_id, text, analyzer)
-    postings = asked.postings
-    if asked.few and index.buckets is not None:
-        # Requests have words in common: their postings are fewer than the pairs of request and document, which then
-        # need no shuffle. Computed postings lie by document already.
-        postings = postings.repartition(F.col("doc_id"))
-    return _scores(asked.weighed(postings).withColumn("value", asked.value(F.col("tf"), F.col("dl"))))
+    return _scores(asked.weighed(_by_document(index, asked)).withColumn("value", asked.value(F.col("tf"), F.col("dl"))))
+
+
+def _by_document(index: TextIndex, asked: _Requests) -> DataFrame:
+    """Postings of the requests' words, those of a stored index moved to their document.
+
+    Requests have words in common: their postings are fewer than the pairs of request and document, which then need no
+    shuffle. Computed postings lie by document already.
+    """
+    return asked.postings.repartition(F.col("doc_id")) if asked.few and index.buckets is not None else asked.postings
 
 
 def _scores(valued: DataFrame) -> DataFrame:
@@ -493,7 +497,7 @@ def top_many(index: TextIndex, field: str, queries: DataFrame, size: int, query_
     left out before documents are gathered.
     """
     asked = _prepared(index, field, queries, query_id, text, analyzer)
-    valued = asked.weighed(asked.postings).withColumn("value", asked.value(F.col("tf"), F.col("dl")))
+    valued = asked.weighed(_by_document(index, asked)).withColumn("value", asked.value(F.col("tf"), F.col("dl")))
     if index.blocks is None or not asked.few or queries.count() * LENGTH_CLASSES * index.spread > BLOCKS_SENT:
         return page_per_query(_scores(valued), size)
     kept = _blocks_within(index, asked, valued, size)
