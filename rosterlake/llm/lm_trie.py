@@ -2,7 +2,7 @@
 
 The model has three orders. After one and after two words the count of a word is smoothed by the next shorter order,
 p(w|c) = (n(c w) + mu p(w|shorter c)) / (n(c) + mu). A frequent word by itself has its add-0.1 share of all training
-tokens; all other words are a class that shares its mass evenly. Negative logarithms are kept as 16-bit codes, so
+tokens; all other words are a class that shares its mass evenly, or, with ``each_rare``, have their own shares too. Negative logarithms are kept as 16-bit codes, so
 scores are sums of whole numbers and do not depend on the order of addition.
 
 The trie grows with the corpus, and so do the tasks: it is cut into parts by the word v before the scored one.
@@ -37,7 +37,8 @@ from .graphs import stored
 
 END = np.array([0x5EED0E4D], np.int64)  # stands for the end of a text among the hashes of words
 CODES_PER_DECADE = 4096
-HASH_BITS = 40                          # bits of the hash by which n-grams name a rare word
+HASH_BITS = 62                          # bits of the hash by which n-grams name a rare word
+COUNT = -1                              # in place of a context: what follows is a rare word and its count
 
 
 @dataclass(frozen=True)
@@ -47,6 +48,7 @@ class Settings:
     chunk_tokens: int = 1_000_000  # tokens of a chunk; a longer text is a chunk by itself
     part_tokens: int = 2_000_000   # tokens that a part of the trie answers for
     shared_texts: int = 4          # a trigram in more texts of a chunk than this is sent once
+    each_rare: bool = False        # a rare word by itself has its own share, not that of its class
 
 
 # -- packed numbers ------------------------------------------------------------------------------
@@ -195,8 +197,8 @@ class Vocabulary:
         return self._among(self.times, self.texts, ids)
 
 
-def vocabulary(texts: DataFrame, settings: Settings) -> Vocabulary:
-    """Words of (key, text, learn) counted."""
+def vocabulary(texts: DataFrame, settings: Settings) -> tuple[Vocabulary, DataFrame | None]:
+    """Words of (key, text, learn) counted, and the other words, as n-grams name them, with their training tokens (id, n)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches, settings.chunk_tokens):
@@ -214,8 +216,16 @@ def vocabulary(texts: DataFrame, settings: Settings) -> Vocabulary:
     top = counted.orderBy(F.desc("all_times"), "word").limit(settings.frequent).toArrow()
     word = top.column("word").to_numpy()
     order = np.argsort(word)
-    return Vocabulary(word[order], order, top.column("times").to_numpy(), top.column("all_times").to_numpy(),
-                      *(totals[c] or 0 for c in ("size", "tokens", "texts", "all_tokens", "all_texts")))
+    words = Vocabulary(word[order], order, top.column("times").to_numpy(), top.column("all_times").to_numpy(),
+                       *(totals[c] or 0 for c in ("size", "tokens", "texts", "all_tokens", "all_texts")))
+    if len(word) < settings.frequent:
+        return words, None
+    rare = counted.where("times > 0")
+    if len(word):
+        least, last = int(words.all_times[-1]), int(word[-1])
+        rare = rare.where((F.col("all_times") < least) | ((F.col("all_times") == least) & (F.col("word") > last)))
+    name = F.col("word").bitwiseAND(F.lit((1 << HASH_BITS) - 1)) + F.lit(words.start + 1)
+    return words, rare.groupBy(name.alias("id")).agg(F.sum("times").alias("n"))
 
 
 def codes(probability: np.ndarray) -> np.ndarray:
@@ -366,11 +376,12 @@ def _dealt(to: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def build(u: np.ndarray, v: np.ndarray, w: np.ndarray, n: np.ndarray, words: Vocabulary, settings: Settings,
-          totals: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Trie:
+          totals: tuple[np.ndarray, np.ndarray, np.ndarray], ids: np.ndarray | None = None, shares: np.ndarray | None = None) -> Trie:
     """The trie of training trigrams, distinct and ordered by (v, u, w), that occur ``n`` times.
 
     Occurrences of a context (v, u) are their sum. ``totals`` (v, u, n) has contexts whose words may lie in other
-    parts as well: they are in the trie, with those occurrences, whether or not any of their words is.
+    parts as well: they are in the trie, with those occurrences, whether or not any of their words is. With ``ids`` all
+    words are given as places there, in whose order their ``shares`` are.
     """
     firsts = _runs_of(v, u)
     pair_v, pair_u, pair_n = v[firsts], u[firsts], np.add.reduceat(n, firsts) if len(n) else n
@@ -390,7 +401,8 @@ def build(u: np.ndarray, v: np.ndarray, w: np.ndarray, n: np.ndarray, words: Voc
     context = pair_v[starts]
     # A word that is split has only some of its contexts' occurrences here.
     context_n = np.add.reduceat(pair_n, starts) if len(starts) else pair_n
-    context_n = np.where(words.split(context, settings.part_tokens), words.contexts(context), context_n)
+    named = context if ids is None else ids[context]
+    context_n = np.where(words.split(named, settings.part_tokens), words.contexts(named), context_n)
     mu = settings.smoothing
     by_next = _order(v, w)
     firsts = _runs_of(v[by_next], w[by_next])
@@ -399,7 +411,7 @@ def build(u: np.ndarray, v: np.ndarray, w: np.ndarray, n: np.ndarray, words: Voc
     next_of = np.empty(len(v), np.int64)
     next_of[by_next] = np.repeat(np.arange(len(firsts)), np.diff(firsts, append=len(v)))
     after_starts = np.append(np.searchsorted(next_v, context), len(next_v))
-    p2 = (next_n + mu * words.share(next_w)) / (context_n[np.searchsorted(context, next_v)] + mu)
+    p2 = (next_n + mu * (words.share(next_w) if shares is None else shares[next_w])) / (context_n[np.searchsorted(context, next_v)] + mu)
     p3 = (n + mu * p2[next_of]) / (pair_n[pair_of] + mu)
     # Words after (u, v) are written as places among the words after v.
     place = next_of - after_starts[np.searchsorted(context, v)]
@@ -421,6 +433,14 @@ def _unpacked(messages: pa.Table, kind: int, columns: int) -> tuple[list[int], l
     return chunk, lengths, [np.concatenate([p.pop() for p in parts]) for _ in range(columns)][::-1] if parts else []
 
 
+def _rare_words(messages: pa.Table, words: Vocabulary) -> pa.Table:
+    """The rare words that a part is asked for."""
+    _, _, found = _unpacked(messages, TRIGRAMS, 6)
+    asked = np.unique(found[2][found[2] > words.start]) if found else np.zeros(0, np.int64)
+    part = messages.column("part")[0].as_py() if messages.num_rows else 0
+    return pa.table({"part": pa.array(np.full(len(asked), part), pa.int32()), "id": asked})
+
+
 def _totals(messages: pa.Table, words: Vocabulary, part_tokens: int, parts: int) -> pa.Table:
     """For words that are dealt over several parts, how often each word comes before them, for each of those parts."""
     _, _, found = _unpacked(messages, TRIGRAMS, 6)
@@ -465,7 +485,7 @@ def _answered(messages: pa.Table, totals: tuple, words: Vocabulary, settings: Se
         out += [(c, RARE, data) for c, data in _rare_sums(chunk, lengths, slot, often, each, words)]
     chunk, lengths, columns = _unpacked(messages, TRIGRAMS, 6)
     if lengths:
-        v, u, w, slot, times, learned = columns
+        v, u, w, slot, often, learned = columns
         columns.clear()
         order = _order(v, u, w)
         first = _runs_of(v[order], u[order], w[order])
@@ -478,11 +498,23 @@ def _answered(messages: pa.Table, totals: tuple, words: Vocabulary, settings: Se
         if words.texts and words.split(np.array([words.start]), settings.part_tokens)[0]:
             # Nothing comes before what is before a text.
             totals = tuple(np.append(t, x) for t, x in zip(totals, (words.start, words.start, words.texts)))
-        trie = build(u[learnt], v[learnt], w[learnt], n[learnt], words, settings, totals)
+        # Inside a part words are numbered in the order of their ids, which keeps the numbers of the trie small.
+        counted = totals[0] == COUNT
+        rare, rare_n = totals[1][counted], totals[2][counted]
+        totals = tuple(t[~counted] for t in totals)
+        ids = np.unique(np.concatenate([np.unique(x) for x in (u, v, w, totals[0], totals[1])]))
+        u, v, w = (np.searchsorted(ids, x) for x in (u, v, w))
+        totals = (np.searchsorted(ids, totals[0]), np.searchsorted(ids, totals[1]), totals[2])
+        shares = words.share(ids)
+        if settings.each_rare:
+            times = words._among(words.times, 0, ids)
+            times[np.searchsorted(ids, rare)] = rare_n
+            shares = (times + 0.1) / words.weight
+        trie = build(u[learnt], v[learnt], w[learnt], n[learnt], words, settings, totals, ids, shares)
         with tempfile.TemporaryFile() as file:
             write(file, trie.arrays())
             del trie, learnt, n
-            answers = Trie.over(mapped(file)).look(u, v, w, codes(words.share(w)))[of] * times
+            answers = Trie.over(mapped(file)).look(u, v, w, codes(shares[w]))[of] * often
         out += [(c, TRIGRAMS, data) for c, data in _sums(chunk, lengths, slot, answers)]
     mine = pa.table({"chunk": pa.array([o[0] for o in out], pa.int64()), "kind": pa.array([o[1] for o in out], pa.int32()),
                      "keys": pa.nulls(len(out), messages.schema.field("keys").type), "payload": pa.array([o[2] for o in out], pa.binary())})
@@ -542,11 +574,12 @@ def score(docs: DataFrame, learn: Column, settings: Settings = Settings(), id_co
     training rows every token has probability 1 by itself. Repeated rows are learned from and scored each. Other
     columns are not read, whatever their names.
 
-    Codes are rounded to 1/4096 of a decade, at most 0.00013 a token and order.
+    With ``each_rare`` every word by itself has its add-0.1 share; a part is told the counts of the rare words in its
+    n-grams. Rare words are told apart by 62 bits of a hash. Codes are rounded to 1/4096 of a decade, at most 0.00013 a token and order.
     """
     texts = docs.select(column(id_column).alias("key"), column(text_column).cast("string").alias("text"), learn.alias("learn"))
     kind = dict(texts.dtypes)["key"]
-    words = vocabulary(texts, settings)
+    words, rare = vocabulary(texts, settings)
     parts = max(1, -(-words.all_tokens // settings.part_tokens))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -555,10 +588,15 @@ def score(docs: DataFrame, learn: Column, settings: Settings = Settings(), id_co
 
     answer = f"chunk long, kind int, keys array<{kind}>, payload binary"
     sent = texts.mapInArrow(send, f"part int, {answer}")
+    above = []
     if words.split(np.arange(words.start + 1), settings.part_tokens).any():
-        totals = sent.groupBy("part").applyInArrow(
-            lambda messages: _totals(messages, words, settings.part_tokens, parts), "part int, v long, u long, n long")
-        totals = totals.withColumnRenamed("part", "to")
+        above.append(sent.groupBy("part").applyInArrow(
+            lambda messages: _totals(messages, words, settings.part_tokens, parts), "part int, v long, u long, n long"))
+    if settings.each_rare and rare is not None:
+        asked = sent.groupBy("part").applyInArrow(lambda messages: _rare_words(messages, words), "part int, id long")
+        above.append(asked.join(rare, "id").select("part", F.lit(COUNT).cast("long").alias("v"), F.col("id").alias("u"), "n"))
+    if above:
+        totals = (above[0] if len(above) == 1 else above[0].unionByName(above[1])).withColumnRenamed("part", "to")
         answers = sent.groupBy("part").cogroup(totals.groupBy("to")).applyInArrow(
             lambda messages, above: _answered(messages, tuple(above.column(c).to_numpy() for c in ("v", "u", "n")), words, settings)
             if messages.num_rows else messages.select(["chunk", "kind", "keys", "payload"]), answer)

@@ -274,5 +274,5 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op13_lm_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language-model score of every document, the model being learned from nine tenths of them."""
-    scored = lm_trie.score(table(spark, sf_dir, "documents"), _learned("doc_id", 10, 0))
+    scored = lm_trie.score(table(spark, sf_dir, "documents"), _learned("doc_id", 10, 0), lm_trie.Settings(each_rare=True))
     return scored.select("doc_id", (fold(F.col("doc_id"), 10) == 0).alias("held_out"), *scored.columns[1:])

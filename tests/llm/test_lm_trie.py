@@ -158,6 +158,22 @@ def test_equals_plain_counts(documents, settings):
     same(documents(table).repartition(3), table, settings)
 
 
+@pytest.mark.parametrize("settings", [
+    Settings(16.0, 9, 300, 60, 2, each_rare=True), Settings(8.0, 0, 200, 90, 3, each_rare=True), Settings(4.0, 3, 300, 10**6, 2, each_rare=True)])
+def test_rare_words_have_their_own_counts(documents, settings):
+    table = texts(90) + [(i, f"seldom{i} seldom{i // 3} the") for i in range(90, 120)]
+    got = rows(score(documents(table).repartition(3), F.col("doc_id") % 4 != 0, settings), *COLUMNS)
+    want = by_hand(table, lambda d: d % 4 != 0, Settings(settings.smoothing))  # all words are frequent
+    for a, b in zip(got, want, strict=True):
+        assert a[:4] == b[:4] and abs(a[4] - b[4]) < 1e-6 and abs(a[5] - b[5]) <= 3 * 0.5 / 4096 * b[1] + 1e-6, (a, b)
+
+
+def test_rare_words_are_told_apart_beyond_40_bits():
+    words = vocabulary([3], 1)
+    low = np.array([77, 77 + (1 << 41), 77 + (1 << 61)])
+    assert len(set(words.ids(low).tolist())) == 3
+
+
 def vocabulary(times, texts):
     """Words 0, 1, ... by number with these training tokens, all frequent."""
     times = np.array(times)
