@@ -16,6 +16,7 @@ from rosterlake.operators.scoring import page, page_per_query
 from rosterlake.operators.clauses import NODES, as_nodes
 from rosterlake.operators.search import Fuzzy, Prefix, Word, all_of, match, match_many, none_of, phrase, search
 from rosterlake.operators.textindex import TextIndex
+from rosterlake.plans import indexing
 from rosterlake.plans.feed import run_feed
 from rosterlake.plans.indexing import StoredIndex
 from rosterlake.plans.profiles import ProfileTable
@@ -394,3 +395,25 @@ def test_postings_for_a_table_of_requests_move_by_document_not_the_pairs(spark,
     moved = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", re.sub(r"#\d+L?", "", plan_of(hits)))
     assert any(m.startswith("doc_id,") for m in moved) and not any("query_id, doc_id" in m for m in moved)
     assert hits.count() == 90
+
+
+def test_dealt_documents_write_their_postings_where_they_are(spark, tmp_path, monkeypatch):
+    words = ["york", "new", "gdansk", "oslo", "rome", "lima"]
+    rows = [(i, " ".join(words[(i * k) % 6] for k in range(1, 30))) for i in range(200)]
+    people = spark.createDataFrame(rows, "id bigint, city string")
+    monkeypatch.setattr(indexing, "LEAST_CHARS", 1 << 10)
+    moved, hint = [], type(people).hint
+    monkeypatch.setattr(type(people), "hint", lambda df, name, *by: moved.append(df.columns) or hint(df, name, *by))
+    few = StoredIndex(spark, str(tmp_path / "few"), "id", {"city": F.col("city")}, buckets=2)
+    few.build(people)
+    few.refresh(people.where("id < 20").withColumn("city", F.concat("city", F.lit(" bergen"))), people.where("id = 30"))
+    # Neither postings nor the words of documents are moved to buckets; every task writes its own file of a bucket.
+    assert not any({"positions", "terms"} & set(columns) for columns in moved)
+    files = [p for p in files_of(tmp_path) if "/postings/part=base" in p and "bucket=0" in p and p.endswith(".parquet")]
+    assert len(files) > 2
+    many = StoredIndex(spark, str(tmp_path / "many"), "id", {"city": F.col("city")}, buckets=indexing.TASK_BUCKETS + 1)
+    many.build(spark.createDataFrame([(i, t + " bergen" * (i < 20)) for i, t in rows if i != 30], "id bigint, city string"))
+    assert any("positions" in columns for columns in moved)
+    for asked in ("york new", "bergen lima", "rome"):
+        got, want = (sorted(tuple(r) for r in match(i.open(), "city", asked).collect()) for i in (few, many))
+        assert got == want and got
