@@ -19,6 +19,7 @@ import numpy as np
 
 U64 = np.uint64
 AT_ONCE = 1 << 15  # n-grams looked up together
+WRITTEN = 1 << 16  # numbers written together, a multiple of 64 so that they end with a word
 
 
 def _select_in_word(words: np.ndarray, k: np.ndarray) -> np.ndarray:
@@ -39,16 +40,18 @@ def _first_one(words: np.ndarray) -> np.ndarray:
 
 
 def _packed(values: np.ndarray, bits: int) -> np.ndarray:
-    """Numbers of ``bits`` bits one after the other in 64-bit words."""
+    """The low ``bits`` bits of numbers one after the other in 64-bit words."""
     out = np.zeros((len(values) * bits + 63) // 64 + 1, U64)
-    if not bits or not len(values):
+    if not bits:
         return out
-    at = np.arange(len(values), dtype=np.int64) * bits
-    word, shift = at >> 6, (at & 63).astype(U64)
-    firsts = np.flatnonzero(np.diff(word, prepend=-1))
-    out[word[firsts]] = np.add.reduceat(values << shift, firsts)
-    over = np.flatnonzero((at & 63) + bits > 64)
-    out[word[over] + 1] |= values[over] >> (U64(64) - shift[over])
+    for begin in range(0, len(values), WRITTEN):
+        some = values[begin:begin + WRITTEN].astype(U64) & U64((1 << bits) - 1)
+        at = np.arange(begin, begin + len(some), dtype=np.int64) * bits
+        word, shift = at >> 6, (at & 63).astype(U64)
+        firsts = np.flatnonzero(np.diff(word, prepend=-1))
+        out[word[firsts]] = np.add.reduceat(some << shift, firsts)
+        over = np.flatnonzero((at & 63) + bits > 64)
+        out[word[over] + 1] |= some[over] >> (U64(64) - shift[over])
     return out
 
 
@@ -78,12 +81,13 @@ class Sequence:
         n = len(values)
         universe = int(values[-1]) + 1 if n else 1
         bits = max(0, (universe // n).bit_length() - 1) if n else 0
-        low = _packed((values & ((1 << bits) - 1)).astype(U64), bits)
-        place = (values >> bits) + np.arange(n)
-        high = np.zeros((int(place[-1]) + 2 if n else 1) + 63 >> 6, U64)
-        if n:
+        low = _packed(values, bits)
+        high = np.zeros(((int(values[-1]) >> bits) + n + 1 if n else 1) + 63 >> 6, U64)
+        for begin in range(0, n, WRITTEN):
+            place = (values[begin:begin + WRITTEN] >> bits) + np.arange(begin, min(n, begin + WRITTEN))
             firsts = np.flatnonzero(np.diff(place >> 6, prepend=-1))
-            high[place[firsts] >> 6] = np.add.reduceat(U64(1) << (place & 63).astype(U64), firsts)
+            # Numbers before these may lie in their first word.
+            high[place[firsts] >> 6] |= np.add.reduceat(U64(1) << (place & 63).astype(U64), firsts)
         # Ones before each word, in 32 bits where they fit.
         ones = np.concatenate([[0], np.cumsum(np.bitwise_count(high), dtype=np.int64)])
         return cls(n, bits, low, high, ones.astype(np.uint32 if n < 1 << 32 else np.int64))
@@ -170,8 +174,9 @@ class Children:
         spans = np.zeros(len(starts) - 1, np.int64)
         some = np.flatnonzero(np.diff(starts))
         spans[some] = numbers[starts[some + 1] - 1] + 1
-        bases = np.cumsum(spans) - spans
-        return cls(Sequence.of(numbers + np.repeat(bases, np.diff(starts))), Sequence.of(starts))
+        based = np.repeat(np.cumsum(spans) - spans, np.diff(starts))
+        based += numbers
+        return cls(Sequence.of(based), Sequence.of(starts))
 
     def open(self, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First place of the children of each node, the place after the last, and the base of their numbers."""

@@ -37,6 +37,7 @@ from .graphs import stored
 
 END = np.array([0x5EED0E4D], np.int64)  # stands for the end of a text among the hashes of words
 CODES_PER_DECADE = 4096
+ROWS_AT_ONCE = 1 << 18                  # n-grams of a part for which wide numbers are held together
 HASH_BITS = 62                          # bits of the hash by which n-grams name a rare word
 COUNT = -1                              # in place of a context: what follows is a rare word and its count
 
@@ -65,23 +66,27 @@ def pack(*columns: np.ndarray) -> bytes:
             values = np.diff(values, prepend=0)
         planes = max(1, (int(values.max()).bit_length() + 7) // 8) if n else 1
         raw = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :planes].T) if n else np.zeros(0, np.uint8)
-        done = zlib.compress(raw.tobytes(), 1)
+        # Planes repeat single bytes; longer matches are rare and cost more to look for than they save.
+        packer = zlib.compressobj(1, strategy=zlib.Z_RLE)
+        done = packer.compress(raw.tobytes()) + packer.flush()
         parts += [np.array([planes, rising, len(done)], np.int64).tobytes(), done]
     return b"".join(parts)
 
 
-def unpack(data: bytes) -> list[np.ndarray]:
+def unpack(data: bytes | memoryview, which: tuple[int, ...] | None = None) -> list[np.ndarray]:
+    """The columns, or those of the places ``which``; the others are not decompressed."""
     n, count = np.frombuffer(data, np.int64, 2).tolist()
-    at, out = 16, []
-    for _ in range(count):
+    at, out = 16, {}
+    for c in range(count):
         planes, rising, size = np.frombuffer(data, np.int64, 3, at).tolist()
-        raw = np.frombuffer(zlib.decompress(data[at + 24:at + 24 + size]), np.uint8)
-        wide = np.zeros((n, 8), np.uint8)
-        wide[:, :planes] = raw.reshape(planes, n).T
-        values = wide.reshape(-1).view(np.int64)
-        out.append(np.cumsum(values) if rising else values)
+        if which is None or c in which:
+            raw = np.frombuffer(zlib.decompress(data[at + 24:at + 24 + size]), np.uint8)
+            wide = np.zeros((n, 8), np.uint8)
+            wide[:, :planes] = raw.reshape(planes, n).T
+            values = wide.reshape(-1).view(np.int64)
+            out[c] = np.cumsum(values) if rising else values
         at += 24 + size
-    return out
+    return [out[c] for c in (range(count) if which is None else which)]
 
 
 # -- tokens --------------------------------------------------------------------------------------
@@ -267,8 +272,13 @@ def _runs_of(*sorted_columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _order(*columns: np.ndarray) -> np.ndarray:
-    """Order of rows by columns that are not negative, the first one first, equal rows as they were.
+def _order_of_small(values: np.ndarray) -> np.ndarray:
+    """Order of numbers that are not negative, equal ones as they were; those of 16 bits are sorted without comparing them."""
+    return np.argsort(values.astype(np.uint16) if len(values) and values.max() < 1 << 16 else values, kind="stable")
+
+
+def _order(*columns: np.ndarray, kind: str | None = "stable") -> np.ndarray:
+    """Order of rows by columns that are not negative, the first one first, equal rows as they were unless ``kind`` differs.
 
     Columns are put together in as few numbers per row as hold them.
     """
@@ -276,12 +286,12 @@ def _order(*columns: np.ndarray) -> np.ndarray:
     for c in columns:
         bits = int(c.max()).bit_length() if len(c) else 0
         if used + bits > 63:
-            keys.append(c)
+            keys.append(np.asarray(c, np.int64))
             used = bits
         else:
             keys[-1] = keys[-1] << bits | c
             used += bits
-    return np.argsort(keys[0], kind="stable") if len(keys) == 1 else np.lexsort(keys[::-1])
+    return np.argsort(keys[0], kind=kind) if len(keys) == 1 else np.lexsort(keys[::-1])
 
 
 def gather(u: np.ndarray, v: np.ndarray, w: np.ndarray, text: np.ndarray, learns: np.ndarray, shared: int,
@@ -366,7 +376,7 @@ def _sent(chunk: Chunk, words: Vocabulary, parts: int, settings: Settings, kind:
 
 def _dealt(to: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """The rows that go to each part, in their order."""
-    order = np.argsort(to, kind="stable")
+    order = _order_of_small(to)
     first = _runs_of(to[order])
     for a, b in zip(first, np.append(first[1:], len(order))):
         yield int(to[order[a]]), order[a:b]
@@ -375,6 +385,11 @@ def _dealt(to: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 # -- 3. parts ------------------------------------------------------------------------------------
 
 
+def _numbers(n: int) -> np.ndarray:
+    """0 to n - 1, in 32 bits where they fit: most of what a part holds are places."""
+    return np.arange(n, dtype=np.int32 if n < 1 << 31 else np.int64)
+
+
 def build(u: np.ndarray, v: np.ndarray, w: np.ndarray, n: np.ndarray, words: Vocabulary, settings: Settings,
           totals: tuple[np.ndarray, np.ndarray, np.ndarray], ids: np.ndarray | None = None, shares: np.ndarray | None = None) -> Trie:
     """The trie of training trigrams, distinct and ordered by (v, u, w), that occur ``n`` times.
@@ -385,15 +400,15 @@ def build(u: np.ndarray, v: np.ndarray, w: np.ndarray, n: np.ndarray, words: Voc
     """
     firsts = _runs_of(v, u)
     pair_v, pair_u, pair_n = v[firsts], u[firsts], np.add.reduceat(n, firsts) if len(n) else n
-    pair_of = np.repeat(np.arange(len(firsts)), np.diff(firsts, append=len(v)))
+    pair_of = np.repeat(_numbers(len(firsts)), np.diff(firsts, append=len(v)))
     if len(totals[0]):
         own = len(pair_v)
         pair_v, pair_u, pair_n = (np.concatenate(both) for both in zip((pair_v, pair_u, pair_n), totals))
         order = _order(pair_v, pair_u)
         firsts = _runs_of(pair_v[order], pair_u[order])
         sizes = np.diff(firsts, append=len(order))
-        merged = np.empty(len(order), np.int64)
-        merged[order] = np.repeat(np.arange(len(firsts)), sizes)
+        merged = _numbers(len(order))
+        merged[order] = np.repeat(_numbers(len(firsts)), sizes)
         pair_of = merged[:own][pair_of]
         # A total comes after what the part itself has of the context.
         pair_v, pair_u, pair_n = pair_v[order[firsts]], pair_u[order[firsts]], pair_n[order[firsts + sizes - 1]]
@@ -404,50 +419,76 @@ def build(u: np.ndarray, v: np.ndarray, w: np.ndarray, n: np.ndarray, words: Voc
     named = context if ids is None else ids[context]
     context_n = np.where(words.split(named, settings.part_tokens), words.contexts(named), context_n)
     mu = settings.smoothing
-    by_next = _order(v, w)
-    firsts = _runs_of(v[by_next], w[by_next])
-    next_v, next_w = v[by_next][firsts], w[by_next][firsts]
+    by_next = _order(v, w, kind=None)
+    next_v, next_w = v[by_next], w[by_next]
+    firsts = _runs_of(next_v, next_w)
+    next_v, next_w = next_v[firsts], next_w[firsts]
     next_n = np.add.reduceat(n[by_next], firsts) if len(n) else n
-    next_of = np.empty(len(v), np.int64)
-    next_of[by_next] = np.repeat(np.arange(len(firsts)), np.diff(firsts, append=len(v)))
+    next_of = _numbers(len(v))
+    next_of[by_next] = np.repeat(_numbers(len(firsts)), np.diff(firsts, append=len(v)))
+    del by_next, firsts
     after_starts = np.append(np.searchsorted(next_v, context), len(next_v))
     p2 = (next_n + mu * (words.share(next_w) if shares is None else shares[next_w])) / (context_n[np.searchsorted(context, next_v)] + mu)
-    p3 = (n + mu * p2[next_of]) / (pair_n[pair_of] + mu)
-    # Words after (u, v) are written as places among the words after v.
-    place = next_of - after_starts[np.searchsorted(context, v)]
     third_starts = np.cumsum(np.concatenate([[0], np.bincount(pair_of, minlength=len(pair_v))]))
+    p3_codes, place = np.empty(len(v), np.uint16), _numbers(len(v))
+    for at in range(0, len(v), ROWS_AT_ONCE):
+        part = slice(at, at + ROWS_AT_ONCE)
+        p3_codes[part] = codes((n[part] + mu * p2[next_of[part]]) / (pair_n[pair_of[part]] + mu))
+        # Words after (u, v) are written as places among the words after v.
+        place[part] = next_of[part] - after_starts[np.searchsorted(context, v[part])]
+    del pair_of, next_of
     return Trie(
         Sequence.of(context), codes(mu / (context_n + mu)).astype(np.uint16),
         Children.of(next_w, after_starts), codes(p2).astype(np.uint16),
         Children.of(pair_u, np.append(starts, len(pair_v))), codes(mu / (pair_n + mu)).astype(np.uint16),
-        Children.of(place, third_starts), codes(p3).astype(np.uint16))
+        Children.of(place, third_starts), p3_codes)
+
 
+V, U, W, SLOT, TIMES, LEARNED = range(6)  # columns of the trigrams in a message
 
-def _unpacked(messages: pa.Table, kind: int, columns: int) -> tuple[list[int], list[int], list[np.ndarray]]:
-    """Chunks and lengths of the messages of one kind, and their columns in a row."""
+
+def _payloads(messages: pa.Table, kind: int) -> tuple[list[int], list[memoryview]]:
+    """Chunks and payloads of the messages of one kind; payloads are not copied."""
     mine = np.flatnonzero(messages.column("kind").to_numpy() == kind)
-    chunk = messages.column("chunk").to_numpy()[mine].tolist()
-    parts = [unpack(messages.column("payload")[int(i)].as_py()) for i in mine]
-    lengths = [len(p[0]) for p in parts]
-    # Column by column, the last ones first, so that few of them are held twice.
-    return chunk, lengths, [np.concatenate([p.pop() for p in parts]) for _ in range(columns)][::-1] if parts else []
+    payload = messages.column("payload")
+    return messages.column("chunk").to_numpy()[mine].tolist(), [memoryview(payload[int(i)].as_buffer()) for i in mine]
+
+
+def _lengths(payloads: list[memoryview]) -> list[int]:
+    return [int(np.frombuffer(data, np.int64, 1)[0]) for data in payloads]
+
+
+def _in_a_row(payloads: list[memoryview], column: int, kind: type = np.int64) -> np.ndarray:
+    """One column of all messages; only one message of it is held twice."""
+    lengths = _lengths(payloads)
+    out, at = np.empty(sum(lengths), kind), 0
+    for data, size in zip(payloads, lengths):
+        out[at:at + size] = unpack(data, (column,))[0]
+        at += size
+    return out
 
 
 def _rare_words(messages: pa.Table, words: Vocabulary) -> pa.Table:
     """The rare words that a part is asked for."""
-    _, _, found = _unpacked(messages, TRIGRAMS, 6)
-    asked = np.unique(found[2][found[2] > words.start]) if found else np.zeros(0, np.int64)
+    found = [np.zeros(0, np.int64)]
+    for data in _payloads(messages, TRIGRAMS)[1]:
+        w, = unpack(data, (W,))
+        found.append(np.unique(w[w > words.start]))
+    asked = np.unique(np.concatenate(found))
     part = messages.column("part")[0].as_py() if messages.num_rows else 0
     return pa.table({"part": pa.array(np.full(len(asked), part), pa.int32()), "id": asked})
 
 
 def _totals(messages: pa.Table, words: Vocabulary, part_tokens: int, parts: int) -> pa.Table:
     """For words that are dealt over several parts, how often each word comes before them, for each of those parts."""
-    _, _, found = _unpacked(messages, TRIGRAMS, 6)
-    columns = found or [np.zeros(0, np.int64)] * 6
-    u, _, v, learned = columns[0], columns[1], columns[2], columns[5]
-    counted = np.flatnonzero((learned > 0) & words.split(v, part_tokens))
-    u, v, learned = u[counted], v[counted], learned[counted]
+    found = [(np.zeros(0, np.int64),) * 3]
+    dealt = np.append(words.split(np.arange(words.start + 1), part_tokens), False)
+    for data in _payloads(messages, TRIGRAMS)[1]:
+        # The word after the context is the one whose occurrences are counted here, after the word before it.
+        u, v, learned = unpack(data, (V, W, LEARNED))
+        counted = np.flatnonzero((learned > 0) & dealt[np.minimum(v, words.start + 1)])
+        found.append((u[counted], v[counted], learned[counted]))
+    u, v, learned = (np.concatenate(c) for c in zip(*found))
     order = _order(v, u)
     u, v = u[order], v[order]
     first = _runs_of(v, u)
@@ -460,68 +501,95 @@ def _totals(messages: pa.Table, words: Vocabulary, part_tokens: int, parts: int)
     return pa.table({"part": pa.array(to[1], pa.int32()), "v": v[to[0]], "u": u[to[0]], "n": n[to[0]]})
 
 
-def _sums(chunk: list[int], lengths: list[int], slot: np.ndarray, *values: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """Sums per slot of every message."""
-    at = 0
-    for c, size in zip(chunk, lengths):
-        mine = slot[at:at + size]
-        order = np.argsort(mine, kind="stable")
-        first = _runs_of(mine[order])
-        yield c, pack(mine[order][first], *(np.add.reduceat(x[at:at + size][order], first) for x in values))
-        at += size
-
-
 def _answered(messages: pa.Table, totals: tuple, words: Vocabulary, settings: Settings) -> pa.Table:
     """Sums per slot for every message of a part; what chunks keep for themselves is passed on."""
-    out = []
-    chunk, lengths, columns = _unpacked(messages, RARE, 5)
-    if lengths:
-        high, low, slot, often, learned = columns
-        order = _order(high, low)
-        first = _runs_of(high[order], low[order])
-        times = np.add.reduceat(learned[order], first)
-        each = np.empty(len(slot), np.int64)
-        each[order] = np.repeat(times, np.diff(first, append=len(order)))
-        out += [(c, RARE, data) for c, data in _rare_sums(chunk, lengths, slot, often, each, words)]
-    chunk, lengths, columns = _unpacked(messages, TRIGRAMS, 6)
-    if lengths:
-        v, u, w, slot, often, learned = columns
-        columns.clear()
-        order = _order(v, u, w)
-        first = _runs_of(v[order], u[order], w[order])
-        of = np.empty(len(v), np.int64)
-        of[order] = np.repeat(np.arange(len(first)), np.diff(first, append=len(v)))
-        n = np.add.reduceat(learned[order], first)
-        v, u, w = (c[order[first]] for c in (v, u, w))
-        del order, first, learned
-        learnt = np.flatnonzero(n > 0)
-        if words.texts and words.split(np.array([words.start]), settings.part_tokens)[0]:
-            # Nothing comes before what is before a text.
-            totals = tuple(np.append(t, x) for t, x in zip(totals, (words.start, words.start, words.texts)))
-        # Inside a part words are numbered in the order of their ids, which keeps the numbers of the trie small.
-        counted = totals[0] == COUNT
-        rare, rare_n = totals[1][counted], totals[2][counted]
-        totals = tuple(t[~counted] for t in totals)
-        ids = np.unique(np.concatenate([np.unique(x) for x in (u, v, w, totals[0], totals[1])]))
-        u, v, w = (np.searchsorted(ids, x) for x in (u, v, w))
-        totals = (np.searchsorted(ids, totals[0]), np.searchsorted(ids, totals[1]), totals[2])
-        shares = words.share(ids)
-        if settings.each_rare:
-            times = words._among(words.times, 0, ids)
-            times[np.searchsorted(ids, rare)] = rare_n
-            shares = (times + 0.1) / words.weight
-        trie = build(u[learnt], v[learnt], w[learnt], n[learnt], words, settings, totals, ids, shares)
-        with tempfile.TemporaryFile() as file:
-            write(file, trie.arrays())
-            del trie, learnt, n
-            answers = Trie.over(mapped(file)).look(u, v, w, codes(shares[w]))[of] * often
-        out += [(c, TRIGRAMS, data) for c, data in _sums(chunk, lengths, slot, answers)]
+    out = [(c, RARE, data) for c, data in _rare_answers(messages, words)]
+    out += [(c, TRIGRAMS, data) for c, data in _trigram_answers(messages, totals, words, settings)]
     mine = pa.table({"chunk": pa.array([o[0] for o in out], pa.int64()), "kind": pa.array([o[1] for o in out], pa.int32()),
                      "keys": pa.nulls(len(out), messages.schema.field("keys").type), "payload": pa.array([o[2] for o in out], pa.binary())})
     own = messages.filter(pa.array(messages.column("kind").to_numpy() == OWN)).select(["chunk", "kind", "keys", "payload"])
     return pa.concat_tables([mine, own.cast(mine.schema)])
 
 
+def _rare_answers(messages: pa.Table, words: Vocabulary) -> Iterator[tuple[int, bytes]]:
+    chunk, payloads = _payloads(messages, RARE)
+    if not payloads:
+        return
+    high, low, slot, often, learned = (_in_a_row(payloads, c) for c in range(5))
+    order = _order(high, low)
+    first = _runs_of(high[order], low[order])
+    times = np.add.reduceat(learned[order], first)
+    each = np.empty(len(slot), np.int64)
+    each[order] = np.repeat(times, np.diff(first, append=len(order)))
+    yield from _rare_sums(chunk, _lengths(payloads), slot, often, each, words)
+
+
+def _trigram_answers(messages: pa.Table, totals: tuple, words: Vocabulary, settings: Settings) -> Iterator[tuple[int, bytes]]:
+    """Sums per slot of every message. A part is held as 32-bit places of its words; what a message brings besides is
+    read when it is answered."""
+    chunk, payloads = _payloads(messages, TRIGRAMS)
+    if not payloads:
+        return
+    if words.texts and words.split(np.array([words.start]), settings.part_tokens)[0]:
+        # Nothing comes before what is before a text.
+        totals = tuple(np.append(t, x) for t, x in zip(totals, (words.start, words.start, words.texts)))
+    counted = totals[0] == COUNT
+    rare, rare_n = totals[1][counted], totals[2][counted]
+    totals = tuple(t[~counted] for t in totals)
+    # Inside a part words are numbered in the order of their ids, which keeps the numbers of the trie small.
+    columns = [_numbered(_in_a_row(payloads, c)) for c in (V, U, W)]
+    lists = [*(own for own, _ in columns), totals[0], totals[1]]
+    ids, at = _numbered(np.concatenate(lists))
+    at = np.split(at, np.cumsum([len(x) for x in lists])[:-1])
+    v, u, w = (of_own[place] for of_own, (_, place) in zip(at, columns))
+    totals = (at[3].astype(np.int64), at[4].astype(np.int64), totals[2])
+    del columns, lists, at
+    shares = words.share(ids)
+    if settings.each_rare:
+        times = words._among(words.times, 0, ids)
+        times[np.searchsorted(ids, rare)] = rare_n
+        shares = (times + 0.1) / words.weight
+
+    order = _order(v, u, w, kind=None)
+    v, u, w = v[order], u[order], w[order]
+    first = _runs_of(v, u, w)
+    of = _numbers(len(order))
+    of[order] = np.repeat(_numbers(len(first)), np.diff(first, append=len(order)))
+    v, u, w = v[first], u[first], w[first]
+    # A chunk learns fewer than 2^31 occurrences, a text being shorter than 2^31 bytes.
+    n = np.add.reduceat(_in_a_row(payloads, LEARNED, np.int32)[order], first, dtype=np.int64)
+    del order, first
+    learnt = n > 0
+    n = n[learnt]
+    trie = build(u[learnt], v[learnt], w[learnt], n, words, settings, totals, ids, shares)
+    with tempfile.TemporaryFile() as file:
+        write(file, trie.arrays())
+        del trie, learnt, n
+        trie, unseen, found = Trie.over(mapped(file)), codes(shares), np.empty(len(w), np.int32)
+        for at in range(0, len(w), ROWS_AT_ONCE):
+            part = slice(at, at + ROWS_AT_ONCE)
+            found[part] = trie.look(*(c[part].astype(np.int64) for c in (u, v, w)), unseen[w[part]])
+        del trie, u, v, w
+    at = 0
+    for c, data in zip(chunk, payloads):
+        slot, often = unpack(data, (SLOT, TIMES))
+        order = _order_of_small(slot)
+        first = _runs_of(slot[order])
+        answers = found[of[at:at + len(slot)]] * often
+        yield c, pack(slot[order][first], np.add.reduceat(answers[order], first))
+        at += len(slot)
+
+
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different numbers in order, and the place of every number among them."""
+    order = np.argsort(values)
+    values = values[order]
+    first = _runs_of(values)
+    place = _numbers(len(order))
+    place[order] = np.repeat(_numbers(len(first)), np.diff(first, append=len(order)))
+    return values[first], place
+
+
 def _rare_sums(chunk: list[int], lengths: list[int], slot: np.ndarray, often: np.ndarray, times: np.ndarray,
                words: Vocabulary) -> Iterator[tuple[int, bytes]]:
     """Per slot of every message, known tokens and the base score, as the bits of a double."""

@@ -3,6 +3,7 @@ import math
 import random
 import re
 import tempfile
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -235,3 +236,40 @@ def test_probabilities_after_a_context_add_up():
     for a, b in ((0, 1), (1, 0), (words.start, words.start), (10**6, 2), (kept - 1, kept - 1)):
         code = again.look(np.full(len(every), a), np.full(len(every), b), every, lm_trie.codes(words.share(every)))
         assert abs((10.0 ** (-code / 4096)).sum() - 1) < 0.01
+
+
+def test_columns_are_unpacked_one_by_one():
+    columns = [np.array([1, 5, 9]), np.array([3, 0, 2]), np.array([2**60, 1, 0])]
+    two, one = unpack(memoryview(pack(*columns)), (2, 0))
+    assert (two == columns[2]).all() and (one == columns[0]).all()
+
+
+@pytest.mark.parametrize("n, top", [(200_000, 10**12), (131_072, 1000), (65_537, 2**62)])
+def test_long_sequences_are_written_in_blocks(n, top):
+    rng = np.random.default_rng(n)
+    values = np.sort(rng.integers(0, top, n))
+    sequence = Sequence.of(values)
+    assert (sequence[np.arange(n)] == values).all()
+    asked = rng.integers(0, top, 2000)
+    at, equal = sequence.successor(asked)
+    assert (at == np.searchsorted(values, asked)).all() and (equal == np.isin(asked, values)).all()
+
+
+def test_a_part_is_answered_in_little_memory_by_trigram():
+    rng = np.random.default_rng(5)
+    words = vocabulary(np.arange(1000, 0, -1), 100)
+    payloads, n = [], 40_000
+    for _ in range(10):
+        u, v, w = (np.where(rng.random(n) < 0.3, rng.integers(2**61, 2**62, n), rng.integers(0, 1000, n)) for _ in range(3))
+        order = np.lexsort((w, u, v))
+        payloads.append(pack(v[order], u[order], w[order], rng.integers(0, 500, n), np.ones(n, int), rng.integers(0, 2, n)))
+    messages = pa.table({
+        "part": pa.array([0] * 10, pa.int32()), "chunk": pa.array(range(10), pa.int64()), "kind": pa.array([lm_trie.TRIGRAMS] * 10, pa.int32()),
+        "keys": pa.nulls(10, pa.list_(pa.int64())), "payload": pa.array(payloads, pa.binary())})
+    tracemalloc.start()
+    try:
+        lm_trie._answered(messages, (np.zeros(0, np.int64),) * 3, words, Settings(each_rare=True))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 140 * 10 * n
