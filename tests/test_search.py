@@ -248,6 +248,23 @@ def test_similar_words_of_a_stored_index(spark, tmp_path):
         assert one == two and one == result(search(TextIndex.over(frame(spark, texts), "id", fields()), "text", clause)), leaf
 
 
+def test_words_that_begin_alike_share_their_deletions(spark, tmp_path):
+    # The last character of some lies beyond the bounds that share the terms evenly.
+    texts = {n: f"abcdefg{c} x{n}" for n, c in enumerate(["", "1", "2", "99", "\u00e9", "\U0001F600z", "longer"])}
+    index = StoredIndex(spark, str(tmp_path / "ix"), "id", fields(), buckets=4, similar=True)
+    index.build(frame(spark, texts))
+    kept = index.tables["similar"].read()
+    assert kept.where(F.col("variant").startswith("abcde")).select("term").distinct().count() == 1
+    plain = TextIndex.over(frame(spark, texts), "id", fields())
+    leaves = (Fuzzy("abcdefg1", 1), Fuzzy("abcdefg", 2), Fuzzy("bacdefg2", 2, True), Fuzzy("x1", 1), Fuzzy("abcdefg", 0))
+    want = [result(search(plain, "text", leaf)) for leaf in leaves]
+    assert want == [result(search(index.open(), "text", leaf)) for leaf in leaves] and len(want[0]) == 5
+    # Tables that lead to whole words are read as well.
+    words = index.open().term_stats.select("field", "term")
+    index.tables["similar"].replace(words.select("field", F.explode(deletions(F.col("term"))).alias("variant"), "term"))
+    assert want == [result(search(index.open(), "text", leaf)) for leaf in leaves]
+
+
 def test_the_analyser_of_a_stored_index_is_chosen(spark, tmp_path):
     index = StoredIndex(spark, str(tmp_path / "a"), "id", fields(), buckets=2,
                         analyzer=lambda c: tokens(c, rules="standard"))
