@@ -64,7 +64,10 @@ class ProfileTable:
         that was written before by the same ``stream`` is skipped, which makes replays harmless; numbers
         of other streams, and of a stream started anew, do not count. Several writers may work at once.
         """
-        incoming = latest_by_key(to_serving(changes).select(*_NAMES), ["id"], VERSION)
+        # Each task sorts its rows to reduce them to one per id. A single input file may hold all of them, so they are
+        # dealt first, those of one id by their version.
+        rows = to_serving(changes).select(*_NAMES).repartition(F.col("id"), F.xxhash64(*VERSION))
+        incoming = latest_by_key(rows, ["id"], VERSION)
         if self.parts.append(incoming, stream, batch) and self.parts.merge(self.compact_after, at_most=1):
             self.parts.clean()
 

@@ -19,6 +19,7 @@ from rosterlake.operators.textindex import TextIndex
 from rosterlake.plans import indexing
 from rosterlake.plans.feed import run_feed
 from rosterlake.plans.indexing import StoredIndex
+from rosterlake.plans.parts import PartTable
 from rosterlake.plans.profiles import ProfileTable
 from rosterlake.plans.service import ProfileSearch, text_fields
 from rosterlake.schema import PROFILE
@@ -174,6 +175,19 @@ def test_a_stored_prefix_reads_a_range_of_terms_and_their_buckets(stored):
     assert postings and all("dynamicpruning" in partition_filters(s) for s in postings)
 
 
+def test_an_upsert_deals_the_rows_of_a_file_before_it_sorts_them(spark, tmp_path, monkeypatch):
+    plans = []
+    monkeypatch.setattr(PartTable, "append", lambda self, rows, *args, **kw: plans.append(plan_of(rows)))
+    one = spark.createDataFrame(PEOPLE, PROFILE).coalesce(1).select("*", F.lit(None).cast("timestamp").alias("_ts"),
+                                                                    F.lit(0).alias("_partition"), F.lit(0).cast("bigint").alias("_offset"))
+    ProfileTable(spark, str(tmp_path / "p"), buckets=2).upsert(one)
+    lines = plans[0].splitlines()
+    moves = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    sorts = [i for i, line in enumerate(lines) if "Sort " in line or "SortAggregate" in line]
+    # The plan's last lines come first: rows are dealt by id and version, reduced and sorted then, and moved by id alone.
+    assert len(moves) == 2 and "REPARTITION_BY_COL" in lines[moves[1]] and sorts and max(sorts) < moves[1]
+
+
 def test_similar_words_are_joined_by_deletions_and_not_scanned(spark, tmp_path):
     people = spark.createDataFrame(PEOPLE, PROFILE)
     index = StoredIndex(spark, str(tmp_path / "ix"), "id", {"city": F.col("city")}, buckets=8, similar=True)
