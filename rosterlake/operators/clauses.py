@@ -8,6 +8,8 @@ of its leaves, and the tree is one expression over them.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import tokens
@@ -68,6 +70,74 @@ def evaluated(clause: Column, leaves: Column) -> Column:
     return F.struct(F.coalesce(last["holds"], F.lit(False)).alias("holds"), F.coalesce(last["score"], F.lit(0.0)).alias("score"))
 
 
+SHAPES = 32         # kinds of trees that have an expression of their own
+SHAPE_NODES = 512   # nodes of all of them
+NAMED_TEXTS = 4096  # words and prefixes that a computed index is cut to
+
+
+def _shape(clause: Column) -> Column:
+    """What a tree is but for its texts, as a text."""
+    return F.array_join(F.transform(clause, lambda n: F.concat_ws(":", n["id"], n["parent"], n["kind"])), ",")
+
+
+def _compiled(shape: str, leaves: Column) -> tuple[Column, Column]:
+    """(holds, score) of trees of one shape, as :func:`evaluated` has them, without interpreting the tree for every document."""
+    done: list[tuple[int, Column, Column]] = []
+    nodes = [(int(i), int(parent), kind) for i, parent, kind in (n.split(":") for n in shape.split(","))]
+    for i, parent, kind in sorted(nodes, key=lambda n: -n[0]):
+        members = [(holds, score) for above, holds, score in done if above == i]
+        hit = F.element_at(leaves, F.lit(i))
+        if kind in ("any", "all", "none"):
+            holds, score = F.lit(kind != "any"), F.lit(0.0)
+            for held, value in members:
+                holds = holds | held if kind == "any" else holds & held if kind == "all" else holds & ~held
+                score = score if kind == "none" else score + F.when(held, value).otherwise(F.lit(0.0))
+        else:
+            holds, score = hit.isNotNull(), F.coalesce(hit, F.lit(0.0))
+        done.append((parent, holds, score))
+    return done[-1][1:]
+
+
+def _judged(found: DataFrame, sound: DataFrame, few: bool) -> DataFrame:
+    """query_id, doc_id, holds, score of the pairs of request and document by the scores of their ``leaves``."""
+    send = F.broadcast if few else (lambda rows: rows)
+    shapes = [r["shape"] for r in sound.select(_shape(F.col("clause")).alias("shape")).distinct().limit(SHAPES + 1).collect()]
+    # Nodes without an id, a parent or a kind are left to the general way, as are trees of very many shapes.
+    whole = all(re.fullmatch(r"-?\d+:-?\d+:[a-z]+", n) for shape in shapes for n in shape.split(","))
+    if not shapes or not whole or len(shapes) > SHAPES or sum(shape.count(",") + 1 for shape in shapes) > SHAPE_NODES:
+        judged = found.join(send(sound), "query_id").withColumn("_e", evaluated(F.col("clause"), F.col("leaves")))
+        return judged.select("query_id", "doc_id", "_e.holds", "_e.score")
+    number = F.coalesce(*[F.when(_shape(F.col("clause")) == shape, F.lit(k)) for k, shape in enumerate(shapes)])
+    holds, score = F.lit(False), F.lit(0.0)
+    for k, shape in enumerate(shapes):
+        held, value = _compiled(shape, F.col("leaves"))
+        holds, score = F.when(F.col("_shape") == k, held).otherwise(holds), F.when(F.col("_shape") == k, value).otherwise(score)
+    return found.join(send(sound.select("query_id", number.alias("_shape"))), "query_id").select(
+        "query_id", "doc_id", holds.alias("holds"), score.alias("score"))
+
+
+def _cut(index: TextIndex, nodes: DataFrame) -> TextIndex:
+    """The index with the words that the leaves name or begin, where they name few."""
+    if index.counted is None:
+        return index
+    text = F.lower("text")
+    named = nodes.where(F.col("kind").isin("word", "phrase")).select(F.lit(0).alias("n"), F.explode(tokens(text)).alias("text"))
+    begun = nodes.where((F.col("kind") == "prefix") & (F.length("text") > 0)).select(F.length(text).alias("n"), text.alias("text"))
+    asked = [(r["n"], r["text"]) for r in named.unionByName(begun).distinct().limit(NAMED_TEXTS + 1).collect()]
+    if len(asked) > NAMED_TEXTS:
+        return index
+    lengths = sorted({n for n, _ in asked})
+
+    def keep(term: Column) -> Column:
+        kept = F.lit(False)
+        for n in lengths:
+            texts = sorted(t for m, t in asked if m == n)
+            kept = kept | (F.substring(term, 1, n).isin(texts) if n else term.isin(texts))
+        return kept
+
+    return index.only(keep)
+
+
 def clause_reason(clause: Column) -> Column:
     """Why a tree is not taken, or null.
 
@@ -93,6 +163,7 @@ def search_many(index: TextIndex, field: str, requests: DataFrame, query_id: str
     refused = refused_clauses(requests, query_id, clause).select("query_id")
     sound = requests.select(F.col(query_id).alias("query_id"), F.col(clause).alias("clause")).join(refused, "query_id", "left_anti")
     nodes = sound.select("query_id", F.inline("clause"))
+    index = _cut(index, nodes)
     leaf = F.struct("query_id", "id").alias("leaf")
 
     def of(kind: str) -> DataFrame:
@@ -104,9 +175,8 @@ def search_many(index: TextIndex, field: str, requests: DataFrame, query_id: str
     hits = words.unionByName(_prefixes(index, field, of("prefix"))).unionByName(_phrases(index, field, of("phrase")))
     leaves = F.map_from_entries(F.collect_list(F.struct(F.col("leaf.id"), "score"))).alias("leaves")
     found = hits.groupBy(F.col("leaf.query_id").alias("query_id"), "doc_id").agg(leaves)
-    send = F.broadcast if has_at_most(nodes) else (lambda rows: rows)
-    judged = found.join(send(sound), "query_id").withColumn("_e", evaluated(F.col("clause"), F.col("leaves")))
-    return judged.where("_e.holds").select("query_id", "doc_id", F.round("_e.score", SCORE_DIGITS).alias("score"))
+    judged = _judged(found, sound, has_at_most(nodes))
+    return judged.where("holds").select("query_id", "doc_id", F.round("score", SCORE_DIGITS).alias("score"))
 
 
 def search_pages(index: TextIndex, field: str, requests: DataFrame, size: int, skip: int = 0, query_id: str = "query_id",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -67,7 +67,7 @@ class TextIndex:
     holds the statistics per field as (documents, average length). ``similar``: field, variant (and ``bucket``), term
     leads from the deletions of the head of a word to the heads (or whole words) that have them. ``blocks``: field, term, block, max_tf, min_dl
     (and ``bucket``) bound what a word adds to the score of a document of a block; documents of one length class lie in
-    ``spread`` blocks. ``rows`` of a computed index are its postings plus one
+    ``spread`` blocks. ``counted`` makes the postings and term statistics of some terms of a computed index. ``rows`` of a computed index are its postings plus one
     row per document under the empty term: a search that reads them learns the statistics from the
     same pass over the text.
     """
@@ -83,6 +83,15 @@ class TextIndex:
     similar: DataFrame | None = None
     blocks: DataFrame | None = None
     spread: int = 0
+    counted: Callable[[Callable[[Column], Column]], tuple[DataFrame, DataFrame]] | None = None
+
+    def only(self, keep: Callable[[Column], Column]) -> "TextIndex":
+        """The same index for searches that need no other terms than ``keep`` has. A computed one leaves the other words
+        out inside the documents, before it sorts and counts what is left."""
+        if self.counted is None:
+            return self
+        postings, stats = self.counted(keep)
+        return replace(self, postings=postings, term_stats=stats)
 
     def statistics(self, field: str) -> tuple[Column, Column]:
         """Number of documents and average length of one field: constants, or scalar subqueries."""
@@ -138,7 +147,17 @@ class TextIndex:
         lengths = toks.select("field", "doc_id", F.size("toks").alias("dl"))
         rows = _postings(toks.select("field", "doc_id", F.size("toks").alias("dl"),
                                      F.posexplode(F.array_append("toks", F.lit(WHOLE))).alias("pos", "term")))
-        return TextIndex(postings, stats, field_stats(lengths), lengths, rows=rows)
+
+        def counted(keep: Callable[[Column], Column]) -> tuple[DataFrame, DataFrame]:
+            kept = toks.select("field", "doc_id", F.size("toks").alias("dl"),
+                               F.inline(F.array(F.struct(F.filter(placed, lambda w: keep(w["term"])).alias("placed")))))
+            some = _gathered(kept.where(F.size("placed") > 0), repeated)
+            if repeated:
+                return some, term_stats(some)
+            words = toks.select("field", F.explode(F.array_distinct(F.filter("toks", keep))).alias("term"))
+            return some, words.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
+
+        return TextIndex(postings, stats, field_stats(lengths), lengths, rows=rows, counted=counted)
 
     @staticmethod
     def over_prefixes(docs: DataFrame, id_column: str, fields: Mapping[str, Column],
@@ -202,7 +221,11 @@ def _by_term(placed: Column) -> Column:
 def _whole_postings(toks: DataFrame, placed: Column, repeated: bool) -> DataFrame:
     """Postings of all words, counted inside each document: nothing is exploded before it is counted, so nothing has
     to be sorted or shuffled. Rows of one id and length count as one document; they are gathered first."""
-    docs = toks.select("field", "doc_id", F.size("toks").alias("dl"), placed.alias("placed"))
+    return _gathered(toks.select("field", "doc_id", F.size("toks").alias("dl"), placed.alias("placed")), repeated)
+
+
+def _gathered(docs: DataFrame, repeated: bool) -> DataFrame:
+    """Postings of the placed words of documents (field, doc_id, dl, placed), of which each has one at least."""
     if repeated:
         docs = docs.groupBy("field", "doc_id", "dl").agg(F.flatten(F.collect_list("placed")).alias("placed"))
     words = docs.select("field", "doc_id", "dl", F.inline(_by_term(F.col("placed"))))
